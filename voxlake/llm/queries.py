@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxlake.llm import repeats, simhash
+from voxlake.llm import embeddings, repeats, simhash
 from voxlake.llm.common import table
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
 
@@ -16,5 +20,5 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_suffix_array_dedup, op7_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_embedding_near_dedup, op3_suffix_array_dedup, op7_simhash_near_dedup)}
 ORACLES: dict[str, str] = {}
