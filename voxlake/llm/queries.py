@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxlake.llm import embeddings, repeats, simhash
+from voxlake.llm import embeddings, repeats, simhash, toxicity
 from voxlake.llm.common import table
 
 
@@ -20,5 +20,9 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_embedding_near_dedup, op3_suffix_array_dedup, op7_simhash_near_dedup)}
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op2_embedding_near_dedup, op3_suffix_array_dedup, op7_simhash_near_dedup, op8_toxicity)}
 ORACLES: dict[str, str] = {}
