@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxlake.llm import embeddings, repeats, simhash, toxicity
+from voxlake.llm import embeddings, repeats, sentencepieces, simhash, toxicity
 from voxlake.llm.common import table
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = sentencepieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    return sentencepieces.encode_decode(table(spark, sf_dir, "documents"), model, with_ids=False).drop("ids", "decoded")
+
+
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -24,5 +31,5 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_embedding_near_dedup, op3_suffix_array_dedup, op7_simhash_near_dedup, op8_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_suffix_array_dedup, op7_simhash_near_dedup, op8_toxicity)}
 ORACLES: dict[str, str] = {}
