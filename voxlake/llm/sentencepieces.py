@@ -122,16 +122,16 @@ class Model:
         prefix = np.zeros((n + 1, m), np.uint64)
         for i in range(n):
             prefix[i + 1] = prefix[i] * _BASE + codes[:, i]
-        best, back = np.full((n + 1, m), -np.inf), np.zeros((n + 1, m), np.int64)
+        best, back = np.full((n + 1, m), -np.inf, np.float32), np.zeros((n + 1, m), np.int64)
         last = np.full((n + 1, m), -1)
         best[0] = 0
         for end in range(1, n + 1):
-            for size in range(1, min(self.longest, end) + 1):
+            for size in range(min(self.longest, end), 0, -1):  # ties: the longest last piece, sums in single precision, as the library has it
                 piece = self.find(prefix[end] - prefix[end - size] * self.powers[size])
                 ok = np.flatnonzero(((piece >= 0) | (size == 1)) & np.isfinite(best[end - size]))
                 if not len(ok):
                     continue
-                gain = np.where(piece[ok] >= 0, self.scores[piece[ok]] if self.unigram else 0.0, low if self.unigram else 0.0)
+                gain = np.where(piece[ok] >= 0, self.scores[piece[ok]] if self.unigram else 0.0, low if self.unigram else 0.0).astype(np.float32)
                 if not self.unigram and end > size:
                     pairs, where = np.unique(last[end - size, ok] * np.int64(1 << 32) + piece[ok], return_inverse=True)
                     fits = self.stable((pairs + 1) >> 32, pairs - (((pairs + 1) >> 32) << 32))[where]
