@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxlake.llm import embeddings, repeats, sentencepieces, simhash, toxicity
+from voxlake.llm import embeddings, repeats, sentencepieces, simhash, tokenstore, toxicity
 from voxlake.llm.common import table
 
 
@@ -23,6 +23,12 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
 
 
+def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokenstore.store_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -31,5 +37,5 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_suffix_array_dedup, op7_simhash_near_dedup, op8_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_suffix_array_dedup, op6_token_id_output, op7_simhash_near_dedup, op8_toxicity)}
 ORACLES: dict[str, str] = {}
