@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxlake.llm import embeddings, repeats, sentencepieces, simhash, tokenstore, toxicity
+from voxlake.llm import embeddings, language, repeats, sentencepieces, simhash, tokenstore, toxicity
 from voxlake.llm.common import table
 
 
@@ -37,5 +37,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_suffix_array_dedup, op6_token_id_output, op7_simhash_near_dedup, op8_toxicity)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_suffix_array_dedup, op6_token_id_output, op7_simhash_near_dedup, op8_toxicity, op10_language_id)}
 ORACLES: dict[str, str] = {}
