@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxlake.llm import embeddings, language, repeats, sentencepieces, simhash, tokenstore, toxicity
+from voxlake.llm import decontaminate, embeddings, html_text, language, repeats, sentencepieces, simhash, tokenstore, toxicity
 from voxlake.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -37,9 +41,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_suffix_array_dedup, op6_token_id_output, op7_simhash_near_dedup, op8_toxicity, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_suffix_array_dedup, op4_html_extraction, op6_token_id_output, op7_simhash_near_dedup, op8_toxicity, op9_benchmark_decontamination, op10_language_id)}
 ORACLES: dict[str, str] = {}
