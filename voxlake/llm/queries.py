@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voxlake.llm import decontaminate, embeddings, html_text, language, repeats, sentencepieces, simhash, tokenstore, toxicity
+from voxlake.llm import decontaminate, embeddings, html_text, language, licenses, repeats, sentencepieces, simhash, tokenstore, toxicity
 from voxlake.llm.common import table
 
 
@@ -27,6 +28,13 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files `source/<doc_id div 50>/<doc_id>`: a repository of folders for each source."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat(F.col("source"), F.lit("/"), F.floor(F.col("doc_id") / 50), F.lit("/"), F.col("doc_id"))
+    return licenses.scan(docs.select("doc_id", path.alias("path"), "text"), ["doc_id"])
+
+
 def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -49,5 +57,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_suffix_array_dedup, op4_html_extraction, op6_token_id_output, op7_simhash_near_dedup, op8_toxicity, op9_benchmark_decontamination, op10_language_id)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_suffix_array_dedup, op4_html_extraction, op5_license_scan, op6_token_id_output, op7_simhash_near_dedup, op8_toxicity, op9_benchmark_decontamination, op10_language_id)}
+ORACLES = {"op5_license_scan": licenses.oracle("documents", "doc_id", "source || '/' || (doc_id // 50) || '/' || doc_id")}
