@@ -4,8 +4,9 @@ Unit vectors link when their cosine is at least `cosine`, so their squared dista
 rotation spreads the variance over all axes; the rotated vector is split into blocks of `width` axes, and at least one block
 holds no more than its proportional share of the squared distance.  Each block is range-joined on a grid over its leading
 axes (as many as the largest label needs): a vector is at home in one cell and a guest in every cell that its ball meets.  A pair counts
-in the first block whose budget it meets, so candidates need no removal of duplicates; then the cosine of the given vectors
-is computed in double precision.
+in the first block whose budget it meets, so candidates need no removal of duplicates.  A first pass carries only the
+block's coordinates and keeps the members of a cell that have a partner there; only these are joined to their whole
+vectors, and the cosine of the given vectors is computed in double precision.
 
 Equal vectors of a label are one row with a multiplicity.  Cells above LIMIT members are dealt into chunks that are
 compared chunk by chunk, each in a task of its own.  A task sends one row per vector and a spanning forest, never pairs.
@@ -55,34 +56,28 @@ def _cells(cosine: float, axes: int, width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rep, label, count = (batch.column(i).to_numpy() for i in (0, 1, 2))
-            lists = batch.column(3)
+            rep, label = (batch.column(i).to_numpy() for i in (0, 1))
+            lists = batch.column(2)
             sizes = np.diff(lists.offsets.to_numpy())
             flat = lists.flatten().to_numpy().astype(np.float64)
             ends = np.cumsum(sizes)
             for dim in np.unique(sizes):
                 who = np.flatnonzero(sizes == dim)
-                x = flat[(ends[who] - dim)[:, None] + np.arange(dim)]
-                turned = _unit(x) @ rotation(dim)
-                vectors = np.array([v.tobytes() for v in x], object)
+                turned = _unit(flat[(ends[who] - dim)[:, None] + np.arange(dim)]) @ rotation(dim)
                 for b, budget in enumerate(_budget(cosine, dim, width)):
                     radius = np.sqrt(budget)
                     step = 4 * radius
-                    block = turned[:, b * width : b * width + min(axes, dim - b * width)]
-                    home = np.floor(block / step).astype(np.int64)
-                    low = np.floor((block - radius) / step).astype(np.int64)
-                    high = np.floor((block + radius) / step).astype(np.int64)
-                    for shift in product((0, 1), repeat=block.shape[1]):
-                        cell = low + np.array(shift)
-                        inside = np.flatnonzero((cell <= high).all(axis=1))
-                        for rows, at, guest in ((inside, cell[inside], 1), *((((np.arange(len(home))), home, 0),) if not any(shift) else ())):
-                            for i in range(0, len(rows), 4096):
-                                r = rows[i : i + 4096]
-                                key = [",".join(map(str, c)) for c in at[i : i + 4096].tolist()]
-                                yield pa.RecordBatch.from_arrays(
-                                    [pa.array(label[who[r]]), pa.array(np.full(len(r), dim, np.int32)), pa.array(np.full(len(r), b, np.int32)), pa.array(key), pa.array(np.full(len(r), guest, np.int32)), pa.array(rep[who[r]]), pa.array(count[who[r]]), pa.array(vectors[r], pa.binary())],
-                                    ["label", "dim", "block", "cell", "guest", "rep", "n", "v"],
-                                )
+                    whole = turned[:, b * width : b * width + width]
+                    block = whole[:, :axes]
+                    home, low, high = (np.floor((block + d) / step).astype(np.int32) for d in (0, -radius, radius))
+                    for shift in [None, *product((0, 1), repeat=block.shape[1])]:
+                        at = home if shift is None else low + np.array(shift, np.int32)
+                        rows = np.flatnonzero((at <= high).all(axis=1))
+                        n, k = len(rows), at.shape[1]
+                        cell = pa.ListArray.from_arrays(pa.array(np.arange(0, n * k + 1, k, dtype=np.int32)), pa.array(at[rows].ravel()))
+                        x = pa.ListArray.from_arrays(pa.array(np.arange(0, n * whole.shape[1] + 1, whole.shape[1], dtype=np.int32)), pa.array(whole[rows].astype(np.float32).ravel()))
+                        fixed = [pa.array(np.full(n, v, np.int32)) for v in (dim, b)]
+                        yield pa.RecordBatch.from_arrays([pa.array(label[who[rows]]), *fixed, cell, pa.array(np.full(n, shift is not None)), pa.array(rep[who[rows]]), x], ["label", "dim", "block", "cell", "guest", "rep", "x"])
 
     return run
 
@@ -106,42 +101,69 @@ def _linked(x: np.ndarray, y: np.ndarray, block: int, cosine: float, width: int)
     return i[ok], j[ok]
 
 
-def _join(cosine: float, width: int):
-    """Task over whole cells (or chunks of them), sorted: (rep, number of linked vectors, root) for every linked vector."""
-
-    def one(block: int, home: list, guests: list) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        ids, other, n = np.array([h[0] for h in home]), np.array([g[0] for g in guests]), np.array([g[1] for g in guests])
-        x, y = (np.stack([np.frombuffer(r[2]) for r in rows]) for rows in (home, guests))
-        degree, a, b = np.zeros(len(ids), np.int64), [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for s in range(0, len(ids), TILE):
-            for t in range(0, len(other), TILE):
-                i, j = _linked(x[s : s + TILE], y[t : t + TILE], block, cosine, width)
-                p, q = ids[s + i], other[t + j]
-                keep = p != q
-                np.add.at(degree, s + i[keep], n[t + j[keep]])
-                node, root = roots(np.concatenate([*a, p[keep]]), np.concatenate([*b, q[keep]]))
-                a, b = [node], [root]
-        hit = degree > 0
-        if hit.any():
-            yield ids[hit], degree[hit], b[0][np.searchsorted(a[0], ids[hit])]
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table, np.ndarray, np.ndarray]]:
+    """Of a task's rows: (block, table, homes, guests) for each cell or chunk with somebody to compare."""
+    parts = [b for b in batches if b.num_rows]
+    if not parts:
+        return
+    t = pa.Table.from_batches(parts).combine_chunks()
+    key, label, dim, block, guest, rep = (t[c].to_numpy() for c in ("key", "label", "dim", "block", "guest", "rep"))
+    order = np.lexsort((rep, guest, key, block, dim, label))
+    new = np.flatnonzero(np.append(True, np.any([c[order][1:] != c[order][:-1] for c in (key, label, dim, block)], axis=0)))
+    for a, b in zip(new, np.append(new[1:], len(order)), strict=True):
+        rows = order[a:b]
+        homes, guests = rows[~guest[rows]], rows[guest[rows]]
+        if len(homes) and len(guests) and (len(guests) > 1 or rep[guests[0]] != rep[homes[0]]):
+            yield int(block[rows[0]]), t, homes, guests
+
+
+def _matrix(column: pa.ChunkedArray, rows: np.ndarray) -> np.ndarray:
+    return np.stack(column.combine_chunks().take(pa.array(rows)).to_numpy(zero_copy_only=False)).astype(np.float64)
+
+
+def _near(cosine: float, width: int):
+    """Task over cells: the rows that have a partner within the block's budget, without their coordinates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, home, guests = None, [], []
+        for block, t, homes, guests in _groups(batches):
+            budget = _budget(cosine, t["dim"][int(homes[0])].as_py(), width)[block] + 1e-6
+            x, y = _matrix(t["x"], homes), _matrix(t["x"], guests)
+            rep = t["rep"].to_numpy()
+            some_x, some_y = np.zeros(len(homes), bool), np.zeros(len(guests), bool)
+            for i in range(0, len(homes), TILE):
+                for j in range(0, len(guests), TILE):
+                    p, q = x[i : i + TILE], y[j : j + TILE]
+                    near = (p * p).sum(1)[:, None] + (q * q).sum(1) - 2 * p @ q.T <= budget
+                    near &= rep[homes[i : i + TILE]][:, None] != rep[guests[j : j + TILE]]
+                    some_x[i : i + TILE] |= near.any(axis=1)
+                    some_y[j : j + TILE] |= near.any(axis=0)
+            rows = np.concatenate([homes[some_x], guests[some_y]])
+            if len(rows):
+                yield from t.select(["key", "label", "dim", "block", "guest", "rep"]).take(pa.array(rows)).combine_chunks().to_batches()
 
-        def close() -> Iterator[pa.RecordBatch]:
-            if home and (len(guests) > 1 or guests and guests[0][0] != home[0][0]):
-                for cols in one(key[2], home, guests):
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["rep", "links", "root"])
+    return run
 
-        for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-            for *k, guest, rep, n, v in zip(*cols, strict=True):
-                if k != key:
-                    yield from close()
-                    key, home, guests = k, [], []
-                (guests if guest else home).append((rep, n, v))
-        if key is not None:
-            yield from close()
+
+def _join(cosine: float, width: int):
+    """Task over cells with whole vectors: (rep, number of linked vectors, root) for every linked vector."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, t, homes, guests in _groups(batches):
+            rep, n = t["rep"].to_numpy(), t["n"].to_numpy()
+            x, y = _matrix(t["v"], homes), _matrix(t["v"], guests)
+            degree, a, b = np.zeros(len(homes), np.int64), [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for s in range(0, len(homes), TILE):
+                for e in range(0, len(guests), TILE):
+                    i, j = _linked(x[s : s + TILE], y[e : e + TILE], block, cosine, width)
+                    p, q = rep[homes[s + i]], rep[guests[e + j]]
+                    keep = p != q
+                    np.add.at(degree, s + i[keep], n[guests[e + j[keep]]])
+                    node, root = roots(np.concatenate([*a, p[keep]]), np.concatenate([*b, q[keep]]))
+                    a, b = [node], [root]
+            hit = degree > 0
+            if hit.any():
+                ids = rep[homes[hit]]
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(degree[hit]), pa.array(b[0][np.searchsorted(a[0], ids)])], ["rep", "links", "root"])
 
     return run
 
@@ -157,15 +179,18 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, width: int = WID
     if axes is None:  # about as many cells as keep a cell of the largest label at some hundreds of vectors
         most = distinct.groupBy("label").count().agg(F.max("count")).first()[0] or 0
         axes = int(np.clip(np.ceil(np.log2(max(most, 1) / 250)), 1, width))
-    cells = distinct.select("rep", "label", "n", "v").mapInArrow(_cells(cosine, axes, width), "label long, dim int, block int, cell string, guest int, rep long, n long, v binary")
+    cells = distinct.select("rep", "label", "v").mapInArrow(_cells(cosine, axes, width), "label long, dim int, block int, cell array<int>, guest boolean, rep long, x array<float>")
     keys = ["label", "dim", "block", "cell"]
-    sizes = cells.select(*keys, "guest").groupBy(*keys).agg(F.sum("guest").alias("guests")).where(F.col("guests") > limit)
+    sizes = cells.where("guest").groupBy(*keys).agg(F.count("*").alias("guests")).where(F.col("guests") > limit)
     parts = F.ceil(F.coalesce(F.col("guests"), F.lit(1)) / limit).cast("int")
     mine = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
     dealt = cells.join(sizes, keys, "left").withColumn("parts", parts).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select(*keys, F.when(F.col("guest") == 0, F.col("mine")).otherwise(F.col("other")).alias("p"), F.when(F.col("guest") == 0, F.col("other")).otherwise(F.col("mine")).alias("q"), "guest", "rep", "n", "v")
-    keys += ["p", "q"]
-    found = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_join(cosine, width), "rep long, links long, root long")
+    chunk = [F.when(F.col("guest"), F.col(a)).otherwise(F.col(b)) for a, b in (("other", "mine"), ("mine", "other"))]
+    dealt = dealt.select(F.xxhash64(*keys, *chunk).alias("key"), "label", "dim", "block", "guest", "rep", "x")
+    schema = "key long, label long, dim int, block int, guest boolean, rep long"
+    near = saved(dealt.repartition("key").mapInArrow(_near(cosine, width), schema), "vector-partners")
+    whole = near.join(distinct.select("rep", "n", "v"), "rep").select("key", "label", "dim", "block", "guest", "rep", "n", "v")
+    found = whole.repartition("key").mapInArrow(_join(cosine, width), "rep long, links long, root long")
     found = saved(found, "vector-links")
     degree = found.groupBy("rep").agg(F.sum("links").alias("links"))
     part = connected_components(found, "rep", "root").withColumnRenamed("node", "rep")
