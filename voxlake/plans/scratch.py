@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,3 +24,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle files of finished steps now: its cleaner acts once the driver has collected the plans."""
+    for _ in range(3):  # plans, then what they held, then the files
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
