@@ -1,4 +1,8 @@
-"""A corpus-cleaning pipeline: each stage applies one operator to all that the stage before it kept."""
+"""A corpus-cleaning pipeline: each stage applies one operator to all that the stage before it kept.
+
+Stages take (spark, docs, sf_dir).  All but the last return the columns of documents; rows with a null doc_id take part where
+an operator can treat them and are otherwise kept.  Every decision takes effect on what the next stage reads.
+"""
 
 from __future__ import annotations
 
@@ -7,31 +11,66 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm import repeats, simhash
+from voxlake.llm import decontaminate, repeats, sentencepieces, simhash, toxicity
 from voxlake.plans.scratch import saved
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: of each group the document with the smallest doc_id stays; documents without an id stay."""
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows whose doc_id is not among gone; rows without doc_id stay."""
+    return docs.select(*COLUMNS).join(gone.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: documents that it predicts to be toxic go.  All labels but those it holds out are learned."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.toxicity(docs.select("doc_id", "text"), labels)
+    return _without(docs, scored.where("predicted = 1"))
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: of each group the document with the smallest doc_id stays."""
     found = simhash.near_duplicates(docs.select("doc_id", "text"))
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    return _without(docs, found.where("doc_id <> component_id"))
+
+
+def unrepeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: repeated bytes go, and with them documents of which nothing is left.  Halves of cut characters are dropped."""
+    cut = repeats.remove_repeats(docs.select("doc_id", "text")).where("doc_id is not null and n_removed > 0")
+    cut = cut.select("doc_id", F.decode(F.col("kept"), "utf-8").alias("raw")).withColumn("rest", F.regexp_replace("raw", "�", "")).drop("raw")
+    joined = docs.select(*COLUMNS).join(cut.dropDuplicates(["doc_id"]), "doc_id", "left")
+    text = F.coalesce("rest", "text")
+    kept = joined.where(F.col("rest").isNull() | (F.length(F.trim("rest")) > 0))
+    return kept.select("doc_id", text.alias("text"), "lang", "source", F.when(F.col("rest").isNull(), F.col("n_chars")).otherwise(F.length("rest").cast("long")).alias("n_chars"))
+
+
+def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: documents that hold a passage of a test item go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _without(docs, decontaminate.leaks(docs.select("doc_id", "text"), benchmark))
+
 
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: the piece ids of each text, with the check that decoding gives the text back."""
+    import public_tokenizers
 
-def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: repeated bytes go; a document of which nothing is left goes too.  Half characters are dropped."""
-    cut = repeats.remove_repeats(docs.select("doc_id", "text")).select("doc_id", "n_bytes", "n_removed", "kept")
-    text = F.try_validate_utf8("kept")
-    return cut, text
+    model = sentencepieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    return sentencepieces.encode_decode(docs.select("doc_id", "text"), model).select("doc_id", "ids", "n_tokens", "ids_crc32", "round_trip")
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("simhash", near_duplicates)]
-ORACLE_SQL = None
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", clean_language),
+    ("simhash_near_dedup", one_of_each_group),
+    ("suffix_array_dedup", unrepeated_text),
+    ("benchmark_decontamination", without_test_items),
+    ("sentencepiece", token_ids),
+]
+ORACLE_SQL = None  # no stage is expressible in SQL; tests compare each with brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages applied to documents, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
