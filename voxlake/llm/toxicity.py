@@ -173,7 +173,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_term
         return (totals.get(1, 0) / max(1, sum(totals.values())),)
     rate = F.when(F.col("toxic") == 1, F.lit(min(1.0, per_class / totals[1]))).otherwise(F.lit(min(1.0, per_class / totals[0])))
     chosen = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < rate * (1 << 20))
-    sample = rows.join(chosen, "doc_id").groupBy("text", "toxic").agg(F.min("doc_id").alias("doc_id")).select("text", "toxic", "doc_id").persist()
+    # bounded: about two times per_class rows of an id and a label
+    sample = rows.join(F.broadcast(chosen), "doc_id").groupBy("text", "toxic").agg(F.min("doc_id").alias("doc_id")).select("text", "toxic", "doc_id").persist()
     sizes = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         sample.unpersist()
