@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.llm.common import blocks, spread, text_bytes
-from voxlake.plans.scratch import saved
+from voxlake.plans.scratch import release, saved
 
 WIDTH = 100
 K = 48
@@ -172,16 +172,24 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SPANS = pa.schema([("kind", pa.int8()), ("doc", pa.int64()), ("s", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))])
 
 
+def _runs(doc: np.ndarray, s: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Touching or overlapping runs of windows of a document, joined."""
+    order = np.lexsort((s, doc))
+    doc, s, n = doc[order], s[order].astype(np.int64), n[order].astype(np.int64)
+    head = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (s[1:] > s[:-1] + n[:-1]))) if len(doc) else np.empty(0, np.int64)
+    last = np.append(head[1:], len(doc))[: len(head)] - 1
+    return doc[head], s[head], s[last] + n[last] - s[head]
+
+
 def _spans(kind: int, doc: np.ndarray, s: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
     """One row a document; touching or overlapping runs of windows are joined."""
     if not len(doc):
         return
-    order = np.lexsort((s, doc))
-    doc, s, n = doc[order], s[order].astype(np.int64), n[order].astype(np.int64)
-    new = np.append(True, (doc[1:] != doc[:-1]) | (s[1:] > s[:-1] + n[:-1])) if kind == REMOVED else np.ones(len(doc), bool)
-    head = np.flatnonzero(new)
-    last = np.append(head[1:], len(doc)) - 1
-    doc, s, n = doc[head], s[head], s[last] + n[last] - s[head]
+    if kind == REMOVED:
+        doc, s, n = _runs(doc, s, n)
+    else:
+        order = np.lexsort((s, doc))
+        doc, s, n = doc[order], s[order], n[order]
     starts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
     off = pa.array(np.append(starts, len(doc)).astype(np.int32))
     lists = [pa.ListArray.from_arrays(off, pa.array(x.astype(np.int32))) for x in (s, n)]
@@ -217,16 +225,22 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _spans(OPEN, np.concatenate([doc[todo], d[open_]]), np.concatenate([s[todo], p[open_]]), np.concatenate([n[todo], m[open_]]))
 
 
-WINDOWS = pa.schema([("w", pa.int64()), ("a", pa.int32()), ("doc", pa.int64()), ("s", pa.int32())])
+WINDOWS = pa.schema([("w", pa.int64()), ("a", pa.int32()), ("doc", pa.int64()), ("s", pa.int32()), ("n", pa.int32())])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows of open segments; a task lists one that it has met twice only at its first two places."""
+    """The windows of open segments; of those that a task has met before, only the runs to remove."""
     kept, rows = [], 0
 
-    def settle() -> pa.RecordBatch:
+    def settle() -> Iterator[pa.RecordBatch]:
         w, a, doc, s = map(np.concatenate, zip(*kept, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in (w.view(np.int64), (a >> np.uint64(32)).astype(np.uint32).view(np.int32), doc, s.astype(np.int32))], schema=WINDOWS)
+        order, new, later = _first((w, a), doc, s)
+        new, later = order[new], order[later]
+        d, p, n = _runs(doc[later], s[later], np.ones(len(later), np.int64))
+        route = mix(d.astype(np.uint64), p.astype(np.uint64)).view(np.int64)
+        short = (a[new] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        for cols in ((w[new].view(np.int64), short, doc[new], s[new].astype(np.int32), np.zeros(len(new), np.int32)), (route, np.zeros(len(d), np.int32), d, p.astype(np.int32), n.astype(np.int32))):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], schema=WINDOWS)
 
     for batch in batches:
         doc = batch.column(0).to_numpy()
@@ -246,18 +260,20 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append((mix(w[at], low[at]), low[at], doc[i + row], place))
             rows += len(at)
             if rows >= FLUSH:
-                yield settle()
+                yield from settle()
                 kept, rows = [], 0
     if kept:
-        yield settle()
+        yield from settle()
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     x = _gather(batches)
     if x:
+        known = x["n"] > 0
+        x, gone = {k: v[~known] for k, v in x.items()}, {k: v[known] for k, v in x.items()}
         order, _, later = _first((x["w"], x["a"]), x["doc"], x["s"])
         doc, s = x["doc"][order][later], x["s"][order][later]
-        yield from _spans(REMOVED, doc, s, np.ones(len(doc), np.int64))
+        yield from _spans(REMOVED, *map(np.concatenate, ((gone["doc"], doc), (gone["s"], s), (gone["n"], np.ones(len(doc), np.int64)))))
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -300,10 +316,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     known = texts.where("doc_id is not null and length(text) >= 100")
     routed = known.mapInArrow(_scan, "key long, kind byte, a long, g long, doc long, s int, n int").repartition("key")
     spans = saved(routed.mapInArrow(_decide, "kind byte, doc long, s array<int>, n array<int>"), "repeats")
+    del routed
+    release(docs.sparkSession)
     lists = (F.flatten(F.collect_list("s")).alias("s"), F.flatten(F.collect_list("n")).alias("n"))
     todo = spans.where(F.col("kind") == OPEN).groupBy(F.col("doc").alias("doc_id")).agg(*lists)
-    windows = known.join(todo, "doc_id").select("doc_id", "text", "s", "n").mapInArrow(_windows, "w long, a int, doc long, s int").repartition("w", "a")
-    fine = windows.mapInArrow(_compare, "kind byte, doc long, s array<int>, n array<int>")
+    windows = known.join(todo, "doc_id").select("doc_id", "text", "s", "n").mapInArrow(_windows, "w long, a int, doc long, s int, n int").repartition("w", "a")
+    fine = saved(windows.mapInArrow(_compare, "kind byte, doc long, s array<int>, n array<int>"), "repeats-fine")
+    del windows, todo
+    release(docs.sparkSession)
     gone = spans.where(F.col("kind") == REMOVED).unionAll(fine).groupBy(F.col("doc").alias("doc_id")).agg(*lists)
     none = F.array().cast("array<int>")
     joined = texts.join(gone, "doc_id", "left").select("doc_id", "text", F.coalesce("s", none).alias("s"), F.coalesce("n", none).alias("n"))
