@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from voxlake.plans import q_aggregates, q_filters, q_graph, q_joins, q_projections, q_sources, q_tables  # noqa: F401  they register
+from voxlake.plans.register import ORACLES, QUERIES
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["flagship"](spark, sf_dir)
+    """Spine density per dendrite."""
+    return QUERIES["spine_density_per_dendrite"](spark, sf_dir)
