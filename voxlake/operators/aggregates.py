@@ -370,7 +370,7 @@ def ssim(pairs: DataFrame, a: str, b: str, win: int, size: int, span: float = 1.
     taps = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(w).alias("w")) for k, w in enumerate(weights)])).alias("tap")
     for axis in ("y", "x"):
         rest = "x" if axis == "y" else "y"
-        moved = moments.select(by, rest, (F.col(axis) - F.col("tap.k")).alias(axis), "tap.w", *[c for c in moments.columns if c.startswith("m_")]) if False else moments.select("*", taps).select(by, rest, (F.col(axis) - F.col("tap.k")).alias(axis), F.col("tap.w").alias("w"), *[c for c in moments.columns if c.startswith("m_")])
+        moved = moments.select("*", taps).select(by, rest, (F.col(axis) - F.col("tap.k")).alias(axis), F.col("tap.w").alias("w"), *[c for c in moments.columns if c.startswith("m_")])
         moments = moved.where(F.col(axis).between(0, size - win)).groupBy(by, "y", "x").agg(*[F.sum(F.col("w") * F.col(c)).alias(c) for c in ("m_a", "m_b", "m_aa", "m_bb", "m_ab")])
     c1, c2 = (0.01 * span) ** 2, (0.03 * span) ** 2
     va, vb, cov = (F.col(p) - F.col(q) * F.col(r) for p, q, r in (("m_aa", "m_a", "m_a"), ("m_bb", "m_b", "m_b"), ("m_ab", "m_a", "m_b")))

@@ -1 +1,275 @@
-"""Registered queries."""
+"""Registered queries: aggregations."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from voxlake.operators import aggregates as A
+from voxlake.operators import filters as L
+from voxlake.operators.projections import VK
+from voxlake.plans.register import query, rounded
+from voxlake.sources.fixtures import O_SQL, OV_SQL, P_SQL, T_SQL, V_SQL, object_voxels, objects, patches, table, tracks, voxels
+
+OK = "image_id, t, label"
+VKS = "image_id, t, z, y, x"
+
+
+@query("a1_region_props", f"WITH {OV_SQL} SELECT {OK}, count(*) AS area, round(avg(z), 6) AS centroid_z, round(avg(y), 6) AS centroid_y, round(avg(x), 6) AS centroid_x, round(min(v1), 6) AS min_int, round(avg(v1), 6) AS mean_int, round(max(v1), 6) AS max_int FROM ov GROUP BY ALL")
+def _(spark, d):
+    return rounded(A.region_props(object_voxels(spark, d), "v1"))
+
+
+_REGIONS = [("head", 1), ("spine", 2), ("neck", 3)]
+_A2 = ", ".join(f"round(avg(CASE WHEN cls = {k} THEN v{c} END), 6) AS {r}_C{c}_mean_int, round(max(CASE WHEN cls = {k} THEN v{c} END), 6) AS {r}_C{c}_max_int" for r, k in _REGIONS for c in (1, 2))
+
+
+@query("a2_channel_stats", f"WITH {V_SQL} SELECT image_id, t, ((y // 3) * 5 + x // 4 + 1)::BIGINT AS label, {_A2} FROM v GROUP BY 1, 2, 3")
+def _(spark, d):
+    label = (F.floor(F.col("y") / 3) * 5 + F.floor(F.col("x") / 4) + 1).cast("long")
+    region = F.when(F.col("cls") == 1, "head").when(F.col("cls") == 2, "spine").otherwise("neck")
+    return rounded(A.channel_stats(voxels(spark, d).withColumn("label", label).withColumn("region", region), ["v1", "v2"], [r for r, _ in _REGIONS]))
+
+
+_BOX = ", ".join(f"min({c}) AS min_{c}, max({c}) AS max_{c}" for c in "zyx")
+_VOL = " * ".join(f"(max({c}) - min({c}) + 1)" for c in "zyx")
+
+
+@query("a3_bbox", f"WITH {OV_SQL} SELECT {OK}, count(*) AS area, {_BOX}, ({_VOL})::BIGINT AS bbox_vol, round(count(*) / ({_VOL}), 6) AS extent FROM ov GROUP BY ALL")
+def _(spark, d):
+    return rounded(A.bbox(object_voxels(spark, d)))
+
+
+@query("a4_inertia_axes")
+def _(spark, d):
+    return A.inertia_axes(object_voxels(spark, d), (1.0, 0.102, 0.102))
+
+
+_SIDES = ", ".join(f"max({c}) - min({c}) + 1 AS s{c}" for c in "zyx")
+
+
+@query("a5_drop_degenerate", f"WITH {OV_SQL}, b AS (SELECT {OK}, count(*) AS n, {_SIDES} FROM ov GROUP BY ALL), ok AS (SELECT {OK} FROM b WHERE n >= 5 AND least(sz, sy, sx) / greatest(sz, sy, sx) >= 0.4 AND (sz > 1)::INT + (sy > 1)::INT + (sx > 1)::INT >= 3) SELECT {VKS}, label FROM ov SEMI JOIN ok USING ({OK})")
+def _(spark, d):
+    return A.drop_degenerate(object_voxels(spark, d), 5, 0.4, 0.0, 3).select(*VK, "label")
+
+
+@query("a6_hull_volume")
+def _(spark, d):
+    return rounded(A.hull_volume(object_voxels(spark, d)))
+
+
+_FERET = f"SELECT a.image_id, a.t, a.label, round(sqrt(max((a.z - b.z) ** 2 + ((a.y - b.y) * 0.102) ** 2 + ((a.x - b.x) * 0.102) ** 2)), 6) AS feret_max FROM ov a JOIN ov b ON a.image_id = b.image_id AND a.t = b.t AND a.label = b.label GROUP BY ALL"
+
+
+@query("a7_feret_max", f"WITH {OV_SQL} {_FERET}")
+def _(spark, d):
+    return rounded(A.feret_max(object_voxels(spark, d), (1.0, 0.102, 0.102)))
+
+
+@query("a8_mip", f"WITH {V_SQL} SELECT image_id, t, y, x, max(v1) AS v1 FROM v GROUP BY ALL")
+def _(spark, d):
+    return A.mip(voxels(spark, d), "v1")
+
+
+@query("a9_projected_area", f"WITH {OV_SQL} SELECT {OK}, round(count(DISTINCT (y, x)) * 0.102 ** 2, 6) AS mip_area FROM ov GROUP BY ALL")
+def _(spark, d):
+    return rounded(A.projected_area(object_voxels(spark, d), 0.102))
+
+
+@query("a10_dendrite_stats", f"WITH {V_SQL}, l AS (SELECT *, (y // 5 + 1)::BIGINT AS label FROM v WHERE cls >= 2) SELECT {OK}, count(*) FILTER (x % 4 = 0) AS dendrite_length, count(*) AS dendrite_volume FROM l GROUP BY ALL HAVING count(*) FILTER (x % 4 = 0) > 0")
+def _(spark, d):
+    den = voxels(spark, d).where("cls >= 2").withColumn("label", (F.floor(F.col("y") / 5) + 1).cast("long"))
+    return A.dendrite_stats(den.where("x % 4 = 0"), den)
+
+
+@query("a11_neuron_totals", f"WITH {V_SQL} SELECT image_id, count(*) FILTER (cls >= 2 AND x % 4 = 0) AS dendrite_length, count(*) FILTER (cls >= 2) AS dendrite_vol FROM v GROUP BY image_id HAVING count(*) FILTER (cls >= 2) > 0")
+def _(spark, d):
+    den = voxels(spark, d).where("cls >= 2")
+    return A.neuron_totals(den.where("x % 4 = 0"), den)
+
+
+_MEANS = ", ".join(f"round(avg({c}), 6) AS avg_{c}" for c in ("area", "price", "disc"))
+
+
+@query("a12_neuron_summary", f"WITH {O_SQL}, s AS (SELECT s_suppkey::BIGINT AS image_id, greatest(0, s_acctbal)::DOUBLE AS length, greatest(0, s_acctbal)::DOUBLE * 2 AS volume FROM supplier) SELECT image_id, count(*) AS total_spines, {_MEANS}, round(any_value(length), 6) AS length, round(any_value(volume), 6) AS volume, round(count(*) / nullif(any_value(length), 0), 6) AS spines_per_um, round(count(*) / nullif(any_value(volume), 0), 6) AS spines_per_um3 FROM o JOIN s USING (image_id) GROUP BY image_id")
+def _(spark, d):
+    length = F.greatest(F.lit(0.0), F.col("s_acctbal").cast("double"))
+    totals = table(spark, d, "supplier").select(F.col("s_suppkey").cast("long").alias("image_id"), length.alias("length"), (length * 2).alias("volume"))
+    return rounded(A.neuron_summary(objects(spark, d), totals, ["area", "price", "disc"]))
+
+
+@query("a13_dendrite_summary", f"WITH {O_SQL}, s AS (SELECT p_partkey::BIGINT % 50 AS dendrite_id, max(p_retailprice)::DOUBLE AS length, sum(p_retailprice)::DOUBLE AS volume FROM part GROUP BY 1) SELECT image_id, dendrite_id, count(*) AS total_spines, {_MEANS}, round(any_value(length), 4) AS length, round(any_value(volume), 4) AS volume, round(count(*) / nullif(any_value(length), 0), 6) AS spines_per_um, round(count(*) / nullif(any_value(volume), 0), 6) AS spines_per_um3 FROM o LEFT JOIN s USING (dendrite_id) GROUP BY image_id, dendrite_id")
+def _(spark, d):
+    price = F.col("p_retailprice").cast("double")
+    stats = table(spark, d, "part").groupBy((F.col("p_partkey") % 50).cast("long").alias("dendrite_id")).agg(F.max(price).alias("length"), F.sum(price).alias("volume"))
+    spines = objects(spark, d)
+    stats = spines.select("image_id", "dendrite_id").distinct().join(stats, "dendrite_id")
+    out = rounded(A.dendrite_summary(spines, stats, ["area", "price", "disc"]))
+    return out.withColumns({c: F.round(c, 4) for c in ("length", "volume")})
+
+
+@query("a15_distinct_labels", f"WITH {OV_SQL} SELECT image_id, t, count(DISTINCT label) AS n_labels FROM ov GROUP BY ALL")
+def _(spark, d):
+    return A.distinct_labels(object_voxels(spark, d))
+
+
+@query("a16_dedupe_tiles", f"WITH {O_SQL} SELECT label, line, price, area FROM o QUALIFY row_number() OVER (PARTITION BY label ORDER BY price DESC, line) = 1")
+def _(spark, d):
+    return A.dedupe_tiles(objects(spark, d), ["label"], [F.desc("price"), F.col("line")]).select("label", "line", "price", "area")
+
+
+_TIMES = list(range(1, 32))
+
+
+@query("a17_track_matrix", f"WITH {T_SQL} SELECT spine_id, {', '.join(f'round(max(CASE WHEN timepoint = {t} THEN spine_vol END), 4) AS t{t}' for t in _TIMES)} FROM tr GROUP BY spine_id")
+def _(spark, d):
+    return rounded(A.track_matrix(tracks(spark, d), "spine_vol", _TIMES), 4)
+
+
+@query("a18_iou", f"WITH {V_SQL} SELECT image_id, count(*) FILTER (cls = 1 AND cls_pred = 1) AS intersection, count(*) AS union_, round(count(*) FILTER (cls = 1 AND cls_pred = 1) / count(*), 6) AS iou FROM v WHERE cls = 1 OR cls_pred = 1 GROUP BY image_id")
+def _(spark, d):
+    vox = voxels(spark, d)
+    return rounded(A.iou(vox.where("cls = 1"), vox.where("cls_pred = 1")))
+
+
+_DICE = f"""WITH {V_SQL}, s AS (SELECT image_id, c AS cls, 2.0 * count(*) FILTER (cls = c AND cls_pred = c) / nullif(count(*) FILTER (cls = c) + count(*) FILTER (cls_pred = c), 0) AS dice
+  FROM v, (SELECT unnest([1, 2, 3]) AS c) GROUP BY ALL UNION ALL SELECT image_id, 0, 2.0 * (1400 - count(*)) / nullif(2 * (1400 - count(*)), 0) FROM v GROUP BY image_id)"""
+
+
+@query("a19_dice", f"{_DICE} SELECT image_id, cls, round(dice, 6)::DOUBLE AS dice FROM s")
+def _(spark, d):
+    return rounded(A.dice(voxels(spark, d), "cls", "cls_pred", [1, 2, 3], 1400))
+
+
+@query("a20_dice_report", f"{_DICE} SELECT image_id, cls, round(avg(dice), 6)::DOUBLE AS dice, grouping(image_id, cls)::BIGINT AS level FROM s GROUP BY GROUPING SETS ((image_id), (cls), ())")
+def _(spark, d):
+    return rounded(A.dice_report(A.dice(voxels(spark, d), "cls", "cls_pred", [1, 2, 3], 1400)))
+
+
+_MATCH = f"""WITH {V_SQL}, l AS (SELECT *, ((y // 3) * 5 + x // 4 + 1)::BIGINT AS label FROM v),
+  a AS (SELECT image_id, count(*) FILTER (share > 0.5) AS tp, count(*) AS n_gt FROM (SELECT image_id, label, avg((cls_pred = 1)::INT) AS share FROM l WHERE cls = 1 GROUP BY ALL) GROUP BY image_id),
+  b AS (SELECT image_id, count(*) FILTER (share < 0.5) AS fp, count(*) AS n_out FROM (SELECT image_id, label, avg((cls = 1)::INT) AS share FROM l WHERE cls_pred = 1 GROUP BY ALL) GROUP BY image_id),
+  m AS (SELECT image_id, coalesce(tp, 0) AS tp, coalesce(n_gt, 0) AS n_gt, coalesce(fp, 0) AS fp, coalesce(n_out, 0) AS n_out FROM a FULL JOIN b USING (image_id)),
+  k AS (SELECT *, n_gt - tp AS fn, round(tp / nullif(tp + fp, 0), 6) AS precision, round(tp / nullif(n_gt, 0), 6) AS recall FROM m)"""
+
+
+def _labelled(vox):
+    return vox.withColumn("label", (F.floor(F.col("y") / 3) * 5 + F.floor(F.col("x") / 4) + 1).cast("long"))
+
+
+@query("a21_object_match", f"{_MATCH} SELECT * FROM k")
+def _(spark, d):
+    vox = _labelled(voxels(spark, d))
+    return rounded(A.object_match(vox.where("cls = 1"), vox.where("cls_pred = 1")))
+
+
+@query("a22_validate", f"{_MATCH}, i AS (SELECT image_id, count(*) FILTER (cls = 1 AND cls_pred = 1) AS intersection, count(*) AS union_, round(count(*) FILTER (cls = 1 AND cls_pred = 1) / count(*), 6) AS iou, count(*) FILTER (cls = 1) AS gt_volume, count(*) FILTER (cls_pred = 1) AS out_volume, count(*) FILTER (cls_pred = 1) - count(*) FILTER (cls = 1) AS volume_difference FROM v WHERE cls = 1 OR cls_pred = 1 GROUP BY image_id) SELECT * FROM k JOIN i USING (image_id)")
+def _(spark, d):
+    vox = _labelled(voxels(spark, d))
+    return rounded(A.validate(vox.where("cls = 1"), vox.where("cls_pred = 1")))
+
+
+@query("a23_majority_vote", "WITH b AS (SELECT l_suppkey::BIGINT AS image_id, 0 AS t, (l_linenumber - 1)::INT AS z, CAST(l_quantity - 1 AS INT) % 10 AS y, (l_partkey % 20)::INT AS x, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS cls FROM lineitem), n AS (SELECT *, count(*) AS n FROM b GROUP BY ALL) SELECT image_id, t, z, y, x, first(cls ORDER BY n DESC, cls) AS cls FROM n GROUP BY ALL")
+def _(spark, d):
+    flag = F.col("l_returnflag")
+    votes = table(spark, d, "lineitem").select(F.col("l_suppkey").cast("long").alias("image_id"), F.lit(0).alias("t"), (F.col("l_linenumber") - 1).cast("int").alias("z"), ((F.col("l_quantity") - 1).cast("int") % 10).alias("y"), (F.col("l_partkey") % 20).cast("int").alias("x"), F.when(flag == "A", 1).when(flag == "N", 2).otherwise(3).alias("cls"))
+    return A.majority_vote(votes)
+
+
+_FACE = "".join(f" + {w} * (CASE WHEN EXISTS (SELECT 1 FROM ov b WHERE b.image_id = a.image_id AND b.label = a.label AND b.z = a.z + {dz} AND b.y = a.y + {dy} AND b.x = a.x + {dx}) THEN 0 ELSE 1 END)" for w, dz, dy, dx in ((0.102 * 0.102, 1, 0, 0), (0.102 * 0.102, -1, 0, 0), (0.102, 0, 1, 0), (0.102, 0, -1, 0), (0.102, 0, 0, 1), (0.102, 0, 0, -1)))
+_SURFACE = f"SELECT a.image_id, a.t, a.label, round(sum(0{_FACE}), 6)::DOUBLE AS surf_area, round(count(*) * 0.102 * 0.102, 6)::DOUBLE AS vol FROM ov a GROUP BY ALL"
+
+
+@query("a24_surface_area", f"WITH {OV_SQL} {_SURFACE}")
+def _(spark, d):
+    return rounded(A.surface_area(object_voxels(spark, d), (1.0, 0.102, 0.102)))
+
+
+@query("a25_morphometrics", f"WITH {OV_SQL}, s AS ({_SURFACE}), f AS ({_FERET}), b AS (SELECT {OK}, count(*) AS area, ({_VOL})::BIGINT AS bbox_vol, round(count(*) / ({_VOL}), 6) AS extent, round(count(DISTINCT (y, x)) * 0.102 ** 2, 6) AS mip_area FROM ov GROUP BY ALL) SELECT {OK}, area, bbox_vol, extent, surf_area, vol, feret_max AS length, mip_area FROM b JOIN s USING ({OK}) JOIN f USING ({OK})")
+def _(spark, d):
+    return rounded(A.morphometrics(object_voxels(spark, d), (1.0, 0.102, 0.102)))
+
+
+@query("a26_box_length_width", f"""WITH {OV_SQL}, c AS (SELECT {OK}, avg(z) AS cz, avg(y) AS cy, avg(x) AS cx, greatest(max(z) - min(z), max(y) - min(y), max(x) - min(x)) AS length FROM ov GROUP BY ALL),
+  d AS (SELECT {OK}, z - cz AS uz, y - cy AS uy, (z - cz) ** 2 + (y - cy) ** 2 + (x - cx) ** 2 AS d2, z, y, x, length FROM ov JOIN c USING ({OK})),
+  f AS (SELECT {OK}, first(uz ORDER BY d2 DESC, z, y, x) AS fz, first(uy ORDER BY d2 DESC, z, y, x) AS fy FROM d GROUP BY ALL),
+  s AS (SELECT {OK}, length, CASE WHEN fz * fz + fy * fy > 0 THEN (uz * -fy + uy * fz) / sqrt(fz * fz + fy * fy) ELSE 0 END AS s FROM d JOIN f USING ({OK}))
+  SELECT {OK}, any_value(length) AS length, round(max(s) - min(s), 6) AS width FROM s GROUP BY ALL""")
+def _(spark, d):
+    return rounded(A.box_length_width(object_voxels(spark, d)))
+
+
+@query("a27_axis_widths", f"""WITH {OV_SQL}, m AS (SELECT {OK}, z AS seq, avg(y) AS y, avg(x) AS x FROM ov GROUP BY ALL),
+  w AS (SELECT ov.image_id, ov.t, ov.label, seq, 2 * max(abs((ov.y - m.y) * -0.8 + (ov.x - m.x) * 0.6)) AS w FROM ov JOIN m ON ov.image_id = m.image_id AND ov.t = m.t AND ov.label = m.label AND ov.z = seq GROUP BY ALL)
+  SELECT {OK}, round(min(w), 6) AS width_min, round(max(w), 6) AS width_max, round(avg(w), 6) AS width_mean FROM w GROUP BY ALL""")
+def _(spark, d):
+    vox = object_voxels(spark, d)
+    mid = vox.groupBy(*A.OK, F.col("z").alias("seq")).agg(F.avg("y").alias("y"), F.avg("x").alias("x")).withColumn("ty", F.lit(0.6)).withColumn("tx", F.lit(0.8))
+    return rounded(A.axis_widths(mid, vox.select(*A.OK, "y", "x", F.col("z").alias("seq"))))
+
+
+@query("a28_percentiles", f"WITH {V_SQL}, q AS (SELECT image_id, quantile_cont(v1, 0.02) AS p_low, quantile_cont(v1, 0.99) AS p_high FROM v GROUP BY image_id) SELECT {VKS}, round(least(1, greatest(0, coalesce((v1 - p_low) / nullif(p_high - p_low, 0), 0))) * 60000, 4) AS v1 FROM v JOIN q USING (image_id)")
+def _(spark, d):
+    return rounded(A.contrast_stretch(voxels(spark, d), "v1", 0.02, 0.99, 60000.0, ["image_id"]).select(*VK, "v1"), 4)
+
+
+@query("a29_minmax_normalise", f"WITH {V_SQL} SELECT {VKS}, round(coalesce((v1 - min(v1) OVER w) / nullif(max(v1) OVER w - min(v1) OVER w, 0), 0) * 65535, 4) AS v1 FROM v WINDOW w AS (PARTITION BY image_id)")
+def _(spark, d):
+    return rounded(A.minmax_normalise(voxels(spark, d), "v1", ["image_id"], 65535.0).select(*VK, "v1"), 4)
+
+
+@query("a30_otsu", f"""WITH {V_SQL}, e AS (SELECT image_id, v1, min(v1) OVER (PARTITION BY image_id) AS low, max(v1) OVER (PARTITION BY image_id) AS high FROM v),
+  h AS (SELECT image_id, low, high, least(255, floor(coalesce((v1 - low) / nullif(high - low, 0), 0) * 256))::INT AS bin, count(*) AS n FROM e GROUP BY ALL),
+  s AS (SELECT *, sum(n) OVER u AS n0, sum(n * (bin + 0.5)) OVER u AS m0, sum(n) OVER (PARTITION BY image_id) AS nn, sum(n * (bin + 0.5)) OVER (PARTITION BY image_id) AS mm FROM h WINDOW u AS (PARTITION BY image_id ORDER BY bin)),
+  b AS (SELECT *, round(coalesce((mm::DOUBLE * n0 - m0::DOUBLE * nn) ** 2 / nullif(n0 * (nn - n0), 0), 0), 3) AS score FROM s)
+  SELECT image_id, round(first(low ORDER BY score DESC, bin) + (first(high ORDER BY score DESC, bin) - first(low ORDER BY score DESC, bin)) * (first(bin ORDER BY score DESC, bin) + 1) / 256, 4) AS threshold FROM b GROUP BY image_id""")
+def _(spark, d):
+    return rounded(A.otsu_threshold(voxels(spark, d), "v1", ["image_id"]), 4)
+
+
+@query("a31_histogram_match", f"""WITH {V_SQL}, c AS (SELECT image_id, v1, count(*) AS n FROM v WHERE image_id <= 20 OR image_id % 5 = 0 GROUP BY ALL),
+  q AS (SELECT image_id, v1, sum(n) OVER (PARTITION BY image_id ORDER BY v1) / sum(n) OVER (PARTITION BY image_id) AS q FROM c),
+  r AS (SELECT q AS q1, v1 AS a1, lag(q) OVER (ORDER BY q) AS q0, lag(v1) OVER (ORDER BY q) AS a0 FROM q WHERE image_id = 1)
+  SELECT image_id, v1 AS before, round(CASE WHEN q0 IS NULL THEN a1 ELSE a0 + (a1 - a0) * (q - q0) / (q1 - q0) END, 4) AS after FROM q JOIN r ON q.q <= q1 AND (q0 IS NULL OR q.q > q0)""")
+def _(spark, d):
+    vox = voxels(spark, d).where("image_id <= 20 or image_id % 5 = 0")
+    return rounded(A.histogram_match(vox, "v1", "image_id", 1), 4)
+
+
+@query("a32_tile_equalise")
+def _(spark, d):
+    return rounded(A.tile_equalise(voxels(spark, d), "v1", 5, 0.03).select(*VK, "equalised"))
+
+
+_W = {}
+
+
+def _ssim_sql(win: int, size: int, span: float) -> str:
+    import math
+
+    w = [math.exp(-((k - win // 2) ** 2) / (2 * 1.5**2)) for k in range(win)]
+    taps = ", ".join(f"({k}, {v / sum(w)!r}::DOUBLE)" for k, v in enumerate(w))
+    mom = ["a", "b", "aa", "bb", "ab"]
+    return f"""WITH {P_SQL}, k(k, w) AS (VALUES {taps}), m AS (SELECT a.image_id, a.y, a.x, a.v AS a, b.v AS b, a.v * a.v AS aa, b.v * b.v AS bb, a.v * b.v AS ab FROM p a JOIN p b ON b.image_id = a.image_id + 1 AND a.y = b.y AND a.x = b.x),
+  r AS (SELECT image_id, y - k AS y, x, {', '.join(f'sum(w * {c}) AS {c}' for c in mom)} FROM m, k WHERE y - k BETWEEN 0 AND {size - win} GROUP BY 1, 2, 3),
+  s AS (SELECT image_id, y, x - k AS x, {', '.join(f'sum(w * {c}) AS {c}' for c in mom)} FROM r, k WHERE x - k BETWEEN 0 AND {size - win} GROUP BY 1, 2, 3)
+  SELECT image_id, round(avg((2 * a * b + {(0.01 * span) ** 2!r}) * (2 * (ab - a * b) + {(0.03 * span) ** 2!r}) / ((a * a + b * b + {(0.01 * span) ** 2!r}) * (aa - a * a + bb - b * b + {(0.03 * span) ** 2!r}))), 5) AS ssim FROM s GROUP BY image_id"""
+
+
+def _pairs(spark, d):
+    p = patches(spark, d).select("image_id", "y", "x", "v")
+    return p.withColumnRenamed("v", "a").join(p.select((F.col("image_id") - 1).alias("image_id"), "y", "x", F.col("v").alias("b")), ["image_id", "y", "x"])
+
+
+@query("a33_ssim", _ssim_sql(5, 8, 1.0))
+def _(spark, d):
+    return rounded(A.ssim(_pairs(spark, d), "a", "b", 5, 8), 5)
+
+
+@query("a34_charbonnier", f"WITH {P_SQL} SELECT a.image_id, round(avg(sqrt((a.v - b.v) ** 2 + 1e-3)), 6) AS loss FROM p a JOIN p b ON b.image_id = a.image_id + 1 AND a.y = b.y AND a.x = b.x GROUP BY a.image_id")
+def _(spark, d):
+    return rounded(A.charbonnier(_pairs(spark, d), "a", "b"))
+
+
+@query("a35_volume_meta", f"WITH {V_SQL} SELECT image_id, (max(z) + 1)::INT AS nz, (max(y) + 1)::INT AS ny, (max(x) + 1)::INT AS nx, greatest(max(v1), max(v2)) AS max_value, count(*) AS stored, (max(z) + 1)::BIGINT * (max(y) + 1) * (max(x) + 1) AS voxels, (max(z) + 1)::BIGINT * (max(y) + 1) * (max(x) + 1) * 4 AS bytes, 2 AS channels, (max(z) + 1)::BIGINT * (max(y) + 1) * (max(x) + 1) > 1399 AS is_large FROM v GROUP BY image_id")
+def _(spark, d):
+    return A.volume_meta(voxels(spark, d), ["v1", "v2"], 1399)

@@ -22,3 +22,10 @@ def query(name: str, oracle: str | None = None):
         return f
 
     return add
+
+
+def rounded(df: DataFrame, places: int = 6) -> DataFrame:
+    """Doubles at fixed places, for comparison: sums depend on order in the last digits."""
+    from pyspark.sql import functions as F
+
+    return df.select(*[(F.round(c, places) + 0.0).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
