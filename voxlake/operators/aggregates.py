@@ -59,7 +59,9 @@ def inertia_axes(vox: DataFrame, sampling: tuple[float, float, float] = (1.0, 1.
     zero = F.lit(0.0)
     major = 2 * F.sqrt(5 * F.greatest(zero, F.col("e2")))
     minor = 2 * F.sqrt(5 * F.greatest(zero, F.col("e0")))
-    return keep.select(*OK, "area", "e0", "e1", "e2", major.alias("axis_major"), minor.alias("axis_minor"))
+    # usual tables take both axes from the inertia tensor, largest value first, without the voxels' extent: twice the least moment
+    flat = F.greatest(zero, 2 * (F.col("e0") - min(sampling) ** 2 / 12))
+    return keep.select(*OK, "area", "e0", "e1", "e2", major.alias("axis_major"), minor.alias("axis_minor"), F.sqrt(6 * flat).alias("axis_major_table"), F.sqrt(10 * flat).alias("axis_minor_table"))
 
 
 def drop_degenerate(vox: DataFrame, least: int, thin: float, flat: float, axes: int) -> DataFrame:

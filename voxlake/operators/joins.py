@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import product
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.operators.projections import VK
+from voxlake.plans.scratch import saved
 
 
 def merge_measurements(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
@@ -49,25 +51,25 @@ def nearest_point(points: DataFrame, targets: DataFrame, keys: list[str], payloa
     points beyond max_dist, or without any target in reach of the last ring, get nulls.
     """
     grid = lambda size: [F.floor(F.col(c) * s / size).cast("long").alias(f"g{c}") for c, s in zip("zyx", sampling, strict=True)]
-    todo = points.select(*keys, "image_id", "z", "y", "x")
-    done, size = None, cell
+    todo, found_all, size = points.select(*keys, "image_id", "z", "y", "x"), [], cell
     order = F.struct(F.col("distance"), F.col("tz"), F.col("ty"), F.col("tx"), *payload)
+    around = F.explode(F.array(*[F.struct(*[F.lit(d).alias(n) for d, n in zip(ds, ("dz", "dy", "dx"), strict=True)]) for ds in product((-1, 0, 1), repeat=3)])).alias("d")
     for k in range(rounds):
-        around = F.explode(F.array(*[F.struct(*[F.lit(d).alias(n) for d, n in zip(ds, ("dz", "dy", "dx"), strict=True)]) for ds in product((-1, 0, 1), repeat=3)])).alias("d")
+        last = k == rounds - 1 or max_dist is not None and size >= max_dist
         near = todo.select(*keys, "image_id", *[F.col(c).alias(f"p{c}") for c in "zyx"], *grid(size)).select("*", around)
         near = near.select(*keys, "image_id", "pz", "py", "px", *[(F.col(f"g{c}") + F.col(f"d.d{c}")).alias(f"g{c}") for c in "zyx"])
         there = targets.select("image_id", *[F.col(c).alias(f"t{c}") for c in "zyx"], *payload, *grid(size))
         found = near.join(there, ["image_id", "gz", "gy", "gx"]).withColumn("distance", _distance("p", "t", sampling))
         best = found.groupBy(*keys, "image_id").agg(F.min_by(F.struct("distance", *payload), order).alias("b"))
-        sure = best.where(F.col("b.distance") <= size)
-        if max_dist is not None and size >= max_dist or k == rounds - 1:
-            got = best if max_dist is None else best.where(F.col("b.distance") <= max_dist)
-            return (got if done is None else done.unionByName(got)).select(*keys, "image_id", "b.*")
-        part = sure if max_dist is None else sure.where(F.col("b.distance") <= max_dist)
-        done = part if done is None else done.unionByName(part)
-        todo = todo.join(sure.select(*keys, "image_id"), [*keys, "image_id"], "left_anti")
+        sure = saved(best if last else best.where(F.col("b.distance") <= size), "nearest")
+        found_all.append(sure if max_dist is None else sure.where(F.col("b.distance") <= max_dist))
+        if last:
+            break
+        todo = saved(todo.join(sure.select(*keys, "image_id"), [*keys, "image_id"], "left_anti"), "unmatched")
+        if todo.isEmpty():
+            break
         size *= 2
-    return done
+    return reduce(DataFrame.unionByName, found_all).select(*keys, "image_id", "b.*")
 
 
 def distance_to(vox: DataFrame, targets: DataFrame, cap: int, sampling: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:

@@ -1 +1,173 @@
-"""Registered queries."""
+"""Registered queries: components, growth, geodesics and paths; and the flagship query."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from voxlake.operators import aggregates as A
+from voxlake.operators import iterative as G
+from voxlake.operators import joins as J
+from voxlake.operators import projections as P
+from voxlake.operators.projections import VK
+from voxlake.plans.register import query, rounded
+from voxlake.sources.fixtures import V_SQL, voxels
+
+VKS = "image_id, t, z, y, x"
+
+
+def _cc_sql(mask: str, connectivity: int, name: str) -> str:
+    """CTEs: name(image_id, t, z, y, x, label) by transitive closure."""
+    near = {6: "abs(a.z - b.z) + abs(a.y - b.y) + abs(a.x - b.x) = 1", 26: "abs(a.z - b.z) <= 1 AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1"}[connectivity]
+    return f"""{name}_s AS (SELECT {VKS}, image_id * 1400 + z * 200 + y * 20 + x AS id FROM v WHERE {mask}),
+  {name}_e AS (SELECT a.id AS a, b.id AS b FROM {name}_s a JOIN {name}_s b ON a.image_id = b.image_id AND {near}),
+  {name}_r(a, b) AS (SELECT id, id FROM {name}_s UNION SELECT r.a, e.b FROM {name}_r r JOIN {name}_e e ON r.b = e.a),
+  {name}_c AS (SELECT a AS id, min(b) AS first FROM {name}_r GROUP BY a),
+  {name} AS (SELECT {VKS}, id, dense_rank() OVER (PARTITION BY image_id ORDER BY first) AS label FROM {name}_s JOIN {name}_c USING (id))"""
+
+
+@query("g1_connected_components_26", f"WITH RECURSIVE {V_SQL}, {_cc_sql('cls = 1', 26, 's')} SELECT {VKS}, label FROM s")
+def _(spark, d):
+    return G.label_components(voxels(spark, d).where("cls = 1"), 26, (4, 5, 7))
+
+
+@query("g1_connected_components_6", f"WITH RECURSIVE {V_SQL}, {_cc_sql('cls >= 2', 6, 's')} SELECT {VKS}, label FROM s")
+def _(spark, d):
+    return G.label_components(voxels(spark, d).where("cls >= 2"), 6)
+
+
+_V4 = "w AS (SELECT image_id // 5 AS image_id, (image_id % 5)::INT AS t, z, y, x FROM v WHERE cls = 1 AND z % 2 = 0 AND y % 3 <> 2)"
+
+
+def _frames(spark, d):
+    vox = voxels(spark, d).where("cls = 1 and z % 2 = 0 and y % 3 <> 2")
+    return vox.select(F.floor(F.col("image_id") / 5).alias("image_id"), (F.col("image_id") % 5).cast("int").alias("t"), "z", "y", "x")
+
+
+@query("g2_connected_components_4d", f"""WITH RECURSIVE {V_SQL}, {_V4}, s AS (SELECT *, ((image_id * 5 + t) * 1400 + z * 200 + y * 20 + x) AS id FROM w),
+  e AS (SELECT a.id AS a, b.id AS b FROM s a JOIN s b ON a.image_id = b.image_id AND abs(a.t - b.t) <= 1 AND abs(a.z - b.z) <= 1 AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1),
+  r(id, low) USING KEY (id) AS (SELECT id, id FROM s UNION SELECT e.b, min(r.low) FROM r JOIN e ON r.id = e.a JOIN recurring.r k ON k.id = e.b WHERE r.low < k.low GROUP BY e.b)
+  SELECT {VKS}, dense_rank() OVER (PARTITION BY image_id ORDER BY low) AS label FROM s JOIN r USING (id)""")
+def _(spark, d):
+    return G.label_components(_frames(spark, d), 80)
+
+
+@query("a14_filter_components", f"WITH RECURSIVE {V_SQL}, {_cc_sql('cls >= 2', 6, 's')}, k AS (SELECT image_id, label FROM s GROUP BY ALL HAVING count(*) >= 3) SELECT {VKS}, dense_rank() OVER (PARTITION BY image_id ORDER BY label) AS label FROM s SEMI JOIN k USING (image_id, label)")
+def _(spark, d):
+    return A.filter_components(G.label_components(voxels(spark, d).where("cls >= 2"), 6), 3).select(*VK, "label")
+
+
+@query("g3_grow_labels", f"""WITH RECURSIVE {V_SQL}, {_cc_sql('cls = 1', 26, 's')}, m AS (SELECT {VKS}, image_id * 1400 + z * 200 + y * 20 + x AS id FROM v WHERE cls = 2 AND y % 3 = 0),
+  n AS (SELECT {VKS}, id FROM s UNION ALL SELECT {VKS}, id FROM m), e AS (SELECT a.id AS a, b.id AS b FROM n a JOIN m b ON a.image_id = b.image_id AND abs(a.z - b.z) <= 1 AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1),
+  g(id, label) USING KEY (id) AS (SELECT id, label FROM s UNION SELECT e.b, max(g.label) FROM g JOIN e ON g.id = e.a LEFT JOIN recurring.g k ON k.id = e.b WHERE k.id IS NULL GROUP BY e.b)
+  SELECT {VKS}, label FROM n JOIN g USING (id)""")
+def _(spark, d):
+    vox = voxels(spark, d)
+    return G.grow_labels(G.label_components(vox.where("cls = 1"), 26), vox.where("cls = 2 and y % 3 = 0")).select(*VK, "label")
+
+
+_CROSS = [(0, 0, 0), (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)]
+_STEPS = ", ".join(str(d) for d in _CROSS)
+
+
+@query("g4_dilate_erode", f"WITH {V_SQL}, k(dz, dy, dx) AS (VALUES {_STEPS}), d AS (SELECT DISTINCT image_id, t, z + dz AS z, y + dy AS y, x + dx AS x FROM v, k WHERE cls = 1 AND z + dz BETWEEN 0 AND 6 AND y + dy BETWEEN 0 AND 9 AND x + dx BETWEEN 0 AND 19), e AS (SELECT image_id, t, z - dz AS z, y - dy AS y, x - dx AS x FROM d, k GROUP BY ALL HAVING count(*) = 7) SELECT *, 'dilated' AS op FROM d UNION ALL SELECT *, 'closed' FROM e")
+def _(spark, d):
+    big = G.dilate(voxels(spark, d).where("cls = 1"), _CROSS, (7, 10, 20))
+    return big.withColumn("op", F.lit("dilated")).unionByName(G.erode(big, _CROSS).withColumn("op", F.lit("closed")))
+
+
+_DEPTH = "dp AS (SELECT a.image_id, a.t, a.z, a.y, a.x, min((a.z - o.z) ** 2 + (a.y - o.y) ** 2 + (a.x - o.x) ** 2) AS d2 FROM w a JOIN sh o USING (image_id) GROUP BY ALL)"
+_SHELL = "w AS (SELECT {vk} FROM v WHERE cls >= 2), sh AS (SELECT DISTINCT image_id, z + dz AS z, y + dy AS y, x + dx AS x FROM w, (SELECT unnest([-1, 0, 1]) AS dz), (SELECT unnest([-1, 0, 1]) AS dy), (SELECT unnest([-1, 0, 1]) AS dx) WHERE (image_id, z + dz, y + dy, x + dx) NOT IN (SELECT (image_id, z, y, x) FROM w))".format(vk=VKS)
+
+
+@query("g5_seeds_from_distance", f"WITH RECURSIVE {V_SQL}, {_SHELL}, {_DEPTH}, v2 AS (SELECT *, max(d2) OVER (PARTITION BY image_id) AS top FROM dp), {_cc_sql('sqrt(d2) > 0.7 * sqrt(top)', 6, 's').replace('FROM v WHERE', 'FROM v2 WHERE')} SELECT {VKS}, label FROM s")
+def _(spark, d):
+    return G.seeds_from_distance(voxels(spark, d).where("cls >= 2"), 0.7, 6)
+
+
+@query("g6_seeded_split")
+def _(spark, d):
+    mask = voxels(spark, d).where("cls >= 2 and y < 5")
+    deep = G.inside_distance(mask, 4).withColumn("priority", -F.coalesce("distance", F.lit(4.0)))
+    seeds = G.label_components(deep.where("x % 4 = 0 and z % 2 = 0"), 6)
+    return G.seeded_split(deep, seeds, "priority", 6)
+
+
+@query("g7_geodesic", f"""WITH RECURSIVE {V_SQL}, {_cc_sql('cls >= 2', 6, 's')}, f AS (SELECT id FROM s QUALIFY row_number() OVER (PARTITION BY image_id, label ORDER BY z + y + x, z, y, x) = 1),
+  g(id, hops) USING KEY (id) AS (SELECT id, 0 FROM f UNION SELECT e.b, min(g.hops + 1) FROM g JOIN s_e e ON g.id = e.a LEFT JOIN recurring.g k ON k.id = e.b WHERE k.id IS NULL GROUP BY e.b) SELECT {VKS}, hops FROM s JOIN g USING (id)""")
+def _(spark, d):
+    return G.geodesic(G.label_components(voxels(spark, d).where("cls >= 2"), 6))
+
+
+@query("g8_geodesic_to_objects")
+def _(spark, d):
+    vox = voxels(spark, d)
+    field = G.geodesic(G.label_components(vox.where("cls >= 2"), 6))
+    return rounded(G.geodesic_to_objects(vox.where("cls = 1 and x % 5 = 0").select("image_id", (F.col("z") * 200 + F.col("y") * 20 + F.col("x")).alias("label"), "z", "y", "x"), field, ["label"], 0.102))
+
+
+@query("g9_thin")
+def _(spark, d):
+    return G.thin(voxels(spark, d).where("cls >= 2"))
+
+
+@query("g10_path_cost_field")
+def _(spark, d):
+    vox = voxels(spark, d)
+    return rounded(G.path_cost_field(vox.where("cls = 1"), vox.where("cls = 3"), vox, "v1", 8), 4)
+
+
+def _paths(spark, d):
+    vox = voxels(spark, d)
+    spines = G.label_components(vox.where("cls = 1"), 26)
+    return spines, vox, G.path_cost_field(spines, vox.where("cls = 3"), vox, "v1", 8)
+
+
+@query("g11_greedy_paths")
+def _(spark, d):
+    spines, vox, cost = _paths(spark, d)
+    return rounded(G.greedy_paths(cost, spines, vox.where("cls = 3"), 12).select(*VK, "label", "step", "cost"), 4)
+
+
+@query("g12_neck_generation")
+def _(spark, d):
+    vox = voxels(spark, d)
+    return G.neck_generation(G.label_components(vox.where("cls = 1"), 26), vox.where("cls = 2 and y % 3 = 0"), vox.where("cls = 3"), vox, "v1", 8, 8)
+
+
+@query("g13_least_cost_path")
+def _(spark, d):
+    vox = G.label_components(voxels(spark, d).where("cls >= 2"), 26).withColumn("cost", 1.0 + (F.col("z") * 7 + F.col("y") * 3 + F.col("x")) % 5)
+    by = ["image_id", "t", "label"]
+    first = vox.groupBy(*by).agg(F.min(F.struct("z", "y", "x")).alias("p")).select(*by, "p.*")
+    last = vox.groupBy(*by).agg(F.max(F.struct("z", "y", "x")).alias("p")).select(*by, "p.*")
+    return G.least_cost_path(vox, first, last)
+
+
+@query("g14_deepest_point", f"WITH {V_SQL}, {_SHELL}, {_DEPTH}, l AS (SELECT *, (y // 5 + 1)::BIGINT AS label FROM dp) SELECT {VKS}, label, round(sqrt(d2), 6) AS distance FROM l QUALIFY row_number() OVER (PARTITION BY image_id, label ORDER BY d2 DESC, z, y, x) = 1")
+def _(spark, d):
+    return rounded(G.deepest_point(voxels(spark, d).where("cls >= 2").withColumn("label", (F.floor(F.col("y") / 5) + 1).cast("long")), 6))
+
+
+_DENSITY = f"""WITH RECURSIVE {V_SQL}, {_cc_sql('cls >= 2', 6, 'e')}, {_cc_sql('cls = 1', 26, 's')},
+  dl AS (SELECT image_id, label FROM e GROUP BY ALL HAVING count(*) >= 3), dn AS (SELECT {VKS}, dense_rank() OVER (PARTITION BY image_id ORDER BY label) AS dendrite_id FROM e SEMI JOIN dl USING (image_id, label)),
+  st AS (SELECT image_id, dendrite_id, count(*) FILTER (x % 2 = 0) AS length, count(*) AS volume FROM dn GROUP BY ALL),
+  sp AS (SELECT image_id, label, count(*) AS area, round(avg(z), 4) AS z, round(avg(y), 4) AS y, round(avg(x), 4) AS x, round(avg(v1), 4) AS mean_int FROM s JOIN v USING ({VKS}) GROUP BY image_id, label HAVING count(*) > 1 AND count(*) < 60),
+  nr AS (SELECT sp.*, dendrite_id FROM sp JOIN dn k USING (image_id) WHERE (sp.z - k.z) ** 2 + (sp.y - k.y) ** 2 + (sp.x - k.x) ** 2 <= 16 QUALIFY row_number() OVER (PARTITION BY image_id, sp.label ORDER BY (sp.z - k.z) ** 2 + (sp.y - k.y) ** 2 + (sp.x - k.x) ** 2, k.z, k.y, k.x) = 1)
+  SELECT image_id, dendrite_id, count(*) AS total_spines, round(avg(area), 6) AS avg_area, round(avg(mean_int), 2) AS avg_mean_int, any_value(length) AS length, any_value(volume) AS volume, round(count(*) / nullif(any_value(length), 0), 6) AS spines_per_um, round(count(*) / any_value(volume), 6) AS spines_per_um3
+  FROM nr JOIN st USING (image_id, dendrite_id) GROUP BY image_id, dendrite_id"""
+
+
+@query("spine_density_per_dendrite", _DENSITY)
+def spine_density(spark, d):
+    """The flagship: components, filters, measures, nearest dendrite, summary."""
+    vox = voxels(spark, d)
+    spines = G.label_components(vox.where("cls = 1"), 26)
+    dendrites = A.filter_components(G.label_components(vox.where("cls >= 2"), 6), 3).select(*VK, F.col("label").alias("dendrite_id"))
+    props = A.region_props(spines.join(vox.select(*VK, "v1"), VK), "v1")
+    kept = P.filter_by_volume(props, 1, 60).select("image_id", "label", "area", *[F.round(f"centroid_{c}", 4).alias(c) for c in "zyx"], F.round("mean_int", 4).alias("mean_int"))
+    near = J.nearest_point(kept, dendrites, ["label"], ["dendrite_id"], max_dist=4.0)
+    stats = dendrites.groupBy("image_id", "dendrite_id").agg(F.count_if(F.col("x") % 2 == 0).alias("length"), F.count("*").alias("volume"))
+    table = kept.join(near.select("image_id", "label", "dendrite_id"), ["image_id", "label"])
+    out = A.dendrite_summary(table, stats.withColumns({c: F.col(c).cast("double") for c in ("length", "volume")}), ["area", "mean_int"])
+    out = rounded(out).withColumns({c: F.col(c).cast("long") for c in ("length", "volume")})
+    return out.withColumn("avg_mean_int", F.round("avg_mean_int", 2))
