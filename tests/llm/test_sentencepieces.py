@@ -60,6 +60,7 @@ def test_same_ids(pair, spark):
     if kind == "unigram":  # runs of spaces belong to the lattice there
         got = [t for t in got if "  " not in t and not t.startswith(" ") and not t.endswith(" ") and "▁" not in t and t]
     encoder = S.Encoder(model)
+    encoder.learn([got])
     ids, sizes = encoder.encode(got)
     at, bad = 0, []
     for t, n in zip(got, sizes):

@@ -1,7 +1,7 @@
 """Operator 1: SentencePiece encoding and decoding by a batched numpy Viterbi.
 
-A text is cut into words that no piece can span (a piece has its space mark only in front); every task segments each
-distinct word once.  Words of equal length advance together: at every end position the substrings of each length are hashed,
+A text is cut into words that no piece can span (a piece has its space mark only in front; models whose pieces never join
+letters with other characters are cut there too); every worker segments each distinct word once.  Words of equal length advance together: at every end position the substrings of each length are hashed,
 the hashes probe the sorted piece keys, and vectorised maxima over the candidate last pieces store scores and backpointers.
 
 Unigram models add piece scores.  BPE models need more than a sum: a segmentation is what the merges give if and only if every
@@ -28,9 +28,12 @@ from pyspark.sql import functions as F
 from voxlake.llm.common import spread
 
 SPACE = "▁"
-KNOWN = 200_000  # words that a task remembers
+KNOWN = 400_000  # words that a worker remembers
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+_LETTER = "[^\\W\\d_]"
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|\n|{SPACE}+")
+_FINE = re.compile(f"{SPACE}*{_LETTER}+|{SPACE}*(?:[^{SPACE}\n\\w]|[\\d_])+|\n|{SPACE}+")  # cut between letters and others too
+_ENCODERS: dict[int, Encoder] = {}
 
 
 def _powers(n: int) -> np.ndarray:
@@ -59,9 +62,14 @@ class Model:
             self.hash[ids] = self._hash(_codes([pieces[i] for i in ids]))
         order = np.argsort(self.hash[own], kind="stable")
         self.ids, self.keys = own[order], self.hash[own][order]
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(self.keys >> np.uint64(44)).astype(np.int64)] = True
         self.scores = np.array(scores)
         self.rank = np.where(self.size > 1, -self.scores, -np.inf)
         self.left = self.right = np.full(len(pieces), -1)
+        seam = re.compile(f"{_LETTER}[^{SPACE}\\n](?<!{_LETTER})|(?!{_LETTER})[^{SPACE}]{_LETTER}")
+        self.chunks = (_CHUNK if any(seam.search(pieces[i]) for i in own) else _FINE).findall
+        self.name = zlib.crc32("\n".join(pieces).encode())
         self.runs = {p: i for i, p in enumerate(pieces) if set(p) == {SPACE}}
         if not unigram:
             self._split()
@@ -71,8 +79,13 @@ class Model:
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Piece of each hash, or -1."""
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.ids[at], -1)
+        out = np.full(len(keys), -1)
+        near = np.flatnonzero(self.maybe[(keys >> np.uint64(44)).astype(np.int64)])  # most substrings start no key
+        key = keys[near]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        hit = self.keys[at] == key
+        out[near[hit]] = self.ids[at[hit]]
+        return out
 
     def _split(self) -> None:
         """The two parts of every piece's last merge; pieces that merges cannot reach leave the index."""
@@ -114,8 +127,8 @@ class Model:
             limit_y[j], y[j] = self.rank[y[j]], self.left[y[j]]
         return out
 
-    def _equal(self, words: list[str]) -> list[list[int]]:
-        """Pieces of equally long words; -1 for a character without a piece."""
+    def _equal(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All pieces of equally long words (-1 for a character without a piece), and how many each has."""
         n, codes = len(words[0]), _codes(words)
         m = len(words)
         low = float(self.scores[self.ids].min()) - 10
@@ -140,14 +153,16 @@ class Model:
                 better = total > best[end, ok]
                 ok = ok[better]
                 best[end, ok], back[end, ok], last[end, ok] = total[better], size, piece[ok]
-        paths: list[list[int]] = [[] for _ in words]
-        at, live = np.full(m, n), np.arange(m)
+        taken, at, live = [], np.full(m, n), np.arange(m)
         while len(live):
-            for i, p in zip(live.tolist(), last[at[live], live].tolist(), strict=True):
-                paths[i].append(p)
+            row = np.full(m, -2)
+            row[live] = last[at[live], live]
+            taken.append(row)
             at[live] -= back[at[live], live]
             live = live[at[live] > 0]
-        return [p[::-1] for p in paths]
+        paths = np.stack(taken[::-1]).T
+        used = paths != -2
+        return paths[used], used.sum(axis=1)
 
     def _run(self, n: int) -> list[int]:
         """Pieces of n space marks: equal ranks merge from the left."""
@@ -159,37 +174,59 @@ class Model:
             i = min(ranks)[1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
-    def segment(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word (marks in front allowed)."""
-        spaces = [len(w) - len(w.lstrip(SPACE)) for w in words]
-        core = [w[max(0, s - 1) :] if s < len(w) else "" for w, s in zip(words, spaces, strict=True)]
-        by: dict[int, list[int]] = {}
-        for i, w in enumerate(core):
-            by.setdefault(len(w), []).append(i)
-        out: list[list[int]] = [[] for _ in words]
-        for n, rows in by.items():
-            step = max(1, 200_000 // max(n, 1))
-            for k in range(0, len(rows) if n else 0, step):
-                part = rows[k : k + step]
-                for i, path in zip(part, self._equal([core[i] for i in part]), strict=True):
-                    out[i] = path
-        for i, (w, s) in enumerate(zip(words, spaces, strict=True)):
-            path, at, ids = out[i], max(0, s - 1), []
-            if s == len(w):
-                ids = self._run(s)
+    def segment(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words (marks in front allowed), and how many each has."""
+        spaces = np.fromiter((len(w) - len(w.lstrip(SPACE)) if w[0] == SPACE else 0 for w in words), np.int64, len(words))
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        odd = np.flatnonzero((spaces > 1) | (spaces == length))
+        core = words
+        if len(odd):
+            core = list(words)
+            for i in odd.tolist():
+                core[i] = words[i][spaces[i] - 1 :] if spaces[i] < length[i] else SPACE
+        cut = np.where((spaces > 1) & (spaces < length), length - spaces + 1, np.where(spaces == length, 1, length))
+        order = np.argsort(cut, kind="stable")
+        parts, sizes = [], np.zeros(len(words), np.int64)
+        at = 0
+        while at < len(order):
+            n = int(cut[order[at]])
+            stop = min(int(np.searchsorted(cut[order], n, "right")), at + max(1, 400_000 // n))
+            flat, count = self._equal([core[i] for i in order[at:stop].tolist()])
+            parts.append(flat)
+            sizes[order[at:stop]] = count
+            at = stop
+        flat = np.concatenate(parts) if parts else np.empty(0, np.int64)
+        placed = sizes[order]
+        start = np.cumsum(placed) - placed
+        where = np.empty(len(words), np.int64)
+        where[order] = start
+        unknown = np.unique(np.searchsorted(start, np.flatnonzero(flat < 0), "right") - 1) if len(flat) else []
+        special = {int(i): self._finish(words[i], int(spaces[i]), flat[where[i] : where[i] + sizes[i]].tolist()) for i in {*odd.tolist(), *order[unknown].tolist()}}
+        out = flat[np.repeat(where, sizes) + spread(sizes)]
+        if special:
+            bound, whole, done = np.append(0, np.cumsum(sizes)), [], 0
+            for i in sorted(special):
+                whole += [out[done : bound[i]], np.array(special[i], np.int64)]
+                done, sizes[i] = bound[i + 1], len(special[i])
+            out = np.concatenate([*whole, out[done:]])
+        return out.astype(np.int32), sizes
+
+    def _finish(self, word: str, spaces: int, path: list[int]) -> list[int]:
+        """Ids of a word with a run of marks in front, or with characters that have no piece."""
+        if spaces == len(word):
+            return self._run(spaces)
+        ids, at = [], max(0, spaces - 1)
+        if spaces > 1:
+            alone = path[0] >= 0 and self.texts[path[0]] == SPACE
+            ids, path, at = self._run(spaces if alone else spaces - 1), path[1:] if alone else path, spaces if alone else spaces - 1
+        for p in path:
+            if p >= 0:
+                ids.append(p)
+                at += len(self.texts[p])
             else:
-                if s > 1:
-                    alone = self.texts[path[0]] == SPACE if path[0] >= 0 else False
-                    ids, path, at = self._run(s if alone else s - 1), path[1:] if alone else path, s if alone else s - 1
-                for p in path:
-                    if p >= 0:
-                        ids.append(p)
-                        at += len(self.texts[p])
-                    else:
-                        ids += [self.byte_ids[b] for b in w[at].encode()] if self.byte_ids else [self.unknown]
-                        at += 1
-            out[i] = ids
-        return out
+                ids += [self.byte_ids[b] for b in word[at].encode()] if self.byte_ids else [self.unknown]
+                at += 1
+        return ids
 
     def decode(self, ids: np.ndarray, table: list[bytes]) -> bytes:
         text = b"".join(map(table.__getitem__, ids.tolist()))
@@ -259,20 +296,26 @@ class Encoder:
         self.words: dict[str, int] = {}
         self.flat, self.start = np.empty(0, np.int32), np.zeros(1, np.int64)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and the number of each text."""
+    def learn(self, texts: Iterator[list[str]]) -> None:
+        """Segments all words of some lists of texts that are not known yet, together."""
         if len(self.words) > KNOWN:
             self._clear()
-        chunks = [_CHUNK.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        new = list({w for c in chunks for w in c} - self.words.keys())
+        seen: set[str] = set()
+        for part in texts:
+            for t in part:
+                seen.update(self.model.chunks(SPACE + t.replace(" ", SPACE)) if t else ())
+        new = list(seen - self.words.keys())
         if new:
-            ids = self.model.segment(new)
+            ids, sizes = self.model.segment(new)
             self.words.update(zip(new, range(len(self.words), len(self.words) + len(new)), strict=True))
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.int32, sizes.sum())])
+            self.flat = np.concatenate([self.flat, ids])
             self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and the number of each text; the words have been learned."""
+        chunks = [self.model.chunks(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         counts = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        at = np.fromiter((self.words[w] for c in chunks for w in c), np.int64, counts.sum())
+        at = np.fromiter((i for c in chunks for i in map(self.words.__getitem__, c)), np.int64, counts.sum())
         sizes = self.start[at + 1] - self.start[at]
         ids = self.flat[np.repeat(self.start[at], sizes) + spread(sizes)]
         bound = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(counts))]
@@ -285,8 +328,10 @@ def encode_decode(docs: DataFrame, model: Model, with_ids: bool = True, with_tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        encoder, table = Encoder(model), model.table()
+        encoder = _ENCODERS.setdefault(model.name, Encoder(model))
+        table = model.table()
         for batch in batches:
+            encoder.learn([t or "" for t in batch.column(1).slice(i, 300).to_pylist()] for i in range(0, batch.num_rows, 300))
             for i in range(0, batch.num_rows, 300):
                 part = batch.slice(i, 300)
                 texts = [t or "" for t in part.column(1).to_pylist()]
