@@ -54,7 +54,7 @@ def test_damage_is_found(spark):
     tokenstore.write(df, path, PATH)
     chunks = spark.read.parquet(f"{path}/chunks")
     assert chunks.count() == chunks.select("digest").distinct().count()
-    broken = [(r.digest, bytes(r.ids)[::-1] if i == 0 else r.ids) for i, r in enumerate(chunks.collect())]
+    broken = [(r.digest, bytes(r.ids)[::-1] if i == 0 else r.ids, r.uid, r.k, r.copies) for i, r in enumerate(chunks.collect())]
     spark.createDataFrame(broken, chunks.schema).write.mode("overwrite").parquet(f"{path}/chunks")
     with pytest.raises(Exception, match="differs from its recipe"):
         tokenstore.read(spark, path).collect()

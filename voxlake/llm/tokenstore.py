@@ -9,8 +9,8 @@ each document's id stream into chunks, so equal passages give equal chunks where
 
 `read` joins recipes to chunks, rebuilds every document, and raises if a digest, a leaf or a root differs.
 
-Only white-space-separated tokens that a task has not met go through the library (its pre-tokenizer never joins across white
-space); Latin-1 texts without apostrophes and special tokens are cut finer, at letters.  Nulls count as empty: the end id alone.  Rows with null
+Only tokens that a worker has not met go through the library.  Its pre-tokenizer never joins across white space, nor letters
+with other characters but for apostrophes and special tokens: texts with those, or with characters beyond Latin-1, are cut at white space only.  Nulls count as empty: the end id alone.  Rows with null
 or repeated doc_ids are documents of their own.  Extra columns are ignored; an empty table gives an empty store.
 """
 
@@ -28,16 +28,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import spread
-from voxlake.plans.scratch import release, saved, scratch_dir
+from voxlake.llm.common import blocks, spread, text_bytes
+from voxlake.llm.runs import Memo, hashes, runs, unknown
+from voxlake.plans.scratch import discard, release, saved, scratch_dir
 
 END = 1
 CUT = 255  # a chunk ends where the rolling hash has these bits zero: 256 ids on average
 LONGEST = 2048
-KNOWN = 700_000  # tokens that a worker remembers
+KNOWN = 3_000_000  # tokens that a worker remembers
+BYTES = 4 << 20  # of text encoded at once
 _TOKENS = re.compile(r"[^ \t\r\n]+").findall
-_FINE = re.compile(r"[A-Za-zªµºÀ-ÖØ-öø-ÿ]+|[^ \t\r\nA-Za-zªµºÀ-ÖØ-öø-ÿ]+").findall
-_MEMO: dict[str, Encoder] = {}
+_WORKERS: dict[str, Encoder] = {}
+
+#: Classes of bytes: 0 white space that only parts tokens, 1 letters (ASCII, and the Latin-1 letters in two bytes), 2 others.
+_CLASS = np.full(256, 2, np.uint8)
+_CLASS[[9, 10, 13, 32]] = 0
+_CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+#: Bytes that send a text the slow way: an apostrophe, a bar (special tokens), and beyond ASCII all but U+00C0 to U+00FF.
+_SLOW = np.zeros(256, bool)
+_SLOW[[39, 124, *range(0xC0, 0xC3), *range(0xC4, 256)]] = True
 
 
 class Encoder:
@@ -48,43 +57,55 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._clear()
-
-    def _clear(self) -> None:
-        self.words: dict[str, int] = {}
-        self.flat, self.start = np.empty(0, np.int32), np.zeros(1, np.int64)
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        if "'" in text or "<|" in text or not text.isascii() and max(text) > "ÿ":
-            return _TOKENS(text)
-        return _FINE(text.lower())
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids with the end id after each text, and the number of each."""
-        if len(self.words) > KNOWN:
-            self._clear()
-        tokens = [self.pieces(t) for t in texts]
+        self.memo, self.words = Memo(KNOWN), {}
+
+    def _library(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(tokens, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((i for x in ids for i in x), np.int32, sizes.sum()), sizes
+
+    def _slow(self, texts: list[str]) -> list[np.ndarray]:
+        """Texts with characters that join across letters: whole white-space tokens go through the library."""
+        if len(self.words) > KNOWN // 20:
+            self.words = {}
+        tokens = [_TOKENS(t) for t in texts]
         new = list({w for t in tokens for w in t} - self.words.keys())
         if new:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            self.words.update(zip(new, range(len(self.words), len(self.words) + len(new)), strict=True))
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.int32, sizes.sum())])
-            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
-        counts = np.fromiter(map(len, tokens), np.int64, len(tokens))
-        at = np.fromiter((i for t in tokens for i in map(self.words.__getitem__, t)), np.int64, counts.sum())
-        sizes = self.start[at + 1] - self.start[at]
-        ids = self.flat[np.repeat(self.start[at], sizes) + spread(sizes)]
-        ends = np.append(0, np.cumsum(sizes))[np.cumsum(counts)]
-        out = np.insert(ids, ends, END)
-        return out, np.diff(np.append(0, ends + np.arange(1, len(ends) + 1)))
+            flat, sizes = self._library(new)
+            self.words.update(zip(new, np.split(flat, np.cumsum(sizes)[:-1]), strict=True))
+        return [np.concatenate([np.empty(0, np.int32), *map(self.words.__getitem__, t)]) for t in tokens]
+
+    def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids with the end id after each text, and the number of each."""
+        if len(self.memo.keys) > KNOWN:
+            self.memo.clear()
+        odd = np.append(0, np.cumsum(_SLOW[data] | (data == 0xC3) & np.isin(np.append(data[1:], 0), (0x97, 0xB7)))) if len(data) else np.zeros(1, np.int64)
+        slow = np.flatnonzero(odd[off[1:]] > odd[off[:-1]])
+        starts, ends = runs(data, off, _CLASS)
+        doc = np.searchsorted(off, starts, "right") - 1
+        if len(slow):
+            keep = ~np.isin(doc, slow)
+            starts, ends, doc = starts[keep], ends[keep], doc[keep]
+        h = hashes(data, starts, ends)
+        new, first = unknown(self.memo, h)
+        if len(new):
+            self.memo.add(new, *self._library([data[a:b].tobytes().decode() for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]))
+        ids, sizes = self.memo.values(self.memo.find(h))
+        counts = np.bincount(doc, weights=sizes, minlength=len(off) - 1).astype(np.int64) if len(doc) else np.zeros(len(off) - 1, np.int64)
+        if len(slow):
+            fast = np.append(0, np.cumsum(counts))
+            parts = [ids[fast[i] : fast[i + 1]] for i in range(len(counts))]
+            for i, own in zip(slow.tolist(), self._slow([data[off[i] : off[i + 1]].tobytes().decode() for i in slow.tolist()]), strict=True):
+                parts[i], counts[i] = own, len(own)
+            ids = np.concatenate(parts)
+        ends = np.cumsum(counts)
+        return np.insert(ids, ends, END), counts + 1
 
 
 def encoder(path: str) -> Encoder:
-    if path not in _MEMO:
-        _MEMO[path] = Encoder(path)
-    return _MEMO[path]
+    if path not in _WORKERS:
+        _WORKERS[path] = Encoder(path)
+    return _WORKERS[path]
 
 
 def cuts(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -126,9 +147,10 @@ def _encode(path: str, width: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         for batch in batches:
-            for i in range(0, batch.num_rows, 300):
-                part = batch.slice(i, 300)
-                ids, sizes = own.encode([t or "" for t in part.column(1).to_pylist()])
+            text, off = text_bytes(batch.column(1))
+            for i, j in blocks(off, BYTES):
+                part = batch.slice(i, j - i)
+                ids, sizes = own.encode(text[off[i] : off[j]], off[i : j + 1] - off[i])
                 ends = cuts(ids, sizes)
                 data = ids.astype(width)
                 starts = np.append(0, ends[:-1])
@@ -165,29 +187,33 @@ def write(docs: DataFrame, path: str, tokenizer: str, vocabulary: int = 49_408)
     spark = docs.sparkSession
     width = "<u2" if vocabulary <= 1 << 16 else "<u4"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_encode(tokenizer, width), "doc_id long, n_tokens long, leaf binary, chunks array<struct<digest: binary, ids: binary>>")
-    rows = saved(rows, "token-ids")
-    rows.select(F.explode("chunks").alias("c")).select("c.digest", "c.ids").groupBy("digest").agg(F.first("ids").alias("ids")).write.parquet(f"{path}/chunks")
-    ordered = rows.select("doc_id", "n_tokens", "leaf", F.col("chunks.digest").alias("digests")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "leaf")
+    rows = saved(rows.withColumn("uid", F.monotonically_increasing_id()), "token-ids")
+    chunks = rows.select("uid", F.posexplode("chunks").alias("k", "c")).groupBy("c.digest").agg(F.first("c.ids").alias("ids"), F.min(F.struct("uid", "k")).alias("home"), F.count("*").alias("copies"))
+    chunks.select("digest", "ids", "home.uid", "home.k", "copies").write.parquet(f"{path}/chunks")
+    ordered = rows.select("uid", "doc_id", "n_tokens", "leaf", F.col("chunks.digest").alias("digests")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "leaf")
     ordered = saved(ordered.withColumn("part", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id()), "recipes")
     totals = ordered.groupBy("part").agg(F.sum("n_tokens").alias("ids")).withColumn("before", F.coalesce(F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     inside = F.coalesce(F.sum("n_tokens").over(Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     recipes = ordered.withColumn("inside", inside).join(F.broadcast(totals.select("part", "before")), "part")  # one row a partition
-    recipes.select("part", "row", "doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "leaf", "digests").sortWithinPartitions("part", "row").write.parquet(f"{path}/recipes")
+    recipes.select("part", "row", "uid", "doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "leaf", "digests").sortWithinPartitions("part", "row").write.parquet(f"{path}/recipes")
     parts = _manifest(spark.read.parquet(f"{path}/recipes")).orderBy("part").collect()  # one row a partition
     top = [(r.part, r.documents, bytes(r.root)) for r in parts]
     top.append((-1, sum(r[1] for r in top), root([r[2] for r in top])))
     spark.createDataFrame([(*r, width) for r in top], "part int, documents long, root binary, width string").coalesce(1).write.parquet(f"{path}/manifest")
+    discard(rows)
+    discard(ordered)
+    del chunks
     release(spark)
 
 
 def _rebuild(width: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, head, names, parts = None, None, [], []
+        uid, head, names, parts = None, None, [], []
 
         def close() -> tuple:
             data = b"".join(parts)
             ids = np.frombuffer(data, width).astype("<u4")
-            doc, start, n, leaf = head
+            doc, start, n, leaf = head or (None, None, -1, b"")
             if len(ids) != n or _leaf(names, n) != leaf or any(_digest(c) != d for c, d in zip(parts, names, strict=True)):
                 raise ValueError(f"the store's document {doc} differs from its recipe")
             return doc, start, n, zlib.crc32(ids.tobytes()), ids.astype(np.int64) if with_ids else None
@@ -198,16 +224,19 @@ def _rebuild(width: str, with_ids: bool):
 
         for batch in batches:
             out = []
-            for r, doc, start, n, leaf, _, name, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if r != row:
-                    if row is not None:
+            for u, k, name, ids, doc, start, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if u != uid:
+                    if uid is not None:
                         out.append(close())
-                    row, head, names, parts = r, (doc, start, n, leaf), [], []
-                names.append(name)
-                parts.append(ids if ids is not None else b"")
+                    uid, head, names, parts = u, None, [], []
+                if k < 0:
+                    head = (doc, start, n, name)
+                else:
+                    names.append(name)
+                    parts.append(ids)
             if out:
                 yield table(out)
-        if row is not None:
+        if uid is not None:
             yield table([close()])
 
     return run
@@ -220,9 +249,14 @@ def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     found = {r.part: bytes(r.root) for r in _manifest(recipes).collect()}
     if found != {p: bytes(r.root) for p, r in manifest.items() if p >= 0} or root([found[p] for p in sorted(found)]) != bytes(manifest[-1].root):
         raise ValueError("the store's recipes differ from its manifest")
-    wanted = recipes.select("row", "doc_id", "start", "n_tokens", "leaf", F.posexplode("digests").alias("k", "digest"))
-    full = wanted.join(spark.read.parquet(f"{path}/chunks"), "digest", "left").select("row", "doc_id", "start", "n_tokens", "leaf", "k", "digest", "ids")
-    full = full.repartition("row").sortWithinPartitions("row", "k")
+    chunks = spark.read.parquet(f"{path}/chunks")
+    none = F.lit(None).cast("long")
+    more = (none.alias("doc_id"), none.alias("start"), none.alias("n_tokens"))
+    heads = recipes.select("uid", F.lit(-1).alias("k"), F.col("leaf").alias("digest"), F.lit(None).cast("binary").alias("ids"), "doc_id", "start", "n_tokens")
+    home = chunks.select("uid", "k", "digest", "ids", *more)  # the first document with a chunk gets it without a join
+    shared = chunks.where("copies > 1").select("digest", "ids", F.col("uid").alias("home_uid"), F.col("k").alias("home_k"))
+    refs = recipes.select("uid", F.posexplode("digests").alias("k", "digest")).join(shared, "digest").where("uid <> home_uid or k <> home_k").select("uid", "k", "digest", "ids", *more)
+    full = heads.unionAll(home).unionAll(refs).repartition("uid").sortWithinPartitions("uid", "k")
     return full.mapInArrow(_rebuild(manifest[-1].width, with_ids), "doc_id long, start long, n_tokens long, ids_crc32 long, ids array<long>")
 
 
