@@ -1 +1,135 @@
-"""Registered queries."""
+"""Registered queries: filters, resampling, patches and extension points."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from voxlake.operators import filters as L
+from voxlake.operators.projections import VK
+from voxlake.plans.register import query, rounded
+from voxlake.sources.fixtures import OV_SQL, P_SQL, V_SQL, object_voxels, patches, voxels
+
+PK = ["image_id", "y", "x"]
+VKS = "image_id, t, z, y, x"
+
+
+def _taps(name: str, rows) -> str:
+    return f"{name}(k, w) AS (VALUES {', '.join(f'({k}, {w!r}::DOUBLE)' for k, w in rows)})"
+
+
+def _plane(d_spark, d):
+    return patches(d_spark, d).select(*PK, "v")
+
+
+_K = _taps("k", L.kernel(0.8))
+_BLUR = "gy AS (SELECT image_id, y + k AS y, x, sum(v * w) AS v FROM p, k GROUP BY 1, 2, 3), gx AS (SELECT image_id, y, x + k AS x, sum(v * w) AS v FROM gy, k GROUP BY 1, 2, 3)"
+
+
+@query("l1_gaussian", f"WITH {P_SQL}, {_K}, {_BLUR} SELECT p.image_id, p.y, p.x, round(gx.v, 6) AS v FROM p JOIN gx USING (image_id, y, x)")
+def _(spark, d):
+    return rounded(L.gaussian(_plane(spark, d), "v", {"y": 0.8, "x": 0.8}, PK))
+
+
+def _weights(name, n_in, n_out, order=1):
+    return f"{name}(o, i, w) AS (VALUES {', '.join(f'({o}, {i}, {w!r}::DOUBLE)' for o, i, w in L.axis_weights(n_in, n_out, order))})"
+
+
+@query("l2_resample", f"WITH {P_SQL}, {_weights('a', 8, 12)}, {_weights('b', 8, 5)}, r AS (SELECT image_id, o AS y, x, sum(w * v) AS v FROM p JOIN a ON p.y = i GROUP BY 1, 2, 3) SELECT image_id, y, o AS x, round(sum(w * v), 6) AS v FROM r JOIN b ON r.x = i GROUP BY 1, 2, 3")
+def _(spark, d):
+    return rounded(L.resample(_plane(spark, d), "v", {"y": (8, 12), "x": (8, 5)}, PK))
+
+
+@query("l2_resample_nearest", f"WITH {V_SQL} SELECT image_id, t, z, y, x2::INT AS x, cls::DOUBLE AS cls FROM v, (SELECT unnest(range(40)) AS x2) WHERE x = x2 // 2")
+def _(spark, d):
+    return L.resample(voxels(spark, d).select(*VK, F.col("cls").cast("double").alias("cls")), "cls", {"x": (20, 40)}, VK, 0)
+
+
+@query("l3_unsharp", f"WITH {P_SQL}, {_K}, {_BLUR}, s AS (SELECT p.image_id, p.y, p.x, least(1.0, greatest(0.0, p.v + 1.5 * (p.v - gx.v))) AS v FROM p JOIN gx USING (image_id, y, x)) SELECT image_id, y, x, round(coalesce((v - min(v) OVER w) / nullif(max(v) OVER w - min(v) OVER w, 0), 0), 5) AS v FROM s WINDOW w AS (PARTITION BY image_id)")
+def _(spark, d):
+    return rounded(L.unsharp(_plane(spark, d), "v", {"y": 0.8, "x": 0.8}, 1.5, PK, ["image_id"]), 5)
+
+
+_OPEN = "lo AS (SELECT a.image_id, a.y, a.x, min(b.v) AS v FROM p a JOIN p b ON a.image_id = b.image_id AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 GROUP BY ALL), op AS (SELECT a.image_id, a.y, a.x, max(b.v) AS f FROM lo a JOIN lo b ON a.image_id = b.image_id AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 GROUP BY ALL)"
+
+
+@query("l4_subtract_background", f"WITH {P_SQL}, {_OPEN} SELECT image_id, y, x, round(v - f, 6) AS v FROM p JOIN op USING (image_id, y, x)")
+def _(spark, d):
+    return rounded(L.subtract_background(_plane(spark, d), "v", 1, PK))
+
+
+@query("l5_degrade", f"WITH {P_SQL}, {_weights('a', 8, 4)}, {_weights('b', 4, 8)}, r AS (SELECT image_id, y, o AS x, sum(w * v) AS v FROM p JOIN a ON p.x = i GROUP BY 1, 2, 3) SELECT image_id, y, o AS x, round(sum(w * v), 6) AS v FROM r JOIN b ON r.x = i GROUP BY 1, 2, 3")
+def _(spark, d):
+    return rounded(L.degrade(_plane(spark, d), "v", "x", 8, 2, PK))
+
+
+_TILES = "g AS (SELECT iz, iy, ix FROM (SELECT unnest([0, 1]) AS iz), (SELECT unnest([0, 1]) AS iy), (SELECT unnest([0, 1, 2, 3]) AS ix))"
+
+
+@query("l6_extract_tiles", f"WITH {V_SQL}, {_TILES} SELECT {VKS}, v1, ((iz * 2 + iy) * 4 + ix)::INT AS tile, z - iz * 3 AS dz, y - iy * 4 AS dy, x - ix * 5 AS dx FROM v, g WHERE z - iz * 3 BETWEEN 0 AND 3 AND y - iy * 4 BETWEEN 0 AND 5 AND x - ix * 5 BETWEEN 0 AND 4")
+def _(spark, d):
+    return L.extract_tiles(voxels(spark, d).select(*VK, "v1"), (7, 10, 20), (4, 6, 5), (3, 4, 5))
+
+
+@query("l7_signal_patches", f"WITH {V_SQL} SELECT {VKS}, v1, y // 5 AS py, x // 5 AS px FROM v QUALIFY max(v1) OVER (PARTITION BY image_id, z, y // 5, x // 5) >= 60000")
+def _(spark, d):
+    return L.signal_patches(voxels(spark, d).select(*VK, "v1"), "v1", 5, 60000.0)
+
+
+@query("l8_foreground_patches", f"WITH {V_SQL}, q AS (SELECT image_id, quantile_cont(v1, 0.999) AS q FROM v GROUP BY 1), p AS (SELECT image_id, t, z, y // 5 AS py, x // 5 AS px, max(v1) AS top FROM v GROUP BY ALL) SELECT image_id, t, z, py, px, top FROM p JOIN q USING (image_id) WHERE top > 0.4 * q QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY md5(image_id || '/' || t || '/' || z || '/' || py || '/' || px)) <= 8")
+def _(spark, d):
+    return L.foreground_patches(voxels(spark, d), "v1", 5, 8)
+
+
+@query("l9_poisson_noise")
+def _(spark, d):
+    return L.poisson_noise(_plane(spark, d), "v", 100.0, 7)
+
+
+@query("l10_training_slices")
+def _(spark, d):
+    return rounded(L.training_slices(voxels(spark, d), "v1", (7, 10, 20), 2), 3)
+
+
+@query("x1_x5_expressions", f"WITH {V_SQL} SELECT {VKS}, round(sqrt(z * z + y * y + x * x) * v2 / 3, 6) AS w FROM v")
+def _(spark, d):
+    return rounded(voxels(spark, d).select(*VK, (F.sqrt(F.col("z") ** 2 + F.col("y") ** 2 + F.col("x") ** 2) * F.col("v2") / 3).alias("w")))
+
+
+@query("x2_map_blocks", f"WITH {V_SQL} SELECT image_id, t, count(*) AS n, round(sum(v1), 2) AS total FROM v GROUP BY ALL")
+def _(spark, d):
+    def f(part):
+        return part.groupby(["image_id", "t"], as_index=False).agg(n=("v1", "size"), total=("v1", "sum"))
+
+    return rounded(L.map_blocks(voxels(spark, d).select(*VK, "v1"), ["image_id", "t"], f, "image_id long, t int, n long, total double"), 2)
+
+
+@query("x3_map_overlap", f"WITH {V_SQL} SELECT a.image_id, a.z, a.y, a.x, count(*) AS around FROM v a JOIN v b ON a.image_id = b.image_id AND abs(a.z - b.z) + abs(a.y - b.y) + abs(a.x - b.x) <= 1 GROUP BY ALL")
+def _(spark, d):
+    def f(part):
+        at = {(z, y, x) for z, y, x in zip(part.z, part.y, part.x, strict=True)}
+        own = part[part.core].copy()
+        own["around"] = [sum((z + a, y + b, x + c) in at for a, b, c in ((0, 0, 0), (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1))) for z, y, x in zip(own.z, own.y, own.x, strict=True)]
+        return own[["image_id", "z", "y", "x", "around"]]
+
+    return L.map_overlap(voxels(spark, d).select(*VK), (4, 5, 10), 1, f, "image_id long, z int, y int, x int, around long")
+
+
+@query("x4_map_objects", f"WITH {OV_SQL} SELECT image_id, t, label, CASE WHEN count(*) >= 4 THEN count(*)::DOUBLE END AS size, CASE WHEN count(*) >= 4 THEN round(max(v1) - min(v1), 6) END AS span, CASE WHEN count(*) < 4 THEN 'ValueError' END AS error FROM ov GROUP BY ALL")
+def _(spark, d):
+    def f(part):
+        if len(part) < 4:
+            raise ValueError("too few voxels")
+        return {"size": float(len(part)), "span": float(part.v1.max() - part.v1.min())}
+
+    return rounded(L.map_objects(object_voxels(spark, d).select(*VK, "label", "v1"), f, ["size", "span"]))
+
+
+@query("x6_blocks_to_rows", f"WITH {P_SQL} SELECT image_id, 0 AS t, 0 AS z, y, x, round(v, 6) AS v FROM p WHERE v <> 0")
+def _(spark, d):
+    from voxlake.sources.fixtures import table
+
+    data = table(spark, d, "embeddings").select(F.col("vec_id").cast("long").alias("image_id"), F.lit(0).alias("t"), F.lit(0).alias("z0"), F.lit(0).alias("y0"), F.lit(0).alias("x0"), F.lit(8).alias("ny"), F.lit(8).alias("nx"), F.col("embedding").cast("array<double>").alias("data"))
+    return rounded(L.blocks_to_rows(data))

@@ -93,7 +93,7 @@ def _(spark, d):
     return J.drop_border_objects(object_voxels(spark, d).select(*VK, "label"), SHAPE)
 
 
-@query("j16_assign_blocks", f"WITH {V_SQL}, b AS (SELECT {VKS}, unnest(range((z - 1 + 4) // 4 - 1, (z + 1) // 4 + 1)) AS bz FROM v), c AS (SELECT *, unnest(range((y - 1 + 5) // 5 - 1, (y + 1) // 5 + 1)) AS "by" FROM b), e AS (SELECT *, unnest(range((x - 1 + 8) // 8 - 1, (x + 1) // 8 + 1)) AS bx FROM c) SELECT {VKS}, bz::BIGINT AS bz, "by"::BIGINT AS "by", bx::BIGINT AS bx, bz = z // 4 AND "by" = y // 5 AND bx = x // 8 AS core FROM e WHERE bz >= 0 AND "by" >= 0 AND bx >= 0")
+@query("j16_assign_blocks", f"""WITH {V_SQL}, b AS (SELECT {VKS}, unnest(range((z - 1 + 4) // 4 - 1, (z + 1) // 4 + 1)) AS bz FROM v), c AS (SELECT *, unnest(range((y - 1 + 5) // 5 - 1, (y + 1) // 5 + 1)) AS "by" FROM b), e AS (SELECT *, unnest(range((x - 1 + 8) // 8 - 1, (x + 1) // 8 + 1)) AS bx FROM c) SELECT {VKS}, bz::BIGINT AS bz, "by"::BIGINT AS "by", bx::BIGINT AS bx, bz = z // 4 AND "by" = y // 5 AND bx = x // 8 AS core FROM e WHERE bz >= 0 AND "by" >= 0 AND bx >= 0""")
 def _(spark, d):
     return J.assign_blocks(voxels(spark, d).select(*VK), (4, 5, 8), 1)
 
