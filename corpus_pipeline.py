@@ -36,9 +36,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def unrepeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: repeated bytes go, and with them documents of which nothing is left.  Halves of cut characters are dropped."""
+    """Operator 3: repeated bytes go, and with them documents of which nothing is left."""
     cut = repeats.remove_repeats(docs.select("doc_id", "text")).where("doc_id is not null and n_removed > 0")
-    cut = cut.select("doc_id", F.decode(F.col("kept"), "utf-8").alias("raw")).withColumn("rest", F.regexp_replace("raw", "�", "")).drop("raw")
+    cut = cut.select("doc_id", F.col("kept").alias("rest"))
     joined = docs.select(*COLUMNS).join(cut.dropDuplicates(["doc_id"]), "doc_id", "left")
     text = F.coalesce("rest", "text")
     kept = joined.where(F.col("rest").isNull() | (F.length(F.trim("rest")) > 0))

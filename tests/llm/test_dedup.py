@@ -72,6 +72,15 @@ def test_repeats_fixture(spark):
     check_repeats(spark, rows, 1)
 
 
+def test_cuts_through_characters(spark):
+    line = "ä" * 49 + "é" + "b" + "ü" * 30
+    rows = [(1, line + "x"), (2, "q" + line.encode()[1:].decode("utf-8", "ignore") + "y"), (3, "é" + "ã" * 49 + "x"), (4, "ê" + "ã" * 49 + "z")]
+    check_repeats(spark, rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id: r.kept for r in repeats.remove_repeats(df).collect()}
+    assert kept[1] == rows[0][1] and all("�" not in k for k in kept.values())
+
+
 def test_repeats_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     check_repeats(spark, [tuple(r) for r in docs.collect()], 7)

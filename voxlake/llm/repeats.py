@@ -169,7 +169,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _settle(*map(np.concatenate, zip(*kept, strict=True)))
 
 
-SPANS = pa.schema([("kind", pa.int8()), ("doc", pa.int64()), ("s", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))])
+SPANS = pa.schema([("kind", pa.int8()), ("doc", pa.int64()), ("s", pa.int32()), ("n", pa.int32())])
 
 
 def _runs(doc: np.ndarray, s: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -182,20 +182,33 @@ def _runs(doc: np.ndarray, s: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _spans(kind: int, doc: np.ndarray, s: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One row a document; touching or overlapping runs of windows are joined."""
-    if not len(doc):
-        return
+    """One row a run of windows."""
     if kind == REMOVED:
         doc, s, n = _runs(doc, s, n)
-    else:
-        order = np.lexsort((s, doc))
-        doc, s, n = doc[order], s[order], n[order]
-    starts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
-    off = pa.array(np.append(starts, len(doc)).astype(np.int32))
-    lists = [pa.ListArray.from_arrays(off, pa.array(x.astype(np.int32))) for x in (s, n)]
-    for i in range(0, len(starts), 2000):
-        part = [pa.array(np.full(len(starts), kind, np.int8)), pa.array(doc[starts]), *lists]
-        yield pa.RecordBatch.from_arrays([x.slice(i, 2000) for x in part], schema=SPANS)
+    for i in range(0, len(doc), 50_000):
+        part = slice(i, i + 50_000)
+        cols = [np.full(len(doc[part]), kind, np.int8), doc[part], s[part].astype(np.int32), n[part].astype(np.int32)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], schema=SPANS)
+
+
+def _by_document(joined: bool):
+    """Task over all runs of its documents: one row a document with lists of starts and lengths (joined where they touch)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = _gather(batches)
+        if not x:
+            return
+        order = np.lexsort((x["s"], x["doc"]))
+        doc, s, n = _runs(x["doc"], x["s"], x["n"]) if joined else (x[c][order] for c in ("doc", "s", "n"))
+        starts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+        bounds = np.append(starts, len(doc))
+        for i in range(0, len(starts), 2000):
+            b = bounds[i : i + 2001]
+            off = pa.array((b - b[0]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(off, pa.array(c[b[0] : b[-1]].astype(np.int32))) for c in (s, n)]
+            yield pa.RecordBatch.from_arrays([pa.array(doc[b[:-1]]), *lists], ["doc_id", "s", "n"])
+
+    return run
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray]:
@@ -276,7 +289,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _spans(REMOVED, *map(np.concatenate, ((gone["doc"], doc), (gone["s"], s), (gone["n"], np.ones(len(doc), np.int64)))))
 
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
 
 def _cut(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
@@ -306,25 +319,28 @@ def _cut(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.Reco
             bound = (starts - total[starts]).tolist() + [len(keep)]
             kept = [keep[bound[k] : bound[k + 1]].tobytes() for k in range(m)]
             sha = [hashlib.sha256(x).hexdigest() for x in kept]
-            cols = [batch.column(0).slice(i, m), pa.array(size), pa.array(removed), pa.array(spans), pa.array(sha, pa.string()), pa.array(kept if with_text else [None] * m, pa.binary())]
+            cols = [batch.column(0).slice(i, m), pa.array(size), pa.array(removed), pa.array(spans), pa.array(sha, pa.string()), pa.array([x.decode("utf-8", "ignore") for x in kept] if with_text else [None] * m, pa.string())]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): each text without bytes of strings that start earlier."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): each text without bytes of strings that start earlier.
+
+    kept_sha256 is of the bytes that are left; kept is their text, without the halves of characters that a cut went through.
+    """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     known = texts.where("doc_id is not null and length(text) >= 100")
     routed = known.mapInArrow(_scan, "key long, kind byte, a long, g long, doc long, s int, n int").repartition("key")
-    spans = saved(routed.mapInArrow(_decide, "kind byte, doc long, s array<int>, n array<int>"), "repeats")
+    flat, lists = "kind byte, doc long, s int, n int", "doc_id long, s array<int>, n array<int>"
+    spans = saved(routed.mapInArrow(_decide, flat), "repeats")
     del routed
     release(docs.sparkSession)
-    lists = (F.flatten(F.collect_list("s")).alias("s"), F.flatten(F.collect_list("n")).alias("n"))
-    todo = spans.where(F.col("kind") == OPEN).groupBy(F.col("doc").alias("doc_id")).agg(*lists)
+    todo = spans.where(F.col("kind") == OPEN).repartition("doc").mapInArrow(_by_document(False), lists)
     windows = known.join(todo, "doc_id").select("doc_id", "text", "s", "n").mapInArrow(_windows, "w long, a int, doc long, s int, n int").repartition("w", "a")
-    fine = saved(windows.mapInArrow(_compare, "kind byte, doc long, s array<int>, n array<int>"), "repeats-fine")
+    fine = saved(windows.mapInArrow(_compare, flat), "repeats-fine")
     del windows, todo
     release(docs.sparkSession)
-    gone = spans.where(F.col("kind") == REMOVED).unionAll(fine).groupBy(F.col("doc").alias("doc_id")).agg(*lists)
+    gone = spans.where(F.col("kind") == REMOVED).unionAll(fine).repartition("doc").mapInArrow(_by_document(True), lists)
     none = F.array().cast("array<int>")
     joined = texts.join(gone, "doc_id", "left").select("doc_id", "text", F.coalesce("s", none).alias("s"), F.coalesce("n", none).alias("n"))
     return joined.mapInArrow(lambda batches: _cut(batches, with_text), RESULT)
