@@ -15,6 +15,7 @@ not held out (they are not learned from either).  Extra columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,10 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxlake.llm.common import blocks, text_bytes
+from voxlake.llm.runs import Memo, hashes, runs, unknown
+
 PER_LANG = 4000
 MAX_WORDS = 100_000
 MAX_GRAMS = 200_000
-KNOWN = 300_000
+KNOWN = 1_000_000  # runs of letters that a worker remembers
+SENT = 60_000  # words that a task counts before it sends them
+BYTES = 2 << 20
 DAMP = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -36,81 +42,88 @@ def grams(word: str, n: int) -> list[str]:
     return [w[i : i + n] for i in range(len(w) - n + 1)]
 
 
+#: Classes of bytes: letters (and all beyond ASCII, which words() sorts out), and the rest, which parts runs.
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+_WORKERS: dict[int, tuple[Memo, np.ndarray]] = {}
+
+
 class Model:
     """Log frequencies by language; rows of `table` are words or n-grams."""
 
     def __init__(self, langs: list[str], words: dict[str, int], table: np.ndarray, gram_ids: dict[str, int], gram_table: np.ndarray):
         self.langs, self.words, self.table, self.grams, self.gram_table = langs, words, table, gram_ids, gram_table
-        self.unseen = np.zeros(len(langs))
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.rows = np.empty((1024, len(self.langs)))
+        self.name = zlib.crc32(repr((langs, sorted(words)[:1000], len(gram_ids))).encode() + table.tobytes()[:100_000])
 
     def of(self, word: str) -> np.ndarray:
         if word in self.words:
             return self.table[self.words[word]]
         w, total, n = f"<{word}>", np.zeros(len(self.langs)), 0
+        ids = []
         for i in range(len(w)):
             for size in (5, 4, 3, 2, 1):
-                g = w[i : i + size]
-                if len(g) == size and g in self.grams:
-                    total += self.gram_table[self.grams[g]]
-                    n += 1
+                if (g := self.grams.get(w[i : i + size])) is not None and i + size <= len(w):
+                    ids.append(g)
                     break
-        return total / n if n else self.unseen
-
-    def _token(self, token: str) -> np.ndarray:
-        """Of a white-space token: the sum over its words."""
-        return sum((self.of(w) for w in _WORD.findall(token)), self.unseen)
-
-    def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
-        langs, scores = [], []
-        if len(self.known) > KNOWN:
-            self._clear()
-        tokens = [t.lower().split() for t in texts]
-        new = list({w for t in tokens for w in t} - self.known.keys())
-        need = len(self.known) + len(new)
-        if need > len(self.rows):
-            self.rows = np.concatenate([self.rows, np.empty((max(need, 2 * len(self.rows)) - len(self.rows), len(self.langs)))])
-        for w in new:
-            self.rows[len(self.known)] = self._token(w)
-            self.known[w] = len(self.known)
-        for text, own in zip(texts, tokens, strict=True):
-            if not self.langs or not _WORD.search(text):
-                langs.append("und")
-                scores.append(0.0)
-                continue
-            total = self.rows[np.fromiter(map(self.known.__getitem__, own), np.int64, len(own))].sum(axis=0)
-            best = int(total.argmax())
-            odds = np.exp((total - total[best]) / max(1.0, len(own)) ** DAMP)
-            langs.append(self.langs[best])
-            scores.append(float(1 / odds.sum()))
-        return langs, scores
+        n = len(ids)
+        return self.gram_table[ids].sum(axis=0) / n if n else total
+
+    def _run(self, run: str) -> np.ndarray:
+        """Of a run of letters: the sum over its words, and their number."""
+        found = _WORD.findall(run.lower())
+        if len(found) == 1:
+            return np.append(self.of(found[0]), 1.0)
+        return np.append(sum((self.of(w) for w in found), np.zeros(len(self.langs))), float(len(found)))
+
+    def predict(self, data: np.ndarray, off: np.ndarray) -> tuple[list[str], list[float]]:
+        """Languages and scores of a block of texts; what a run means is remembered by the worker."""
+        memo, rows = _WORKERS.get(self.name) or (Memo(KNOWN), np.empty((0, len(self.langs) + 1)))
+        if len(memo.keys) > KNOWN:
+            memo, rows = Memo(KNOWN), rows[:0]
+        starts, ends = runs(data, off, _CLASS)
+        doc = np.searchsorted(off, starts, "right") - 1
+        h = hashes(data, starts, ends)
+        new, first = unknown(memo, h)
+        if len(new):
+            memo.add(new, np.zeros(0, np.int32), np.zeros(len(new), np.int64))
+            rows = np.concatenate([rows, np.stack([self._run(data[a:b].tobytes().decode("utf-8", "ignore")) for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])])
+        _WORKERS[self.name] = memo, rows
+        at, n = memo.find(h), len(off) - 1
+        total = np.stack([np.bincount(doc, weights=rows[at, k], minlength=n) for k in range(rows.shape[1])], axis=1) if len(doc) else np.zeros((n, rows.shape[1]))
+        count, total = total[:, -1], total[:, :-1]
+        if not self.langs:
+            return ["und"] * n, [0.0] * n
+        best = total.argmax(axis=1)
+        odds = np.exp((total - total[np.arange(n), best][:, None]) / np.maximum(1.0, count)[:, None] ** DAMP)
+        blank = count == 0
+        return [("und" if b else self.langs[k]) for b, k in zip(blank.tolist(), best.tolist(), strict=True)], np.where(blank, 0.0, 1 / odds.sum(axis=1)).tolist()
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, kind, unit, n): words (kind 0) and, once per distinct word of a text, n-grams (kind n)."""
-    count: Counter[tuple] = Counter()
+    words: dict[tuple[str, str], list[int]] = {}
 
     def send() -> pa.RecordBatch:
+        count: Counter[tuple] = Counter()
+        for (lang, w), (n, texts) in words.items():
+            count[lang, 0, w] += n
+            for size in (1, 2, 3, 4, 5):
+                for g in grams(w, size):
+                    count[lang, size, g] += texts
         keys = list(count)
         types = (pa.string(), pa.int32(), pa.string())
         return pa.RecordBatch.from_arrays([*(pa.array([k[i] for k in keys], t) for i, t in enumerate(types)), pa.array(list(count.values()), pa.int64())], ["lang", "kind", "unit", "n"])
 
     for batch in batches:
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = Counter(_WORD.findall(text.lower()))
-            for w, n in words.items():
-                count[lang, 0, w] += n
-                for size in (1, 2, 3, 4, 5):
-                    for g in grams(w, size):
-                        count[lang, size, g] += 1
-            if len(count) > KNOWN:
+            for w, n in Counter(_WORD.findall(text.lower())).items():
+                own = words.setdefault((lang, w), [0, 0])
+                own[0] += n
+                own[1] += 1
+            if len(words) > SENT:
                 yield send()
-                count.clear()
-    if count:
+                words = {}
+    if words:
         yield send()
 
 
@@ -147,10 +160,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
-                langs, scores = model.predict([t or "" for t in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
+            data, off = text_bytes(batch.column(1))
+            for i, j in blocks(off, BYTES):
+                langs, scores = model.predict(data[off[i] : off[j]], off[i : j + 1] - off[i])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
