@@ -32,6 +32,14 @@ def test_table(spark, sf_dir):
     assert run(df) == brute([(r.doc_id, r.text) for r in df.orderBy("doc_id").collect()])
 
 
+def test_many_blocks(spark, sf_dir, monkeypatch):
+    import functools
+
+    monkeypatch.setattr(tokenstore, "_encode", functools.partial(tokenstore._encode, size=5000))
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert run(df) == brute([(r.doc_id, r.text) for r in df.orderBy("doc_id").collect()])
+
+
 def test_odd_texts(spark):
     rng = random.Random(6)
     alphabet = "aB'stré ºª½ \t\n\x1c\x85\xa0.,<|>éŁΣς東🙂12"

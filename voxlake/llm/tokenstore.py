@@ -143,12 +143,12 @@ def root(leaves: list[bytes]) -> bytes:
     return leaves[0] if leaves else hashlib.sha256(b"").digest()
 
 
-def _encode(path: str, width: str):
+def _encode(path: str, width: str, size: int = BYTES):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         for batch in batches:
             text, off = text_bytes(batch.column(1))
-            for i, j in blocks(off, BYTES):
+            for i, j in blocks(off, size):
                 part = batch.slice(i, j - i)
                 ids, sizes = own.encode(text[off[i] : off[j]], off[i : j + 1] - off[i])
                 ends = cuts(ids, sizes)
@@ -156,9 +156,9 @@ def _encode(path: str, width: str):
                 starts = np.append(0, ends[:-1])
                 chunks = [data[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
                 names = [_digest(c) for c in chunks]
-                off = np.append(0, np.searchsorted(ends, np.cumsum(sizes)) + 1)
-                leaves = [_leaf(names[a:b], n) for a, b, n in zip(off[:-1].tolist(), off[1:].tolist(), sizes.tolist(), strict=True)]
-                listed = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.StructArray.from_arrays([pa.array(names, pa.binary()), pa.array(chunks, pa.binary())], ["digest", "ids"]))
+                bound = np.append(0, np.searchsorted(ends, np.cumsum(sizes)) + 1)
+                leaves = [_leaf(names[a:b], n) for a, b, n in zip(bound[:-1].tolist(), bound[1:].tolist(), sizes.tolist(), strict=True)]
+                listed = pa.ListArray.from_arrays(pa.array(bound.astype(np.int32)), pa.StructArray.from_arrays([pa.array(names, pa.binary()), pa.array(chunks, pa.binary())], ["digest", "ids"]))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), pa.array(leaves, pa.binary()), listed], ["doc_id", "n_tokens", "leaf", "chunks"])
 
     return run
