@@ -376,8 +376,33 @@ def ssim(pairs: DataFrame, a: str, b: str, win: int, size: int, span: float = 1.
         moments = moved.where(F.col(axis).between(0, size - win)).groupBy(by, "y", "x").agg(*[F.sum(F.col("w") * F.col(c)).alias(c) for c in ("m_a", "m_b", "m_aa", "m_bb", "m_ab")])
     c1, c2 = (0.01 * span) ** 2, (0.03 * span) ** 2
     va, vb, cov = (F.col(p) - F.col(q) * F.col(r) for p, q, r in (("m_aa", "m_a", "m_a"), ("m_bb", "m_b", "m_b"), ("m_ab", "m_a", "m_b")))
-    value = (2 * F.col("m_a") * F.col("m_b") + c1) * (2 * cov + c2) / ((F.col("m_a") ** 2 + F.col("m_b") ** 2 + c1) * (va + vb + c2))
-    return moments.groupBy(by).agg(F.avg(value).alias("ssim"))
+    contrast = (2 * cov + c2) / (va + vb + c2)
+    value = contrast * (2 * F.col("m_a") * F.col("m_b") + c1) / (F.col("m_a") ** 2 + F.col("m_b") ** 2 + c1)
+    return moments.groupBy(by).agg(F.avg(value).alias("ssim"), F.avg(contrast).alias("contrast"))
+
+
+#: Exponents of the five scales.
+SCALES = (0.0448, 0.2856, 0.3001, 0.2363, 0.1333)
+
+
+def ms_ssim(pairs: DataFrame, a: str, b: str, win: int, size: int, weights: tuple[float, ...] = SCALES, span: float = 1.0, by: str = "image_id") -> DataFrame:
+    """Product over scales (each halved by 2 x 2 means) of contrast terms, and of the similarity at the last, to their exponents.
+
+    The size must leave room for a window at the last scale; negative terms count as 0.
+    """
+    if size >> (len(weights) - 1) < win:
+        raise ValueError("too small for so many scales")
+    out = None
+    for i, w in enumerate(weights):
+        last = i == len(weights) - 1
+        term = ssim(pairs, a, b, win, size, span, by).select(by, F.pow(F.greatest(F.lit(0.0), F.col("ssim" if last else "contrast")), F.lit(w)).alias(f"s{i}"))
+        out = term if out is None else out.join(term, by)
+        pairs = pairs.groupBy(by, F.floor(F.col("y") / 2).cast("int").alias("y"), F.floor(F.col("x") / 2).cast("int").alias("x")).agg(F.avg(a).alias(a), F.avg(b).alias(b))
+        size //= 2
+    product = F.lit(1.0)
+    for i in range(len(weights)):
+        product *= F.col(f"s{i}")
+    return out.select(by, product.alias("ms_ssim"))
 
 
 def charbonnier(pairs: DataFrame, a: str, b: str, by: str = "image_id") -> DataFrame:

@@ -240,19 +240,22 @@ def _(spark, d):
     return rounded(A.tile_equalise(voxels(spark, d), "v1", 5, 0.03).select(*VK, "equalised"))
 
 
-_W = {}
-
-
-def _ssim_sql(win: int, size: int, span: float) -> str:
+def _ssim_ctes(name: str, source: str, win: int, size: int, span: float = 1.0) -> str:
+    """CTE name(image_id, ssim, contrast) over source(image_id, y, x, a, b)."""
     import math
 
     w = [math.exp(-((k - win // 2) ** 2) / (2 * 1.5**2)) for k in range(win)]
     taps = ", ".join(f"({k}, {v / sum(w)!r}::DOUBLE)" for k, v in enumerate(w))
-    mom = ["a", "b", "aa", "bb", "ab"]
-    return f"""WITH {P_SQL}, k(k, w) AS (VALUES {taps}), m AS (SELECT a.image_id, a.y, a.x, a.v AS a, b.v AS b, a.v * a.v AS aa, b.v * b.v AS bb, a.v * b.v AS ab FROM p a JOIN p b ON b.image_id = a.image_id + 1 AND a.y = b.y AND a.x = b.x),
-  r AS (SELECT image_id, y - k AS y, x, {', '.join(f'sum(w * {c}) AS {c}' for c in mom)} FROM m, k WHERE y - k BETWEEN 0 AND {size - win} GROUP BY 1, 2, 3),
-  s AS (SELECT image_id, y, x - k AS x, {', '.join(f'sum(w * {c}) AS {c}' for c in mom)} FROM r, k WHERE x - k BETWEEN 0 AND {size - win} GROUP BY 1, 2, 3)
-  SELECT image_id, round(avg((2 * a * b + {(0.01 * span) ** 2!r}) * (2 * (ab - a * b) + {(0.03 * span) ** 2!r}) / ((a * a + b * b + {(0.01 * span) ** 2!r}) * (aa - a * a + bb - b * b + {(0.03 * span) ** 2!r}))), 5) AS ssim FROM s GROUP BY image_id"""
+    mom, c1, c2 = ["a", "b", "aa", "bb", "ab"], (0.01 * span) ** 2, (0.03 * span) ** 2
+    cs = f"(2 * (ab - a * b) + {c2!r}) / (aa - a * a + bb - b * b + {c2!r})"
+    return f"""{name}_k(k, w) AS (VALUES {taps}), {name}_m AS (SELECT image_id, y, x, a, b, a * a AS aa, b * b AS bb, a * b AS ab FROM {source}),
+  {name}_r AS (SELECT image_id, y - k AS y, x, {', '.join(f'sum(w * {c}) AS {c}' for c in mom)} FROM {name}_m, {name}_k WHERE y - k BETWEEN 0 AND {size - win} GROUP BY 1, 2, 3),
+  {name}_s AS (SELECT image_id, y, x - k AS x, {', '.join(f'sum(w * {c}) AS {c}' for c in mom)} FROM {name}_r, {name}_k WHERE x - k BETWEEN 0 AND {size - win} GROUP BY 1, 2, 3),
+  {name} AS (SELECT image_id, avg({cs} * (2 * a * b + {c1!r}) / (a * a + b * b + {c1!r})) AS ssim, avg({cs}) AS contrast FROM {name}_s GROUP BY image_id)"""
+
+
+_PAIRS = f"{P_SQL}, pr AS (SELECT a.image_id, a.y, a.x, a.v AS a, b.v AS b FROM p a JOIN p b ON b.image_id = a.image_id + 1 AND a.y = b.y AND a.x = b.x)"
+_HALF = "ph AS (SELECT image_id, y // 2 AS y, x // 2 AS x, avg(a) AS a, avg(b) AS b FROM pr GROUP BY 1, 2, 3)"
 
 
 def _pairs(spark, d):
@@ -260,9 +263,14 @@ def _pairs(spark, d):
     return p.withColumnRenamed("v", "a").join(p.select((F.col("image_id") - 1).alias("image_id"), "y", "x", F.col("v").alias("b")), ["image_id", "y", "x"])
 
 
-@query("a33_ssim", _ssim_sql(5, 8, 1.0))
+@query("a33_ssim", f"WITH {_PAIRS}, {_ssim_ctes('one', 'pr', 5, 8)} SELECT image_id, round(ssim, 5) AS ssim FROM one")
+def _(spark, d):
+    return rounded(A.ssim(_pairs(spark, d), "a", "b", 5, 8).select("image_id", "ssim"), 5)
+
+
+@query("a33_ms_ssim", f"WITH {_PAIRS}, {_HALF}, {_ssim_ctes('one', 'pr', 3, 8)}, {_ssim_ctes('two', 'ph', 3, 4)} SELECT image_id, round(pow(greatest(0, one.contrast), 0.4) * pow(greatest(0, two.ssim), 0.6), 4) AS ms_ssim FROM one JOIN two USING (image_id)")
 def _(spark, d):
-    return rounded(A.ssim(_pairs(spark, d), "a", "b", 5, 8), 5)
+    return rounded(A.ms_ssim(_pairs(spark, d), "a", "b", 3, 8, (0.4, 0.6)), 4)
 
 
 @query("a34_charbonnier", f"WITH {P_SQL} SELECT a.image_id, round(avg(sqrt((a.v - b.v) ** 2 + 1e-3)), 6) AS loss FROM p a JOIN p b ON b.image_id = a.image_id + 1 AND a.y = b.y AND a.x = b.x GROUP BY a.image_id")
