@@ -19,10 +19,10 @@ def scratch_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """df written as Parquet to the shared folder and read back: lineage is cut, and a lost executor costs nothing."""
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
