@@ -35,8 +35,8 @@ from voxlake.plans.scratch import discard, release, saved, scratch_dir
 END = 1
 CUT = 255  # a chunk ends where the rolling hash has these bits zero: 256 ids on average
 LONGEST = 2048
-KNOWN = 3_000_000  # tokens that a worker remembers
-BYTES = 4 << 20  # of text encoded at once
+KNOWN = 1_500_000  # tokens that a worker remembers
+BYTES = 2 << 20  # of text encoded at once
 _TOKENS = re.compile(r"[^ \t\r\n]+").findall
 _WORKERS: dict[str, Encoder] = {}
 
@@ -187,9 +187,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, vocabulary: int = 49_408)
     spark = docs.sparkSession
     width = "<u2" if vocabulary <= 1 << 16 else "<u4"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_encode(tokenizer, width), "doc_id long, n_tokens long, leaf binary, chunks array<struct<digest: binary, ids: binary>>")
-    rows = saved(rows.withColumn("uid", F.monotonically_increasing_id()), "token-ids")
+    rows = saved(rows.withColumn("uid", F.monotonically_increasing_id()), "token-ids", "zstd")
     chunks = rows.select("uid", F.posexplode("chunks").alias("k", "c")).groupBy("c.digest").agg(F.first("c.ids").alias("ids"), F.min(F.struct("uid", "k")).alias("home"), F.count("*").alias("copies"))
-    chunks.select("digest", "ids", "home.uid", "home.k", "copies").write.parquet(f"{path}/chunks")
+    chunks.select("digest", "ids", "home.uid", "home.k", "copies").write.parquet(f"{path}/chunks", compression="zstd")
     ordered = rows.select("uid", "doc_id", "n_tokens", "leaf", F.col("chunks.digest").alias("digests")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "leaf")
     ordered = saved(ordered.withColumn("part", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id()), "recipes")
     totals = ordered.groupBy("part").agg(F.sum("n_tokens").alias("ids")).withColumn("before", F.coalesce(F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
