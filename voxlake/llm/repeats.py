@@ -123,13 +123,15 @@ def _first(order_keys: tuple[np.ndarray, ...], doc: np.ndarray, pos: np.ndarray)
     return order, new, (d != d[head]) | (p != p[head])
 
 
-ROUTED = pa.schema([("key", pa.int64()), ("kind", pa.int8()), ("a", pa.int64()), ("g", pa.int64()), ("doc", pa.int64()), ("s", pa.int32()), ("n", pa.int32())])
+ROUTED = pa.schema([("key", pa.int64()), ("kind", pa.int8()), ("g", pa.int64()), ("doc", pa.int64()), ("s", pa.int32()), ("n", pa.int32())])
 REMOVED, SINGLE, OPEN, MANY = 0, 1, 2, 3
 
 
 def _rows(kind: int, a: np.ndarray, g: np.ndarray, doc: np.ndarray, s: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Rows in the order of documents (they compress well so); known segments are dealt by anchor, the others evenly."""
     key = a if kind in (SINGLE, MANY) else mix(doc.astype(np.uint64), s.astype(np.uint64))
-    cols = [key.view(np.int64), np.full(len(a), kind, np.int8), a.view(np.int64), g.view(np.int64), doc, s.astype(np.int32), n.astype(np.int32)]
+    order = np.lexsort((s, doc))
+    cols = [c[order] for c in (key.view(np.int64), np.full(len(a), kind, np.int8), g.view(np.int64), doc, s.astype(np.int32), n.astype(np.int32))]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], schema=ROUTED)
 
 
@@ -226,7 +228,7 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return
     kind, doc, s, n = x["kind"], x["doc"], x["s"], x["n"]
     known = (kind == SINGLE) | (kind == MANY)
-    a, g = x["a"][known], x["g"][known]
+    a, g = x["key"][known], x["g"][known]
     order, new, later = _first((a, g), doc[known], s[known])
     a, single = a[order], (kind[known] == SINGLE)[order]
     group = np.cumsum(np.append(True, a[1:] != a[:-1])) - 1 if len(a) else a
@@ -248,7 +250,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def settle() -> Iterator[pa.RecordBatch]:
         w, a, doc, s = map(np.concatenate, zip(*kept, strict=True))
         order, new, later = _first((w, a), doc, s)
-        new, later = order[new], order[later]
+        new, later = np.sort(order[new]), order[later]  # as they came: by document
         d, p, n = _runs(doc[later], s[later], np.ones(len(later), np.int64))
         route = mix(d.astype(np.uint64), p.astype(np.uint64)).view(np.int64)
         short = (a[new] >> np.uint64(32)).astype(np.uint32).view(np.int32)
@@ -330,7 +332,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     known = texts.where("doc_id is not null and length(text) >= 100")
-    routed = known.mapInArrow(_scan, "key long, kind byte, a long, g long, doc long, s int, n int").repartition("key")
+    routed = known.mapInArrow(_scan, "key long, kind byte, g long, doc long, s int, n int").repartition("key")
     flat, lists = "kind byte, doc long, s int, n int", "doc_id long, s array<int>, n array<int>"
     spans = saved(routed.mapInArrow(_decide, flat), "repeats")
     del routed
