@@ -138,20 +138,21 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, max_words: int = MAX_WORDS, m
     sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < rate * (1 << 20))
     units = sample.select("text", "lang").mapInArrow(_count, "lang string, kind int, unit string, n long").groupBy("lang", "kind", "unit").agg(F.sum("n").alias("n")).persist()
     sums = {(r.lang, r.kind): r.n for r in units.groupBy("lang", "kind").agg(F.sum("n").alias("n")).collect()}
-    together = units.groupBy("kind", "unit").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")).where("n >= 2")
-    words = together.where("kind = 0").orderBy(F.desc("n"), "unit").limit(max_words).collect()
-    parts = together.where("kind > 0").orderBy(F.desc("n"), "unit").limit(max_grams).collect()
+    seen = [F.sum(F.when(F.col("lang") == g, F.col("n")).otherwise(0)).alias(f"c{i}") for i, g in enumerate(langs)]
+    together = units.groupBy("kind", "unit").agg(F.sum("n").alias("n"), *seen).where("n >= 2")
+    words = together.where("kind = 0").orderBy(F.desc("n"), "unit").limit(max_words).drop("n").toArrow()
+    parts = together.where("kind > 0").orderBy(F.desc("n"), "unit").limit(max_grams).drop("n").toArrow()
     units.unpersist()
 
-    def logs(rows: list) -> np.ndarray:
-        out = np.empty((len(rows), len(langs)))
+    def logs(rows: pa.Table) -> np.ndarray:
+        out, kind = np.empty((rows.num_rows, len(langs))), rows["kind"].to_numpy()
         for j, g in enumerate(langs):
-            seen = np.array([r.by.get(g, 0) for r in rows], float)
-            total = np.array([sums.get((g, r.kind), 0) for r in rows], float)
-            out[:, j] = np.log((seen + 0.1) / (total + 1))
-        return np.maximum(out - out.max(axis=1, keepdims=True), -8.0) if len(rows) else out
+            total = np.array([sums.get((g, k), 0) for k in range(6)], float)[kind]
+            out[:, j] = np.log((rows[f"c{j}"].to_numpy() + 0.1) / (total + 1))
+        return np.maximum(out - out.max(axis=1, keepdims=True), -8.0) if rows.num_rows else out
 
-    return Model(langs, {r.unit: i for i, r in enumerate(words)}, logs(words), {r.unit: i for i, r in enumerate(parts)}, logs(parts))
+    numbered = lambda rows: {u: i for i, u in enumerate(rows["unit"].to_pylist())}
+    return Model(langs, numbered(words), logs(words), numbered(parts), logs(parts))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
