@@ -75,23 +75,18 @@ def nearest_point(points: DataFrame, targets: DataFrame, keys: list[str], payloa
 def distance_to(vox: DataFrame, targets: DataFrame, cap: int, sampling: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
     """Exact Euclidean distance to the nearest target voxel of the image, up to a cap in units of the sampling; null beyond.
 
-    Three passes, one per axis: each spreads the least squared distance so far along a line.  The last keeps only lines of the queried voxels.
+    Three passes, one per axis: each spreads the least squared distance so far along its axis, and keeps only slices, then rows, then
+    voxels that are asked for.
     """
     field = targets.select("image_id", "t", "z", "y", "x").distinct().withColumn("d2", F.lit(0.0))
     asked = vox.select("image_id", "t", "z", "y", "x").distinct()
     for axis, step in zip("zyx", sampling, strict=True):
         reach = int(cap / step)
-        rest = [c for c in VK if c != axis]
+        rest, asked_for = [c for c in VK if c != axis], VK[: VK.index(axis) + 1]
         offset = F.explode(F.sequence(F.lit(-reach), F.lit(reach))).alias("o")
-        spread = field.select(*VK, "d2", offset).where(F.col("d2") + (F.col("o") * step) ** 2 <= cap * cap)
-        field = spread.select(*rest, (F.col(axis) + F.col("o")).alias(axis), (F.col("d2") + (F.col("o") * step) ** 2).alias("d2"))
-        if axis == "x":
-            field = field.join(asked, VK, "left_semi")
-        else:
-            later = {"z": ["y", "x"], "y": ["x"]}[axis]
-            lines = asked.select(*[c for c in VK if c not in later]).distinct()
-            field = field.join(lines, [c for c in VK if c not in later], "left_semi") if axis == "y" else field.join(asked.select("image_id", "t", "z").distinct(), ["image_id", "t", "z"], "left_semi")
-        field = field.groupBy(*VK).agg(F.min("d2").alias("d2"))
+        spread = field.select(*VK, "d2", offset).select(*rest, (F.col(axis) + F.col("o")).alias(axis), (F.col("d2") + (F.col("o") * step) ** 2).alias("d2"))
+        lines = asked.select(*asked_for).distinct()
+        field = spread.where(F.col("d2") <= cap * cap).join(lines, asked_for, "left_semi").groupBy(*VK).agg(F.min("d2").alias("d2"))
     return vox.join(field.select(*VK, F.sqrt("d2").alias("distance")), VK, "left")
 
 
