@@ -226,13 +226,12 @@ def _(spark, d):
     return rounded(A.otsu_threshold(voxels(spark, d), "v1", ["image_id"]), 4)
 
 
-@query("a31_histogram_match", f"""WITH {V_SQL}, c AS (SELECT image_id, v1, count(*) AS n FROM v WHERE image_id <= 20 OR image_id % 5 = 0 GROUP BY ALL),
+@query("a31_histogram_match", f"""WITH {V_SQL}, c AS (SELECT image_id, v1, count(*) AS n FROM v GROUP BY ALL),
   q AS (SELECT image_id, v1, sum(n) OVER (PARTITION BY image_id ORDER BY v1) / sum(n) OVER (PARTITION BY image_id) AS q FROM c),
   r AS (SELECT q AS q1, v1 AS a1, lag(q) OVER (ORDER BY q) AS q0, lag(v1) OVER (ORDER BY q) AS a0 FROM q WHERE image_id = 1)
   SELECT image_id, v1 AS before, round(CASE WHEN q0 IS NULL THEN a1 ELSE a0 + (a1 - a0) * (q - q0) / (q1 - q0) END, 4) AS after FROM q JOIN r ON q.q <= q1 AND (q0 IS NULL OR q.q > q0)""")
 def _(spark, d):
-    vox = voxels(spark, d).where("image_id <= 20 or image_id % 5 = 0")
-    return rounded(A.histogram_match(vox, "v1", "image_id", 1), 4)
+    return rounded(A.histogram_match(voxels(spark, d), "v1", "image_id", 1), 4)
 
 
 @query("a32_tile_equalise")

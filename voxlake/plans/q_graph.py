@@ -35,11 +35,11 @@ def _(spark, d):
     return G.label_components(voxels(spark, d).where("cls >= 2"), 6)
 
 
-_V4 = "w AS (SELECT image_id // 5 AS image_id, (image_id % 5)::INT AS t, z, y, x FROM v WHERE cls = 1 AND z % 2 = 0 AND y % 3 <> 2)"
+_V4 = "w AS (SELECT image_id // 5 AS image_id, (image_id % 5)::INT AS t, z, y, x FROM v WHERE cls = 1)"
 
 
 def _frames(spark, d):
-    vox = voxels(spark, d).where("cls = 1 and z % 2 = 0 and y % 3 <> 2")
+    vox = voxels(spark, d).where("cls = 1")
     return vox.select(F.floor(F.col("image_id") / 5).alias("image_id"), (F.col("image_id") % 5).cast("int").alias("t"), "z", "y", "x")
 
 
@@ -86,7 +86,7 @@ def _(spark, d):
 
 @query("g6_seeded_split")
 def _(spark, d):
-    mask = voxels(spark, d).where("cls >= 2 and y < 5")
+    mask = voxels(spark, d).where("cls >= 2")
     deep = G.inside_distance(mask, 4).withColumn("priority", -F.coalesce("distance", F.lit(4.0)))
     seeds = G.label_components(deep.where("x % 4 = 0 and z % 2 = 0"), 6)
     return G.seeded_split(deep, seeds, "priority", 6)
@@ -102,7 +102,7 @@ def _(spark, d):
 def _(spark, d):
     vox = voxels(spark, d)
     field = G.geodesic(G.label_components(vox.where("cls >= 2"), 6))
-    return rounded(G.geodesic_to_objects(vox.where("cls = 1 and x % 5 = 0").select("image_id", (F.col("z") * 200 + F.col("y") * 20 + F.col("x")).alias("label"), "z", "y", "x"), field, ["label"], 0.102))
+    return rounded(G.geodesic_to_objects(vox.where("cls = 1").select("image_id", (F.col("z") * 200 + F.col("y") * 20 + F.col("x")).alias("label"), "z", "y", "x"), field, ["label"], 0.102))
 
 
 @query("g9_thin")

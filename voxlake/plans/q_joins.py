@@ -21,10 +21,10 @@ def _(spark, d):
     return J.sample_field(object_voxels(spark, d).select(*VK, "label"), field, "field")
 
 
-@query("j5_merge_areas", f"WITH {OV_SQL}, a AS (SELECT image_id, label, count(DISTINCT (y, x)) AS mip FROM ov WHERE label % 2 = 0 GROUP BY ALL) SELECT DISTINCT image_id, label, mip FROM ov LEFT JOIN a USING (image_id, label)")
+@query("j5_merge_areas", f"WITH {OV_SQL}, a AS (SELECT image_id, label, count(DISTINCT (y, x)) AS mip FROM ov WHERE cls_pred = 1 GROUP BY ALL) SELECT DISTINCT image_id, label, mip FROM ov LEFT JOIN a USING (image_id, label)")
 def _(spark, d):
     vox = object_voxels(spark, d)
-    areas = vox.where("label % 2 = 0").groupBy("image_id", "label").agg(F.countDistinct("y", "x").alias("mip"))
+    areas = vox.where("cls_pred = 1").groupBy("image_id", "label").agg(F.countDistinct("y", "x").alias("mip"))
     return J.merge_areas(vox.select("image_id", "label").distinct(), areas, ["image_id", "label"])
 
 
@@ -82,10 +82,10 @@ def _(spark, d):
     return J.crop_roi(c, voxels(spark, d).select(*VK, "v1"), (1, 2, 2), 4)
 
 
-@query("j13_overlay", f"WITH {OV_SQL}, p AS (SELECT {VKS}, label FROM ov WHERE label % 3 = 0 AND (z + y + x) % 2 = 0) SELECT {VKS}, label FROM ov WHERE (image_id, label) NOT IN (SELECT (image_id, label) FROM p) UNION ALL SELECT {VKS}, label FROM p")
+@query("j13_overlay", f"WITH {OV_SQL}, p AS (SELECT {VKS}, label FROM ov WHERE cls_pred = 1) SELECT {VKS}, label FROM ov WHERE (image_id, label) NOT IN (SELECT (image_id, label) FROM p) UNION ALL SELECT {VKS}, label FROM p")
 def _(spark, d):
-    base = object_voxels(spark, d).select(*VK, "label")
-    return J.overlay(base, base.where("label % 3 = 0 and (z + y + x) % 2 = 0"))
+    base = object_voxels(spark, d)
+    return J.overlay(base.select(*VK, "label"), base.where("cls_pred = 1"))
 
 
 @query("j14_drop_border_objects", f"WITH {OV_SQL} SELECT {VKS}, label FROM ov WHERE (image_id, label) NOT IN (SELECT (image_id, label) FROM ov WHERE y IN (0, 9) OR x IN (0, 19))")

@@ -28,11 +28,11 @@ def _(spark, d):
     return rounded(S.scan_volumes(spark, path).groupBy("batch").agg(F.count("*").alias("n"), F.sum("v1").alias("total")), 2)
 
 
-@query("s2_pair_inputs", "WITH a AS (SELECT 'c' || c_custkey AS stem, 'raw/c' || c_custkey || '.tif' AS raw FROM customer WHERE c_custkey % 5 <> 0), b AS (SELECT 'c' || c_custkey AS stem, 'labels/c' || c_custkey || '.tiff' AS labels FROM customer WHERE c_custkey % 7 <> 0) SELECT coalesce(a.stem, b.stem) AS stem, raw, labels, CASE WHEN raw IS NULL THEN 'no raw' WHEN labels IS NULL THEN 'no labels' ELSE 'paired' END AS status FROM a FULL JOIN b ON a.stem = b.stem")
+@query("s2_pair_inputs", "WITH a AS (SELECT 'c' || c_custkey AS stem, 'raw/c' || c_custkey || '.tif' AS raw FROM customer WHERE c_acctbal > 0), b AS (SELECT 'c' || c_custkey AS stem, 'labels/c' || c_custkey || '.tiff' AS labels FROM customer WHERE c_mktsegment <> 'MACHINERY') SELECT coalesce(a.stem, b.stem) AS stem, raw, labels, CASE WHEN raw IS NULL THEN 'no raw' WHEN labels IS NULL THEN 'no labels' ELSE 'paired' END AS status FROM a FULL JOIN b ON a.stem = b.stem")
 def _(spark, d):
     c = table(spark, d, "customer")
-    raw = c.where("c_custkey % 5 <> 0").select(F.concat(F.lit("raw/c"), "c_custkey", F.lit(".tif")).alias("path"))
-    return S.pair_inputs(raw, c.where("c_custkey % 7 <> 0").select(F.concat(F.lit("labels/c"), "c_custkey", F.lit(".tiff")).alias("path")))
+    raw = c.where("c_acctbal > 0").select(F.concat(F.lit("raw/c"), "c_custkey", F.lit(".tif")).alias("path"))
+    return S.pair_inputs(raw, c.where("c_mktsegment <> 'MACHINERY'").select(F.concat(F.lit("labels/c"), "c_custkey", F.lit(".tiff")).alias("path")))
 
 
 @query("s3_to_bricks", f"WITH {V_SQL} SELECT image_id, t, z // 4 AS bz, y // 5 AS by, x // 8 AS bx, count(*)::INT AS n FROM v GROUP BY ALL".replace("AS by", 'AS "by"'))

@@ -13,22 +13,22 @@ from voxlake.sources.fixtures import O_SQL, OV_SQL, P_SQL, T_SQL, V_SQL, object_
 VKS = "image_id, t, z, y, x"
 
 
-@query("j1_merge_measurements", f"WITH {O_SQL}, a AS (SELECT label, sum(area) AS area, round(sum(price), 4) AS price FROM o WHERE label % 3 <> 0 GROUP BY label), b AS (SELECT o_orderkey::BIGINT AS label, o_totalprice::DOUBLE AS price, o_custkey::DOUBLE AS cust FROM orders WHERE o_orderkey % 4 <> 0) SELECT coalesce(a.label, b.label) AS label, coalesce(area, 0) AS area, coalesce(a.price, b.price, 0) AS price, coalesce(cust, 0) AS cust FROM a FULL JOIN b ON a.label = b.label")
+@query("j1_merge_measurements", f"WITH {O_SQL}, a AS (SELECT label, sum(area) AS area, round(sum(price), 4) AS price FROM o WHERE tax > 0.04 GROUP BY label), b AS (SELECT o_orderkey::BIGINT AS label, o_totalprice::DOUBLE AS price, o_custkey::DOUBLE AS cust FROM orders WHERE o_orderstatus = 'F') SELECT coalesce(a.label, b.label) AS label, coalesce(area, 0) AS area, coalesce(a.price, b.price, 0) AS price, coalesce(cust, 0) AS cust FROM a FULL JOIN b ON a.label = b.label")
 def _(spark, d):
-    a = objects(spark, d).where("label % 3 <> 0").groupBy("label").agg(F.sum("area").alias("area"), F.round(F.sum("price"), 4).alias("price"))
-    b = table(spark, d, "orders").where("o_orderkey % 4 <> 0").select(F.col("o_orderkey").cast("long").alias("label"), F.col("o_totalprice").cast("double").alias("price"), F.col("o_custkey").cast("double").alias("cust"))
+    a = objects(spark, d).where("tax > 0.04").groupBy("label").agg(F.sum("area").alias("area"), F.round(F.sum("price"), 4).alias("price"))
+    b = table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").cast("long").alias("label"), F.col("o_totalprice").cast("double").alias("price"), F.col("o_custkey").cast("double").alias("cust"))
     return J.merge_measurements(a, b, ["label"])
 
 
-@query("j2_attach_columns", f"WITH {O_SQL} SELECT label, line, area, o_totalprice::DOUBLE AS total FROM o LEFT JOIN orders ON o_orderkey = label AND o_orderkey % 2 = 0")
+@query("j2_attach_columns", f"WITH {O_SQL} SELECT label, line, area, o_totalprice::DOUBLE AS total FROM o LEFT JOIN orders ON o_orderkey = label AND o_orderstatus = 'F'")
 def _(spark, d):
-    b = table(spark, d, "orders").where("o_orderkey % 2 = 0").select(F.col("o_orderkey").cast("long").alias("label"), F.col("o_totalprice").cast("double").alias("total"))
+    b = table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").cast("long").alias("label"), F.col("o_totalprice").cast("double").alias("total"))
     return J.attach_columns(objects(spark, d).select("label", "line", "area"), b, ["label"])
 
 
-@query("j4_map_lookup", f"WITH {O_SQL} SELECT label, line, s_acctbal::DOUBLE AS length FROM o LEFT JOIN supplier ON s_suppkey = image_id AND s_suppkey % 2 = 0")
+@query("j4_map_lookup", f"WITH {O_SQL} SELECT label, line, s_acctbal::DOUBLE AS length FROM o LEFT JOIN supplier ON s_suppkey = image_id AND s_acctbal > 0")
 def _(spark, d):
-    lengths = table(spark, d, "supplier").where("s_suppkey % 2 = 0").select(F.col("s_suppkey").cast("long").alias("image_id"), F.col("s_acctbal").cast("double").alias("length"))
+    lengths = table(spark, d, "supplier").where("s_acctbal > 0").select(F.col("s_suppkey").cast("long").alias("image_id"), F.col("s_acctbal").cast("double").alias("length"))
     return J.map_lookup(objects(spark, d), lengths, "image_id").select("label", "line", "length")
 
 
@@ -114,10 +114,10 @@ def _(spark, d):
     return W.split(table(spark, d, "embeddings").select(F.col("vec_id").cast("long").alias("image_id")), 0.9, ["image_id"])
 
 
-@query("u1_append_summaries", f"WITH {O_SQL} SELECT label, line, area, NULL::DOUBLE AS price FROM o WHERE line = 1 UNION ALL SELECT label, line, NULL, price FROM o WHERE line = 2")
+@query("u1_append_summaries", f"WITH {O_SQL} SELECT label, line, area, NULL::DOUBLE AS price FROM o UNION ALL SELECT o_orderkey::BIGINT, NULL, NULL, o_totalprice::DOUBLE FROM orders")
 def _(spark, d):
-    o = objects(spark, d)
-    return W.append([o.where("line = 1").select("label", "line", "area"), o.where("line = 2").select("label", "line", "price")])
+    totals = table(spark, d, "orders").select(F.col("o_orderkey").cast("long").alias("label"), F.col("o_totalprice").cast("double").alias("price"))
+    return W.append([objects(spark, d).select("label", "line", "area"), totals])
 
 
 @query("u2_mask_algebra", f"WITH {V_SQL} SELECT {VKS}, op FROM v, (SELECT unnest(['union', 'intersect', 'subtract', 'xor']) AS op) WHERE CASE op WHEN 'union' THEN cls = 1 OR cls_pred = 1 WHEN 'intersect' THEN cls = 1 AND cls_pred = 1 WHEN 'subtract' THEN cls = 1 AND cls_pred <> 1 ELSE (cls = 1) <> (cls_pred = 1) END")
@@ -133,10 +133,10 @@ def _(spark, d):
     return W.id_difference(t.where("timepoint = 1"), t.where("timepoint = 2"), "spine_id")
 
 
-@query("u4_stack_time", f"WITH {T_SQL} SELECT (timepoint - 1)::INT AS t, spine_id, z, y, x FROM tr WHERE timepoint <= 4")
+@query("u4_stack_time", f"WITH {T_SQL} SELECT (timepoint - 1)::INT AS t, spine_id, z, y, x FROM tr")
 def _(spark, d):
     t = tracks(spark, d)
-    return W.stack_time([t.where(F.col("timepoint") == i).select("spine_id", "z", "y", "x") for i in range(1, 5)])
+    return W.stack_time([t.where(F.col("timepoint") == i).select("spine_id", "z", "y", "x") for i in range(1, 32)])
 
 
 @query("j15_link_nearest", f"WITH {T_SQL}, p AS (SELECT a.timepoint, a.spine_id AS source, b.spine_id AS target, sqrt((a.z - b.z) ** 2 + (a.y - b.y) ** 2 + (a.x - b.x) ** 2) AS distance, b.z, b.y, b.x FROM tr a JOIN tr b ON b.timepoint = a.timepoint + 1) SELECT timepoint::BIGINT AS timepoint, source, target, round(distance, 6) AS distance FROM p QUALIFY row_number() OVER (PARTITION BY timepoint, source ORDER BY distance, z, y, x, target) = 1")
