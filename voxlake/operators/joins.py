@@ -45,14 +45,14 @@ def _distance(a: str, b: str, sampling: tuple[float, float, float]) -> Column:
 
 
 def nearest_point(points: DataFrame, targets: DataFrame, keys: list[str], payload: list[str], sampling: tuple[float, float, float] = (1.0, 1.0, 1.0), cell: float = 4.0, max_dist: float | None = None, rounds: int = 8) -> DataFrame:
-    """The nearest target of every point (ties: smallest z, y, x, then payload), by a grid whose cells double until all are matched.
+    """The nearest target of every point (ties, up to 1e-9: smallest z, y, x, then payload), by a grid whose cells double until all are matched.
 
     points: keys, image_id, z, y, x; targets: image_id, z, y, x, payload.  A match counts once it is nearer than the searched ring is wide;
     points beyond max_dist, or without any target in reach of the last ring, get nulls.
     """
     grid = lambda size: [F.floor(F.col(c) * s / size).cast("long").alias(f"g{c}") for c, s in zip("zyx", sampling, strict=True)]
     todo, found_all, size = points.select(*keys, "image_id", "z", "y", "x"), [], cell
-    order = F.struct(F.col("distance"), F.col("tz"), F.col("ty"), F.col("tx"), *payload)
+    order = F.struct(F.round("distance", 9).alias("d"), F.col("tz"), F.col("ty"), F.col("tx"), *payload)
     around = F.explode(F.array(*[F.struct(*[F.lit(d).alias(n) for d, n in zip(ds, ("dz", "dy", "dx"), strict=True)]) for ds in product((-1, 0, 1), repeat=3)])).alias("d")
     for k in range(rounds):
         last = k == rounds - 1 or max_dist is not None and size >= max_dist

@@ -152,8 +152,8 @@ _DENSITY = f"""WITH RECURSIVE {V_SQL}, {_cc_sql('cls >= 2', 6, 'e')}, {_cc_sql('
   dl AS (SELECT image_id, label FROM e GROUP BY ALL HAVING count(*) >= 3), dn AS (SELECT {VKS}, dense_rank() OVER (PARTITION BY image_id ORDER BY label) AS dendrite_id FROM e SEMI JOIN dl USING (image_id, label)),
   st AS (SELECT image_id, dendrite_id, count(*) FILTER (x % 2 = 0) AS length, count(*) AS volume FROM dn GROUP BY ALL),
   sp AS (SELECT image_id, label, count(*) AS area, round(avg(z), 4) AS z, round(avg(y), 4) AS y, round(avg(x), 4) AS x, round(avg(v1), 4) AS mean_int FROM s JOIN v USING ({VKS}) GROUP BY image_id, label HAVING count(*) > 1 AND count(*) < 60),
-  nr AS (SELECT sp.*, dendrite_id FROM sp JOIN dn k USING (image_id) WHERE (sp.z - k.z) ** 2 + (sp.y - k.y) ** 2 + (sp.x - k.x) ** 2 <= 16 QUALIFY row_number() OVER (PARTITION BY image_id, sp.label ORDER BY (sp.z - k.z) ** 2 + (sp.y - k.y) ** 2 + (sp.x - k.x) ** 2, k.z, k.y, k.x) = 1)
-  SELECT image_id, dendrite_id, count(*) AS total_spines, round(avg(area), 6) AS avg_area, round(avg(mean_int), 2) AS avg_mean_int, any_value(length) AS length, any_value(volume) AS volume, round(count(*) / nullif(any_value(length), 0), 6) AS spines_per_um, round(count(*) / any_value(volume), 6) AS spines_per_um3
+  nr AS (SELECT sp.*, dendrite_id FROM sp JOIN dn k USING (image_id) WHERE (sp.z - k.z) ** 2 + (sp.y - k.y) ** 2 + (sp.x - k.x) ** 2 <= 16 QUALIFY row_number() OVER (PARTITION BY image_id, sp.label ORDER BY round(sqrt((sp.z - k.z) ** 2 + (sp.y - k.y) ** 2 + (sp.x - k.x) ** 2), 9), k.z, k.y, k.x) = 1)
+  SELECT image_id, dendrite_id, count(*) AS total_spines, round(avg(area), 6) AS avg_area, round(avg(mean_int) + 1e-7, 2) AS avg_mean_int, any_value(length) AS length, any_value(volume) AS volume, round(count(*) / nullif(any_value(length), 0), 6) AS spines_per_um, round(count(*) / any_value(volume), 6) AS spines_per_um3
   FROM nr JOIN st USING (image_id, dendrite_id) GROUP BY image_id, dendrite_id"""
 
 
@@ -169,5 +169,5 @@ def spine_density(spark, d):
     stats = dendrites.groupBy("image_id", "dendrite_id").agg(F.count_if(F.col("x") % 2 == 0).alias("length"), F.count("*").alias("volume"))
     table = kept.join(near.select("image_id", "label", "dendrite_id"), ["image_id", "label"])
     out = A.dendrite_summary(table, stats.withColumns({c: F.col(c).cast("double") for c in ("length", "volume")}), ["area", "mean_int"])
-    out = rounded(out).withColumns({c: F.col(c).cast("long") for c in ("length", "volume")})
-    return out.withColumn("avg_mean_int", F.round("avg_mean_int", 2))
+    out = out.withColumn("avg_mean_int", F.round(F.col("avg_mean_int") + 1e-7, 2))
+    return rounded(out).withColumns({c: F.col(c).cast("long") for c in ("length", "volume")})

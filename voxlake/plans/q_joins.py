@@ -30,7 +30,7 @@ def _(spark, d):
 
 _CENTRE = f"c AS (SELECT image_id, label, round(avg(z), 4) AS z, round(avg(y), 4) AS y, round(avg(x), 4) AS x FROM ov GROUP BY ALL)"
 _NEAREST = """SELECT c.image_id, c.label, round(sqrt((c.z - k.z) ** 2 + (c.y - k.y) ** 2 + (c.x - k.x) ** 2), 6) AS distance, {pick} FROM c JOIN k USING (image_id) {where}
-  QUALIFY row_number() OVER (PARTITION BY c.image_id, c.label ORDER BY (c.z - k.z) ** 2 + (c.y - k.y) ** 2 + (c.x - k.x) ** 2, k.z, k.y, k.x) = 1"""
+  QUALIFY row_number() OVER (PARTITION BY c.image_id, c.label ORDER BY round(sqrt((c.z - k.z) ** 2 + (c.y - k.y) ** 2 + (c.x - k.x) ** 2), 9), k.z, k.y, k.x) = 1"""
 
 
 def _centres(spark, d):
