@@ -31,7 +31,7 @@ PER_LANG = 4000
 MAX_WORDS = 100_000
 MAX_GRAMS = 200_000
 KNOWN = 1_000_000  # runs of letters that a worker remembers
-SENT = 60_000  # words that a task counts before it sends them
+SENT = 20_000  # words that a task counts before it sends them
 BYTES = 2 << 20
 DAMP = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
