@@ -37,12 +37,12 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def unrepeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: repeated bytes go, and with them documents of which nothing is left."""
-    cut = repeats.remove_repeats(docs.select("doc_id", "text")).where("doc_id is not null and n_removed > 0")
-    cut = cut.select("doc_id", F.col("kept").alias("rest"))
-    joined = docs.select(*COLUMNS).join(cut.dropDuplicates(["doc_id"]), "doc_id", "left")
-    text = F.coalesce("rest", "text")
-    kept = joined.where(F.col("rest").isNull() | (F.length(F.trim("rest")) > 0))
-    return kept.select("doc_id", text.alias("text"), "lang", "source", F.when(F.col("rest").isNull(), F.col("n_chars")).otherwise(F.length("rest").cast("long")).alias("n_chars"))
+    rows = docs.select(*COLUMNS).withColumn("no_text", F.col("text").isNull())
+    cut = repeats.remove_repeats(rows, carry=("lang", "source", "n_chars", "no_text"))
+    changed = F.col("n_removed") > 0
+    cut = cut.where(~changed | (F.length(F.trim("kept")) > 0))
+    text = F.when(~F.col("no_text"), F.col("kept"))
+    return cut.select("doc_id", text.alias("text"), "lang", "source", F.when(changed, F.length("kept").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
 
 
 def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,6 +93,32 @@ def test_repeats_odd_tables(spark):
     assert sorted(r.n_removed for r in repeats.remove_repeats(odd).collect()) == [0, 0, 0]
 
 
+def test_repeats_of_one_id(spark):
+    """Rows of one id, with equal and with different texts, are documents of their own in text order."""
+    rng = random.Random(6)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    a, b, c = text(400), text(900), text(250)
+    rows = [(5, a), (5, a), (3, b), (3, b[:300] + c), (4, b[100:260] + a[:150]), (3, None), (6, c[:120]), (None, a)]
+    rows += [(7, text(2000)), (7, a[:200] + text(101)), (8, "x" * 100)]
+    ranked = sorted(((i, t) for i, t in rows if i is not None), key=lambda r: (r[0], r[1] or ""))
+    want = [(ranked[k][0], *v) for k, v in brute_repeats([(k, t) for k, (_, t) in enumerate(ranked)]).items()]
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = [tuple(r)[:5] for r in repeats.remove_repeats(df).collect()]
+        assert sorted(r for r in got if r[0] is not None) == sorted(want)
+        assert [r[1:4] for r in got if r[0] is None] == [(400, 0, 0)]
+
+
+def test_repeats_stage_of_one_id(spark):
+    import corpus_pipeline
+
+    a, b = "".join(map(str, range(500, 550))), "".join(map(str, range(90)))
+    rows = [(1, a, "en", "p", 150), (1, b, "de", "q", 170), (2, a, "fr", "r", 150), (3, b + "tail", "es", "s", 174), (None, None, "en", "t", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {tuple(r) for r in corpus_pipeline.unrepeated_text(spark, docs, "").collect()}
+    assert got == {*rows[:2], (3, "tail", "es", "s", 4), rows[4]}
+
+
 def test_simhash_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = docs.select("doc_id", "text").collect()

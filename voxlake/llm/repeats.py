@@ -14,9 +14,9 @@ This module reaches the same exact result with work linear in the corpus:
 Hot anchors: each task collapses what it has seen itself, so a passage that a third of all documents share adds at most
 one row per task to the task that owns its anchor.
 
-Nulls and empty texts have no windows and come back with zero counts.  Rows with a null doc_id are left out of the result.
-Repeated doc_ids: rows with the same id count as repeated copies of one document, in text order; the later are removed
-like any other copy.  Extra columns are ignored.
+Nulls and empty texts have no windows and come back with zero counts.  Rows with a null doc_id come back uncut, with zero counts.
+Repeated doc_ids: rows with the same id are documents of their own, in text order; what the later repeat is removed
+like any other copy.  Extra columns are ignored unless `carry` names them.
 """
 
 from __future__ import annotations
@@ -208,7 +208,7 @@ def _by_document(joined: bool):
             b = bounds[i : i + 2001]
             off = pa.array((b - b[0]).astype(np.int32))
             lists = [pa.ListArray.from_arrays(off, pa.array(c[b[0] : b[-1]].astype(np.int32))) for c in (s, n)]
-            yield pa.RecordBatch.from_arrays([pa.array(doc[b[:-1]]), *lists], ["doc_id", "s", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(doc[b[:-1]]), *lists], ["place", "s", "n"])
 
     return run
 
@@ -321,28 +321,39 @@ def _cut(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.Reco
             bound = (starts - total[starts]).tolist() + [len(keep)]
             kept = [keep[bound[k] : bound[k + 1]].tobytes() for k in range(m)]
             sha = [hashlib.sha256(x).hexdigest() for x in kept]
+            carried = {name: batch.column(c).slice(i, m) for c, name in enumerate(batch.schema.names) if c > 3}
             cols = [batch.column(0).slice(i, m), pa.array(size), pa.array(removed), pa.array(spans), pa.array(sha, pa.string()), pa.array([x.decode("utf-8", "ignore") for x in kept] if with_text else [None] * m, pa.string())]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            yield pa.RecordBatch.from_arrays([*cols, *carried.values()], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *carried])
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): each text without bytes of strings that start earlier.
+def _placed(texts: DataFrame) -> DataFrame:
+    """Texts with a place for every row, in the order of doc_id, then text: the doc_id where none is repeated, else a rank written with the texts."""
+    again = texts.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    if again.isEmpty():
+        return texts.withColumn("place", F.col("doc_id"))
+    ranked = texts.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text").withColumn("place", F.monotonically_increasing_id())
+    return saved(ranked, "repeats-placed")
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, carry...): each text without bytes of strings that start earlier.
 
     kept_sha256 is of the bytes that are left; kept is their text, without the halves of characters that a cut went through.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    known = texts.where("doc_id is not null and length(text) >= 100")
+    texts = _placed(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *carry))
+    known = texts.where("doc_id is not null and length(text) >= 100").select("place", "text")
     routed = known.mapInArrow(_scan, "key long, kind byte, g long, doc long, s int, n int").repartition("key")
-    flat, lists = "kind byte, doc long, s int, n int", "doc_id long, s array<int>, n array<int>"
+    flat, lists = "kind byte, doc long, s int, n int", "place long, s array<int>, n array<int>"
     spans = saved(routed.mapInArrow(_decide, flat), "repeats")
     del routed
     release(docs.sparkSession)
     todo = spans.where(F.col("kind") == OPEN).repartition("doc").mapInArrow(_by_document(False), lists)
-    windows = known.join(todo, "doc_id").select("doc_id", "text", "s", "n").mapInArrow(_windows, "w long, a int, doc long, s int, n int").repartition("w", "a")
+    windows = known.join(todo, "place").select("place", "text", "s", "n").mapInArrow(_windows, "w long, a int, doc long, s int, n int").repartition("w", "a")
     fine = saved(windows.mapInArrow(_compare, flat), "repeats-fine")
     del windows, todo
     release(docs.sparkSession)
     gone = spans.where(F.col("kind") == REMOVED).unionAll(fine).repartition("doc").mapInArrow(_by_document(True), lists)
     none = F.array().cast("array<int>")
-    joined = texts.join(gone, "doc_id", "left").select("doc_id", "text", F.coalesce("s", none).alias("s"), F.coalesce("n", none).alias("n"))
-    return joined.mapInArrow(lambda batches: _cut(batches, with_text), RESULT)
+    joined = texts.join(gone, "place", "left").select("doc_id", "text", F.coalesce("s", none).alias("s"), F.coalesce("n", none).alias("n"), *carry)
+    types = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return joined.mapInArrow(lambda batches: _cut(batches, with_text), RESULT + types)
