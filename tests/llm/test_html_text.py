@@ -26,6 +26,20 @@ def test_broken_pages():
     assert html_text.extract_one("<script>") == html_text.extract_one("") == html_text.extract_one(None) == ""
 
 
+def test_long_bodies_inside_an_article():
+    prose = lambda n: "".join(f"<p>Paragraph {i}, with some commas, and enough words, to score as prose would, if it were read.</p>" for i in range(n))
+    lines = lambda n: [f"Paragraph {i}, with some commas, and enough words, to score as prose would, if it were read." for i in range(n)]
+    menu = "<ul><li><a href='/a'>Another page</a></li><li><a href='/b'>One more page</a></li></ul>"
+    for n in (1, 3, 20, 60):
+        for tag in ("article", "main"):
+            page = f"<body><{tag}><h1><a href='/'>Short title</a></h1><p>Short lead.</p><div>{prose(n)}</div><section><p>Small end.</p></section></{tag}></body>"
+            assert html_text.extract_one(page).split("\n") == ["Short title", "Short lead.", *lines(n), "Small end."]
+        page = f"<body><main><article><div><h2>T</h2></div><section>{prose(n)}</section><section>{prose(2)}<div><p>Tail.</p></div></section></article></main></body>"
+        assert html_text.extract_one(page).split("\n") == ["T", *lines(n), *lines(2), "Tail."]
+    page = f"<article><h1>Title</h1>{menu}<div>{prose(30)}{menu}</div><p>End.</p></article>"
+    assert html_text.extract_one(page).split("\n") == ["Title", *lines(30), "Another page", "One more page", "End."]
+
+
 def test_table(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     rows = {r.page_id: r for r in html_text.extract(pages).collect()}

@@ -2,7 +2,8 @@
 
 A page becomes a tree of blocks.  Paragraph-like blocks score by length and commas, and pass their points to their ancestors (whole
 to the parent, half to the next, a third beyond); an ancestor's points are discounted by its link density.  The container with most
-points is kept with the siblings that score alike or read like prose.  Subtrees that are never content (scripts, styles, forms, navigation,
+points is kept with the siblings that score alike or read like prose; if it lies in an article (or else main), the outermost is kept so as a
+whole, but for blocks beside the best container that are mostly links.  Subtrees that are never content (scripts, styles, forms, navigation,
 headers and footers of the page, asides, and classes or ids that name menus, adverts, notices, comments and the like) are dropped first.
 
 Inside the kept part each block's white space becomes one space; blocks are joined by newlines.  Character references are decoded.  Null and
@@ -26,6 +27,8 @@ RAW = frozenset("script style noscript template textarea title iframe svg math s
 DROPPED = frozenset("nav aside form button menu dialog fieldset label head footer".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 SCORED = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+HOLDERS = frozenset("div dl ol section table ul".split())
 ENDS_P = BLOCKS - {"body", "html"}
 #: Words in classes and ids of parts that are not content, and of parts that are.
 UNLIKELY = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|comment-?list|consent|cookies?|disqus|footer|gdpr|header|login|masthead|menu|modal|nav\w*|newsletter|notice|paywall|pager|pagination|popup|promo\w*|recommend\w*|related|replies|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|subscription|tags|teaser|toolbar|widget)(?:$|[\s_-])", re.I)
@@ -145,6 +148,41 @@ def _walk(top: Node) -> list[Node]:
     return out
 
 
+def _article(node: Node) -> Node:
+    """The outermost article around a node or that it is; else the outermost main, else the node."""
+    found = {}
+    other: Node | None = node
+    while other is not None:
+        found[other.tag] = other
+        other = other.parent
+    return found.get("article") or found.get("main") or node
+
+
+def _drop_links(whole: Node, chosen: Node) -> None:
+    """Drops blocks inside a node, beside the chosen one, that are mostly links; headings are no menu, linked or not."""
+    around = set()
+    other: Node | None = chosen
+    while other is not None:
+        around.add(id(other))
+        other = other.parent
+    nodes = _walk(whole)
+    linked: dict[int, int] = {}
+    for node in reversed(nodes):
+        own = 0 if node.tag in HEADINGS else node.linked if node.tag == "a" else linked.get(id(node), 0)
+        linked[id(node)] = own
+        if node.parent is not None:
+            linked[id(node.parent)] = linked.get(id(node.parent), 0) + own
+    stack = [whole]
+    while stack:
+        node = stack.pop()
+        for x in node.items:
+            if isinstance(x, Node) and not x.dropped and x is not chosen:
+                if x.tag in HOLDERS and id(x) not in around and linked[id(x)] > 0.5 * x.text:
+                    x.dropped = True
+                else:
+                    stack.append(x)
+
+
 def best(top: Node) -> list[Node]:
     """The best container and its kept siblings, in page order."""
     nodes = _walk(top)
@@ -174,13 +212,16 @@ def best(top: Node) -> list[Node]:
     if not chosen.points or chosen.parent is None:
         return [chosen]
     floor = max(10.0, chosen.points * 0.2)
+    whole = _article(chosen)
+    if whole is not chosen:
+        _drop_links(whole, chosen)
     out = []
-    for other in chosen.parent.items:
-        if other is chosen:
+    for other in whole.parent.items:
+        if other is whole:
             out.append(other)
         elif isinstance(other, Node) and not other.dropped and other.text:
             density = other.linked / other.text
-            prose = other.tag in ("p", "h1", "h2", "h3", "blockquote", "pre") and density < 0.25 and (other.text > 80 or chosen.tag == "p")
+            prose = other.tag in ("p", "h1", "h2", "h3", "blockquote", "pre") and density < 0.25 and (other.text > 80 or whole.tag == "p")
             if prose or other.points >= floor and density < 0.25:
                 out.append(other)
     return out
