@@ -24,3 +24,25 @@ def test_tree_and_odd_rows(spark):
     want = [(1, "MIT", "file", "LICENSE"), (2, "MIT", "inherited", "LICENSE"), (3, "GPL-3.0", "file", "a/b/LICENSE"), (4, "GPL-3.0", "inherited", "a/b/LICENSE"), (5, "CC-BY-NC-4.0", "header", "a/b/c/e.py"), (6, "MIT", "inherited", "LICENSE"), (7, "GPL-3.0", "file", None), (8, None, "none", None), (9, "MIT", "inherited", "LICENSE")]
     assert got == want
     assert licenses.scan(df.limit(0), ["id"]).count() == 0
+
+
+def test_full_texts_pass_on(spark):
+    """Full licence texts, wrapped as usual, in files with the usual names: their directories inherit."""
+    body = "You may convey the work under these terms,\nwith every notice of the holders kept intact.\n" * 300
+    mit = "MIT License\n\nCopyright (c) 2020 A. Holder\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction.\n" + body[:900]
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n" + body + "* Neither the name of the holder\n"
+    texts = {
+        "gpl/COPYING": ("GPL-3.0", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n" + body + "GNU Affero General Public License"),
+        "lgpl/COPYING.LESSER": ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n" + body),
+        "apache/LICENSE.txt": ("Apache-2.0", "                                 Apache License\n                           Version 2.0, January 2004\n" + body),
+        "mit/LICENSE": ("MIT", mit),
+        "bsd/LICENCE.md": ("BSD-3-Clause", bsd),
+        "note/LICENSE-MIT": ("MIT", body + "Released under the MIT License.\n" + body),
+        "cc/license": ("CC-BY-NC-4.0", "Attribution-NonCommercial 4.0 International\n" + body),
+    }
+    rows = [(p, t) for p, (_, t) in texts.items()] + [(p.split("/")[0] + "/src/a.py", "nothing here") for p in texts]
+    rows += [("code/license.py", "Some words here.\nReleased under the MIT License.\n" + body), ("code/b.py", "nothing"), ("none/LICENSE", body), ("none/c.py", "nothing")]
+    got = {r.path: (r.license, r.found, r.license_path) for r in licenses.scan(spark.createDataFrame(rows, "path string, text string"), []).collect()}
+    want = {p: (name, "file", p) for p, (name, _) in texts.items()} | {p.split("/")[0] + "/src/a.py": (name, "inherited", p) for p, (name, _) in texts.items()}
+    want |= {"code/license.py": ("MIT", "header", "code/license.py")} | {p: (None, "none", None) for p in ("code/b.py", "none/LICENSE", "none/c.py")}
+    assert got == want

@@ -4,7 +4,8 @@ Units of a file are its sentences (line feeds and sentence ends cut them; unit 1
 and its whole text (unit 0), which makes it a licence file of its directory.  Vectors are tf-idf over the templates' vocabulary, with document
 frequencies over all files; every other word of a unit counts once, at the largest idf, in its norm.  A unit's licence is the
 template with the highest cosine of at least `threshold` (ties: first in order).  A file's own licence is its best unit's (ties: whole text
-first, then the first sentence).  A file without one takes that of the nearest directory above that holds a licence file (the best scored,
+first, then the first sentence).  A file with a licence file's name (LICENSE, COPYING, ...) is a licence file of its directory by any of its
+units; if it holds the title or the grant of a full licence text, the first of these is its licence (unit 0, score 1).  A file without one takes that of the nearest directory above that holds a licence file (the best scored,
 ties: smallest path).
 
 Only DataFrame functions are used.  Units without any signature word are not scored: signature words are chosen so that what is left
@@ -44,6 +45,23 @@ TEMPLATES = (
     ("MPL-2.0", "This source code form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+#: Names of licence files.
+NAMED = r"(?i)^(.*[-._])?(un)?(licen[cs]e|copying)([-._](txt|md|markdown|rst|html?|lesser|mit|apache|bsd|[al]?gpl|mpl|cc0|cc|by|nc|sa|v?[0-9]+|clause))*$"
+#: Words by which full licence texts are told, and words that must be in the text too.
+TEXTS = (
+    ("Apache-2.0", "apache license version 2 0 january 2004", ""),
+    ("BSD-3-Clause", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "neither the name"),
+    ("CC-BY-4.0", "attribution 4 0 international", ""),
+    ("CC-BY-NC-4.0", "attribution noncommercial 4 0 international", ""),
+    ("CC-BY-SA-4.0", "attribution sharealike 4 0 international", ""),
+    ("CC0-1.0", "cc0 1 0 universal", ""),
+    ("GPL-2.0", "gnu general public license version 2 june 1991", ""),
+    ("GPL-3.0", "gnu general public license version 3 29 june 2007", ""),
+    ("LGPL-3.0", "gnu lesser general public license version 3 29 june 2007", ""),
+    ("MIT", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ""),
+    ("MPL-2.0", "mozilla public license version 2 0", ""),
+    ("Unlicense", "this is free and unencumbered software released into the public domain", ""),
+)
 
 
 def words(text: str) -> list[str]:
@@ -101,6 +119,20 @@ def _join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFra
     return left.join(right, match, how).drop(*[f"other_{c}" for c in on])
 
 
+def full_texts(named: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows like those of scored units, of licence files by name that hold a full licence text: the one that starts first."""
+    plain = F.concat(F.lit(" "), F.array_join(tokens(F.col("text")), " "), F.lit(" "))
+    files = named.where(is_named(F.col("path")) & F.col("text").isNotNull()).select(*keys, "path", plain.alias("plain"))
+    at = [F.when(F.col("plain").contains(also), F.nullif(F.locate(f" {start} ", F.col("plain")), F.lit(0))) for _, start, also in TEXTS]
+    first = F.array_min(F.filter(F.array(*[F.when(c.isNotNull(), F.struct(c.alias("at"), F.lit(name).alias("license"))) for c, (name, *_) in zip(at, TEXTS, strict=True)]), lambda x: x.isNotNull()))
+    found = files.select(*keys, "path", first.alias("b")).where("b is not null")
+    return found.select(*keys, "path", F.lit(0).alias("unit"), F.lit(-1).alias("template"), "b.license", F.lit(1.0).alias("score"))
+
+
+def is_named(path):
+    return F.coalesce(F.regexp_extract(path, "[^/]*$", 0).rlike(NAMED), F.lit(False))
+
+
 def scan(files: DataFrame, keys: list[str], path_col: str = "path", text_col: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(*keys, path, license, score, found, unit, license_path) of every file; found: header, file, inherited or none."""
     spark = files.sparkSession
@@ -123,11 +155,12 @@ def scan(files: DataFrame, keys: list[str], path_col: str = "path", text_col: st
     dots = tf.join(F.broadcast(table), "word").groupBy(*group, "template", "license").agg(F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot"))
     cosine = F.round(F.col("dot") / F.col("norm"), 6)
     scored = _join(dots, norms, group, "inner").select(*group, "template", "license", cosine.alias("score")).where(F.col("score") >= threshold)
+    scored = scored.unionByName(full_texts(named, keys))
     order = F.struct(-F.col("score"), F.col("unit"), F.col("template"))
     own = scored.groupBy(*keys, "path").agg(F.min_by(F.struct("license", "score", "unit"), order).alias("b"))
     own = own.select(*keys, "path", "b.license", "b.score", "b.unit")
     folder = lambda c: F.regexp_replace(c, "/?[^/]*$", "")
-    texts = scored.where("unit = 0 and path is not null").select(folder(F.col("path")).alias("dir"), "path", "license", "score", "template")
+    texts = scored.where((F.col("unit") == 0) | is_named(F.col("path"))).where("path is not null").select(folder(F.col("path")).alias("dir"), "path", "license", "score", "template")
     held = texts.groupBy("dir").agg(F.min_by(F.struct("license", "score", "path"), F.struct(-F.col("score"), F.col("path"), F.col("template"))).alias("l"))
     dirs = named.where("path is not null").select(folder(F.col("path")).alias("own_dir")).distinct()
     steps = F.split("own_dir", "/")
@@ -136,12 +169,12 @@ def scan(files: DataFrame, keys: list[str], path_col: str = "path", text_col: st
     full = _join(named.drop("text"), own, [*keys, "path"], "left")
     full = full.withColumn("own_dir", folder(F.col("path"))).join(nearest, "own_dir", "left")
     mine = F.col("license").isNotNull()
-    found = F.when(mine & (F.col("unit") == 0), "file").when(mine, "header").when(F.col("l").isNotNull(), "inherited").otherwise("none")
+    found = F.when(mine & ((F.col("unit") == 0) | is_named(F.col("path"))), "file").when(mine, "header").when(F.col("l").isNotNull(), "inherited").otherwise("none")
     return full.select(*keys, "path", F.coalesce("license", "l.license").alias("license"), F.coalesce("score", "l.score").alias("score"), found.alias("found"), "unit", F.when(mine, F.col("path")).otherwise(F.col("l.path")).alias("license_path"))
 
 
 def oracle(table: str, key: str, path: str, templates=TEMPLATES, threshold: float = THRESHOLD) -> str:
-    """The same in DuckDB SQL, without the signature words."""
+    """The same in DuckDB SQL, without the signature words; for files without a licence file's name."""
     rows = ", ".join(f"({i}, '{name}', '{w}', {n})" for i, (name, text) in enumerate(templates) for w, n in sorted(Counter(words(text)).items()))
     return f"""
 WITH tpl(template, license, word, tf) AS (VALUES {rows}),
