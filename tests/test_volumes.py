@@ -128,3 +128,13 @@ def test_noise_is_repeatable(spark):
     vox = volume(spark, cube(0, 0, 0)).withColumn("v", F.lit(5.0))
     a, b = ([r.v for r in L.poisson_noise(vox.repartition(n), "v", 1.0, 3).orderBy(*VK).collect()] for n in (1, 4))
     assert a == b and len(set(a)) > 1 and abs(np.mean(a) - 5) < 2
+
+
+def test_depth_beyond_the_first_cap(spark):
+    thick = volume(spark, cube(0, 0, 0, 9)).withColumn("label", F.lit(1).cast("long"))
+    deep = G.deepest_point(thick, 2).first()
+    assert (deep.z, deep.y, deep.x, deep.distance) == (4, 4, 4, 5.0)
+    assert (4, 4, 4) in cells(G.seeds_from_distance(thick, 0.7, 2))
+    line = volume(spark, [(0, 0, x) for x in range(12)])
+    far = {r.x: r.distance for r in G.full_distance(line, line.where("x = 0"), 2).collect()}
+    assert far == {x: float(x) for x in range(12)}

@@ -144,9 +144,29 @@ def inside_distance(vox: DataFrame, cap: int) -> DataFrame:
     return distance_to(own, shell, cap)
 
 
+def full_distance(vox: DataFrame, targets: DataFrame, cap: int) -> DataFrame:
+    """J7 without a limit: the cap doubles for the voxels that are still null, until none is left; null only where an image has no target."""
+    reachable = targets.select("image_id", "t").distinct()
+    done, todo = [vox.join(reachable, ["image_id", "t"], "left_anti").withColumn("distance", F.lit(None).cast("double"))], vox.join(reachable, ["image_id", "t"], "left_semi")
+    while True:
+        found = saved(distance_to(todo, targets, cap), "distance")
+        done.append(found.where("distance is not null"))
+        todo = found.where("distance is null").drop("distance")
+        if todo.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        cap *= 2
+
+
+def full_depth(vox: DataFrame, cap: int) -> DataFrame:
+    """inside_distance at every depth; cap is where the search begins."""
+    own = vox.select(*VK).distinct()
+    shell = saved(dilate(own, offsets(26)).join(own, VK, "left_anti"), "shell")
+    return full_distance(own, shell, cap)
+
+
 def seeds_from_distance(vox: DataFrame, frac: float = 0.1, cap: int = 8) -> DataFrame:
     """6-connected components of the voxels deeper than a share of their image's greatest depth."""
-    deep = saved(inside_distance(vox, cap), "depth")
+    deep = saved(full_depth(vox, cap), "depth")
     top = deep.groupBy("image_id").agg(F.max("distance").alias("top"))
     return label_components(deep.join(top, "image_id").where(F.col("distance") > frac * F.col("top")), 6)
 
@@ -273,7 +293,7 @@ def path_cost_field(objects: DataFrame, target: DataFrame, intensity: DataFrame,
     from voxlake.functions.scalar import gamma
     from voxlake.operators.filters import gaussian
 
-    away = distance_to(intensity.select(*VK, value), target, cap).withColumn("distance", F.coalesce("distance", F.lit(float(cap))))
+    away = full_distance(intensity.select(*VK, value), target, cap).withColumn("distance", F.coalesce("distance", F.lit(float(cap))))
     top = away.groupBy("image_id").agg(F.max(value).alias("top"), F.max("distance").alias("far"))
     own = objects.select(*VK).distinct().withColumn("own", F.lit(True))
     g = away.join(top, "image_id").join(own, VK, "left").withColumn("g", F.when(F.col("own"), 0.0).otherwise(gamma(F.col(value), F.col("top"))))
@@ -339,6 +359,6 @@ def least_cost_path(cost: DataFrame, starts: DataFrame, ends: DataFrame, steps:
 
 def deepest_point(vox: DataFrame, cap: int) -> DataFrame:
     """The voxel of each object with the greatest depth; ties: smallest z, y, x."""
-    deep = inside_distance(vox, cap).join(vox.select(*VK, "label"), VK)
-    order = F.struct(-F.coalesce("distance", F.lit(float(cap))), F.col("z"), F.col("y"), F.col("x"))
+    deep = full_depth(vox, cap).join(vox.select(*VK, "label"), VK)
+    order = F.struct(-F.col("distance"), F.col("z"), F.col("y"), F.col("x"))
     return deep.groupBy("image_id", "t", "label").agg(F.min_by(F.struct("z", "y", "x", "distance"), order).alias("p")).select("image_id", "t", "label", "p.*")
