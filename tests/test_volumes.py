@@ -138,3 +138,9 @@ def test_depth_beyond_the_first_cap(spark):
     line = volume(spark, [(0, 0, x) for x in range(12)])
     far = {r.x: r.distance for r in G.full_distance(line, line.where("x = 0"), 2).collect()}
     assert far == {x: float(x) for x in range(12)}
+
+
+def test_nearest_far_away(spark):
+    frames = spark.createDataFrame([(1, 0, 0.0, 0.0, 0.0), (2, 1, 0.0, 0.0, 5000.0), (3, 1, 0.0, 5001.0, 0.0)], "spine_id long, timepoint long, z double, y double, x double")
+    got = {r.source: (r.target, r.distance) for r in J.link_nearest(frames).collect()}
+    assert got == {1: (2, 5000.0), 2: (None, None), 3: (None, None)}

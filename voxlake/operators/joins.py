@@ -44,24 +44,26 @@ def _distance(a: str, b: str, sampling: tuple[float, float, float]) -> Column:
     return F.sqrt(sum(((F.col(f"{a}{c}") - F.col(f"{b}{c}")) * s) ** 2 for c, s in zip("zyx", sampling, strict=True)))
 
 
-def nearest_point(points: DataFrame, targets: DataFrame, keys: list[str], payload: list[str], sampling: tuple[float, float, float] = (1.0, 1.0, 1.0), cell: float = 4.0, max_dist: float | None = None, rounds: int = 8) -> DataFrame:
+def nearest_point(points: DataFrame, targets: DataFrame, keys: list[str], payload: list[str], sampling: tuple[float, float, float] = (1.0, 1.0, 1.0), cell: float = 4.0, max_dist: float | None = None) -> DataFrame:
     """The nearest target of every point (ties, up to 1e-9: smallest z, y, x, then payload), by a grid whose cells double until all are matched.
 
     points: keys, image_id, z, y, x; targets: image_id, z, y, x, payload.  A match counts once it is nearer than the searched ring is wide;
-    points beyond max_dist, or without any target in reach of the last ring, get nulls.
+    points beyond max_dist, or in an image without any target, get nulls.
     """
     grid = lambda size: [F.floor(F.col(c) * s / size).cast("long").alias(f"g{c}") for c, s in zip("zyx", sampling, strict=True)]
-    todo, found_all, size = points.select(*keys, "image_id", "z", "y", "x"), [], cell
+    asked, found_all, size = points.select(*keys, "image_id", "z", "y", "x"), [], cell
+    placed = " and ".join(f"abs({c}) < 1e15" for c in "zyx")  # neither null nor NaN
+    todo = asked.where(placed).join(targets.where(placed).select("image_id").distinct(), "image_id", "left_semi")
     order = F.struct(F.round("distance", 9).alias("d"), F.col("tz"), F.col("ty"), F.col("tx"), *payload)
     around = F.explode(F.array(*[F.struct(*[F.lit(d).alias(n) for d, n in zip(ds, ("dz", "dy", "dx"), strict=True)]) for ds in product((-1, 0, 1), repeat=3)])).alias("d")
-    for k in range(rounds):
-        last = k == rounds - 1 or max_dist is not None and size >= max_dist
+    while True:
+        last = max_dist is not None and size >= max_dist
         near = todo.select(*keys, "image_id", *[F.col(c).alias(f"p{c}") for c in "zyx"], *grid(size)).select("*", around)
         near = near.select(*keys, "image_id", "pz", "py", "px", *[(F.col(f"g{c}") + F.col(f"d.d{c}")).alias(f"g{c}") for c in "zyx"])
         there = targets.select("image_id", *[F.col(c).alias(f"t{c}") for c in "zyx"], *payload, *grid(size))
         found = near.join(there, ["image_id", "gz", "gy", "gx"]).withColumn("distance", _distance("p", "t", sampling))
         best = found.groupBy(*keys, "image_id").agg(F.min_by(F.struct("distance", *payload), order).alias("b"))
-        sure = saved(best if last else best.where(F.col("b.distance") <= size), "nearest")
+        sure = saved(best.where(F.col("b.distance") <= size), "nearest")
         found_all.append(sure if max_dist is None else sure.where(F.col("b.distance") <= max_dist))
         if last:
             break
@@ -69,7 +71,8 @@ def nearest_point(points: DataFrame, targets: DataFrame, keys: list[str], payloa
         if todo.isEmpty():
             break
         size *= 2
-    return reduce(DataFrame.unionByName, found_all).select(*keys, "image_id", "b.*")
+    found = reduce(DataFrame.unionByName, found_all).select(*keys, "image_id", "b.*")
+    return asked.select(*keys, "image_id").distinct().join(found, [*keys, "image_id"], "left")
 
 
 def distance_to(vox: DataFrame, targets: DataFrame, cap: int, sampling: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:

@@ -165,7 +165,7 @@ def spine_density(spark, d):
     dendrites = A.filter_components(G.label_components(vox.where("cls >= 2"), 6), 3).select(*VK, F.col("label").alias("dendrite_id"))
     props = A.region_props(spines.join(vox.select(*VK, "v1"), VK), "v1")
     kept = P.filter_by_volume(props, 1, 60).select("image_id", "label", "area", *[F.round(f"centroid_{c}", 4).alias(c) for c in "zyx"], F.round("mean_int", 4).alias("mean_int"))
-    near = J.nearest_point(kept, dendrites, ["label"], ["dendrite_id"], max_dist=4.0)
+    near = J.nearest_point(kept, dendrites, ["label"], ["dendrite_id"], max_dist=4.0).where("distance is not null")
     stats = dendrites.groupBy("image_id", "dendrite_id").agg(F.count_if(F.col("x") % 2 == 0).alias("length"), F.count("*").alias("volume"))
     table = kept.join(near.select("image_id", "label", "dendrite_id"), ["image_id", "label"])
     out = A.dendrite_summary(table, stats.withColumns({c: F.col(c).cast("double") for c in ("length", "volume")}), ["area", "mean_int"])

@@ -40,7 +40,7 @@ def _centres(spark, d):
 @query("j6_nearest_point", f"WITH {OV_SQL}, {_CENTRE}, k AS (SELECT *, (y // 5 + 1)::BIGINT AS dendrite_id FROM v WHERE cls >= 2 AND x % 4 = 0) " + _NEAREST.format(pick="dendrite_id", where="WHERE (c.z - k.z) ** 2 + (c.y - k.y) ** 2 + (c.x - k.x) ** 2 <= 9"))
 def _(spark, d):
     skeleton = voxels(spark, d).where("cls >= 2 and x % 4 = 0").withColumn("dendrite_id", (F.floor(F.col("y") / 5) + 1).cast("long"))
-    return rounded(J.nearest_point(_centres(spark, d), skeleton, ["label"], ["dendrite_id"], cell=2.0, max_dist=3.0).select("image_id", "label", "distance", "dendrite_id"))
+    return rounded(J.nearest_point(_centres(spark, d), skeleton, ["label"], ["dendrite_id"], cell=2.0, max_dist=3.0).where("distance is not null").select("image_id", "label", "distance", "dendrite_id"))
 
 
 _DIST = "(SELECT min((a.z - b.z) ** 2 + (a.y - b.y) ** 2 + (a.x - b.x) ** 2) FROM v b WHERE b.image_id = a.image_id AND b.cls >= 2)"
@@ -102,4 +102,4 @@ def _(spark, d):
 def _(spark, d):
     first = object_voxels(spark, d).groupBy("image_id", "label").agg(F.min(F.struct("z", "y", "x")).alias("p")).select("image_id", "label", "p.*")
     parents = voxels(spark, d).where("cls >= 2").withColumn("parent", (F.floor(F.col("y") / 5) + 1).cast("long"))
-    return rounded(J.parent_at(first, parents, ["label"], "parent").select("image_id", "label", "distance", "parent"))
+    return rounded(J.parent_at(first, parents, ["label"], "parent").where("distance is not null").select("image_id", "label", "distance", "parent"))

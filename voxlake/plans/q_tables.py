@@ -141,7 +141,7 @@ def _(spark, d):
 
 @query("j15_link_nearest", f"WITH {T_SQL}, p AS (SELECT a.timepoint, a.spine_id AS source, b.spine_id AS target, sqrt((a.z - b.z) ** 2 + (a.y - b.y) ** 2 + (a.x - b.x) ** 2) AS distance, b.z, b.y, b.x FROM tr a JOIN tr b ON b.timepoint = a.timepoint + 1) SELECT timepoint::BIGINT AS timepoint, source, target, round(distance, 6) AS distance FROM p QUALIFY row_number() OVER (PARTITION BY timepoint, source ORDER BY round(distance, 9), z, y, x, target) = 1")
 def _(spark, d):
-    return rounded(J.link_nearest(tracks(spark, d)).select("timepoint", "source", "target", "distance"))
+    return rounded(J.link_nearest(tracks(spark, d)).where("distance is not null").select("timepoint", "source", "target", "distance"))
 
 
 @query("j18_roi_time_montage", f"WITH {T_SQL}, g AS (SELECT spine_id, timepoint FROM (SELECT DISTINCT spine_id FROM tr), (SELECT DISTINCT timepoint FROM tr)) SELECT g.spine_id, g.timepoint, round(spine_vol, 4) AS spine_vol, (g.timepoint * 16)::INT AS x_offset FROM g LEFT JOIN tr USING (spine_id, timepoint)")
