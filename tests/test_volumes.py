@@ -144,3 +144,18 @@ def test_nearest_far_away(spark):
     frames = spark.createDataFrame([(1, 0, 0.0, 0.0, 0.0), (2, 1, 0.0, 0.0, 5000.0), (3, 1, 0.0, 5001.0, 0.0)], "spine_id long, timepoint long, z double, y double, x double")
     got = {r.source: (r.target, r.distance) for r in J.link_nearest(frames).collect()}
     assert got == {1: (2, 5000.0), 2: (None, None), 3: (None, None)}
+
+
+def test_registered_paths_have_no_short_limit(spark, sf_dir, monkeypatch):
+    from voxlake import registry
+
+    seen, walk = [], G.greedy_paths
+
+    def spy(cost, objects, target, steps=200, most=20.0):
+        seen.append(steps)
+        return walk(cost, objects, target, 1, most)
+
+    monkeypatch.setattr(G, "greedy_paths", spy)
+    for name in ("g11_greedy_paths", "g12_neck_generation"):
+        registry.QUERIES[name](spark, sf_dir)
+    assert seen == [200, 200]

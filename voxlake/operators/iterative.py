@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
-from itertools import product
+from itertools import count, product
 
 import numpy as np
 import pandas as pd
@@ -340,14 +340,14 @@ def neck_generation(spines: DataFrame, necks: DataFrame, dendrites: DataFrame, i
     return both.join(spines.select(*VK), VK, "left_anti").join(dendrites.select(*VK), VK, "left_anti")
 
 
-def least_cost_path(cost: DataFrame, starts: DataFrame, ends: DataFrame, steps: int = 500) -> DataFrame:
+def least_cost_path(cost: DataFrame, starts: DataFrame, ends: DataFrame) -> DataFrame:
     """The cheapest 26-path of each object from its start to its end: (image_id, t, label, step from the end, z, y, x)."""
     start = starts.select(*VK, F.struct(F.lit(0.0).alias("c"), F.lit(0).alias("hops"), F.col("label")).alias("k"))
     best = saved(relax(start, cost, 26, lambda: F.round(F.col("k.c") + F.col("cost"), 9)).select(*VK, "k.*"), "dijkstra")
     now = saved(ends.join(best, [*VK, "label"]).select(*VK, "label", "c", "hops").withColumn("step", F.lit(0)), "walk")
     layers = [now]
     around = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(d, ("dz", "dy", "dx"), strict=True)]) for d in _CUBE])).alias("d")
-    for n in range(1, steps):
+    for n in count(1):  # hops shrink at every step
         moved = now.where("hops > 0").select("image_id", "t", "label", "hops", around, *[F.col(c).alias(f"o{c}") for c in "zyx"]).select("image_id", "t", "label", F.col("hops").alias("h"), *[(F.col(f"o{c}") + F.col(f"d.d{c}")).alias(c) for c in "zyx"])
         back = moved.join(best, [*VK, "label"]).where(F.col("hops") < F.col("h")).groupBy("image_id", "t", "label").agg(F.min_by(F.struct("z", "y", "x", "c", "hops"), F.struct("c", "hops", "z", "y", "x")).alias("p"))
         now = saved(back.select("image_id", "t", "p.z", "p.y", "p.x", "label", "p.c", "p.hops").withColumn("step", F.lit(n)), "walk")

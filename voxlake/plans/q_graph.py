@@ -125,13 +125,13 @@ def _paths(spark, d):
 @query("g11_greedy_paths")
 def _(spark, d):
     spines, vox, cost = _paths(spark, d)
-    return rounded(G.greedy_paths(cost, spines, vox.where("cls = 3"), 12).select(*VK, "label", "step", "cost"), 4)
+    return rounded(G.greedy_paths(cost, spines, vox.where("cls = 3")).select(*VK, "label", "step", "cost"), 4)
 
 
 @query("g12_neck_generation")
 def _(spark, d):
     vox = voxels(spark, d)
-    return G.neck_generation(G.label_components(vox.where("cls = 1"), 26), vox.where("cls = 2 and y % 3 = 0"), vox.where("cls = 3"), vox, "v1", 8, 8)
+    return G.neck_generation(G.label_components(vox.where("cls = 1"), 26), vox.where("cls = 2 and y % 3 = 0"), vox.where("cls = 3"), vox, "v1", 8)
 
 
 @query("g13_least_cost_path")
