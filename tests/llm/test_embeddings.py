@@ -45,5 +45,23 @@ def test_clusters_and_odd_rows(spark):
     want = brute([(i, v if i != 238 else rows[3][1], lab) for i, v, lab in rows])
     assert run(df) == want
     assert run(df, limit=7, axes=3) == want
+    assert run(df, limit=5, cell=3, sample=0) == want
     assert run(df.union(df), axes=2) == want
     assert run(df.limit(0)) == {}
+
+
+def test_dense_groups(spark):
+    """Clusters that are counted whole, that touch each other, and stragglers around them."""
+    rng = np.random.default_rng(11)
+    centre = rng.normal(size=(3, 24))
+    centre[1] = centre[0] + 0.12 * rng.normal(size=24)
+    spread = (0.03, 0.05, 0.08, 0.1, 0.14, 0.18)
+    rows = [(i, (centre[i % 3] + spread[i % 6] * rng.normal(size=24)).tolist(), 0 if i % 5 else 1) for i in range(420)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want = brute(rows)
+    assert len(embeddings.centres([(r[2], r[1]) for r in rows], 0.98)) == 2
+    assert run(df) == want
+    assert run(df, limit=16, cell=20) == want
+    assert run(df, sample=0, limit=1000, cell=30) == want
+    extra = df.selectExpr("*", "label as block", "vec_id as rep", "vec_id as n", "label as guest", "label as cluster")
+    assert run(extra) == want

@@ -3,13 +3,17 @@
 Unit vectors link when their cosine is at least `cosine`, so their squared distance is at most 2 - 2 cosine.  A seeded
 rotation spreads the variance over all axes; the rotated vector is split into blocks of `width` axes, and at least one block
 holds no more than its proportional share of the squared distance.  Each block is range-joined on a grid over its leading
-axes (as many as the largest label needs): a vector is at home in one cell and a guest in every cell that its ball meets.  A pair counts
-in the first block whose budget it meets, so candidates need no removal of duplicates.  A first pass carries only the
-block's coordinates and keeps the members of a cell that have a partner there; only these are joined to their whole
-vectors, and the cosine of the given vectors is computed in double precision.
+axes (as many as the label's own size needs): a vector is at home in one cell and a guest in every other cell that its ball
+meets.  A pair counts in the first block whose budget it meets, so candidates need no removal of duplicates.  A first pass
+carries only the block's coordinates and keeps the members of a cell that have a partner there; only these are joined to
+their whole vectors, and the cosine of the given vectors is computed in double precision.
 
-Equal vectors of a label are one row with a multiplicity.  Cells above LIMIT members are dealt into chunks that are
-compared chunk by chunk, each in a task of its own.  A task sends one row per vector and a spanning forest, never pairs.
+Dense groups leave the grid first.  Centres of groups that a bounded sample shows take every vector within half the link
+angle, so all pairs of such a cluster link and are counted, not compared.  A vector outside is counted with a whole cluster, or
+left out, where the triangle inequality of angles decides; only the rest is compared.  The sample changes the work, never the result.
+
+Equal vectors of a label are one row with a multiplicity.  Cells and clusters above LIMIT members are dealt into chunks that
+are compared chunk by chunk, each in a task of its own.  A task sends one row per vector and a spanning forest, never pairs.
 
 Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null label, link with nothing
 and are returned.  Vectors of different lengths do not link.  Rows without vec_id are dropped; rows that repeat a vec_id are
@@ -31,8 +35,13 @@ from voxlake.plans.scratch import saved
 
 COSINE = 0.98
 WIDTH = 8
-LIMIT = 2048
+CELL = 4096  # members of a cell that the grid aims at
+LIMIT = 8192  # members of a chunk
 TILE = 512
+SAMPLE = 4096  # vectors that are searched for centres of dense groups
+DENSE = 8  # of these, at least so many make a cluster
+SLACK = 1e-6
+DEALT = 1 << 16  # added to the block of chunks whose homes meet only their guests
 
 
 def rotation(dim: int) -> np.ndarray:
@@ -47,154 +56,338 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def _budget(cosine: float, dim: int, width: int) -> np.ndarray:
+    """Each block's share of the squared distance; turned coordinates are kept in single precision."""
     sizes = np.array([min(width, dim - i) for i in range(0, dim, width)])
-    return (2 - 2 * cosine) * sizes / dim * (1 + 1e-6) + 1e-12
-
-
-def _cells(cosine: float, axes: int, width: int):
-    """Task that gives every vector its home cell and its guest cells in each block."""
+    return (2 - 2 * cosine) * sizes / dim * (1 + 1e-6) + SLACK
+
+
+def _angle(cosines: np.ndarray) -> np.ndarray:
+    return 2 * np.arcsin(np.sqrt(np.clip((1 - cosines) / 2, 0, 1)))
+
+
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array, rows: np.ndarray) -> np.ndarray:
+    """Some rows of a column of equally long lists."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    flat = column.flatten().to_numpy()
+    return flat.reshape(len(column), -1)[rows]
+
+
+def _by_size(lists: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, matrix) of the lists of each length."""
+    sizes = np.diff(lists.offsets.to_numpy())
+    flat, ends = lists.flatten().to_numpy(), np.cumsum(sizes)
+    for dim in np.unique(sizes):
+        who = np.flatnonzero(sizes == dim)
+        yield who, flat[(ends[who] - dim)[:, None] + np.arange(dim)]
+
+
+def centres(rows: list, cosine: float) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+    """By label and length: numbers and directions of the centres of dense groups among some (label, v) rows."""
+    angle, out, n = float(_angle(np.array(cosine))), {}, 0
+    groups: dict[tuple[int, int], list] = {}
+    for label, v in rows:
+        groups.setdefault((label, len(v)), []).append(v)
+    for key, vectors in sorted(groups.items()):
+        u, found = _unit(np.array(vectors)), []
+        linked = u @ u.T >= cosine
+        left, links = np.ones(len(u), bool), linked.sum(axis=1)
+        while links.max() >= DENSE:
+            near = linked[links.argmax()] & left
+            inside = _angle(u @ _unit(u[near].mean(axis=0)[None])[0]) <= angle / 2
+            if (inside & left).sum() >= DENSE:
+                centre = _unit(u[inside & left].mean(axis=0)[None])[0]
+                found.append(centre)
+                near |= (_angle(u @ centre) <= angle / 2) & left
+            left &= ~near
+            links = np.where(left, links - linked[:, near].sum(axis=1), 0)
+        if found:
+            out[key] = (np.arange(n, n + len(found)), np.array(found))
+            n += len(found)
+    return out
+
+
+def _placed(cosine: float, pivots: dict):
+    """Task: vectors with their turned coordinates, their cluster (-1: none), its angle, and other clusters within reach."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        angle = float(_angle(np.array(cosine)))
         for batch in batches:
-            rep, label = (batch.column(i).to_numpy() for i in (0, 1))
-            lists = batch.column(2)
-            sizes = np.diff(lists.offsets.to_numpy())
-            flat = lists.flatten().to_numpy().astype(np.float64)
-            ends = np.cumsum(sizes)
-            for dim in np.unique(sizes):
-                who = np.flatnonzero(sizes == dim)
-                turned = _unit(flat[(ends[who] - dim)[:, None] + np.arange(dim)]) @ rotation(dim)
-                for b, budget in enumerate(_budget(cosine, dim, width)):
-                    radius = np.sqrt(budget)
-                    step = 4 * radius
-                    whole = turned[:, b * width : b * width + width]
-                    block = whole[:, :axes]
-                    home, low, high = (np.floor((block + d) / step).astype(np.int32) for d in (0, -radius, radius))
-                    for shift in [None, *product((0, 1), repeat=block.shape[1])]:
-                        at = home if shift is None else low + np.array(shift, np.int32)
-                        rows = np.flatnonzero((at <= high).all(axis=1))
-                        n, k = len(rows), at.shape[1]
-                        cell = pa.ListArray.from_arrays(pa.array(np.arange(0, n * k + 1, k, dtype=np.int32)), pa.array(at[rows].ravel()))
-                        x = pa.ListArray.from_arrays(pa.array(np.arange(0, n * whole.shape[1] + 1, whole.shape[1], dtype=np.int32)), pa.array(whole[rows].astype(np.float32).ravel()))
-                        fixed = [pa.array(np.full(n, v, np.int32)) for v in (dim, b)]
-                        yield pa.RecordBatch.from_arrays([pa.array(label[who[rows]]), *fixed, cell, pa.array(np.full(n, shift is not None)), pa.array(rep[who[rows]]), x], ["label", "dim", "block", "cell", "guest", "rep", "x"])
+            label = batch.column(0).to_numpy()
+            for who, v in _by_size(batch.column(1)):
+                u = _unit(v)
+                cluster, own = np.full(len(who), -1, np.int32), np.zeros(len(who))
+                rivals: list = [[] for _ in who]
+                for lab in np.unique(label[who]) if pivots else ():
+                    if (lab, v.shape[1]) in pivots:
+                        ids, centre = pivots[lab, v.shape[1]]
+                        mine = np.flatnonzero(label[who] == lab)
+                        away = _angle(u[mine] @ centre.T)
+                        first = away.argmin(axis=1)
+                        least = away[np.arange(len(mine)), first]
+                        inside = least <= angle / 2 - SLACK
+                        cluster[mine[inside]], own[mine[inside]] = ids[first[inside]], least[inside]
+                        reach = away <= 1.5 * angle + SLACK
+                        reach[np.flatnonzero(inside), first[inside]] = False
+                        for i, k in zip(*np.nonzero(reach), strict=True):
+                            rivals[mine[i]].append({"rival": int(ids[k]), "away": float(away[i, k])})
+                where = pa.array(who)
+                columns = [batch.column(k).take(where) for k in range(4)] + [_lists((u @ rotation(v.shape[1])).astype(np.float32)), pa.array(cluster), pa.array(own)]
+                columns.append(pa.array(rivals, pa.list_(pa.struct([("rival", pa.int32()), ("away", pa.float64())]))))
+                yield pa.RecordBatch.from_arrays(columns, ["label", "v", "rep", "n", "w", "cluster", "own", "rivals"])
 
     return run
 
 
-def _linked(x: np.ndarray, y: np.ndarray, block: int, cosine: float, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of x and y that link and meet the budget of this block but of none before."""
-    dim = x.shape[1]
-    turn, budget = rotation(dim), _budget(cosine, dim, width)
-    a, b = _unit(x) @ turn, _unit(y) @ turn
-    part = slice(block * width, block * width + width)
-    near = (a[:, part] ** 2).sum(1)[:, None] + (b[:, part] ** 2).sum(1) - 2 * a[:, part] @ b[:, part].T <= budget[block] + 1e-9
-    i, j = np.nonzero(near)
-    for at in range(block + 1):
-        part = slice(at * width, at * width + width)
-        within = ((a[i, part] - b[j, part]) ** 2).sum(1) <= budget[at]
-        keep = within if at == block else ~within
-        i, j = i[keep], j[keep]
-    norm = lambda m: np.sqrt(np.einsum("ij,ij->i", m, m))
-    p, q = x / np.abs(x).max(1, keepdims=True), y / np.abs(y).max(1, keepdims=True)
-    ok = np.einsum("ij,ij->i", p[i], q[j]) / (norm(p)[i] * norm(q)[j]) >= cosine
-    return i[ok], j[ok]
+PLACED = "label long, v array<double>, rep long, n long, w array<float>, cluster int, own double, rivals array<struct<rival:int,away:double>>"
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table, np.ndarray, np.ndarray]]:
-    """Of a task's rows: (block, table, homes, guests) for each cell or chunk with somebody to compare."""
-    parts = [b for b in batches if b.num_rows]
-    if not parts:
-        return
-    t = pa.Table.from_batches(parts).combine_chunks()
-    key, label, dim, block, guest, rep = (t[c].to_numpy() for c in ("key", "label", "dim", "block", "guest", "rep"))
-    order = np.lexsort((rep, guest, key, block, dim, label))
-    new = np.flatnonzero(np.append(True, np.any([c[order][1:] != c[order][:-1] for c in (key, label, dim, block)], axis=0)))
-    for a, b in zip(new, np.append(new[1:], len(order)), strict=True):
-        rows = order[a:b]
-        homes, guests = rows[~guest[rows]], rows[guest[rows]]
-        if len(homes) and len(guests) and (len(guests) > 1 or rep[guests[0]] != rep[homes[0]]):
-            yield int(block[rows[0]]), t, homes, guests
+def _mixed(*parts: np.ndarray | int) -> np.ndarray:
+    """A 64-bit number of some equally long columns."""
+    h = np.uint64(0x9E3779B97F4A7C15)
+    for p in parts:
+        h = (h ^ np.asarray(p).astype(np.int64).view(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+        h = h ^ (h >> np.uint64(29))
+    return np.asarray(h).view(np.int64)
 
 
-def _matrix(column: pa.ChunkedArray, rows: np.ndarray) -> np.ndarray:
-    return np.stack(column.combine_chunks().take(pa.array(rows)).to_numpy(zero_copy_only=False)).astype(np.float64)
+def _cells(cosine: float, width: int, counts: bool):
+    """Task over (rep, label, axes, w): home cell and guest cells of every vector in each block; or only how many rows each cell has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rep, label, axes = (batch.column(i).to_numpy() for i in (0, 1, 2))
+            for who, turned in _by_size(batch.column(3)):
+                for k in np.unique(axes[who]):
+                    some = np.flatnonzero(axes[who] == k)
+                    yield from cells(rep[who[some]], label[who[some]], int(k), turned[some])
+
+    def cells(rep: np.ndarray, label: np.ndarray, axes: int, turned: np.ndarray) -> Iterator[pa.RecordBatch]:
+        dim = turned.shape[1]
+        for b, budget in enumerate(_budget(cosine, dim, width)):
+            radius = np.sqrt(budget) * (1 + 1e-6)
+            step = 4 * radius
+            x = turned[:, b * width : b * width + width]
+            part = x[:, :axes].astype(np.float64)
+            home = np.floor(part / step).astype(np.int64)
+            low, high = part - home * step, (home + 1) * step - part
+            side, gap = np.where(low < high, -1, 1), np.minimum(low, high) ** 2  # a cell is four radii wide: one side is in reach
+            for shift in product((0, 1), repeat=part.shape[1]):
+                s = np.array(shift, np.int64)
+                rows = np.flatnonzero(gap @ s <= radius * radius) if any(shift) else np.arange(len(rep))
+                if not len(rows):
+                    continue
+                at = home[rows] + side[rows] * s
+                key = _mixed(label[rows], dim * 4096 + b, *at.T)
+                if counts:
+                    names, n = np.unique(key, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n)], ["cell", "n"])
+                else:
+                    fixed = [pa.array(np.full(len(rows), v, np.int32)) for v in (dim, b)]
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(label[rows]), *fixed, pa.array(np.full(len(rows), any(shift))), pa.array(rep[rows]), _lists(x[rows])], ["cell", "label", "dim", "block", "guest", "rep", "x"])
+
+    return run
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """(table, homes, guests) of each key, label, length and block of rows that come sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(4)])
+        cuts = np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1
+        bounds = [0, *cuts.tolist(), batch.num_rows]
+        if held and last != names[:, 0].tolist():
+            yield from _sides(held)
+            held = []
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            held.append(batch.slice(a, b - a))
+            if b < batch.num_rows:
+                yield from _sides(held)
+                held = []
+        last = names[:, -1].tolist()
+    if held:
+        yield from _sides(held)
+
+
+def _sides(parts: list[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    if sum(p.num_rows for p in parts) > 1:
+        t = pa.Table.from_batches(parts).combine_chunks()
+        guest = t["guest"].to_numpy()
+        if not guest.all():
+            yield t, np.flatnonzero(~guest), np.flatnonzero(guest)
 
 
 def _near(cosine: float, width: int):
     """Task over cells: the rows that have a partner within the block's budget, without their coordinates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, t, homes, guests in _groups(batches):
-            budget = _budget(cosine, t["dim"][int(homes[0])].as_py(), width)[block] + 1e-6
-            x, y = _matrix(t["x"], homes), _matrix(t["x"], guests)
-            rep = t["rep"].to_numpy()
-            some_x, some_y = np.zeros(len(homes), bool), np.zeros(len(guests), bool)
+        for t, homes, guests in _groups(batches):
+            block = t["block"][0].as_py()
+            budget = np.float32(_budget(cosine, t["dim"][0].as_py(), width)[block % DEALT] + 4 * SLACK)
+            rep, x = t["rep"].to_numpy(), _matrix(t["x"], np.arange(t.num_rows))
+            half = (x * x).sum(axis=1) / 2
+            some = np.zeros(t.num_rows, bool)
+            others = guests if block >= DEALT else np.concatenate([homes, guests])
             for i in range(0, len(homes), TILE):
-                for j in range(0, len(guests), TILE):
-                    p, q = x[i : i + TILE], y[j : j + TILE]
-                    near = (p * p).sum(1)[:, None] + (q * q).sum(1) - 2 * p @ q.T <= budget
-                    near &= rep[homes[i : i + TILE]][:, None] != rep[guests[j : j + TILE]]
-                    some_x[i : i + TILE] |= near.any(axis=1)
-                    some_y[j : j + TILE] |= near.any(axis=0)
-            rows = np.concatenate([homes[some_x], guests[some_y]])
+                a = homes[i : i + TILE]
+                for j in range(0, len(others), TILE):
+                    b = others[j : j + TILE]
+                    # |a - b|^2 <= budget, halved
+                    near = x[a] @ x[b].T >= (half[a] - budget / 2)[:, None] + half[b]
+                    p, q = np.nonzero(near)
+                    ok = rep[a[p]] != rep[b[q]]
+                    some[a[p[ok]]] = some[b[q[ok]]] = True
+            rows = np.flatnonzero(some)
             if len(rows):
                 yield from t.select(["key", "label", "dim", "block", "guest", "rep"]).take(pa.array(rows)).combine_chunks().to_batches()
 
     return run
 
 
+def _cosine_at_least(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray, cosine: float) -> np.ndarray:
+    norm = lambda m: np.sqrt(np.einsum("ij,ij->i", m, m))
+    p, q = x / np.abs(x).max(1, keepdims=True), y / np.abs(y).max(1, keepdims=True)
+    return np.einsum("ij,ij->i", p[i], q[j]) / (norm(p)[i] * norm(q)[j]) >= cosine
+
+
+def _linked(x: np.ndarray, y: np.ndarray, w: np.ndarray, z: np.ndarray, block: int, cosine: float, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of x and y (turned: w and z) that link; with a block, only those that meet its budget and none before."""
+    a, b = _unit(x), _unit(y)
+    i, j = np.nonzero(a @ b.T >= cosine - SLACK)
+    if block >= 0:
+        budget = _budget(cosine, x.shape[1], width)
+        within = np.zeros((len(i), block + 1), bool)
+        for k in range(block + 1):  # the same sum, whichever of the two is at home
+            part = slice(k * width, k * width + width)
+            within[:, k] = ((w[i, part].astype(np.float64) - z[j, part]) ** 2).sum(axis=1) <= budget[k]
+        first = within[:, block] & ~within[:, :block].any(axis=1)
+        i, j = i[first], j[first]
+    ok = _cosine_at_least(x, y, i, j, cosine)
+    return i[ok], j[ok]
+
+
 def _join(cosine: float, width: int):
-    """Task over cells with whole vectors: (rep, number of linked vectors, root) for every linked vector."""
+    """Task over chunks with whole vectors: (rep, number of linked vectors, root) for every linked vector at home.
+
+    Rows of block -1 are a cluster's members and the vectors that contest it: no two of a side are compared, and both sides are counted.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, t, homes, guests in _groups(batches):
+        for t, homes, guests in _groups(batches):
+            block = t["block"][0].as_py()
             rep, n = t["rep"].to_numpy(), t["n"].to_numpy()
-            x, y = _matrix(t["v"], homes), _matrix(t["v"], guests)
-            degree, a, b = np.zeros(len(homes), np.int64), [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            v = _matrix(t["v"], np.arange(t.num_rows))
+            w = _matrix(t["w"], np.arange(t.num_rows)) if block >= 0 else v
+            others = np.concatenate([homes, guests]) if 0 <= block < DEALT else guests
+            degree, a, b = np.zeros(t.num_rows, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
             for s in range(0, len(homes), TILE):
-                for e in range(0, len(guests), TILE):
-                    i, j = _linked(x[s : s + TILE], y[e : e + TILE], block, cosine, width)
-                    p, q = rep[homes[s + i]], rep[guests[e + j]]
-                    keep = p != q
-                    np.add.at(degree, s + i[keep], n[guests[e + j[keep]]])
-                    node, root = roots(np.concatenate([*a, p[keep]]), np.concatenate([*b, q[keep]]))
-                    a, b = [node], [root]
-            hit = degree > 0
-            if hit.any():
-                ids = rep[homes[hit]]
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(degree[hit]), pa.array(b[0][np.searchsorted(a[0], ids)])], ["rep", "links", "root"])
+                for e in range(0, len(others), TILE):
+                    p, q = homes[s : s + TILE], others[e : e + TILE]
+                    i, j = _linked(v[p], v[q], w[p], w[q], block % DEALT if block >= 0 else -1, cosine, width)
+                    i, j = p[i], q[j]
+                    keep = rep[i] != rep[j]
+                    i, j = i[keep], j[keep]
+                    np.add.at(degree, i, n[j])
+                    if block < 0:
+                        np.add.at(degree, j, n[i])
+                    a, b = roots(np.concatenate([a, rep[i]]), np.concatenate([b, rep[j]]))
+            hit = np.flatnonzero(degree)
+            if len(hit):
+                yield pa.RecordBatch.from_arrays([pa.array(rep[hit]), pa.array(degree[hit]), pa.array(b[np.searchsorted(a, rep[hit])])], ["rep", "links", "root"])
 
     return run
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, width: int = WIDTH, limit: int = LIMIT, axes: int | None = None, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
-    """(vec_id, n_links, component_id, kept): the links of each vector with all others of its label."""
+LINKS = "rep long, links long, root long"
+KEYS = ("key", "label", "dim", "block")
+
+
+def _chunks(rows: DataFrame, mine: str, other: str, *key: str) -> DataFrame:
+    """Rows dealt by rep into `mine` chunks and copied for each of the `other` side's; key: of the pair of chunks."""
+    here, there = F.pmod(F.xxhash64("rep"), F.col(mine)).cast("int"), F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+    rows = rows.withColumn("here", here).withColumn("there", there)
+    pair = [F.when(F.col("guest"), F.col(a)).otherwise(F.col(b)) for a, b in (("there", "here"), ("here", "there"))]
+    return rows.withColumn("key", F.xxhash64(*key, *pair)).drop("here", "there", mine, other)
+
+
+def _sorted(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*KEYS).sortWithinPartitions(*KEYS)
+
+
+def _grid_links(rows: DataFrame, cosine: float, width: int, limit: int, cell: int, axes: int | None) -> DataFrame:
+    """Links among the vectors of no cluster: the pigeonhole join."""
+    if axes is None:  # an axis leaves a vector about three quarters of its partners
+        most = rows.groupBy("label").agg(F.count("*").alias("size"))
+        need = F.least(F.greatest(F.ceil(F.log(F.col("size") / cell) / float(np.log(4 / 3))), F.lit(0)), F.lit(width)).cast("int")
+        rows = rows.join(most.select("label", need.alias("axes")), "label")
+    else:
+        rows = rows.withColumn("axes", F.lit(axes))
+    asked = rows.select("rep", "label", "axes", "w")
+    cells = asked.mapInArrow(_cells(cosine, width, False), "cell long, label long, dim int, block int, guest boolean, rep long, x array<float>")
+    counts = asked.mapInArrow(_cells(cosine, width, True), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    parts = counts.where(F.col("n") > limit).select("cell", F.ceil(F.col("n") / limit).cast("int").alias("parts"))
+    cells = cells.join(parts, "cell", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    alone = cells.where("parts = 1").withColumn("key", F.col("cell")).select(*KEYS, "guest", "rep", "x")
+    # of a large cell, every chunk of homes meets every chunk of all its rows
+    many = cells.where("parts > 1").withColumns({"again": F.col("parts"), "block": F.col("block") + DEALT})
+    many = many.where("not guest").unionByName(many.withColumn("guest", F.lit(True)))
+    dealt = _chunks(many, "parts", "again", "cell").select(*KEYS, "guest", "rep", "x")
+    near = saved(_sorted(alone.unionByName(dealt)).mapInArrow(_near(cosine, width), "key long, label long, dim int, block int, guest boolean, rep long"), "vector-partners")
+    whole = near.join(rows.select("rep", "n", "v", "w"), "rep").select(*KEYS, "guest", "rep", "n", "v", "w")
+    return _sorted(whole).mapInArrow(_join(cosine, width), LINKS)
+
+
+def _cluster_links(rows: DataFrame, cosine: float, width: int, limit: int) -> DataFrame:
+    """Links inside clusters, and between them and everything else."""
+    angle = float(_angle(np.array(cosine)))
+    members = rows.where("cluster >= 0")
+    about = saved(members.groupBy("cluster").agg(F.sum("n").alias("all"), F.count("*").alias("size"), F.min("rep").alias("first"), F.max("own").alias("radius")), "clusters")
+    about = F.broadcast(about)  # one row a centre: at most SAMPLE / DENSE
+    inside = members.join(about, "cluster").select("rep", (F.col("all") - F.col("n")).alias("links"), F.col("first").alias("root"))
+    contests = rows.select("rep", "n", "label", "v", "cluster", F.explode("rivals").alias("r")).where("cluster < r.rival")
+    contests = contests.select("rep", "n", "label", "v", F.col("r.rival").alias("cluster"), F.col("r.away").alias("away")).join(about, "cluster")
+    sure = F.col("away") + F.col("radius") <= angle - SLACK
+    whole = contests.where(sure).select("rep", F.col("all").alias("links"), F.col("first").alias("root"))
+    back = F.broadcast(contests.where(sure).groupBy("cluster").agg(F.sum("n").alias("links"), F.first("first").alias("root")))
+    back = members.select("rep", "cluster").join(back, "cluster").select("rep", "links", "root")
+    open_ = contests.where(~sure & (F.col("away") - F.col("radius") <= angle + SLACK))
+    sizes = F.broadcast(open_.groupBy("cluster").agg(F.ceil(F.count("*") / limit).cast("int").alias("theirs"), F.ceil(F.first("size") / limit).cast("int").alias("ours")))
+    columns = ["cluster", "label", "rep", "n", "v", "ours", "theirs"]
+    ours = _chunks(members.join(sizes, "cluster").select(*columns, F.lit(False).alias("guest")), "ours", "theirs", "cluster")
+    theirs = _chunks(open_.join(sizes, "cluster").select(*columns, F.lit(True).alias("guest")), "theirs", "ours", "cluster")
+    pairs = ours.unionByName(theirs).select("key", "label", F.size("v").alias("dim"), F.lit(-1).alias("block"), "guest", "rep", "n", "v", F.lit(None).cast("array<float>").alias("w"))
+    return inside.unionAll(whole).unionAll(back).unionAll(_sorted(pairs).mapInArrow(_join(cosine, width), LINKS))
+
+
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, width: int = WIDTH, limit: int = LIMIT, cell: int = CELL, axes: int | None = None, sample: int = SAMPLE, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
+    """(vec_id, n_links, component_id, kept): the links of each vector with all others of its label.
+
+    limit, cell, axes and sample (chunk and cell sizes, grid axes, vectors searched for dense groups) change the work, not the result.
+    """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.struct(F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("v")).alias("x"))
     rows = rows.where("vec_id is not null").groupBy("vec_id").agg(F.min("x").alias("x")).select("vec_id", "x.label", "x.v")
     bad = F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))) | ~F.exists("v", lambda c: c != 0)
     rows = saved(rows.withColumn("usable", F.coalesce(F.col("label").isNotNull() & ~bad, F.lit(False))), "vectors")
     good = rows.where("usable")
-    distinct = saved(good.groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "vectors-distinct")
-    if axes is None:  # about as many cells as keep a cell of the largest label at some hundreds of vectors
-        most = distinct.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-        axes = int(np.clip(np.ceil(np.log2(max(most, 1) / 250)), 1, width))
-    cells = distinct.select("rep", "label", "v").mapInArrow(_cells(cosine, axes, width), "label long, dim int, block int, cell array<int>, guest boolean, rep long, x array<float>")
-    keys = ["label", "dim", "block", "cell"]
-    sizes = cells.where("guest").groupBy(*keys).agg(F.count("*").alias("guests")).where(F.col("guests") > limit)
-    parts = F.ceil(F.coalesce(F.col("guests"), F.lit(1)) / limit).cast("int")
-    mine = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
-    dealt = cells.join(sizes, keys, "left").withColumn("parts", parts).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    chunk = [F.when(F.col("guest"), F.col(a)).otherwise(F.col(b)) for a, b in (("other", "mine"), ("mine", "other"))]
-    dealt = dealt.select(F.xxhash64(*keys, *chunk).alias("key"), "label", "dim", "block", "guest", "rep", "x")
-    schema = "key long, label long, dim int, block int, guest boolean, rep long"
-    near = saved(dealt.repartition("key").mapInArrow(_near(cosine, width), schema), "vector-partners")
-    whole = near.join(distinct.select("rep", "n", "v"), "rep").select("key", "label", "dim", "block", "guest", "rep", "n", "v")
-    found = whole.repartition("key").mapInArrow(_join(cosine, width), "rep long, links long, root long")
+    distinct = good.groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
+    share = min(1.0, sample / max(1, good.count())) if cosine > 0.5 else 0.0
+    shown = good.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < int(share * (1 << 20))).select("label", "v").collect()  # about `sample` rows
+    pivots = centres([(r.label, r.v) for r in shown], cosine)
+    distinct = saved(distinct.select("label", "v", "rep", "n").mapInArrow(_placed(cosine, pivots), PLACED), "vectors-distinct")
+    found = _grid_links(distinct.where("cluster < 0") if pivots else distinct, cosine, width, limit, cell, axes)
+    if pivots:
+        found = found.unionAll(_cluster_links(distinct, cosine, width, limit))
     found = saved(found, "vector-links")
     degree = found.groupBy("rep").agg(F.sum("links").alias("links"))
     part = connected_components(found, "rep", "root").withColumnRenamed("node", "rep")
-    reps = distinct.join(degree, "rep", "left").join(part, "rep", "left")
+    reps = distinct.select("label", "v", "rep", "n").join(degree, "rep", "left").join(part, "rep", "left")
     reps = reps.select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
     linked = good.join(reps, ["label", "v"]).select("vec_id", "n_links", "component_id")
     alone = rows.where("not usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
