@@ -1,17 +1,18 @@
 """Operator 8: toxicity by nearest labelled examples.
 
-Every text is a TF-IDF vector over the terms (words, and word beginnings of four and five letters) that mark toxic examples,
-plus one constant axis, so that a text without such terms is nearest to the examples without them.  Terms are chosen by the
-log-likelihood ratio of their document frequencies in the two classes.  The examples lie in inverted lists cut into blocks of
-BLOCK neighbours; each term keeps its largest weight in every block, and only blocks whose bound reaches the k-th best cosine
+Every text is a TF-IDF vector over the terms (words, and word beginnings of four and five letters) whose document frequencies differ between
+the two classes of examples, in either direction, at a log-likelihood ratio of at least `least`; document frequencies are those of all examples.
+One constant axis more makes a text without such terms nearest to the examples without them.  The examples lie in inverted lists cut into
+blocks of BLOCK neighbours; each list keeps its largest weight in every block, and only blocks whose bound reaches the k-th best cosine
 so far are scored, so the k nearest are exact.  Votes are weighted by 1 / (distance + 0.05); a monotone map, fitted to
 leave-one-out votes of the examples, makes scores probabilities.
 
-Bounds (documented parameters): at most about `per_class` labelled rows of each class, taken by a hash of doc_id, are the
-examples; at most `max_terms` terms.  Every document is scored, over its whole text.
+Bound (documented parameter): at most about `per_class` labelled rows of each class, taken by a hash of doc_id, are the
+examples.  Every document is scored, over its whole text.
 
 Null and empty texts get the score of a text without terms.  Rows without doc_id are scored and count as not held out.
-Rows that repeat a doc_id are each scored; conflicting labels of one doc_id count as toxic.  Without any labelled row of
+Rows that repeat a doc_id are each scored; conflicting labels of one doc_id count as toxic.  Of examples at one distance the one whose terms
+come first counts first (the K nearest hold whole vectors: examples that are equal in all terms are one).  Without any labelled row of
 both classes every score is the share of toxic labels (0 without labels).  Extra columns are ignored.
 """
 
@@ -26,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxlake.llm.common import spread
 
 K = 16
 BLOCK = 64
 NEAR = 0.05
 THRESHOLD = 0.3
 PER_CLASS = 10_000
-MAX_TERMS = 4096
+LEAST = 5.0
 KNOWN = 300_000  # tokens that a task remembers
 BINS = 20
 _WORD = re.compile(r"[^\W\d_]+")
@@ -66,10 +68,11 @@ class Terms:
         found = own & self.hot.keys()
         if not found:
             return ()
-        count: Counter[int] = Counter()
-        for token in tokens:
+        count: dict[int, int] = {}
+        for token, n in Counter(tokens).items():
             if token in found:
-                count.update(self.hot[token])
+                for t in self.hot[token]:
+                    count[t] = count.get(t, 0) + n
         return tuple(sorted(count.items()))
 
 
@@ -78,7 +81,8 @@ class Index:
 
     def __init__(self, idf: np.ndarray, patterns: list[tuple], counts: np.ndarray, first: np.ndarray):
         """patterns: ((term, count), ...) each; counts: examples of class 0 and 1 with it; first: its smallest doc_id."""
-        order = sorted(range(len(patterns)), key=lambda i: (patterns[i], i))
+        rare = [tuple(sorted((-idf[t], t) for t, _ in p)) for p in patterns]  # examples that share rare terms lie in one block
+        order = sorted(range(len(patterns)), key=lambda i: (rare[i], patterns[i], i))
         self.idf, self.counts, self.first = idf, counts[order].astype(float), first[order]
         self.place = {patterns[i]: n for n, i in enumerate(order)}
         vectors = [self.vector(patterns[i]) for i in order]
@@ -88,8 +92,11 @@ class Index:
         by = np.lexsort((row, term))
         self.rows, self.weights = row[by], weight[by]
         self.start = np.searchsorted(term[by], np.arange(len(idf) + 2))
-        self.top = np.zeros((len(idf) + 1, -(-len(order) // BLOCK)))
-        np.maximum.at(self.top, (term, row // BLOCK), weight)
+        self.keys = term[by] * len(order) + self.rows  # sorted: where a block's part of a list begins
+        block = term[by] * (1 + len(order)) + self.rows // BLOCK
+        head = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+        self.tops, self.top_blocks = np.maximum.reduceat(self.weights, head), self.rows[head] // BLOCK
+        self.top_start = np.searchsorted(term[by][head], np.arange(len(idf) + 2))
 
     def vector(self, pattern: tuple) -> tuple[np.ndarray, np.ndarray]:
         """Terms (the constant axis is the last) and weights of length one."""
@@ -97,33 +104,47 @@ class Index:
         w = np.append((1 + np.log(x[:, 1])) * self.idf[x[:, 0]], 1.0)
         return np.append(x[:, 0], len(self.idf)), w / np.sqrt((w * w).sum())
 
+    def _cosines(self, term: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """Cosines of the examples of some blocks, -1 elsewhere."""
+        n = len(self.first)
+        if 3 * len(blocks) > n // BLOCK:
+            low, high, w = self.start[term], self.start[term + 1], weight
+        else:  # only the blocks' parts of each list
+            at = (term * n)[:, None] + np.append(blocks * BLOCK, np.minimum((blocks + 1) * BLOCK, n))
+            ends = np.searchsorted(self.keys, at)
+            low, high, w = ends[:, : len(blocks)].ravel(), ends[:, len(blocks) :].ravel(), np.repeat(weight, len(blocks))
+        count = high - low
+        k = np.repeat(low, count) + spread(count)
+        got = np.bincount(self.rows[k], np.repeat(w, count) * self.weights[k], n)
+        out = np.full(n, -1.0)
+        mine = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        mine = mine[mine < n]
+        out[mine] = got[mine]
+        return out
+
     def nearest(self, pattern: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k nearest examples, ties by place, and their cosines."""
+        """The k + 1 nearest examples, ties by place, and their cosines: blocks whose bound is below the k + 1st best so far are not scored."""
         term, weight = self.vector(pattern)
-        bound = weight @ self.top[term] + 1e-12
-        best, order = np.full(len(self.first), -1.0), np.argsort(-bound, kind="stable")
-        done, step, n = 0, max(1, k // BLOCK + 1), len(order)
-        floor = -1.0
-        while done < n and bound[order[done]] >= floor:
-            part = order[done : done + step]
-            part = part[bound[part] >= floor]
-            for b in part.tolist():
-                low, high = b * BLOCK, min((b + 1) * BLOCK, len(best))
-                got = np.zeros(high - low)
-                for t, w in zip(term.tolist(), weight.tolist(), strict=True):
-                    rows = self.rows[self.start[t] : self.start[t + 1]]
-                    i, j = np.searchsorted(rows, (low, high))
-                    got[rows[i:j] - low] += w * self.weights[self.start[t] + i : self.start[t] + j]
-                best[low:high] = got
-            done, step = done + step, step * 2
-            if (best >= 0).sum() >= k:
-                floor = np.partition(best, len(best) - k)[len(best) - k]
-        who = np.lexsort((np.arange(len(best)), -best))[: k + 1]
+        low, high = self.top_start[term], self.top_start[term + 1]
+        at = np.repeat(low, high - low) + spread(high - low)
+        bound = np.bincount(self.top_blocks[at], np.repeat(weight, high - low) * self.tops[at]) + 1e-9
+        few = 1 + k // BLOCK + 3
+        first = np.argpartition(-bound, few)[:few] if len(bound) > few else np.arange(len(bound))
+        best = self._cosines(term, weight, np.sort(first))
+        n = min(k + 1, len(best))
+        more = bound >= np.partition(best, len(best) - n)[len(best) - n]
+        more[first] = False
+        if more.any():
+            best = np.maximum(best, self._cosines(term, weight, np.flatnonzero(more)))
+        who = np.flatnonzero(best >= np.partition(best, len(best) - n)[len(best) - n])
+        who = who[np.lexsort((who, -best[who]))][:n]
         return who, best[who]
 
     def vote(self, pattern: tuple, share: np.ndarray, without: int | None = None) -> tuple[float, int, float]:
         """The weighted share of toxic neighbours, the nearest example and its cosine; without: a class to leave one out of."""
-        who, cos = self.nearest(pattern, K)
+        return self.tally(pattern, share, *self.nearest(pattern, K), without)
+
+    def tally(self, pattern: tuple, share: np.ndarray, who: np.ndarray, cos: np.ndarray, without: int | None = None) -> tuple[float, int, float]:
         counts = self.counts[who].copy()
         if without is not None:
             counts[who == self.place.get(pattern, -1), without] -= 1
@@ -163,7 +184,7 @@ def _monotone(hits: np.ndarray, totals: np.ndarray) -> np.ndarray:
     return np.concatenate([np.full(int(m), h / n) for h, n, m in pools])
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_terms: int = MAX_TERMS) -> tuple | None:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, least: float = LEAST) -> tuple | None:
     """(vocabulary, index, class weights, calibration) from labelled documents; None if a class has no example."""
     spark = docs.sparkSession
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")).where("toxic in (0, 1)")
@@ -184,8 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_term
     xlogx = lambda c: F.when(c > 0, c * F.log(c.cast("double"))).otherwise(0.0)
     a, b, n = F.col("a"), F.col("b"), one + zero
     ratio = 2 * (xlogx(a) + xlogx(b) + xlogx(one - a) + xlogx(zero - b) - xlogx(a + b) - xlogx(n - a - b) - xlogx(F.lit(one)) - xlogx(F.lit(zero)) + xlogx(F.lit(n)))
-    rates = (a / one) / (a / one + b / zero + 1 / n)
-    picked = df.where(rates >= 0.9).withColumn("llr", ratio).where("llr >= 20").orderBy(F.desc("llr"), "term").limit(max_terms).collect()
+    picked = df.where(ratio >= least).orderBy("term").collect()  # bounded by the words of the sample
     vocabulary = {r.term: i for i, r in enumerate(picked)}
     idf = np.array([np.log((n + 1) / (r.a + r.b + 1)) + 1 for r in picked])
 
@@ -210,7 +230,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_term
         for batch in batches:
             for p, zero, one in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 pattern = tuple(zip(p[::2], p[1::2], strict=True))
-                votes = [(int(min(BINS - 1, index.vote(pattern, share, y)[0] * BINS)), y, float(m)) for y, m in ((0, zero), (1, one)) if m]
+                near = index.nearest(pattern, K)
+                votes = [(int(min(BINS - 1, index.tally(pattern, share, *near, y)[0] * BINS)), y, float(m)) for y, m in ((0, zero), (1, one)) if m]
                 yield pa.RecordBatch.from_arrays([pa.array([v[i] for v in votes], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.float64()))], ["bin", "toxic", "n"])
 
     shown = spark.createDataFrame([(r.p, r.n - r.one, r.one) for r in told], "p array<int>, zero long, one long").repartition(16)
