@@ -33,8 +33,8 @@ K = 16
 BLOCK = 64
 NEAR = 0.05
 THRESHOLD = 0.3
-PER_CLASS = 10_000
-LEAST = 5.0
+PER_CLASS = 2_000
+LEAST = 6.63  # one per cent significance
 KNOWN = 300_000  # tokens that a task remembers
 BINS = 20
 _WORD = re.compile(r"[^\W\d_]+")
