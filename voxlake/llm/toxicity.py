@@ -30,11 +30,11 @@ from pyspark.sql import functions as F
 from voxlake.llm.common import spread
 
 K = 16
-BLOCK = 64
+BLOCK = 16
 NEAR = 0.05
 THRESHOLD = 0.3
 PER_CLASS = 2_000
-LEAST = 6.63  # one per cent significance
+LEAST = 6.63  # significance of one per cent
 KNOWN = 300_000  # tokens that a task remembers
 BINS = 20
 _WORD = re.compile(r"[^\W\d_]+")
@@ -56,28 +56,27 @@ class Terms:
         self.vocabulary, self.seen, self.hot = vocabulary, set(), {}
 
     def of(self, text: str) -> tuple[tuple[int, int], ...]:
-        tokens = text.lower().split()
-        own = set(tokens)
-        if new := own - self.seen:
+        tokens = Counter(text.lower().split())
+        if new := tokens.keys() - self.seen:
             if len(self.seen) > KNOWN:
-                self.seen, self.hot, new = set(), {}, own
+                self.seen, self.hot, new = set(), {}, set(tokens)
             for token in new:
                 if ids := [self.vocabulary[t] for t in terms(token) if t in self.vocabulary]:
                     self.hot[token] = ids
             self.seen |= new
-        found = own & self.hot.keys()
-        if not found:
-            return ()
         count: dict[int, int] = {}
-        for token, n in Counter(tokens).items():
-            if token in found:
-                for t in self.hot[token]:
-                    count[t] = count.get(t, 0) + n
+        for token in tokens.keys() & self.hot.keys():
+            for t in self.hot[token]:
+                count[t] = count.get(t, 0) + tokens[token]
         return tuple(sorted(count.items()))
 
 
 class Index:
-    """Distinct example vectors in block-max inverted lists."""
+    """Distinct example vectors in block-max inverted lists.
+
+    Lists of more than a sixteenth of the examples are kept as rows of a matrix, so that many texts meet them in one product; what these
+    give is exact, and with the bounds of the other lists it tells which blocks the other lists need to be read for.
+    """
 
     def __init__(self, idf: np.ndarray, patterns: list[tuple], counts: np.ndarray, first: np.ndarray):
         """patterns: ((term, count), ...) each; counts: examples of class 0 and 1 with it; first: its smallest doc_id."""
@@ -86,17 +85,20 @@ class Index:
         self.idf, self.counts, self.first = idf, counts[order].astype(float), first[order]
         self.place = {patterns[i]: n for n, i in enumerate(order)}
         vectors = [self.vector(patterns[i]) for i in order]
-        sizes = np.array([len(v[0]) for v in vectors], np.int64)
         term, weight = (np.concatenate([v[k] for v in vectors]) for k in (0, 1))
-        row = np.repeat(np.arange(len(order)), sizes)
+        row = np.repeat(np.arange(len(order)), [len(v[0]) for v in vectors])
+        self.blocks = -(-len(order) // BLOCK)
+        often = np.bincount(term, minlength=len(idf) + 1) * 16 > len(order)
+        self.slot = np.where(often, np.cumsum(often) - 1, -1)
+        self.matrix = np.zeros((often.sum(), self.blocks * BLOCK))
+        self.matrix[self.slot[term[often[term]]], row[often[term]]] = weight[often[term]]
+        term, weight, row = (x[~often[term]] for x in (term, weight, row))
         by = np.lexsort((row, term))
-        self.rows, self.weights = row[by], weight[by]
-        self.start = np.searchsorted(term[by], np.arange(len(idf) + 2))
-        self.keys = term[by] * len(order) + self.rows  # sorted: where a block's part of a list begins
-        block = term[by] * (1 + len(order)) + self.rows // BLOCK
-        head = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
-        self.tops, self.top_blocks = np.maximum.reduceat(self.weights, head), self.rows[head] // BLOCK
-        self.top_start = np.searchsorted(term[by][head], np.arange(len(idf) + 2))
+        term, self.rows, self.weights = term[by], row[by], weight[by]
+        self.start = np.searchsorted(term, np.arange(len(idf) + 2))
+        head = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (self.rows[1:] // BLOCK != self.rows[:-1] // BLOCK))[: len(term)])
+        self.tops, self.top_blocks = (np.maximum.reduceat(self.weights, head) if len(head) else np.empty(0)), self.rows[head] // BLOCK
+        self.top_start = np.searchsorted(term[head], np.arange(len(idf) + 2))
 
     def vector(self, pattern: tuple) -> tuple[np.ndarray, np.ndarray]:
         """Terms (the constant axis is the last) and weights of length one."""
@@ -104,46 +106,43 @@ class Index:
         w = np.append((1 + np.log(x[:, 1])) * self.idf[x[:, 0]], 1.0)
         return np.append(x[:, 0], len(self.idf)), w / np.sqrt((w * w).sum())
 
-    def _cosines(self, term: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> np.ndarray:
-        """Cosines of the examples of some blocks, -1 elsewhere."""
-        n = len(self.first)
-        if 3 * len(blocks) > n // BLOCK:
-            low, high, w = self.start[term], self.start[term + 1], weight
-        else:  # only the blocks' parts of each list
-            at = (term * n)[:, None] + np.append(blocks * BLOCK, np.minimum((blocks + 1) * BLOCK, n))
-            ends = np.searchsorted(self.keys, at)
-            low, high, w = ends[:, : len(blocks)].ravel(), ends[:, len(blocks) :].ravel(), np.repeat(weight, len(blocks))
-        count = high - low
-        k = np.repeat(low, count) + spread(count)
-        got = np.bincount(self.rows[k], np.repeat(w, count) * self.weights[k], n)
-        out = np.full(n, -1.0)
-        mine = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        mine = mine[mine < n]
-        out[mine] = got[mine]
+    def _read(self, start: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of all entries of some lists, and how many each list has."""
+        count = start[term + 1] - start[term]
+        return np.repeat(start[term], count) + spread(count), count
+
+    def nearest(self, patterns: list[tuple], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each pattern the k + 1 nearest examples, ties by place, and their cosines; blocks whose bound is below the k + 1st best are not read."""
+        out, n = [], min(k + 1, len(self.first))
+        for i in range(0, len(patterns), 256):
+            part = [self.vector(p) for p in patterns[i : i + 256]]
+            q = np.zeros((len(part), len(self.matrix)))
+            for r, (term, weight) in enumerate(part):
+                at = self.slot[term]
+                q[r, at[at >= 0]] = weight[at >= 0]
+            base = q @ self.matrix
+            most = base.reshape(len(part), self.blocks, BLOCK).max(axis=2)
+            floor = np.partition(most, self.blocks - n, axis=1)[:, self.blocks - n] if self.blocks >= n else np.full(len(part), -1.0)
+            for r, (term, weight) in enumerate(part):
+                rest = self.slot[term] < 0
+                term, weight = term[rest], weight[rest]
+                at, count = self._read(self.top_start, term)
+                bound = most[r] + np.bincount(self.top_blocks[at], np.repeat(weight, count) * self.tops[at], self.blocks)
+                alive = bound + 1e-9 >= floor[r]
+                at, count = self._read(self.start, term)
+                w = np.repeat(weight, count)
+                good = alive[self.rows[at] // BLOCK]
+                at, w = at[good], w[good]
+                cos = base[r] + np.bincount(self.rows[at], w * self.weights[at], base.shape[1])
+                who = np.flatnonzero(np.repeat(alive, BLOCK)[: len(self.first)])
+                best = cos[who]
+                if len(who) > n:
+                    good = np.flatnonzero(best >= np.partition(best, len(best) - n)[len(best) - n])
+                    who, best = who[good], best[good]
+                order = np.lexsort((who, -best))[:n]
+                out.append((who[order], best[order]))
         return out
 
-    def nearest(self, pattern: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k + 1 nearest examples, ties by place, and their cosines: blocks whose bound is below the k + 1st best so far are not scored."""
-        term, weight = self.vector(pattern)
-        low, high = self.top_start[term], self.top_start[term + 1]
-        at = np.repeat(low, high - low) + spread(high - low)
-        bound = np.bincount(self.top_blocks[at], np.repeat(weight, high - low) * self.tops[at]) + 1e-9
-        few = 1 + k // BLOCK + 3
-        first = np.argpartition(-bound, few)[:few] if len(bound) > few else np.arange(len(bound))
-        best = self._cosines(term, weight, np.sort(first))
-        n = min(k + 1, len(best))
-        more = bound >= np.partition(best, len(best) - n)[len(best) - n]
-        more[first] = False
-        if more.any():
-            best = np.maximum(best, self._cosines(term, weight, np.flatnonzero(more)))
-        who = np.flatnonzero(best >= np.partition(best, len(best) - n)[len(best) - n])
-        who = who[np.lexsort((who, -best[who]))][:n]
-        return who, best[who]
-
-    def vote(self, pattern: tuple, share: np.ndarray, without: int | None = None) -> tuple[float, int, float]:
-        """The weighted share of toxic neighbours, the nearest example and its cosine; without: a class to leave one out of."""
-        return self.tally(pattern, share, *self.nearest(pattern, K), without)
-
     def tally(self, pattern: tuple, share: np.ndarray, who: np.ndarray, cos: np.ndarray, without: int | None = None) -> tuple[float, int, float]:
         counts = self.counts[who].copy()
         if without is not None:
@@ -228,9 +227,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, least: f
     def leave_one_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, share = cases.value
         for batch in batches:
-            for p, zero, one in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                pattern = tuple(zip(p[::2], p[1::2], strict=True))
-                near = index.nearest(pattern, K)
+            shapes = [tuple(zip(p[::2], p[1::2], strict=True)) for p in batch.column(0).to_pylist()]
+            for pattern, near, zero, one in zip(shapes, index.nearest(shapes, K), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 votes = [(int(min(BINS - 1, index.tally(pattern, share, *near, y)[0] * BINS)), y, float(m)) for y, m in ((0, zero), (1, one)) if m]
                 yield pa.RecordBatch.from_arrays([pa.array([v[i] for v in votes], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.float64()))], ["bin", "toxic", "n"])
 
@@ -257,14 +255,14 @@ def score(docs: DataFrame, model: tuple) -> DataFrame:
         for batch in batches:
             out = []
             for i in range(0, batch.num_rows, 500):
-                for text in batch.column(1).slice(i, 500).to_pylist():
-                    pattern = known.of(text)
-                    if pattern not in told:
-                        if len(told) > 50_000:
-                            told.clear()
-                        vote, doc, cos = index.vote(pattern, share)
-                        told[pattern] = (float(np.interp(vote, middle, shares)), doc, cos)
-                    out.append(told[pattern])
+                patterns = [known.of(text) for text in batch.column(1).slice(i, 500).to_pylist()]
+                if len(told) > 50_000:
+                    told.clear()
+                new = list(dict.fromkeys(p for p in patterns if p not in told))
+                for pattern, near in zip(new, index.nearest(new, K), strict=True):
+                    vote, doc, cos = index.tally(pattern, share, *near)
+                    told[pattern] = (float(np.interp(vote, middle, shares)), doc, cos)
+                out += map(told.__getitem__, patterns)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([o[i] for o in out], t) for i, t in enumerate((pa.float64(), pa.int64(), pa.float64())))], ["doc_id", "score", "nearest_doc_id", "nearest_cosine"])
 
     return rows.mapInArrow(run, "doc_id long, score double, nearest_doc_id long, nearest_cosine double")
@@ -274,8 +272,8 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, per_class: int = PER_CLASS) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, per_class: int = PER_CLASS, least: float = LEAST) -> DataFrame:
     """(doc_id, held_out, score, predicted, nearest_doc_id, nearest_cosine) of every row; learns from rows not held out."""
-    model = fit(docs.where(~held_out()), labels.where(~held_out()), per_class)
+    model = fit(docs.where(~held_out()), labels.where(~held_out()), per_class, least)
     predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
     return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", predicted, "nearest_doc_id", "nearest_cosine")
