@@ -105,7 +105,7 @@ def test_paths(spark):
     spine = volume(spark, [(0, 1, 0)]).withColumn("label", F.lit(1).cast("long"))
     path = G.greedy_paths(cost, spine, volume(spark, [(0, 1, 7)])).collect()
     assert path and max(r.x for r in path) == 6
-    cheap = volume(spark, plane).withColumn("cost", F.when(F.col("y") == 0, 0.1).otherwise(5.0))
+    cheap = volume(spark, plane).withColumn("cost", F.when(F.col("y") == 0, 0.1).otherwise(5.0)).withColumn("label", F.lit(1).cast("long"))
     ends = volume(spark, [(0, 0, 7)]).withColumn("label", F.lit(1).cast("long"))
     walk = G.least_cost_path(cheap, volume(spark, [(0, 0, 0)]).withColumn("label", F.lit(1).cast("long")), ends).collect()
     assert sorted((r.x, r.y) for r in walk) == [(x, 0) for x in range(8)]
@@ -146,14 +146,145 @@ def test_nearest_far_away(spark):
     assert got == {1: (2, 5000.0), 2: (None, None), 3: (None, None)}
 
 
+def test_paths_of_touching_objects(spark):
+    """On one line: object 1 from 0 to 10, object 2 from 8 to 2 (cells of both)."""
+    line = [(0, 0, x) for x in range(11)]
+    one, two = (volume(spark, line).withColumn("label", F.lit(k).cast("long")).withColumn("cost", F.lit(1.0)) for k in (1, 2))
+    at = lambda x, k: volume(spark, [(0, 0, x)]).withColumn("label", F.lit(k).cast("long"))
+    for brick in ((64, 64, 64), (2, 2, 3)):
+        walk = G.least_cost_path(one.unionByName(two), at(0, 1).unionByName(at(8, 2)), at(10, 1).unionByName(at(2, 2)), brick).collect()
+        assert sorted((r.label, r.step, r.x) for r in walk) == [(1, i, 10 - i) for i in range(11)] + [(2, i, 2 + i) for i in range(7)]
+
+
+def test_long_walk(spark):
+    """A path of 1,500 voxels through many bricks."""
+    path = [(0, 2 * k + (0 if i < 29 else 1), i if k % 2 == 0 else 28 - i) for k in range(50) for i in range(29)]
+    path = [(0, 2 * k, x) for k in range(50) for x in range(29)] + [(0, 2 * k + 1, 28 if k % 2 == 0 else 0) for k in range(49)]
+    vox = volume(spark, path).withColumn("label", F.lit(1).cast("long")).withColumn("cost", F.lit(1.0))
+    at = lambda c: volume(spark, [c]).withColumn("label", F.lit(1).cast("long"))
+    walk = G.least_cost_path(vox, at((0, 0, 0)), at((0, 98, 0 if 49 % 2 else 28)), (4, 25, 30)).collect()
+    assert len({r.step for r in walk}) == len(walk) and len(walk) > 1300
+    field = {(r.y, r.x): r.hops for r in G.geodesic(vox, at((0, 0, 0)), (4, 25, 30)).collect()}
+    assert max(field.values()) >= 49 * 29 and field == {(r.y, r.x): r.hops for r in G.geodesic(vox, at((0, 0, 0))).collect()}
+
+
+def test_bricks_change_nothing(spark):
+    """Growth, splits, geodesics, thinning, greedy paths and distances with images of one and of many bricks."""
+    rng = np.random.default_rng(8)
+    full = np.argwhere(rng.random((7, 15, 18)) < 0.6).tolist()
+    vox = volume(spark, full).unionByName(volume(spark, full[::2], image=1 << 61))
+    mask = vox.withColumn("p", (F.col("z") * 5 + F.col("y") * 3 + F.col("x") * 7) % 4 + F.lit(0.0))
+    seeds = vox.where("(z * 15 + y) * 18 + x < 400 and x % 5 = 0 and y % 4 = 0").withColumn("label", F.col("x") + F.col("y") * 100 + F.lit(1).cast("long"))
+    cost = mask.select(*VK, (1 + F.col("p") * F.col("x")).alias("cost"))
+    small = (3, 4, 5)
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    for f in (
+        lambda **k: G.label_components(vox, 6, **k).select(*VK, "label"),
+        lambda **k: G.grow_labels(seeds, mask, 6, **k),
+        lambda **k: G.seeded_split(mask, seeds, "p", 6, **k),
+        lambda **k: G.thin(vox, **k),
+        lambda **k: G.greedy_paths(cost, seeds, vox.where("x > 15"), **k).select(*VK, "label", "step"),
+        lambda **k: J.distance_to(vox, seeds, 6, (2.0, 1.0, 1.0), **k),
+    ):
+        assert key(f()) == key(f(brick=small))
+
+
+def test_nearest_beyond_many_rings(spark):
+    """Far targets, many of them, equal brute force; a point without any gets nulls."""
+    rng = np.random.default_rng(2)
+    pts = spark.createDataFrame([(i, 1, *map(float, rng.integers(0, 60, 3))) for i in range(40)] + [(99, 2, 0.0, 0.0, 0.0)], "id long, image_id long, z double, y double, x double")
+    far = [(1, *map(float, rng.integers(400, 900, 3)), k) for k in range(300)] + [(1, 0.0, 0.0, 520.0, 900), (1, 0.0, 1414.0, 0.0, 901)]
+    targets = spark.createDataFrame(far, "image_id long, z double, y double, x double, name long")
+    got = {r.id: (r.distance, r.name) for r in J.nearest_point(pts, targets, ["id"], ["name"]).collect()}
+    want = {99: (None, None)}
+    for r in pts.where("image_id = 1").collect():
+        want[r.id] = min((math.dist((r.z, r.y, r.x), t[1:4]), t[4]) for t in far)
+    assert set(got) == set(want) and got[99] == (None, None)
+    assert all(got[i][1] == want[i][1] and abs(got[i][0] - want[i][0]) < 1e-9 for i in want if i != 99)
+
+
+def test_usual_axis_lengths(spark):
+    """A slice at unequal sampling is flat: twice its least moment is 0."""
+    plane = volume(spark, [(0, y, x) for y in range(20) for x in range(20)]).withColumn("label", F.lit(1).cast("long"))
+    r = A.inertia_axes(plane, (1.0, 0.102, 0.102)).first()
+    assert r.axis_major_table == 0.0 and r.axis_minor_table == 0.0
+    box = volume(spark, [(z, y, x) for z in range(3) for y in range(6) for x in range(12)]).withColumn("label", F.lit(1).cast("long"))
+    assert A.inertia_axes(box).first().axis_major_table == pytest.approx(math.sqrt(12 * (9 - 1) / 12))
+
+
+def test_feret_of_large_objects(spark):
+    ball = [(z, y, x) for z in range(15) for y in range(15) for x in range(21) if ((z - 7) / 7) ** 2 + ((y - 7) / 7) ** 2 + ((x - 10) / 10) ** 2 <= 1]
+    cloud = np.unique(np.random.default_rng(4).integers(0, 30, (400, 3)), axis=0).tolist()
+    df = volume(spark, ball).withColumn("label", F.lit(1).cast("long")).unionByName(volume(spark, cloud).withColumn("label", F.lit(2).cast("long")))
+    got = {r.label: r.feret_max for r in A.feret_max(df, (2.0, 1.0, 0.5)).collect()}
+    for label, c in ((1, ball), (2, cloud)):
+        p = np.array(c) * (2.0, 1.0, 0.5)
+        assert got[label] == pytest.approx(np.sqrt(((p[:, None] - p[None]) ** 2).sum(-1)).max())
+
+
+def test_mesh(spark):
+    one = lambda c, k: volume(spark, c).withColumn("label", F.lit(k).cast("long"))
+    rng = np.random.default_rng(5)
+    ball = [(z, y, x) for z in range(21) for y in range(21) for x in range(21) if (z - 10) ** 2 + (y - 10) ** 2 + (x - 10) ** 2 <= 81]
+    rows = {r.label: r for r in A.surface_mesh(one([(0, 0, 0)], 1).unionByName(one(ball, 2)).unionByName(one(np.argwhere(rng.random((5, 5, 5)) < 0.5).tolist(), 3))).collect()}
+    assert rows[1].mesh_area == pytest.approx(math.sqrt(3)) and rows[1].mesh_vol == pytest.approx(1 / 6)  # an octahedron
+    assert rows[2].mesh_vol == pytest.approx(4 / 3 * math.pi * 9.2**3, rel=0.05) and rows[2].mesh_area == pytest.approx(4 * math.pi * 9.2**2, rel=0.12)
+    table = np.array(A.mesh_cells((1.0, 1.0, 1.0)))
+    moved = A.surface_mesh(one([(z + 7, y + 3, x) for z, y, x in ball], 2)).first()
+    assert moved.mesh_vol == pytest.approx(rows[2].mesh_vol) and (table[:, 0] > 0).sum() == 254
+
+
+def test_ranks_and_percentiles(spark):
+    rng = np.random.default_rng(1)
+    rows = [(int(g), float(v)) for g, v in zip(rng.choice([1, 1, 1, 2, 3], 900), rng.integers(0, 40, 900))]
+    df = spark.createDataFrame(rows, "image_id long, v double").repartition(5)
+    got = {r.image_id: (r.p_low, r.p_high) for r in A.percentiles(df, "v", 0.02, 0.737, ["image_id"]).collect()}
+    for g in (1, 2, 3):
+        assert got[g] == pytest.approx(np.percentile([v for k, v in rows if k == g], (2, 73.7)))
+    assert A.percentiles(df.limit(0), "v", 0.1, 0.9, ["image_id"]).count() == 0
+
+
+def test_spline(spark):
+    """The spline goes through cubics exactly, and through its points."""
+    t = np.linspace(0, 1, 9)
+    flat = W._spline(np.stack([0 * t, 3 * t, 4 * t], axis=1), 50)
+    assert np.allclose(flat, np.stack([0 * np.linspace(0, 1, 50), 3 * np.linspace(0, 1, 50), 4 * np.linspace(0, 1, 50)], axis=1))
+    turn = np.linspace(0, np.pi, 40)
+    arc = W._spline(np.stack([0 * turn, np.sin(turn), np.cos(turn)], axis=1), 60)
+    assert np.allclose(np.hypot(arc[:, 1], arc[:, 2]), 1, atol=1e-5)
+    df = volume(spark, [(0, 0, 0), (0, 1, 2), (0, 2, 2), (0, 3, 5), (0, 4, 4)]).withColumn("label", F.lit(1))
+    out = W.resample_polyline(df, ["label"], ["y"], 7).orderBy("step").collect()
+    assert len(out) == 7 and (out[0].y, out[0].x) == (0.0, 0.0) and out[-1].y == pytest.approx(4) and out[-1].x == pytest.approx(4)
+    assert W.resample_polyline(df.limit(2), ["label"], ["y"], 7).count() == 2
+
+
+def test_cubic_weights():
+    for n_in, n_out in ((8, 12), (9, 9), (12, 5)):
+        w = np.zeros((n_out, n_in))
+        for o, i, v in L.axis_weights(n_in, n_out, 3):
+            w[o, i] += v
+        assert np.allclose(w.sum(axis=1), 1) and (n_in != n_out or np.allclose(w, np.eye(n_in), atol=1e-9))
+    blurred = sum(abs(v) for o, i, v in L.axis_weights(40, 10, 3, True) if o == 5)
+    assert blurred < sum(abs(v) for o, i, v in L.axis_weights(40, 10, 3) if o == 5)
+
+
+def test_necks_without_a_neck_class(spark):
+    vox = volume(spark, [(z, y, x) for z in range(3) for y in range(3) for x in range(9)]).withColumn("v", F.col("x") * 3.0 + 1)
+    spine, dendrite = vox.where("x <= 1").withColumn("label", F.lit(5).cast("long")), vox.where("x >= 7")
+    necks = G.neck_generation(spine, None, dendrite, vox, "v", 4).collect()
+    assert necks and {r.label for r in necks} == {5} and all(1 < r.x < 7 for r in necks) and max(r.x for r in necks) == 6
+    cost, deep = G.midline_cost(spine.select(*VK, "label"), 3)
+    assert deep.count() == 1 and cost.where("cost < 0").count() == 0
+
+
 def test_registered_paths_have_no_short_limit(spark, sf_dir, monkeypatch):
     from voxlake import registry
 
     seen, walk = [], G.greedy_paths
 
-    def spy(cost, objects, target, steps=200, most=20.0):
+    def spy(cost, objects, target, steps=200, most=20.0, **rest):
         seen.append(steps)
-        return walk(cost, objects, target, 1, most)
+        return walk(cost, objects, target, 1, most, **rest)
 
     monkeypatch.setattr(G, "greedy_paths", spy)
     for name in ("g11_greedy_paths", "g12_neck_generation"):

@@ -7,10 +7,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxlake.operators.bricks import dealt, whole
 from voxlake.operators.projections import VK
+from voxlake.operators.ranks import ranked
+from voxlake.plans.scratch import saved
 
 OK = ["image_id", "t", "label"]
 
@@ -22,10 +26,8 @@ def region_props(vox: DataFrame, value: str) -> DataFrame:
 
 def channel_stats(vox: DataFrame, channels: list[str], regions: list[str]) -> DataFrame:
     """A2: mean and maximum per label, channel and region in wide columns."""
-    long = vox.select(*OK, "region", F.explode(F.array(*[F.struct(F.lit(i + 1).alias("c"), F.col(c).alias("v")) for i, c in enumerate(channels)])).alias("s"))
-    named = long.select(*OK, F.concat_ws("_", "region", F.concat(F.lit("C"), F.col("s.c"))).alias("name"), F.col("s.v").alias("v"))
-    names = [f"{r}_C{i + 1}" for r in regions for i in range(len(channels))]
-    return named.groupBy(*OK).pivot("name", names).agg(F.avg("v").alias("mean_int"), F.max("v").alias("max_int"))
+    wide = [f(F.when(F.col("region") == r, F.col(c))).alias(f"{r}_C{i + 1}_{n}") for r in regions for i, c in enumerate(channels) for f, n in ((F.avg, "mean_int"), (F.max, "max_int"))]
+    return vox.groupBy(*OK).agg(*wide)
 
 
 def bbox(vox: DataFrame) -> DataFrame:
@@ -37,30 +39,33 @@ def bbox(vox: DataFrame) -> DataFrame:
 
 
 def _eigenvalues(m: dict[str, Column]) -> list[Column]:
-    """Of a symmetric 3 x 3 matrix, ascending, in closed form."""
+    """Of a symmetric 3 x 3 matrix, ascending, in closed form; an angle within rounding of its ends is one of them."""
     q = (m["zz"] + m["yy"] + m["xx"]) / 3
     p1 = m["zy"] ** 2 + m["zx"] ** 2 + m["yx"] ** 2
     p = F.sqrt(((m["zz"] - q) ** 2 + (m["yy"] - q) ** 2 + (m["xx"] - q) ** 2 + 2 * p1) / 6)
     a, b, c = (m[k] - q for k in ("zz", "yy", "xx"))
     det = a * (b * c - m["yx"] ** 2) - m["zy"] * (m["zy"] * c - m["yx"] * m["zx"]) + m["zx"] * (m["zy"] * m["yx"] - b * m["zx"])
-    r = F.when(p > 1e-12, F.least(F.lit(1.0), F.greatest(F.lit(-1.0), det / (2 * p**3)))).otherwise(F.lit(0.0))
-    phi = F.acos(r) / 3
+    r = F.when(p > 1e-12, det / (2 * p**3)).otherwise(F.lit(0.0))
+    phi = F.when(r > 1 - 1e-13, 0.0).when(r < -1 + 1e-13, math.pi / 3).otherwise(F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r))) / 3)
     top, low = q + 2 * p * F.cos(phi), q + 2 * p * F.cos(phi + 2 * math.pi / 3)
     return [low, 3 * q - top - low, top]
 
 
 def inertia_axes(vox: DataFrame, sampling: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
-    """A4: axes of the ellipsoid with the object's second moments (each voxel's own extent, 1/12, included)."""
+    """A4: e0 to e2, axis_major and axis_minor: the ellipsoid with the object's second moments (each voxel's own extent, 1/12, included).
+
+    axis_major_table and axis_minor_table are what usual tables carry: sqrt(6 m) and sqrt(10 m), where m is the smallest and the middle
+    value of the inertia tensor less the largest, of the moments without extents: twice the least second moment.
+    """
     s = dict(zip("zyx", sampling, strict=True))
     pairs = ("zz", "yy", "xx", "zy", "zx", "yx")
-    own = vox.groupBy(*OK).agg(F.count("*").alias("area"), *[(F.covar_pop(F.col(p[0]) * s[p[0]], F.col(p[1]) * s[p[1]]) + (s[p[0]] ** 2 / 12 if p[0] == p[1] else 0)).alias(p) for p in pairs])
-    e0, e1, e2 = _eigenvalues({p: F.col(p) for p in pairs})
-    keep = own.withColumns({"e0": e0, "e1": e1, "e2": e2})
+    own = vox.groupBy(*OK).agg(F.count("*").alias("area"), *[F.covar_pop(F.col(p[0]) * s[p[0]], F.col(p[1]) * s[p[1]]).alias(p) for p in pairs])
+    e0, e1, e2 = _eigenvalues({p: F.col(p) + (s[p[0]] ** 2 / 12 if p[0] == p[1] else 0) for p in pairs})
+    keep = own.withColumns({"e0": e0, "e1": e1, "e2": e2, "least": _eigenvalues({p: F.col(p) for p in pairs})[0]})
     zero = F.lit(0.0)
     major = 2 * F.sqrt(5 * F.greatest(zero, F.col("e2")))
     minor = 2 * F.sqrt(5 * F.greatest(zero, F.col("e0")))
-    # usual tables take both axes from the inertia tensor, largest value first, without the voxels' extent: twice the least moment
-    flat = F.greatest(zero, 2 * (F.col("e0") - min(sampling) ** 2 / 12))
+    flat = F.greatest(zero, 2 * F.col("least"))
     return keep.select(*OK, "area", "e0", "e1", "e2", major.alias("axis_major"), minor.alias("axis_minor"), F.sqrt(6 * flat).alias("axis_major_table"), F.sqrt(10 * flat).alias("axis_minor_table"))
 
 
@@ -122,25 +127,99 @@ def _outward(a: np.ndarray, b: np.ndarray, c: np.ndarray, middle: np.ndarray) ->
 
 def hull_volume(vox: DataFrame) -> DataFrame:
     """Convex hull of each object's voxel corners, and solidity.  Spark reduces objects to row ends first."""
-    corners = hull_candidates(vox).select(*OK, *[F.explode(F.array(F.col(c) - 0.5, F.col(c) + 0.5)).alias(c) if c == "z" else F.col(c).cast("double").alias(c) for c in "zyx"])
-    corners = corners.select(*OK, "z", F.explode(F.array(F.col("y") - 0.5, F.col("y") + 0.5)).alias("y"), "x").select(*OK, "z", "y", F.explode(F.array(F.col("x") - 0.5, F.col("x") + 0.5)).alias("x")).distinct()
-    ends = corners.groupBy(*OK, "z", "y").agg(F.min("x").alias("a"), F.max("x").alias("b")).groupBy(*OK).agg(F.collect_list(F.struct("z", "y", "a", "b")).alias("rows"))
+    ends = hull_candidates(vox).select(*OK, *[F.explode(F.array(F.col(c) - 0.5, F.col(c) + 0.5)).alias(c) if c == "z" else F.col(c).cast("double").alias(c) for c in "zyx"])
+    ends = ends.select(*OK, "z", F.explode(F.array(F.col("y") - 0.5, F.col("y") + 0.5)).alias("y"), "x").select(*OK, "z", "y", F.explode(F.array(F.col("x") - 0.5, F.col("x") + 0.5)).alias("x")).distinct()
+    ends = ends.groupBy(*OK, "z", "y").agg(F.min("x").alias("a"), F.max("x").alias("b")).groupBy(*OK).agg(F.collect_list(F.struct("z", "y", "a", "b")).alias("rows"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            volumes = [_hull(np.array([[r["z"], r["y"], x] for r in rows for x in (r["a"], r["b"])])) for rows in part["rows"]]
+            volumes = []
+            for rows in part["rows"]:
+                p = np.array([[r["z"], r["y"], x] for r in rows for x in (r["a"], r["b"])])
+                volumes.append(_hull(p[corners((2 * p).astype(np.int64), np.zeros(len(p), np.int64))]))
             yield part[OK].assign(convex_vol=volumes)
 
     volumes = ends.mapInPandas(run, "image_id long, t int, label long, convex_vol double")
     return vox.groupBy(*OK).agg(F.count("*").alias("area")).join(volumes, OK).withColumn("solidity", F.try_divide(F.col("area").cast("double"), F.col("convex_vol")))
 
 
+def _planar(points: np.ndarray, group: np.ndarray, plane: int, along: int, across: int) -> np.ndarray:
+    """Which points can be corners of their group's hull, judged in the planes where one coordinate is fixed.
+
+    Points on or inside the chord of their neighbours on a plane's outline are no corners; this is repeated until none is left."""
+    keep = np.zeros(len(points), bool)
+    for sign in (1, -1):
+        order = np.lexsort((sign * points[:, across], points[:, along], points[:, plane], group))
+        g, p = group[order], points[order]
+        head = np.append(True, (g[1:] != g[:-1]) | (p[1:, plane] != p[:-1, plane]) | (p[1:, along] != p[:-1, along]))
+        order, g, p = order[head], g[head], p[head]
+        while len(order) > 2:
+            line = np.append(False, (g[1:] == g[:-1]) & (p[1:, plane] == p[:-1, plane]))
+            inner = np.flatnonzero(line[1:-1] & line[2:]) + 1
+            a, b, c = p[inner - 1], p[inner], p[inner + 1]
+            over = sign * ((b[:, across] - a[:, across]) * (c[:, along] - a[:, along]) - (c[:, across] - a[:, across]) * (b[:, along] - a[:, along])) >= 0
+            if not over.any():
+                break
+            left = np.ones(len(order), bool)
+            left[inner[over]] = False
+            order, g, p = order[left], g[left], p[left]
+        keep[order] = True
+    return keep
+
+
+def corners(points: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Indices of the points that can be corners of the convex hulls of their groups (integers; all true corners are among them)."""
+    left = np.arange(len(points))
+    for plane, along, across in ((0, 1, 2), (1, 0, 2), (2, 0, 1)):
+        left = left[_planar(points[left], group[left], plane, along, across)]
+    return left
+
+
+def _diameter(p: np.ndarray) -> float:
+    """Largest distance between points: pairs in tiles, farthest from the middle first, until no pair can be farther apart."""
+    away = np.sqrt(((p - (p.min(axis=0) + p.max(axis=0)) / 2) ** 2).sum(axis=1))
+    order = np.argsort(-away)
+    p, away, best, tile = p[order], away[order], 0.0, 512
+    for i in range(0, len(p), tile):
+        for j in range(0, i + 1, tile):
+            if away[i] + away[j] < best * (1 - 1e-12):
+                break
+            d2 = sum((p[i : i + tile, k, None] - p[None, j : j + tile, k]) ** 2 for k in range(3))
+            best = max(best, float(np.sqrt(d2.max())))
+        if away[i] + away[0] < best * (1 - 1e-12):
+            break
+    return best
+
+
 def feret_max(vox: DataFrame, sampling: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
-    """Largest distance between two points of an object (only row ends can be that far apart)."""
-    a = hull_candidates(vox)
-    b = a.select(*OK, *[F.col(c).alias(f"o{c}") for c in "zyx"])
-    d2 = sum((((F.col(c) - F.col(f"o{c}")) * s) ** 2 for c, s in zip("zyx", sampling, strict=True)), F.lit(0.0))
-    return a.join(b, OK).groupBy(*OK).agg(F.sqrt(F.max(d2)).alias("feret_max"))
+    """Largest distance between two points of an object.  Spark reduces objects to row ends, a task to the corners of their outlines."""
+    rows = hull_candidates(vox).withColumn("brick", F.xxhash64(*OK))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole(batches):
+            order = np.lexsort([t[c].to_numpy() for c in OK])
+            names = np.stack([t[c].to_numpy()[order] for c in OK])
+            head = np.append(True, (names[:, 1:] != names[:, :-1]).any(axis=0))
+            group = np.cumsum(head) - 1
+            points = np.stack([t[c].to_numpy()[order] for c in "zyx"], axis=1).astype(np.int64)
+            left = corners(points, group)
+            points, group = points[left] * np.array(sampling), group[left]
+            size = np.bincount(group)
+            start = np.cumsum(size) - size
+            out = np.zeros(len(size))
+            for most in (4, 16, 64):  # small objects together, padded with their first point
+                some = np.flatnonzero((size <= most) & (size > most // 4))
+                for i in range(0, len(some), max(1, (1 << 21) // (most * most))):
+                    part = some[i : i + max(1, (1 << 21) // (most * most))]
+                    at = start[part][:, None] + np.where(np.arange(most) < size[part][:, None], np.arange(most), 0)
+                    p = points[at]
+                    out[part] = np.sqrt(sum((p[:, :, None, k] - p[:, None, :, k]) ** 2 for k in range(3)).max(axis=(1, 2)))
+            for g in np.flatnonzero(size > 64).tolist():
+                out[g] = _diameter(points[start[g] : start[g] + size[g]])
+            first = np.flatnonzero(head)
+            yield pa.RecordBatch.from_arrays([*(pa.array(names[k][first].astype(d)) for k, d in enumerate((np.int64, np.int32, np.int64))), pa.array(out)], [*OK, "feret_max"])
+
+    return dealt(rows).mapInArrow(run, "image_id long, t int, label long, feret_max double")
 
 
 def mip(vox: DataFrame, value: str, axis: str = "z") -> DataFrame:
@@ -256,23 +335,106 @@ def majority_vote(votes: DataFrame) -> DataFrame:
 FACES = {"z": ("y", "x"), "y": ("z", "x"), "x": ("z", "y")}
 
 
-def surface_area(vox: DataFrame, sampling: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
-    """Surface (exposed faces) and enclosed volume of each object."""
-    s = dict(zip("zyx", sampling, strict=True))
-    total = s["z"] * s["y"] * s["x"]
+def _exposed(vox: DataFrame) -> DataFrame:
+    """Voxels with f_z, f_y, f_x: sides without a neighbour of the same object; top: the first of a (y, x) line."""
     w = vox
-    area = F.lit(0.0)
     for axis, other in FACES.items():
         line = Window.partitionBy(*OK, *other).orderBy(axis)
         w = w.withColumn(f"f_{axis}", F.when(F.lag(axis).over(line) == F.col(axis) - 1, 0).otherwise(1) + F.when(F.lead(axis).over(line) == F.col(axis) + 1, 0).otherwise(1))
-        area += F.col(f"f_{axis}") * (total / s[axis])
-    return w.groupBy(*OK).agg(F.sum(area).alias("surf_area"), (F.count("*") * total).alias("vol"))
+        if axis == "z":
+            w = w.withColumn("top", F.lag(axis).over(line).isNull())
+    return w
+
+
+def _face_area(sampling: tuple[float, float, float]) -> Column:
+    total = math.prod(sampling)
+    return sum((F.sum(f"f_{axis}") * (total / s) for axis, s in zip("zyx", sampling, strict=True)), F.lit(0.0))
+
+
+def surface_area(vox: DataFrame, sampling: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
+    """A24, exposed faces: surface and volume of each object as a stack of voxels."""
+    return _exposed(vox).groupBy(*OK).agg(_face_area(sampling).alias("surf_area"), (F.count("*") * math.prod(sampling)).alias("vol"))
+
+
+_CORNERS = [(z, y, x) for z in (0, 1) for y in (0, 1) for x in (0, 1)]
+_SIDES = [[c for c in _CORNERS if c[axis] == v] for axis in range(3) for v in (0, 1)]
+
+
+def _loops(code: int) -> list[list[np.ndarray]]:
+    """Outlines of the surface in a cell (bit k: corner k is inside), through the middles of crossed edges.
+
+    On a face of the cell, segments cut off each inside corner whose two neighbours on the face are outside (so touching corners stay apart),
+    else they part the inside corners from the outside ones.
+    """
+    inside = {c for k, c in enumerate(_CORNERS) if code >> k & 1}
+    links: dict = {}
+    for side in _SIDES:
+        near = lambda c: [d for d in side if sum(p != q for p, q in zip(c, d, strict=True)) == 1]  # noqa: B023, E731
+        crossed = [(c, d) for c in side for d in near(c) if c in inside and d not in inside]
+        if len(crossed) == 4:
+            pairs = [[(c, d) for d in near(c)] for c in side if c in inside]
+        else:
+            pairs = [crossed] if crossed else []
+        for a, b in pairs:
+            links.setdefault(a, []).append(b)
+            links.setdefault(b, []).append(a)
+    out = []
+    while links:
+        start = min(links)
+        loop, now, before = [start], start, None
+        while True:
+            a, b = links[now]
+            before, now = now, b if a == before else a
+            if now == start:
+                break
+            loop.append(now)
+        for e in loop:
+            del links[e]
+        out.append([(np.array(a, float) + np.array(b, float)) / 2 for a, b in loop])
+        outward = np.array(loop[0][1], float) - np.array(loop[0][0], float)
+        p = out[-1]
+        normal = sum(np.cross(p[i], p[(i + 1) % len(p)]) for i in range(len(p)))
+        if normal @ outward < 0:
+            out[-1] = p[::-1]
+    return out
+
+
+def mesh_cells(sampling: tuple[float, float, float]) -> list[tuple[float, float, float, float, float]]:
+    """By cell code: area, six times the signed volume under its triangles from the cell's first corner, and the sum of their (doubled) normals."""
+    table, s = [], np.array(sampling)
+    for code in range(256):
+        area, volume, normal = 0.0, 0.0, np.zeros(3)
+        for loop in _loops(code) if 0 < code < 255 else ():
+            p = [v * s for v in loop]
+            middle = sum(p) / len(p)
+            for a, b in zip(p, p[1:] + p[:1], strict=True):
+                n = np.cross(a - middle, b - middle)
+                area += np.sqrt(n @ n) / 2
+                volume += middle @ n
+                normal += n
+        table.append(tuple(round(float(v), 12) for v in (area, volume, *normal)))
+    return table
+
+
+def surface_mesh(vox: DataFrame, sampling: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
+    """Area and enclosed volume of each object's iso-surface half-way between its voxels and the empty ones around them.
+
+    Every cell of eight voxel centres has one of 256 codes; a table made by rule (mesh_cells) holds what each adds.
+    """
+    moves = F.explode(F.array(*[F.struct(*[F.lit(v).alias(f"d{c}") for v, c in zip(d, "zyx", strict=True)], F.lit(1 << k).alias("bit")) for k, d in enumerate(_CORNERS)])).alias("d")
+    cells = vox.select(*OK, *VK[2:], moves).groupBy(*OK, *[(F.col(c) - F.col(f"d.d{c}")).alias(c) for c in "zyx"]).agg(F.bit_or("d.bit").alias("code"))
+    table = vox.sparkSession.createDataFrame([(k, *r) for k, r in enumerate(mesh_cells(sampling))], "code int, area double, six double, nz double, ny double, nx double")
+    under = F.col("six") + sum((F.col(c) * s * F.col(f"n{c}") for c, s in zip("zyx", sampling, strict=True)), F.lit(0.0))
+    return cells.join(F.broadcast(table), "code").groupBy(*OK).agg(F.sum("area").alias("mesh_area"), (F.sum(under) / 6).alias("mesh_vol"))
 
 
 def morphometrics(vox: DataFrame, sampling: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
-    """One row per object: box, surface, volume, length, projected area and centroid."""
-    box = bbox(vox).select(*OK, "area", "bbox_vol", "extent")
-    return box.join(surface_area(vox, sampling), OK).join(feret_max(vox, sampling).withColumnRenamed("feret_max", "length"), OK).join(projected_area(vox, sampling[1]), OK)
+    """One row per object: box, surface, volume, length, projected area."""
+    vox = saved(vox.select(*OK, *VK[2:]).distinct(), "objects")
+    own = _exposed(vox).groupBy(*OK).agg(F.count("*").alias("area"), *[f(c).alias(f"{n}_{c}") for c in "zyx" for f, n in ((F.min, "min"), (F.max, "max"))], _face_area(sampling).alias("surf_area"), (F.count("*") * math.prod(sampling)).alias("vol"), (F.count_if("top") * sampling[1] ** 2).alias("mip_area"))
+    volume = math.prod([F.col(f"max_{c}") - F.col(f"min_{c}") + 1 for c in "zyx"]).cast("long")
+    own = own.select(*OK, "area", volume.alias("bbox_vol"), (F.col("area") / volume).alias("extent"), "surf_area", "vol", "mip_area")
+    return own.join(feret_max(vox, sampling).withColumnRenamed("feret_max", "length"), OK)
 
 
 def box_length_width(points: DataFrame) -> DataFrame:
@@ -298,8 +460,15 @@ def axis_widths(midline: DataFrame, surface: DataFrame) -> DataFrame:
 
 
 def percentiles(vox: DataFrame, value: str, low: float, high: float, by: list[str]) -> DataFrame:
-    """Exact percentiles with linear interpolation."""
-    return vox.groupBy(*by).agg(F.percentile(value, low).alias("p_low"), F.percentile(value, high).alias("p_high"))
+    """Exact percentiles with linear interpolation: rows are ranked over range partitions, and only the two beside each are picked."""
+    rows = ranked(vox.where(F.col(value).isNotNull()).select(*by, value), by, [value])
+    out = []
+    for name, share in (("p_low", low), ("p_high", high)):
+        at = (F.col("size_") - 1) * share
+        under, over = (F.max(F.when(F.col("place_") == f(at), F.col(value))) for f in (F.floor, F.ceil))
+        part = F.max(at - F.floor(at))
+        out.append((under + (over - under) * part).alias(name))
+    return rows.groupBy(*by).agg(*out)
 
 
 def contrast_stretch(vox: DataFrame, value: str, low: float, high: float, top: float, by: list[str]) -> DataFrame:
@@ -332,6 +501,17 @@ def otsu_threshold(vox: DataFrame, value: str, by: list[str], bins: int = 256) -
     return best.select(*by, (F.col("b.low") + (F.col("b.high") - F.col("b.low")) * (F.col("b.bin") + 1) / bins).alias("threshold"))
 
 
+def otsu_mask(vox: DataFrame, value: str, shape: tuple[int, int, int], dilate: int = 5, bins: int = 256) -> DataFrame:
+    """Voxels above their image's threshold, and all within so many steps (6 neighbours) of them inside the volume's shape."""
+    bright = vox.join(otsu_threshold(vox, value, ["image_id"], bins), "image_id").where(F.col(value) > F.col("threshold")).select(*VK)
+    # the steps along one axis after the other, with what is left of them
+    out = bright.distinct().withColumn("left", F.lit(dilate))
+    for c, n in zip("zyx", shape, strict=True):
+        moved = out.select(*[k for k in VK if k != c], "left", F.explode(F.sequence(F.greatest(F.col(c) - F.col("left"), F.lit(0)), F.least(F.col(c) + F.col("left"), F.lit(n - 1)))).alias("to"), F.col(c).alias("from"))
+        out = moved.groupBy(*[k if k != c else F.col("to").alias(c) for k in VK]).agg(F.max(F.col("left") - F.abs(F.col("to") - F.col("from"))).alias("left"))
+    return out.select(*VK)
+
+
 def histogram_match(vox: DataFrame, value: str, by: str, reference: int) -> DataFrame:
     """Each distinct value to the reference image's value at its quantile, linearly between neighbours."""
     counts = vox.groupBy(by, value).agg(F.count("*").alias("n"))
@@ -348,20 +528,29 @@ def histogram_match(vox: DataFrame, value: str, by: str, reference: int) -> Data
 
 
 def tile_equalise(vox: DataFrame, value: str, tile: int, clip: float, bins: int = 64) -> DataFrame:
-    """Per tile, a clipped cumulative histogram (clipped counts spread evenly) as lookup."""
-    rows = vox.withColumns({"ty": F.floor(F.col("y") / tile), "tx": F.floor(F.col("x") / tile)})
+    """Per tile, a clipped cumulative histogram (clipped counts spread evenly) as lookup; a voxel blends the lookups of the tiles around it.
+
+    Weights are linear between tile middles in y and x; beyond the outermost middles, and where a tile has no voxel, the other tiles count alone.
+    """
     by = ["image_id", "ty", "tx"]
-    top = rows.groupBy("image_id").agg(F.min(value).alias("low"), F.max(value).alias("high"))
+    top = vox.groupBy("image_id").agg(F.min(value).alias("low"), F.max(value).alias("high"))
     share = F.coalesce(F.try_divide(F.col(value) - F.col("low"), F.col("high") - F.col("low")), F.lit(0.0))
-    rows = rows.join(top, "image_id").withColumn("bin", F.least(F.lit(bins - 1), F.floor(share * bins)).cast("int"))
-    h = rows.groupBy(*by, "bin").agg(F.count("*").alias("n"))
-    whole = Window.partitionBy(*by)
-    limit = F.greatest(F.lit(1.0), clip * F.sum("n").over(whole))
-    h = h.withColumn("total", F.sum("n").over(whole)).withColumn("kept", F.least(F.col("n").cast("double"), limit))
-    h = h.withColumn("spare", (F.col("total") - F.sum("kept").over(whole)) / bins)
-    up = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    h = h.select(*by, "bin", ((F.sum("kept").over(up) + F.col("spare") * (F.col("bin") + 1)) / F.col("total")).alias("equalised"))
-    return rows.join(h, [*by, "bin"]).drop("ty", "tx", "low", "high", "bin")
+    rows = vox.join(top, "image_id").withColumn("bin", F.least(F.lit(bins - 1), F.floor(share * bins)).cast("int"))
+    own = rows.groupBy("image_id", F.floor(F.col("y") / tile).alias("ty"), F.floor(F.col("x") / tile).alias("tx"), "bin").agg(F.count("*").alias("n"))
+    every = own.select(*by).distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).join(own, [*by, "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    whole_ = Window.partitionBy(*by)
+    limit = F.greatest(F.lit(1.0), clip * F.sum("n").over(whole_))
+    h = every.withColumn("total", F.sum("n").over(whole_)).withColumn("kept", F.least(F.col("n").cast("double"), limit))
+    h = h.withColumn("spare", (F.col("total") - F.sum("kept").over(whole_)) / bins)
+    up = whole_.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    h = h.select(*by, "bin", ((F.sum("kept").over(up) + F.col("spare") * (F.col("bin") + 1)) / F.col("total")).alias("level"))
+    for c in "yx":
+        at = (F.col(c) + 0.5) / tile - 0.5
+        pair = F.array(F.struct(F.floor(at).alias("i"), (1 - (at - F.floor(at))).alias("w")), F.struct((F.floor(at) + 1).alias("i"), (at - F.floor(at)).alias("w")))
+        rows = rows.withColumn(c + "_", F.explode(pair)).where(F.col(f"{c}_.w") > 0)
+    rows = rows.select(*[k for k in vox.columns], "bin", F.col("y_.i").alias("ty"), F.col("x_.i").alias("tx"), (F.col("y_.w") * F.col("x_.w")).alias("w"))
+    found = rows.join(h, [*by, "bin"]).groupBy(*VK).agg((F.sum(F.col("w") * F.col("level")) / F.sum("w")).alias("equalised"))
+    return vox.join(found, VK)
 
 
 def ssim(pairs: DataFrame, a: str, b: str, win: int, size: int, span: float = 1.0, by: str = "image_id") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.operators.projections import VK
@@ -26,17 +26,58 @@ def kernel(sigma: float, truncate: float = 4.0) -> list[tuple[int, float]]:
 
 
 def gaussian(vox: DataFrame, value: str, sigma: dict[str, float], keys: list[str]) -> DataFrame:
-    """L1: separable Gaussian of a sparse field (missing voxels are 0), at the voxels that exist; keys: the coordinates and image."""
-    out = vox.select(*keys, F.col(value).alias("v"))
+    """L1: separable Gaussian of a sparse field (missing voxels are 0), at the voxels that exist; keys: the coordinates and image.
+
+    After a wide axis only lines that hold a voxel of the result go on.
+    """
+    out, rest = vox.select(*keys, F.col(value).alias("v")), list(sigma)
     for axis, s in sigma.items():
-        moved = out.select(*keys, "v", _taps(kernel(s))).select(*[(F.col(c) + F.col("tap.k")).alias(c) if c == axis else F.col(c) for c in keys], (F.col("v") * F.col("tap.w")).alias("v"))
+        taps = kernel(s)
+        rest.remove(axis)
+        moved = out.select(*keys, "v", _taps(taps)).select(*[(F.col(c) + F.col("tap.k")).alias(c) if c == axis else F.col(c) for c in keys], (F.col("v") * F.col("tap.w")).alias("v"))
+        if len(taps) > 9 and rest:
+            lines = [c for c in keys if c not in rest]
+            moved = moved.join(vox.select(*lines).distinct(), lines, "left_semi")
         out = moved.groupBy(*keys).agg(F.sum("v").alias("v"))
     return vox.select(*keys).join(out, keys).withColumnRenamed("v", value)
 
 
-def axis_weights(n_in: int, n_out: int, order: int) -> list[tuple[int, int, float]]:
-    """(out, in, weight) of nearest (0) or linear (1) resampling with centres aligned."""
+def _spline_weights(n: int) -> np.ndarray:
+    """Coefficients of the cubic B-spline that goes through n values, mirrored about the edges of the first and last."""
+    at = np.arange(n)
+    collocation = np.zeros((n, n))
+    for k, w in ((-1, 1 / 6), (0, 4 / 6), (1, 1 / 6)):
+        np.add.at(collocation, (at, _mirror(at + k, n)), w)
+    return np.linalg.inv(collocation)
+
+
+def _mirror(i: np.ndarray, n: int) -> np.ndarray:
+    i = np.mod(i, 2 * n)
+    return np.where(i < n, i, 2 * n - 1 - i)
+
+
+def axis_weights(n_in: int, n_out: int, order: int, anti_alias: bool = False) -> list[tuple[int, int, float]]:
+    """(out, in, weight) of nearest (0), linear (1) or cubic B-spline (3) resampling with centres aligned and mirrored edges.
+
+    anti_alias: a Gaussian of sigma (n_in / n_out - 1) / 2 goes first when an axis shrinks.
+    """
     rows = []
+    if order == 3 or anti_alias and n_out < n_in:
+        w, at = np.zeros((n_out, n_in)), (np.arange(n_out) + 0.5) * n_in / n_out - 0.5
+        low = np.floor(at).astype(int)
+        for k in (-1, 0, 1, 2):
+            d = np.abs(at - (low + k))
+            cubic = np.where(d < 1, 2 / 3 - d**2 + d**3 / 2, np.maximum(2 - d, 0) ** 3 / 6)
+            part = cubic if order == 3 else np.maximum(0.0, 1 - d) if order == 1 else (np.floor(at + 0.5) == low + k).astype(float)
+            np.add.at(w, (np.arange(n_out), _mirror(low + k, n_in)), part)
+        if order == 3:
+            w = w @ _spline_weights(n_in)
+        if anti_alias and n_out < n_in:
+            blur = np.zeros((n_in, n_in))
+            for k, v in kernel((n_in / n_out - 1) / 2):
+                np.add.at(blur, (np.arange(n_in), _mirror(np.arange(n_in) + k, n_in)), v)
+            w = w @ blur
+        return [(int(o), int(i), float(w[o, i])) for o, i in zip(*np.nonzero(np.abs(w) > 1e-12), strict=True)]
     for o in range(n_out):
         at = (o + 0.5) * n_in / n_out - 0.5
         if order == 0:
@@ -49,11 +90,11 @@ def axis_weights(n_in: int, n_out: int, order: int) -> list[tuple[int, int, floa
     return rows
 
 
-def resample(vox: DataFrame, value: str, sizes: dict[str, tuple[int, int]], keys: list[str], order: int = 1) -> DataFrame:
-    """L2: each axis by a small weight table; missing voxels are 0."""
+def resample(vox: DataFrame, value: str, sizes: dict[str, tuple[int, int]], keys: list[str], order: int = 1, anti_alias: bool = False) -> DataFrame:
+    """L2: each axis by a small weight table (order 0, 1 or 3); missing voxels are 0."""
     out = vox.select(*keys, F.col(value).alias("v"))
     for axis, (n_in, n_out) in sizes.items():
-        table = out.sparkSession.createDataFrame(axis_weights(n_in, n_out, order), "o int, i int, w double")
+        table = out.sparkSession.createDataFrame(axis_weights(n_in, n_out, order, anti_alias), "o int, i int, w double")
         rest = [c for c in keys if c != axis]
         out = out.join(F.broadcast(table), F.col(axis) == F.col("i")).groupBy(*rest, F.col("o").alias(axis)).agg(F.sum(F.col("w") * F.col("v")).alias("v"))
     return out.select(*keys, F.col("v").alias(value))
@@ -116,25 +157,42 @@ def foreground_patches(vox: DataFrame, value: str, size: int, n: int, share: flo
     """N patches per image, by hash, among those whose maximum exceeds a share of the image's high percentile."""
     from pyspark.sql import Window
 
-    level = vox.groupBy("image_id").agg(F.percentile(value, top).alias("p"))
+    from voxlake.operators.aggregates import percentiles
+
+    level = percentiles(vox, value, top, top, ["image_id"]).select("image_id", F.col("p_high").alias("p"))
     patch = vox.groupBy("image_id", "t", "z", F.floor(F.col("y") / size).cast("int").alias("py"), F.floor(F.col("x") / size).cast("int").alias("px")).agg(F.max(value).alias("top"))
     good = patch.join(level, "image_id").where(F.col("top") > share * F.col("p"))
     order = F.md5(F.concat_ws("/", "image_id", "t", "z", "py", "px"))
     return good.withColumn("r", F.row_number().over(Window.partitionBy("image_id").orderBy(order))).where(F.col("r") <= n).select("image_id", "t", "z", "py", "px", "top")
 
 
+PART = 200.0  # largest rate that one draw takes
+
+
 def poisson_noise(vox: DataFrame, value: str, scale: float, seed: int) -> DataFrame:
-    """Poisson counts around value * scale; each voxel's draw depends on its place and the seed alone."""
-    place = F.xxhash64(F.lit(seed), *[c for c in VK if c in vox.columns])
+    """Poisson counts around value * scale, divided by scale; each voxel's draw depends on its place and the seed alone.
+
+    A draw counts the steps of the distribution function below a uniform number, the first 52 bits of the place's md5; rates above PART are
+    drawn in equal parts and added.  Null and negative values have rate 0.
+    """
+    rate = F.greatest(F.coalesce(F.col(value) * scale, F.lit(0.0)), F.lit(0.0))
+    parts = F.greatest(F.ceil(rate / PART), F.lit(1)).cast("int")
+    name = F.concat_ws("/", F.lit(seed), *[c for c in VK if c in vox.columns])
+    most = (F.col("rate_") + 12 * F.sqrt("rate_") + 20).cast("int")
+    zero = F.struct(F.exp(-F.col("rate_")).alias("p"), F.exp(-F.col("rate_")).alias("cdf"), F.lit(0).alias("n"))
+
+    def draw(k: Column) -> Column:
+        u = F.conv(F.substring(F.md5(F.concat_ws("/", name, k)), 1, 13), 16, 10).cast("double") / float(1 << 52)
+
+        def step(s: Column, i: Column) -> Column:
+            p = s["p"] * F.col("rate_") / i
+            return F.struct(p.alias("p"), (s["cdf"] + p).alias("cdf"), F.when(s["cdf"] < u, i).otherwise(s["n"]).alias("n"))
 
-    @F.pandas_udf("double")
-    def draw(rate: pd.Series, key: pd.Series) -> pd.Series:
-        out = np.empty(len(rate))
-        for i, (m, k) in enumerate(zip(rate.to_numpy(), key.to_numpy(), strict=True)):
-            out[i] = np.random.Generator(np.random.PCG64(int(k) & 0xFFFFFFFFFFFFFFFF)).poisson(max(m, 0.0))
-        return pd.Series(out)
+        return F.aggregate(F.sequence(F.lit(1), most), zero, step, lambda s: s["n"])
 
-    return vox.withColumn(value, draw(F.coalesce(F.col(value) * scale, F.lit(0.0)), place) / scale)
+    total = F.aggregate(F.transform(F.sequence(F.lit(1), F.col("parts_")), draw), F.lit(0), lambda a, b: a + b)
+    rows = vox.withColumn("parts_", parts).withColumn("rate_", rate / F.col("parts_"))
+    return rows.withColumn(value, total.cast("double") / scale).drop("parts_", "rate_")
 
 
 def training_slices(vox: DataFrame, value: str, sizes: tuple[int, int, int], scale: int) -> DataFrame:

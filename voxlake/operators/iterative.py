@@ -1,115 +1,90 @@
-"""Iterative and neighbourhood operators (G1-G14): loops of joins over whole tables, all images at once.
+"""Iterative and neighbourhood operators (G1-G14), all images at once.
 
-Every round writes its new rows to the shared folder (no lineage grows, a lost executor costs one step), and loops stop when a
-round adds nothing.
+Voxels of a brick meet in one task, which settles them among themselves; only what crosses brick faces travels between rounds
+(see bricks.py).  Rounds end when nothing changes; each is written to the shared folder (no lineage grows, a lost executor costs one step).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache, reduce
-from itertools import count, product
+from itertools import product
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxlake.functions.scalar import gamma
+from voxlake.operators.bricks import BRICK, Grid, dealt, edges, follow, keys, relax, whole
+from voxlake.operators.filters import gaussian, kernel
 from voxlake.operators.graph import connected_components as components
 from voxlake.operators.graph import roots
-from voxlake.operators.joins import distance_to, neighbours, offsets
+from voxlake.operators.joins import assign_blocks, distance_to, nearest_point, neighbours, offsets
 from voxlake.operators.projections import VK
 from voxlake.plans.scratch import saved
 
-MAX_ROUNDS = 10_000
 
-
-def _extent(vox: DataFrame) -> dict[str, int]:
-    """Sizes of all volumes together, one more than the largest coordinate on every side."""
-    r = vox.agg(*[F.max(c).alias(f"max_{c}") for c in "tzyx"], *[F.min(c).alias(f"min_{c}") for c in "tzyx"], F.max("image_id").alias("images")).first()
-    if r["max_z"] is None:
-        return {"t": 1, "z": 1, "y": 1, "x": 1, "images": 0}
-    if min(r[f"min_{c}"] for c in "tzyx") < 0:
-        raise ValueError("coordinates start at 0")
-    out = {c: r[f"max_{c}"] + 3 for c in "tzyx"} | {"images": r["images"]}
-    if (r["images"] + 1) * out["t"] * out["z"] * out["y"] * out["x"] >= 1 << 62:
-        raise OverflowError("image ids times volume do not fit a long: renumber the images")
-    return out
-
-
-def _node(size: dict[str, int]) -> Column:
-    """A number per voxel, in raster order within an image; neighbours differ by a fixed step."""
-    out = F.col("image_id")
-    for c in "tzyx":
-        out = out * size[c] + F.col(c) + 1
-    return out.cast("long")
-
-
-def label_components(vox: DataFrame, connectivity: int = 26, brick: tuple[int, int, int] = (64, 256, 256)) -> DataFrame:
+def label_components(vox: DataFrame, connectivity: int = 26, brick: tuple[int, int, int] = BRICK) -> DataFrame:
     """Instance labels 1, 2, ... of each image in raster order (of each image and time, below 80-connectivity).
 
-    Voxels of a brick meet in one task, which joins what touches there; pairs across brick faces are found by an equi-join of
-    face voxels; the components of that (much smaller) graph of local roots give the final labels.
+    A task joins what touches inside its bricks.  Where every image is one brick that is all; else pairs across brick faces are found
+    by an equi-join of face voxels, and the components of that (much smaller) graph of local roots give the labels.
     """
-    size = _extent(vox)
-    half = [d if len(d) == 4 else (0, *d) for d in offsets(connectivity) if (d if len(d) == 4 else (0, *d)) > (0, 0, 0, 0)]
-    steps = np.array([((d[0] * size["z"] + d[1]) * size["y"] + d[2]) * size["x"] + d[3] for d in half])
+    vox = saved(vox.select(*VK).distinct(), "voxels")
+    grid = Grid(vox, brick)
+    half = [d for d in offsets(connectivity) if d > (0,) * len(d)]
+    steps, by_time = grid.steps(half), connectivity != 80
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [b for b in batches if b.num_rows]
-        if not parts:
-            return
-        t = pa.Table.from_batches(parts)
-        node = t["node"].to_numpy()
-        order = np.sort(node)
-        a, b = [node], [node]
-        for s in steps:
-            at = np.minimum(np.searchsorted(order, node + s), len(order) - 1)
-            hit = order[at] == node + s
-            a.append(node[hit])
-            b.append(node[hit] + s)
-        names, root = roots(np.concatenate(a), np.concatenate(b))
-        yield from t.append_column("root", pa.array(root[np.searchsorted(names, node)])).to_batches()
-
-    cells = {f"b{c}": F.floor(F.col(c) / n).cast("int") for c, n in zip("zyx", brick, strict=True)}
-    keyed = vox.select(*VK).distinct().withColumn("node", _node(size)).withColumns(cells)
-    keyed = saved(keyed.repartition("image_id", "bz", "by", "bx").mapInArrow(local, "image_id long, t int, z int, y int, x int, node long, bz int, by int, bx int, root long"), "components")
+        for t in whole(batches):
+            place, image = grid.number(t), t["image_id"].to_numpy()
+            key = keys([image], place, grid.volume)
+            order = np.argsort(key, kind="stable")
+            src, dst = edges(key[order], steps)
+            me = np.arange(len(key))
+            first = roots(np.concatenate([me, src]), np.concatenate([me, dst]))[1]
+            root = np.empty(len(key), np.int64)
+            root[order] = place[order][first]
+            # labels for images of one brick: order of first voxels
+            part = keys([image, t["t"].to_numpy()] if by_time else [image], np.zeros(len(key), np.int64), 1)
+            names, which = np.unique(part * grid.volume + root, return_inverse=True)
+            group = names // grid.volume
+            rank = np.arange(len(names)) - np.searchsorted(group, group) + 1
+            yield from t.select(VK).append_column("root", pa.array(root)).append_column("label", pa.array(rank[which])).to_batches()
+
+    keyed = dealt(vox.withColumn("brick", grid.own())).mapInArrow(local, "image_id long, t int, z int, y int, x int, root long, label long")
+    if grid.alone:
+        return keyed.select(*VK, "label")
+    keyed = saved(keyed.drop("label"), "components")
+    images = keyed.agg(F.min("image_id").alias("a"), F.max("image_id").alias("b")).first()
+    if max(abs(images["a"] or 0), abs(images["b"] or 0)) * grid.volume < 1 << 62:
+        node = F.col("image_id") * grid.volume
+    else:  # one row an image
+        numbers = keyed.select("image_id").distinct().withColumn("number", F.row_number().over(Window.orderBy("image_id")).cast("long"))
+        keyed, node = saved(keyed.join(numbers, "image_id"), "components"), F.col("number") * grid.volume
+    keyed = keyed.withColumn("root", node + F.col("root"))
     face = F.lit(False)
-    for c, n in zip("zyx", brick, strict=True):
+    for c, n in grid.brick.items():
         face |= (F.col(c) % n == 0) | (F.col(c) % n == n - 1)
     across = neighbours(keyed.where(face), connectivity, half=True, carry=("root",)).where("root <> n_root")
     parts = components(across, "root", "n_root").withColumnRenamed("node", "root")
     named = keyed.join(parts, "root", "left").select(*VK, F.coalesce("component", "root").alias("first"))
-    by = ["image_id"] if connectivity == 80 else ["image_id", "t"]
+    by = ["image_id", "t"] if by_time else ["image_id"]
     ranks = named.select(*by, "first").distinct().withColumn("label", F.row_number().over(Window.partitionBy(*by).orderBy("first")).cast("long"))
     return named.join(ranks, [*by, "first"]).select(*VK, "label")
 
 
-def flood(seeds: DataFrame, mask: DataFrame, connectivity: int, following: Callable[[], Column], pick: Callable[[Column], Column], value: str, rounds: int = MAX_ROUNDS) -> DataFrame:
-    """Breadth-first growth of all seeds at once inside a mask: a voxel is reached once, with pick over its reached neighbours' following value."""
-    moves = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(d if len(d) == 4 else (0, *d), ("t", "z", "y", "x"), strict=True)]) for d in offsets(connectivity)])).alias("d")
-    mask = saved(mask.select(*VK).distinct(), "mask")
-    frontier = saved(seeds.select(*VK, value), "flood")
-    layers = [frontier]
-    for _ in range(rounds):
-        moved = frontier.select(*VK, value, moves).select("image_id", *[(F.col(c) + F.col(f"d.{c}")).alias(c) for c in "tzyx"], following().alias(value))
-        new = moved.join(mask, VK, "left_semi").groupBy(*VK).agg(pick(F.col(value)).alias(value))
-        seen = layers if len(layers) <= 2 else layers[-2:]  # neighbours of a layer lie in it, the one before, or the next
-        if layers[0] not in seen:
-            seen = [layers[0], *seen]
-        for layer in seen:
-            new = new.join(layer.select(*VK), VK, "left_anti")
-        frontier = saved(new, "flood")
-        if frontier.isEmpty():
-            break
-        layers.append(frontier)
-    return reduce(DataFrame.unionByName, layers)
+def _flood(seeds: DataFrame, mask: DataFrame, connectivity: int, label: Column, brick: tuple[int, int, int]) -> DataFrame:
+    """Breadth-first growth of all seeds at once inside a mask; of several that arrive at once the least label stays."""
+    start = seeds.select(*VK, F.lit(0).alias("object"), label.cast("long").alias("label"), F.lit(0.0).alias("c"), F.lit(0).alias("hops"))
+    field = mask.select(*VK, F.lit(0).alias("object"), F.lit(0.0).alias("cost"), F.lit(0.0).alias("level"))
+    return relax(start, field, offsets(connectivity), lambda c, cost, level, s, d: c, brick)[0]
 
 
-def grow_labels(seeds: DataFrame, mask: DataFrame, connectivity: int = 26) -> DataFrame:
+def grow_labels(seeds: DataFrame, mask: DataFrame, connectivity: int = 26, brick: tuple[int, int, int] = BRICK) -> DataFrame:
     """Labels grow through the mask; where several arrive at once the largest wins.  Returns seeds and grown voxels."""
-    return flood(seeds, mask, connectivity, lambda: F.col("label"), F.max, "label")
+    return _flood(seeds, mask, connectivity, -F.col("label"), brick).select(*VK, (-F.col("label")).alias("label"))
 
 
 def ellipsoid(radii: tuple[float, float, float]) -> list[tuple[int, int, int]]:
@@ -145,16 +120,15 @@ def inside_distance(vox: DataFrame, cap: int) -> DataFrame:
 
 
 def full_distance(vox: DataFrame, targets: DataFrame, cap: int) -> DataFrame:
-    """J7 without a limit: the cap doubles for the voxels that are still null, until none is left; null only where an image has no target."""
-    reachable = targets.select("image_id", "t").distinct()
-    done, todo = [vox.join(reachable, ["image_id", "t"], "left_anti").withColumn("distance", F.lit(None).cast("double"))], vox.join(reachable, ["image_id", "t"], "left_semi")
-    while True:
-        found = saved(distance_to(todo, targets, cap), "distance")
-        done.append(found.where("distance is not null"))
-        todo = found.where("distance is null").drop("distance")
-        if todo.isEmpty():
-            return reduce(DataFrame.unionByName, done)
-        cap *= 2
+    """J7 without a limit: voxels beyond the cap look for their nearest target (J6); null only where an image has no target."""
+    found = saved(distance_to(vox, targets, cap), "distance")
+    far = found.where("distance is null").drop("distance")
+    if far.isEmpty():
+        return found
+    asked = far.select("image_id", "t", *[F.col(c).alias(f"v{c}") for c in "zyx"], "z", "y", "x").distinct()
+    near = nearest_point(asked, targets.select(*VK).distinct(), ["vz", "vy", "vx"], [], cell=float(cap), by=["image_id", "t"])
+    near = near.select("image_id", "t", *[F.col(f"v{c}").alias(c) for c in "zyx"], "distance")
+    return found.where("distance is not null").unionByName(far.join(near, VK, "left"))
 
 
 def full_depth(vox: DataFrame, cap: int) -> DataFrame:
@@ -171,29 +145,17 @@ def seeds_from_distance(vox: DataFrame, frac: float = 0.1, cap: int = 8) -> Data
     return label_components(deep.join(top, "image_id").where(F.col("distance") > frac * F.col("top")), 6)
 
 
-def relax(state: DataFrame, cost: DataFrame, connectivity: int, combine: Callable[[], Column], rounds: int = MAX_ROUNDS) -> DataFrame:
-    """Least key struct(c, hops, label) of each voxel over all paths from the seeds in state (VK, k); combine: next c from k.c and cost."""
-    moves = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip((0, *d), ("t", "z", "y", "x"), strict=True)]) for d in offsets(connectivity)])).alias("d")
-    cost = saved(cost.select(*VK, "cost"), "cost")
-    best = saved(state.select(*VK, "k"), "relax")
-    changed = best
-    for _ in range(rounds):
-        moved = changed.select(*VK, "k", moves).select("image_id", *[(F.col(c) + F.col(f"d.{c}")).alias(c) for c in "tzyx"], "k")
-        offer = moved.join(cost, VK).select(*VK, F.struct(combine().alias("c"), (F.col("k.hops") + 1).alias("hops"), F.col("k.label").alias("label")).alias("k"))
-        offer = offer.groupBy(*VK).agg(F.min("k").alias("k"))
-        better = offer.join(best.select(*VK, F.col("k").alias("old")), VK, "left").where(F.col("old").isNull() | (F.col("k") < F.col("old"))).select(*VK, "k")
-        changed = saved(better, "relax")
-        if changed.isEmpty():
-            break
-        best = saved(best.join(changed.select(*VK), VK, "left_anti").unionByName(changed), "relax")
-    return best
-
-
-def seeded_split(mask: DataFrame, seeds: DataFrame, priority: str, connectivity: int = 26) -> DataFrame:
-    """Every mask voxel to the seed that floods it first: least highest priority on the way, then fewest steps, then smallest seed."""
-    start = seeds.select(*VK, F.struct(F.lit(float("-inf")).alias("c"), F.lit(0).alias("hops"), F.col("label")).alias("k"))
-    out = relax(start, mask.withColumn("cost", F.col(priority).cast("double")), connectivity, lambda: F.greatest(F.col("k.c"), F.col("cost")))
-    return out.select(*VK, F.col("k.label").alias("label"))
+def seeded_split(mask: DataFrame, seeds: DataFrame, priority: str, connectivity: int = 26, brick: tuple[int, int, int] = BRICK) -> DataFrame:
+    """Every mask voxel to the seed that floods it first: least highest priority on the way; of such ways (best up to every voxel of
+    theirs) the one with fewest steps, then the smallest seed."""
+    zero = F.lit(0).alias("object")
+    start = seeds.select(*VK, zero, F.lit(0).alias("label"), F.lit(float("-1.7e308")).alias("c"), F.lit(0).alias("hops"))
+    field = mask.select(*VK, zero, F.col(priority).cast("double").alias("cost"), F.lit(0.0).alias("level"))
+    levels = saved(relax(start, field, offsets(connectivity), lambda c, cost, level, s, d: np.maximum(c, cost[d]), brick)[0], "levels")
+    field = levels.join(field.select(*VK, "cost"), VK, "left").select(*VK, zero, F.coalesce("cost", F.col("c")).alias("cost"), F.col("c").alias("level"))
+    start = seeds.select(*VK, zero, F.col("label"), F.lit(0.0).alias("c"), F.lit(0).alias("hops"))
+    tight = lambda c, cost, level, s, d: np.where(np.maximum(level[s], cost[d]) == level[d], 0.0, np.inf)
+    return relax(start, field, offsets(connectivity), tight, brick)[0].select(*VK, "label")
 
 
 def geodesic_start(labelled: DataFrame) -> DataFrame:
@@ -202,16 +164,14 @@ def geodesic_start(labelled: DataFrame) -> DataFrame:
     return labelled.groupBy("image_id", "t", "label").agg(F.min_by(F.struct("z", "y", "x"), order).alias("p")).select("image_id", "t", "p.*")
 
 
-def geodesic(labelled: DataFrame, start: DataFrame | None = None) -> DataFrame:
+def geodesic(labelled: DataFrame, start: DataFrame | None = None, brick: tuple[int, int, int] = BRICK) -> DataFrame:
     """Steps (6 neighbours) inside each component from its start."""
-    seeds = (geodesic_start(labelled) if start is None else start).withColumn("hops", F.lit(0))
-    return flood(seeds, labelled, 6, lambda: F.col("hops") + 1, F.min, "hops")
+    seeds = geodesic_start(labelled) if start is None else start
+    return _flood(seeds, labelled, 6, F.lit(0), brick).select(*VK, F.col("hops").cast("int").alias("hops"))
 
 
 def geodesic_to_objects(points: DataFrame, field: DataFrame, keys: list[str], res: float) -> DataFrame:
     """The geodesic value at the nearest field voxel of each point, times the resolution."""
-    from voxlake.operators.joins import nearest_point
-
     return nearest_point(points, field, keys, ["hops"]).withColumn("geodesic", F.col("hops") * res)
 
 
@@ -252,37 +212,56 @@ def removable(code: int) -> bool:
     return all(s in outside for s in sides)
 
 
-def thin(vox: DataFrame, rounds: int = 200) -> DataFrame:
-    """One-voxel centrelines.  Voxels of one of eight subfields are never neighbours, so all of its removable border voxels go at once."""
-    bit = F.lit(0)
-    for i, d in enumerate(_CUBE):
-        bit = F.when((F.col("dz") == d[0]) & (F.col("dy") == d[1]) & (F.col("dx") == d[2]), 1 << i).otherwise(bit)
+def _thin_round(key: np.ndarray, parity: np.ndarray, steps: np.ndarray, rounds: int | None) -> np.ndarray:
+    """Which of some voxels (sorted keys) are left after so many rounds over the eight subfields, or once a round removes none."""
+    left = np.ones(len(key), bool)
+    near = np.empty((len(key), len(steps)), np.int32)
+    for i, s in enumerate(steps.tolist()):
+        at = np.minimum(np.searchsorted(key, key + s), len(key) - 1)
+        near[:, i] = np.where(key[at] == key + s, at, len(key))
+    bits = 1 << np.arange(len(steps))
+    while rounds is None or rounds > 0:
+        before = left.sum()
+        for p in range(8):
+            mine = np.flatnonzero(left & (parity == p))
+            codes, which = np.unique(np.append(left, False)[near[mine]] @ bits, return_inverse=True)
+            gone = np.fromiter(map(removable, codes.tolist()), bool, len(codes))[which]
+            left[mine[gone]] = False
+        if left.sum() == before:
+            break
+        rounds = rounds - 1 if rounds else None
+    return left
+
 
-    @F.pandas_udf("boolean")
-    def simple(codes: pd.Series) -> pd.Series:
-        return codes.map(removable)
+def thin(vox: DataFrame, brick: tuple[int, int, int] = BRICK) -> DataFrame:
+    """One-voxel centrelines.  Voxels of one of eight subfields are never neighbours, so all of its removable border voxels go at once.
 
+    A job thins every brick by two rounds with a halo of 16 voxels (a removal is felt one voxel further in each subfield); images of one
+    brick are thinned to the end in one job.
+    """
     now = saved(vox.select(*VK).distinct(), "thin")
-    count = now.count()
-    for _ in range(rounds):
-        before = count
-        for a, b, c in product((0, 1), repeat=3):
-            field = now.where((F.col("z") % 2 == a) & (F.col("y") % 2 == b) & (F.col("x") % 2 == c))
-            codes = _pairs(field, now).withColumn("bit", bit).groupBy(*VK).agg(F.bit_or("bit").cast("int").alias("code"))
-            gone = codes.where(simple("code")).select(*VK)
-            now = saved(now.join(gone, VK, "left_anti"), "thin")
-        count = now.count()
+    grid = Grid(now, brick)
+    steps, rounds, halo = grid.steps(_CUBE), None if grid.alone else 2, 16
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole(batches):
+            key = keys([t["image_id"].to_numpy(), t["brick"].to_numpy()], grid.number(t), grid.volume)
+            order = np.argsort(key)
+            parity = (t["z"].to_numpy() % 2 * 4 + t["y"].to_numpy() % 2 * 2 + t["x"].to_numpy() % 2)[order]
+            kept = order[_thin_round(key[order], parity, steps, rounds)]
+            kept = kept[t["core"].to_numpy()[kept]]
+            yield from t.select(VK).take(pa.array(kept)).combine_chunks().to_batches()
+
+    count = None
+    while True:
+        if grid.alone:
+            placed = now.withColumn("brick", grid.own()).withColumn("core", F.lit(True))
+            return dealt(placed).mapInArrow(run, "image_id long, t int, z int, y int, x int")
+        placed = assign_blocks(now, brick, halo).withColumn("brick", F.xxhash64("image_id", "bz", "by", "bx")).drop("bz", "by", "bx")
+        now = saved(dealt(placed).mapInArrow(run, "image_id long, t int, z int, y int, x int"), "thin")
+        before, count = count, now.count()
         if count == before:
-            break
-    return now
-
-
-def _pairs(some: DataFrame, everyone: DataFrame) -> DataFrame:
-    """Neighbours (26) in everyone of some voxels, with their offsets."""
-    moves = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(d, ("dz", "dy", "dx"), strict=True)]) for d in _CUBE])).alias("d")
-    moved = some.select(*VK, moves).select(*VK, "d.*", *[(F.col(c) + F.col(f"d.d{c}")).alias(f"n{c}") for c in "zyx"])
-    other = everyone.select("image_id", "t", *[F.col(c).alias(f"n{c}") for c in "zyx"])
-    return moved.join(other, ["image_id", "t", "nz", "ny", "nx"], "left_semi")
+            return now
 
 
 def path_cost_field(objects: DataFrame, target: DataFrame, intensity: DataFrame, value: str, cap: int) -> DataFrame:
@@ -290,9 +269,6 @@ def path_cost_field(objects: DataFrame, target: DataFrame, intensity: DataFrame,
 
     g = (intensity / maximum) ** 0.4 outside the objects; blurred with sigma (0.25, 10, 10); the cost with sigma 0.5.
     """
-    from voxlake.functions.scalar import gamma
-    from voxlake.operators.filters import gaussian
-
     away = full_distance(intensity.select(*VK, value), target, cap).withColumn("distance", F.coalesce("distance", F.lit(float(cap))))
     top = away.groupBy("image_id").agg(F.max(value).alias("top"), F.max("distance").alias("far"))
     own = objects.select(*VK).distinct().withColumn("own", F.lit(True))
@@ -303,58 +279,104 @@ def path_cost_field(objects: DataFrame, target: DataFrame, intensity: DataFrame,
     return gaussian(raw, "cost", {"z": 0.5, "y": 0.5, "x": 0.5}, VK)
 
 
-def greedy_paths(cost: DataFrame, objects: DataFrame, target: DataFrame, steps: int = 200, most: float = 20.0) -> DataFrame:
+def greedy_paths(cost: DataFrame, objects: DataFrame, target: DataFrame, steps: int = 200, most: float = 20.0, brick: tuple[int, int, int] = BRICK) -> DataFrame:
     """From each object's cheapest shell voxel, always to the cheapest of the 27 voxels around (a pure z step wins when no worse), until a
-    voxel of the target's shell; stalled and unfinished paths are dropped, as are steps dearer than most.  Ties: smallest z, y, x."""
-    cost = saved(cost.select(*VK, F.round("cost", 9).alias("cost")), "cost")
+    voxel of the target's shell; stalled and unfinished paths are dropped, as are steps dearer than most.  Ties: smallest z, y, x.
+
+    The next voxel depends on the place alone, so it is found once for every voxel, and all paths follow these pointers."""
+    cube = [d for d in product((-1, 0, 1), repeat=3)]
+    around = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(d, ("dz", "dy", "dx"), strict=True)]) for d in cube])).alias("d")
+    shift = lambda df: df.select("*", around).select(*[c for c in df.columns if c not in ("z", "y", "x")], *[(F.col(c) + F.col(f"d.d{c}")).alias(c) for c in "zyx"])
     body, aim = objects.select(*VK, "label"), target.select(*VK).distinct()
-    around = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(d, ("dz", "dy", "dx"), strict=True)]) for d in product((-1, 0, 1), repeat=3)])).alias("d")
-    shift = lambda df: df.select("*", around).select(*[c for c in df.columns if c not in ("z", "y", "x")], *[(F.col(c) + F.col(f"d.d{c}")).alias(c) for c in "zyx"], "d.*")
+    ends = shift(aim).distinct().join(aim, VK, "left_anti")
+    cost = cost.select(*VK, F.round("cost", 9).alias("cost")).join(aim.withColumn("aim", F.lit(True)), VK, "left").join(ends.withColumn("end", F.lit(True)), VK, "left")
+    cost = saved(cost.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("aim", "end")}), "cost")
+    grid = Grid(cost, brick)
+    moves = [d for d in cube if any(d)]
+    delta, straight = grid.steps(moves), np.array([d[1] == 0 and d[2] == 0 for d in moves])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole(batches):
+            place, value, aim = grid.number(t), t["cost"].to_numpy(), t["aim"].to_numpy()
+            key = keys([t["image_id"].to_numpy(), t["brick"].to_numpy()], place, grid.volume)
+            order = np.argsort(key)
+            names = key[order]
+            best, turn, onward = np.where(aim, np.inf, value), np.ones(len(key), bool), place.copy()  # to stay is a stall
+            for s, z in zip(delta.tolist(), straight.tolist(), strict=True):
+                at = np.minimum(np.searchsorted(names, key + s), len(names) - 1)
+                hit = names[at] == key + s
+                row = order[at]
+                offer = np.where(hit & ~aim[row], value[row], np.inf)
+                better = np.isfinite(offer) & _earlier(offer, not z, place + s, best, turn, onward)
+                best, turn, onward = np.where(better, offer, best), np.where(better, not z, turn), np.where(better, place + s, onward)
+            onward = np.where(t["end"].to_numpy() | (onward == place), -1, onward)
+            mine = np.flatnonzero(~t["ghost"].to_numpy())
+            yield from t.select(VK).append_column("next", pa.array(onward)).take(pa.array(mine)).combine_chunks().to_batches()
+
+    rows = cost.withColumn("brick", grid.own()).withColumn("ghost", F.lit(False))
+    rows = rows.unionByName(grid.to_neighbours(cost).withColumn("ghost", F.lit(True)))
+    none = F.lit(0).cast("long").alias("object")
+    pointers = saved(dealt(rows).mapInArrow(run, "image_id long, t int, z int, y int, x int, next long"), "pointers").select(*VK, none, "next")
     shell = shift(body).select(*VK, "label").distinct().join(body.select(*VK), VK, "left_anti")
-    ends = saved(shift(aim).select(*VK).distinct().join(aim, VK, "left_anti"), "ends")
-    order = F.struct("cost", "z", "y", "x")
-    point = shell.join(cost, VK).groupBy("image_id", "t", "label").agg(F.min_by(F.struct("z", "y", "x", "cost"), order).alias("p")).select("image_id", "t", "label", "p.*").withColumn("step", F.lit(0))
-    point = saved(point, "path")
-    layers, open_ = [point], point
-    for n in range(1, steps):
-        open_ = open_.join(ends, VK, "left_anti").drop("step")
-        offers = shift(open_.select("image_id", "t", "label", "z", "y", "x")).join(cost, VK).join(aim, VK, "left_anti")
-        straight = F.when((F.col("dy") == 0) & (F.col("dx") == 0) & (F.col("dz") != 0), 0).otherwise(1)
-        picked = offers.groupBy("image_id", "t", "label").agg(F.min_by(F.struct("z", "y", "x", "cost", "dz", "dy", "dx"), F.struct("cost", straight.alias("s"), "z", "y", "x")).alias("p"))
-        moved = picked.select("image_id", "t", "label", "p.*").where("dz <> 0 or dy <> 0 or dx <> 0").drop("dz", "dy", "dx").withColumn("step", F.lit(n))
-        open_ = saved(moved, "path")
-        if open_.isEmpty():
-            break
-        layers.append(open_)
-    every = reduce(DataFrame.unionByName, layers)
-    arrived = every.join(ends, VK, "left_semi").select("image_id", "t", "label").distinct()
-    return every.join(arrived, ["image_id", "t", "label"], "left_semi").where(F.col("cost") <= most).join(body.select(*VK), VK, "left_anti")
-
-
-def neck_generation(spines: DataFrame, necks: DataFrame, dendrites: DataFrame, intensity: DataFrame, value: str, cap: int, steps: int = 200) -> DataFrame:
-    """Necks grown from spines through the neck class, then paths to the dendrite; without spine and dendrite voxels."""
-    grown = saved(grow_labels(spines, necks), "necks")
-    cost = path_cost_field(grown, dendrites, intensity, value, cap)
-    paths = greedy_paths(cost, grown, dendrites, steps).select(*VK, "label")
-    both = grown.unionByName(paths).groupBy(*VK).agg(F.max("label").alias("label"))
-    return both.join(spines.select(*VK), VK, "left_anti").join(dendrites.select(*VK), VK, "left_anti")
-
-
-def least_cost_path(cost: DataFrame, starts: DataFrame, ends: DataFrame) -> DataFrame:
-    """The cheapest 26-path of each object from its start to its end: (image_id, t, label, step from the end, z, y, x)."""
-    start = starts.select(*VK, F.struct(F.lit(0.0).alias("c"), F.lit(0).alias("hops"), F.col("label")).alias("k"))
-    best = saved(relax(start, cost, 26, lambda: F.round(F.col("k.c") + F.col("cost"), 9)).select(*VK, "k.*"), "dijkstra")
-    now = saved(ends.join(best, [*VK, "label"]).select(*VK, "label", "c", "hops").withColumn("step", F.lit(0)), "walk")
-    layers = [now]
-    around = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(d, ("dz", "dy", "dx"), strict=True)]) for d in _CUBE])).alias("d")
-    for n in count(1):  # hops shrink at every step
-        moved = now.where("hops > 0").select("image_id", "t", "label", "hops", around, *[F.col(c).alias(f"o{c}") for c in "zyx"]).select("image_id", "t", "label", F.col("hops").alias("h"), *[(F.col(f"o{c}") + F.col(f"d.d{c}")).alias(c) for c in "zyx"])
-        back = moved.join(best, [*VK, "label"]).where(F.col("hops") < F.col("h")).groupBy("image_id", "t", "label").agg(F.min_by(F.struct("z", "y", "x", "c", "hops"), F.struct("c", "hops", "z", "y", "x")).alias("p"))
-        now = saved(back.select("image_id", "t", "p.z", "p.y", "p.x", "label", "p.c", "p.hops").withColumn("step", F.lit(n)), "walk")
-        if now.isEmpty():
-            break
-        layers.append(now)
-    return reduce(DataFrame.unionByName, layers).select("image_id", "t", "label", "step", "z", "y", "x")
+    first = shell.join(cost, VK).groupBy("image_id", "t", "label").agg(F.min_by(F.struct("z", "y", "x"), F.struct("cost", "z", "y", "x")).alias("p")).select("image_id", "t", "label", "p.*")
+    every = saved(follow(grid, pointers, first.select(*VK, none, "label"), steps).drop("object").join(cost, VK), "paths")
+    arrived = every.where("end").select("image_id", "t", "label").distinct()
+    every = every.join(arrived, ["image_id", "t", "label"], "left_semi").where(F.col("cost") <= most).join(body.select(*VK), VK, "left_anti")
+    return every.select(*VK, "label", F.col("step").cast("int").alias("step"), "cost")
+
+
+def _earlier(offer: np.ndarray, turn: bool, place: np.ndarray, best: np.ndarray, was: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """Cheaper; of equals a pure z step; of equals the smaller place."""
+    return (offer < best) | (offer == best) & ((turn < was) | (turn == was) & (place < there))
+
+
+def neck_generation(spines: DataFrame, necks: DataFrame | None, dendrites: DataFrame, intensity: DataFrame, value: str, cap: int, steps: int = 200) -> DataFrame:
+    """Necks of spines: (VK, label) without spine and dendrite voxels.
+
+    With a neck class: spines grow through it; paths lead from what has grown to the dendrite or to neck voxels left over; both grow on
+    through the left-over necks that they touch.  Without one (necks is None): paths from the spines to the dendrite.
+    """
+    spines, dendrites = saved(spines.select(*VK, "label"), "spines"), saved(dendrites.select(*VK).distinct(), "dendrites")
+    if necks is None:
+        cost = path_cost_field(spines, dendrites, intensity, value, cap)
+        return greedy_paths(cost, spines, dendrites, steps).select(*VK, "label")
+    necks = saved(necks.select(*VK).distinct(), "necks")
+    grown = saved(grow_labels(spines, necks), "grown")
+    rest = saved(necks.join(grown.select(*VK), VK, "left_anti"), "left-necks")
+    target = dendrites.unionByName(rest).distinct().join(grown.select(*VK), VK, "left_anti")
+    cost = path_cost_field(grown, target, intensity, value, cap)
+    paths = greedy_paths(cost, grown, target, steps).select(*VK, "label")
+    both = saved(grown.unionByName(paths.join(grown.select(*VK), VK, "left_anti")).groupBy(*VK).agg(F.max("label").alias("label")), "extended")
+    return grow_labels(both, rest).join(spines.select(*VK), VK, "left_anti").join(dendrites, VK, "left_anti")
+
+
+def least_cost_path(cost: DataFrame, starts: DataFrame, ends: DataFrame, brick: tuple[int, int, int] = BRICK) -> DataFrame:
+    """The cheapest 26-path of each object through its own voxels from its start to its end: (image_id, t, label, step from the end, z, y, x).
+
+    cost: VK, label, cost (not below 0; of each voxel entered); objects may touch or share voxels.  Ties: fewest steps, then the smaller place.
+    """
+    thing = F.col("label").cast("long").alias("object")
+    field = cost.select(*VK, thing, "cost", F.lit(0.0).alias("level"))
+    seeds = starts.select(*VK, thing, F.lit(0).alias("label"), F.lit(0.0).alias("c"), F.lit(0).alias("hops"))
+    best, grid = relax(seeds, field, offsets(26), lambda c, cost, level, s, d: np.round(c + cost[d], 9), brick)
+    back = best.select(*VK, "object", F.when(F.col("hops") > 0, F.col("par")).otherwise(-1).alias("next"))
+    found = follow(grid, back, ends.select(*VK, thing, "label"))
+    return found.select("image_id", "t", "label", F.col("step").cast("int").alias("step"), "z", "y", "x")
+
+
+def midline_cost(vox: DataFrame, cap: int, sigma: float = 3.0) -> tuple[DataFrame, DataFrame]:
+    """G13's cost for midlines, and each object's deepest voxel, which attracts the path: (largest depth - depth) (1 - 2 g) + 0.1 g.
+
+    g: a Gaussian of one at the deepest voxel.  vox: VK, label.
+    """
+    deep = saved(full_depth(vox, cap).join(vox.select(*VK, "label"), VK), "depth")
+    order = F.struct(-F.col("distance"), F.col("z"), F.col("y"), F.col("x"))
+    by = ["image_id", "t", "label"]
+    top = deep.groupBy(*by).agg(F.min_by(F.struct("z", "y", "x"), order).alias("p"), F.max("distance").alias("top")).select(*by, "top", *[F.col(f"p.{c}").alias(f"e{c}") for c in "zyx"])
+    taps = F.create_map(*[F.lit(v) for k, w in kernel(sigma) for v in (k, w)])
+    g = reduce(lambda a, b: a * b, (F.coalesce(taps[F.col(c) - F.col(f"e{c}")], F.lit(0.0)) for c in "zyx"))
+    cost = deep.join(top, by).select(*VK, "label", ((F.col("top") - F.col("distance")) * (1 - 2 * g) + 0.1 * g).alias("cost"))
+    return cost, top.select("image_id", "t", "label", *[F.col(f"e{c}").alias(c) for c in "zyx"])
 
 
 def deepest_point(vox: DataFrame, cap: int) -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from itertools import product
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxlake.operators.bricks import dealt, whole
 from voxlake.operators.projections import VK
 from voxlake.plans.scratch import saved
 
@@ -44,53 +48,117 @@ def _distance(a: str, b: str, sampling: tuple[float, float, float]) -> Column:
     return F.sqrt(sum(((F.col(f"{a}{c}") - F.col(f"{b}{c}")) * s) ** 2 for c, s in zip("zyx", sampling, strict=True)))
 
 
-def nearest_point(points: DataFrame, targets: DataFrame, keys: list[str], payload: list[str], sampling: tuple[float, float, float] = (1.0, 1.0, 1.0), cell: float = 4.0, max_dist: float | None = None) -> DataFrame:
+def nearest_point(points: DataFrame, targets: DataFrame, keys: list[str], payload: list[str], sampling: tuple[float, float, float] = (1.0, 1.0, 1.0), cell: float = 4.0, max_dist: float | None = None, by: list[str] | None = None) -> DataFrame:
     """The nearest target of every point (ties, up to 1e-9: smallest z, y, x, then payload), by a grid whose cells double until all are matched.
 
     points: keys, image_id, z, y, x; targets: image_id, z, y, x, payload.  A match counts once it is nearer than the searched ring is wide;
-    points beyond max_dist, or in an image without any target, get nulls.
+    points beyond max_dist, or in an image without any target, get nulls.  From the third ring on, points first meet the occupied
+    cells of an eighth of the ring's width, and only targets of cells that can hold the nearest one.  by: what image_id stands for.
     """
-    grid = lambda size: [F.floor(F.col(c) * s / size).cast("long").alias(f"g{c}") for c, s in zip("zyx", sampling, strict=True)]
-    asked, found_all, size = points.select(*keys, "image_id", "z", "y", "x"), [], cell
+    by = by or ["image_id"]
+    grid = lambda size, name: [F.floor(F.col(c) * s / size).cast("long").alias(f"{name}{c}") for c, s in zip("zyx", sampling, strict=True)]
+    asked, found_all, size = points.select(*keys, *by, "z", "y", "x"), [], cell
     placed = " and ".join(f"abs({c}) < 1e15" for c in "zyx")  # neither null nor NaN
-    todo = asked.where(placed).join(targets.where(placed).select("image_id").distinct(), "image_id", "left_semi")
+    targets = targets.where(placed)
+    todo = asked.where(placed).join(targets.select(*by).distinct(), by, "left_semi")
     order = F.struct(F.round("distance", 9).alias("d"), F.col("tz"), F.col("ty"), F.col("tx"), *payload)
     around = F.explode(F.array(*[F.struct(*[F.lit(d).alias(n) for d, n in zip(ds, ("dz", "dy", "dx"), strict=True)]) for ds in product((-1, 0, 1), repeat=3)])).alias("d")
+    there = lambda *cells: targets.select(*by, *[F.col(c).alias(f"t{c}") for c in "zyx"], *payload, *cells)
     while True:
         last = max_dist is not None and size >= max_dist
-        near = todo.select(*keys, "image_id", *[F.col(c).alias(f"p{c}") for c in "zyx"], *grid(size)).select("*", around)
-        near = near.select(*keys, "image_id", "pz", "py", "px", *[(F.col(f"g{c}") + F.col(f"d.d{c}")).alias(f"g{c}") for c in "zyx"])
-        there = targets.select("image_id", *[F.col(c).alias(f"t{c}") for c in "zyx"], *payload, *grid(size))
-        found = near.join(there, ["image_id", "gz", "gy", "gx"]).withColumn("distance", _distance("p", "t", sampling))
-        best = found.groupBy(*keys, "image_id").agg(F.min_by(F.struct("distance", *payload), order).alias("b"))
+        near = todo.select(*keys, *by, *[F.col(c).alias(f"p{c}") for c in "zyx"], *grid(size, "g")).select("*", around)
+        near = near.select(*keys, *by, "pz", "py", "px", *[(F.col(f"g{c}") + F.col(f"d.d{c}")).alias(f"g{c}") for c in "zyx"])
+        if size <= 2 * cell:
+            found = near.join(there(*grid(size, "g")), [*by, "gz", "gy", "gx"])
+        else:
+            small = size / 8
+            occupied = targets.select(*by, *grid(small, "s")).distinct().select("*", *[F.floor(F.col(f"s{c}") / 8).alias(f"g{c}") for c in "zyx"])
+            inside = [F.greatest(F.col(f"s{c}") * small - F.col(f"p{c}") * s, F.col(f"p{c}") * s - (F.col(f"s{c}") + 1) * small, F.lit(0.0)) for c, s in zip("zyx", sampling, strict=True)]
+            beyond = [F.greatest(F.abs(F.col(f"s{c}") * small - F.col(f"p{c}") * s), F.abs((F.col(f"s{c}") + 1) * small - F.col(f"p{c}") * s)) for c, s in zip("zyx", sampling, strict=True)]
+            norm = lambda v: F.sqrt(v[0] ** 2 + v[1] ** 2 + v[2] ** 2)
+            meets = near.join(occupied, [*by, "gz", "gy", "gx"]).select(*keys, *by, "pz", "py", "px", "sz", "sy", "sx", norm(inside).alias("least"), norm(beyond).alias("most"))
+            meets = saved(meets, "cells-met")
+            bound = meets.groupBy(*keys, *by).agg(F.min("most").alias("bound"))
+            meets = meets.join(bound, [*keys, *by]).where(F.col("least") <= F.col("bound") * (1 + 1e-9)).drop("least", "most", "bound")
+            found = meets.join(there(*grid(small, "s")), [*by, "sz", "sy", "sx"])
+        found = found.withColumn("distance", _distance("p", "t", sampling))
+        best = found.groupBy(*keys, *by).agg(F.min_by(F.struct("distance", *payload), order).alias("b"))
         sure = saved(best.where(F.col("b.distance") <= size), "nearest")
         found_all.append(sure if max_dist is None else sure.where(F.col("b.distance") <= max_dist))
         if last:
             break
-        todo = saved(todo.join(sure.select(*keys, "image_id"), [*keys, "image_id"], "left_anti"), "unmatched")
+        todo = saved(todo.join(sure.select(*keys, *by), [*keys, *by], "left_anti"), "unmatched")
         if todo.isEmpty():
             break
         size *= 2
-    found = reduce(DataFrame.unionByName, found_all).select(*keys, "image_id", "b.*")
-    return asked.select(*keys, "image_id").distinct().join(found, [*keys, "image_id"], "left")
+    found = reduce(DataFrame.unionByName, found_all).select(*keys, *by, "b.*")
+    return asked.select(*keys, *by).distinct().join(found, [*keys, *by], "left")
 
 
-def distance_to(vox: DataFrame, targets: DataFrame, cap: int, sampling: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
+CUBE = (32, 128, 128)
+CELLS = 1 << 24  # of a dense array that a task fills at once
+
+
+def distance_to(vox: DataFrame, targets: DataFrame, cap: int, sampling: tuple[float, float, float] = (1.0, 1.0, 1.0), brick: tuple[int, int, int] = CUBE) -> DataFrame:
     """Exact Euclidean distance to the nearest target voxel of the image, up to a cap in units of the sampling; null beyond.
 
-    Three passes, one per axis: each spreads the least squared distance so far along its axis, and keeps only slices, then rows, then
-    voxels that are asked for.
+    Targets go to every brick that they reach; a task fills dense arrays of its bricks and takes the least squared distance along one axis
+    after the other.
     """
-    field = targets.select("image_id", "t", "z", "y", "x").distinct().withColumn("d2", F.lit(0.0))
-    asked = vox.select("image_id", "t", "z", "y", "x").distinct()
-    for axis, step in zip("zyx", sampling, strict=True):
-        reach = int(cap / step)
-        rest, asked_for = [c for c in VK if c != axis], VK[: VK.index(axis) + 1]
-        offset = F.explode(F.sequence(F.lit(-reach), F.lit(reach))).alias("o")
-        spread = field.select(*VK, "d2", offset).select(*rest, (F.col(axis) + F.col("o")).alias(axis), (F.col("d2") + (F.col("o") * step) ** 2).alias("d2"))
-        lines = asked.select(*asked_for).distinct()
-        field = spread.where(F.col("d2") <= cap * cap).join(lines, asked_for, "left_semi").groupBy(*VK).agg(F.min("d2").alias("d2"))
-    return vox.join(field.select(*VK, F.sqrt("d2").alias("distance")), VK, "left")
+    reach = [int(cap / s) for s in sampling]
+    cells = targets.select(*VK).distinct()
+    asked = vox.select(*VK).distinct()
+    for c, n, r in zip("zyx", brick, reach, strict=True):
+        cells = cells.withColumn(f"b{c}", F.explode(F.sequence(F.floor((F.col(c) - r) / n), F.floor((F.col(c) + r) / n))))
+        asked = asked.withColumn(f"b{c}", F.floor(F.col(c) / n))
+    place = ["image_id", "t", "bz", "by", "bx"]
+    rows = asked.withColumn("asked", F.lit(True)).unionByName(cells.withColumn("asked", F.lit(False)))
+    local = [(F.col(c) - F.col(f"b{c}") * n + r).cast("int").alias(f"l{c}") for c, n, r in zip("zyx", brick, reach, strict=True)]
+    rows = rows.select(F.xxhash64(*place).alias("brick"), *place, *local, "asked")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole(batches):
+            head = np.lexsort([t[c].to_numpy() for c in place])
+            t = t.take(pa.array(head)).combine_chunks()
+            ids = np.stack([t[c].to_numpy() for c in place])
+            group = np.cumsum(np.append(True, (ids[:, 1:] != ids[:, :-1]).any(axis=0))) - 1
+            use = np.flatnonzero(np.bincount(group, weights=t["asked"].to_numpy())[group] > 0)  # bricks with somebody who asks
+            if not len(use):
+                continue
+            t, group = t.take(pa.array(use)).combine_chunks(), np.unique(group[use], return_inverse=True)[1]
+            at, want = [t[f"l{c}"].to_numpy() for c in "zyx"], t["asked"].to_numpy()
+            low, shape = [a.min() for a in at], [int(a.max() - a.min() + 1) for a in at]
+            step = max(1, CELLS // int(np.prod(shape)))
+            bounds = np.searchsorted(group, np.arange(0, group[-1] + 1 + step, step))
+            for k, (i, j) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+                if i == j:
+                    continue
+                where = (group[i:j] - k * step, *(a[i:j] - o for a, o in zip(at, low, strict=True)))
+                d2 = _spread(where, ~want[i:j], (int(where[0].max()) + 1, *shape), reach, sampling)
+                mine = np.flatnonzero(want[i:j])
+                got = d2[tuple(x[mine] for x in where)]
+                ok = got <= cap * cap
+                out = t.slice(i, j - i).take(pa.array(mine[ok]))
+                cols = [out["image_id"], out["t"], *(pa.array((out[f"b{c}"].to_numpy() * n + out[f"l{c}"].to_numpy() - r).astype(np.int32)) for c, n, r in zip("zyx", brick, reach, strict=True)), pa.array(np.sqrt(got[ok]))]
+                yield from pa.table(cols, names=[*VK, "distance"]).combine_chunks().to_batches()
+
+    found = dealt(rows).mapInArrow(run, "image_id long, t int, z int, y int, x int, distance double")
+    return vox.join(found, VK, "left")
+
+
+def _spread(where: tuple[np.ndarray, ...], target: np.ndarray, shape: tuple[int, ...], reach: list[int], sampling: tuple[float, float, float]) -> np.ndarray:
+    """Least squared distances to the targets in dense arrays, one axis after the other."""
+    d2 = np.full(shape, np.inf)
+    d2[tuple(x[target] for x in where)] = 0.0
+    for axis, (r, s) in enumerate(zip(reach, sampling, strict=True), 1):
+        out, n = d2.copy(), shape[axis]
+        for o in range(1, min(r, n - 1) + 1):
+            a, b = [slice(None)] * 4, [slice(None)] * 4
+            a[axis], b[axis] = slice(o, None), slice(None, n - o)
+            np.minimum(out[tuple(a)], d2[tuple(b)] + (o * s) ** 2, out=out[tuple(a)])
+            np.minimum(out[tuple(b)], d2[tuple(a)] + (o * s) ** 2, out=out[tuple(b)])
+        d2 = out
+    return d2
 
 
 def distance_coarse(vox: DataFrame, targets: DataFrame, scale: int, cap: int) -> DataFrame:

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxlake.operators.projections import VK
+from voxlake.operators.ranks import ranked
 
 
 def sample_every(points: DataFrame, k: int, by: list[str]) -> DataFrame:
     """Every k-th point in raster order."""
-    n = F.row_number().over(Window.partitionBy(*by).orderBy("z", "y", "x"))
-    return points.withColumn("n", n).where((F.col("n") - 1) % k == 0).drop("n")
+    return ranked(points, by, ["z", "y", "x"]).where(F.col("place_") % k == 0).drop("place_", "size_")
 
 
 def sample_grid(points: DataFrame, size: int, by: list[str]) -> DataFrame:
@@ -60,6 +62,24 @@ def chain_shift(centroids: DataFrame, time: str = "t") -> DataFrame:
     return centroids.withColumns(step).withColumns({f"shift_{c}": F.sum(f"s{c}").over(run) for c in "zyx"}).drop("sz", "sy", "sx")
 
 
+def chain_shift_by_content(vox: DataFrame, value: str, reach: tuple[int, int, int]) -> DataFrame:
+    """The same from what the frames show (image_id, t, shift_z, shift_y, shift_x): whole-voxel translations within reach between
+    neighbouring times that bring the values (less their frame's mean) to the largest sum of products; ties: the shortest, then the smallest."""
+    frame = ["image_id", "t"]
+    mean = vox.groupBy(*frame).agg(F.avg(value).alias("mean"))
+    rows = vox.join(mean, frame).select(*VK, (F.col(value) - F.col("mean")).alias("v"))
+    out = rows.select("image_id", (F.col("t") + 1).alias("t"), "v", *[F.explode(F.sequence(F.col(c) - r, F.col(c) + r)).alias(c) if c == "z" else F.col(c) for c, r in zip("zyx", reach, strict=True)], F.col("z").alias("fz"))
+    for c, r in zip("yx", reach[1:], strict=True):
+        out = out.withColumn(f"f{c}", F.col(c)).withColumn(c, F.explode(F.sequence(F.col(f"f{c}") - r, F.col(f"f{c}") + r)))
+    pairs = out.withColumnRenamed("v", "w").join(rows, VK)
+    score = pairs.groupBy(*frame, *[(F.col(f"f{c}") - F.col(c)).alias(f"s{c}") for c in "zyx"]).agg(F.round(F.sum(F.col("v") * F.col("w")), 2).alias("score"))
+    length = F.col("sz") * F.col("sz") + F.col("sy") * F.col("sy") + F.col("sx") * F.col("sx")
+    best = score.groupBy(*frame).agg(F.min_by(F.struct("sz", "sy", "sx"), F.struct(-F.col("score"), length, "sz", "sy", "sx")).alias("s"))
+    steps = vox.select(*frame).distinct().join(best, frame, "left")
+    run = Window.partitionBy("image_id").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    return steps.select(*frame, *[F.sum(F.coalesce(F.col(f"s.s{c}"), F.lit(0))).over(run).alias(f"shift_{c}") for c in "zyx"])
+
+
 def raster_label_order(vox: DataFrame) -> DataFrame:
     """Labels numbered by their first voxel in raster order, within each image."""
     first = vox.groupBy("image_id", "t", "label").agg(F.min(F.struct("z", "y", "x")).alias("first"))
@@ -73,6 +93,51 @@ def smooth_polyline(points: DataFrame, by: list[str], order: list[str]) -> DataF
     return points.withColumns({c: F.avg(c).over(w) for c in "zyx"})
 
 
+def _spline(p: np.ndarray, n: int) -> np.ndarray:
+    """n points, evenly spaced in chord length, of the cubic spline through p (third derivative continuous at the second and last but one)."""
+    step = np.sqrt((np.diff(p, axis=0) ** 2).sum(axis=1))
+    p = p[np.append(True, step > 0)]
+    if len(p) < 4:
+        return p
+    u = np.append(0, np.cumsum(step[step > 0]))
+    h, d = np.diff(u), np.diff(p, axis=0) / np.diff(u)[:, None]
+    # second derivatives: the two end conditions put into the rows next to them leave three diagonals
+    m = len(p) - 2
+    low, mid, high = h[:-1].copy(), 2 * (h[:-1] + h[1:]), h[1:].copy()
+    right = 6 * (d[1:] - d[:-1])
+    mid[0] += h[0] * (h[0] + h[1]) / h[1]
+    high[0] -= h[0] * h[0] / h[1]
+    mid[-1] += h[-1] * (h[-1] + h[-2]) / h[-2]
+    low[-1] -= h[-1] * h[-1] / h[-2]
+    for i in range(1, m):
+        f = low[i] / mid[i - 1]
+        mid[i] -= f * high[i - 1]
+        right[i] -= f * right[i - 1]
+    s = np.zeros((len(p), p.shape[1]))
+    s[m] = right[-1] / mid[-1]
+    for i in range(m - 2, -1, -1):
+        s[i + 1] = (right[i] - high[i] * s[i + 2]) / mid[i]
+    s[0] = s[1] - h[0] * (s[2] - s[1]) / h[1]
+    s[-1] = s[-2] + h[-1] * (s[-2] - s[-3]) / h[-2]
+    x = np.linspace(0, u[-1], n)
+    k = np.clip(np.searchsorted(u, x, "right") - 1, 0, len(h) - 1)
+    a, b, w = ((u[k + 1] - x) / h[k])[:, None], ((x - u[k]) / h[k])[:, None], (h[k] ** 2 / 6)[:, None]
+    return a * p[k] + b * p[k + 1] + ((a**3 - a) * s[k] + (b**3 - b) * s[k + 1]) * w
+
+
+def resample_polyline(points: DataFrame, by: list[str], order: list[str], n: int = 50) -> DataFrame:
+    """By, step, z, y, x: n points of the cubic spline through each ordered path; paths of fewer than four different points stay."""
+    kinds = dict(points.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in by) + ", step int, z double, y double, x double"
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(order)
+        out = _spline(part[["z", "y", "x"]].to_numpy(float), n)
+        return pd.DataFrame({c: part[c].iloc[0] for c in by} | {"step": np.arange(len(out))} | {c: out[:, i] for i, c in enumerate("zyx")})
+
+    return points.groupBy(*by).applyInPandas(run, schema)
+
+
 def sort_labels(df: DataFrame, label: str) -> DataFrame:
     """K1: numeric order of labels that may be strings."""
     return df.orderBy(F.try_to_number(F.col(label), F.lit("999999999999999")) if dict(df.dtypes)[label] == "string" else F.col(label))
@@ -95,14 +160,14 @@ def every_nth_slice(vox: DataFrame, n: int) -> DataFrame:
 
 def random_sample(df: DataFrame, frac: float, by: list[str], key: list[str]) -> DataFrame:
     """K5: the share of each group with the lowest hashes, one at least: the same rows on every run."""
-    w = Window.partitionBy(*by)
-    ranked = df.withColumn("r", F.row_number().over(w.orderBy(F.md5(F.concat_ws("/", *key)), *key))).withColumn("n", F.count("*").over(w))
-    return ranked.where(F.col("r") <= F.greatest(F.lit(1), F.floor(F.col("n") * frac))).drop("r", "n")
+    found = ranked(df.withColumn("hash_", F.md5(F.concat_ws("/", *key))), by, ["hash_", *key])
+    return found.where(F.col("place_") < F.greatest(F.lit(1), F.floor(F.col("size_") * frac))).drop("place_", "size_", "hash_")
 
 
 def split(df: DataFrame, frac: float, key: list[str]) -> DataFrame:
     """K6: train or validation by a hash of the key."""
-    return df.withColumn("part", F.when(F.pmod(F.xxhash64(*key), F.lit(100)) < int(frac * 100), "train").otherwise("validation"))
+    bucket = F.conv(F.substring(F.md5(F.concat_ws("/", *key)), 1, 8), 16, 10).cast("long") % 100
+    return df.withColumn("part", F.when(bucket < int(frac * 100), "train").otherwise("validation"))
 
 
 def append(tables: list[DataFrame]) -> DataFrame:
@@ -133,5 +198,5 @@ def id_difference(a: DataFrame, b: DataFrame, ident: str) -> DataFrame:
 
 
 def stack_time(frames: list[DataFrame]) -> DataFrame:
-    """U4: frames as one table with their position as time."""
+    """U4: frames as one table with their position as time.  Frames that lie in one table need only its time column."""
     return reduce(DataFrame.unionByName, (f.withColumn("t", F.lit(i)) for i, f in enumerate(frames)))

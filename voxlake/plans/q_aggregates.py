@@ -39,9 +39,26 @@ def _(spark, d):
     return rounded(A.bbox(object_voxels(spark, d)))
 
 
-@query("a4_inertia_axes")
+def _eigen_sql(name: str, source: str, extent: tuple[float, float, float]) -> str:
+    """CTEs up to name(OK, area, low, middle, top): eigenvalues of the second moments of source, with something added on the diagonal."""
+    m = ", ".join(f"{k} + {e!r} AS {k}" for k, e in zip(("zz", "yy", "xx"), extent, strict=True))
+    return f"""{name}a AS (SELECT {OK}, area, {m}, zy, zx, yx FROM {source}), {name}b AS (SELECT *, (zz + yy + xx) / 3 AS q FROM {name}a),
+  {name}c AS (SELECT *, sqrt(((zz - q) ** 2 + (yy - q) ** 2 + (xx - q) ** 2 + 2 * (zy ** 2 + zx ** 2 + yx ** 2)) / 6) AS p FROM {name}b),
+  {name}d AS (SELECT *, CASE WHEN p > 1e-12 THEN ((zz - q) * ((yy - q) * (xx - q) - yx ** 2) - zy * (zy * (xx - q) - yx * zx) + zx * (zy * yx - (yy - q) * zx)) / (2 * p ** 3) ELSE 0 END AS r FROM {name}c),
+  {name}e AS (SELECT *, CASE WHEN r > 1 - 1e-13 THEN 0 WHEN r < -1 + 1e-13 THEN pi() / 3 ELSE acos(least(1, greatest(-1, r))) / 3 END AS phi FROM {name}d),
+  {name} AS (SELECT {OK}, area, q + 2 * p * cos(phi + 2 * pi() / 3) AS low, q + 2 * p * cos(phi) AS top, 3 * q AS trace FROM {name}e)"""
+
+
+_MOMENTS = ", ".join(f"covar_pop({a} * {s[a]!r}, {b} * {s[b]!r}) AS {a}{b}" for s in ({"z": 1.0, "y": 0.102, "x": 0.102},) for a, b in ("zz", "yy", "xx", "zy", "zx", "yx"))
+
+
+@query("a4_inertia_axes", f"""WITH {OV_SQL}, mo AS (SELECT {OK}, count(*) AS area, {_MOMENTS} FROM ov GROUP BY ALL), {_eigen_sql('w', 'mo', (1 / 12, 0.102**2 / 12, 0.102**2 / 12))}, {_eigen_sql('n', 'mo', (0.0, 0.0, 0.0))}
+  SELECT {OK}, w.area, round(w.low, 5) AS e0, round(w.trace - w.top - w.low, 5) AS e1, round(w.top, 5) AS e2, round(2 * sqrt(5 * greatest(0, w.top)), 4) AS axis_major, round(2 * sqrt(5 * greatest(0, w.low)), 4) AS axis_minor,
+    round(sqrt(12 * greatest(0, n.low)), 3) AS axis_major_table, round(sqrt(20 * greatest(0, n.low)), 3) AS axis_minor_table FROM w JOIN n USING ({OK})""")
 def _(spark, d):
-    return A.inertia_axes(object_voxels(spark, d), (1.0, 0.102, 0.102))
+    out = A.inertia_axes(object_voxels(spark, d), (1.0, 0.102, 0.102))
+    places = {"e0": 5, "e1": 5, "e2": 5, "axis_major": 4, "axis_minor": 4, "axis_major_table": 3, "axis_minor_table": 3}
+    return out.withColumns({c: F.round(c, n) + 0.0 for c, n in places.items()})
 
 
 _SIDES = ", ".join(f"max({c}) - min({c}) + 1 AS s{c}" for c in "zyx")
@@ -184,6 +201,16 @@ def _(spark, d):
     return rounded(A.surface_area(object_voxels(spark, d), (1.0, 0.102, 0.102)))
 
 
+_MESH = f"""mk(dz, dy, dx, bit) AS (VALUES {', '.join(f'({z}, {y}, {x}, {1 << k})' for k, (z, y, x) in enumerate(A._CORNERS))}),
+  mt(code, area, six, nz, ny, nx) AS (VALUES {', '.join(f"({k}, {', '.join(f'{v!r}::DOUBLE' for v in r)})" for k, r in enumerate(A.mesh_cells((1.0, 0.102, 0.102))))}),
+  mc AS (SELECT {OK}, z - dz AS z, y - dy AS y, x - dx AS x, sum(bit) AS code FROM ov, mk GROUP BY ALL)"""
+
+
+@query("a24_surface_mesh", f"WITH {OV_SQL}, {_MESH} SELECT {OK}, round(sum(area), 6) AS mesh_area, round(sum(six + z * nz + y * 0.102 * ny + x * 0.102 * nx) / 6, 6) AS mesh_vol FROM mc JOIN mt USING (code) GROUP BY ALL")
+def _(spark, d):
+    return rounded(A.surface_mesh(object_voxels(spark, d), (1.0, 0.102, 0.102)))
+
+
 @query("a25_morphometrics", f"WITH {OV_SQL}, s AS ({_SURFACE}), f AS ({_FERET}), b AS (SELECT {OK}, count(*) AS area, ({_VOL})::BIGINT AS bbox_vol, round(count(*) / ({_VOL}), 6) AS extent, round(count(DISTINCT (y, x)) * 0.102 ** 2, 6) AS mip_area FROM ov GROUP BY ALL) SELECT {OK}, area, bbox_vol, extent, surf_area, vol, feret_max AS length, mip_area FROM b JOIN s USING ({OK}) JOIN f USING ({OK})")
 def _(spark, d):
     return rounded(A.morphometrics(object_voxels(spark, d), (1.0, 0.102, 0.102)))
@@ -217,11 +244,20 @@ def _(spark, d):
     return rounded(A.minmax_normalise(voxels(spark, d), "v1", ["image_id"], 65535.0).select(*VK, "v1"), 4)
 
 
-@query("a30_otsu", f"""WITH {V_SQL}, e AS (SELECT image_id, v1, min(v1) OVER (PARTITION BY image_id) AS low, max(v1) OVER (PARTITION BY image_id) AS high FROM v),
+_OTSU = f"""{V_SQL}, e AS (SELECT image_id, v1, min(v1) OVER (PARTITION BY image_id) AS low, max(v1) OVER (PARTITION BY image_id) AS high FROM v),
   h AS (SELECT image_id, low, high, least(255, floor(coalesce((v1 - low) / nullif(high - low, 0), 0) * 256))::INT AS bin, count(*) AS n FROM e GROUP BY ALL),
   s AS (SELECT *, sum(n) OVER u AS n0, sum(n * (bin + 0.5)) OVER u AS m0, sum(n) OVER (PARTITION BY image_id) AS nn, sum(n * (bin + 0.5)) OVER (PARTITION BY image_id) AS mm FROM h WINDOW u AS (PARTITION BY image_id ORDER BY bin)),
-  b AS (SELECT *, round(coalesce((mm::DOUBLE * n0 - m0::DOUBLE * nn) ** 2 / nullif(n0 * (nn - n0), 0), 0), 3) AS score FROM s)
-  SELECT image_id, round(first(low ORDER BY score DESC, bin) + (first(high ORDER BY score DESC, bin) - first(low ORDER BY score DESC, bin)) * (first(bin ORDER BY score DESC, bin) + 1) / 256, 4) AS threshold FROM b GROUP BY image_id""")
+  b AS (SELECT *, round(coalesce((mm::DOUBLE * n0 - m0::DOUBLE * nn) ** 2 / nullif(n0 * (nn - n0), 0), 0), 3) AS score FROM s),
+  th AS (SELECT image_id, first(low ORDER BY score DESC, bin) + (first(high ORDER BY score DESC, bin) - first(low ORDER BY score DESC, bin)) * (first(bin ORDER BY score DESC, bin) + 1) / 256 AS threshold FROM b GROUP BY image_id)"""
+_BALL = ", ".join(f"({z}, {y}, {x})" for z in range(-5, 6) for y in range(-5, 6) for x in range(-5, 6) if abs(z) + abs(y) + abs(x) <= 5)
+
+
+@query("a30_otsu_mask", f"WITH {_OTSU}, k(dz, dy, dx) AS (VALUES {_BALL}) SELECT DISTINCT image_id, t, (z + dz)::INT AS z, (y + dy)::INT AS y, (x + dx)::INT AS x FROM v JOIN th USING (image_id), k WHERE v1 > threshold AND z + dz BETWEEN 0 AND 6 AND y + dy BETWEEN 0 AND 9 AND x + dx BETWEEN 0 AND 19")
+def _(spark, d):
+    return A.otsu_mask(voxels(spark, d), "v1", (7, 10, 20))
+
+
+@query("a30_otsu", f"WITH {_OTSU} SELECT image_id, round(threshold, 4) AS threshold FROM th")
 def _(spark, d):
     return rounded(A.otsu_threshold(voxels(spark, d), "v1", ["image_id"]), 4)
 
@@ -234,9 +270,18 @@ def _(spark, d):
     return rounded(A.histogram_match(voxels(spark, d), "v1", "image_id", 1), 4)
 
 
-@query("a32_tile_equalise")
+_A32 = f"""{V_SQL}, e AS (SELECT *, min(v1) OVER (PARTITION BY image_id) AS low, max(v1) OVER (PARTITION BY image_id) AS high FROM v),
+  rw AS (SELECT {VKS}, least(63, floor(coalesce((v1 - low) / nullif(high - low, 0), 0) * 64))::INT AS bin FROM e), ow AS (SELECT image_id, y // 5 AS ty, x // 5 AS tx, bin, count(*) AS n FROM rw GROUP BY ALL),
+  ev AS (SELECT d.image_id, d.ty, d.tx, b.bin, coalesce(n, 0) AS n FROM (SELECT DISTINCT image_id, ty, tx FROM ow) d CROSS JOIN (SELECT unnest(range(64))::INT AS bin) b LEFT JOIN ow ON ow.image_id = d.image_id AND ow.ty = d.ty AND ow.tx = d.tx AND ow.bin = b.bin),
+  k AS (SELECT *, sum(n) OVER w AS total, least(n::DOUBLE, greatest(1.0, 0.03 * sum(n) OVER w)) AS kept FROM ev WINDOW w AS (PARTITION BY image_id, ty, tx)),
+  lv AS (SELECT image_id, ty, tx, bin, (sum(kept) OVER (PARTITION BY image_id, ty, tx ORDER BY bin) + (total - sum(kept) OVER (PARTITION BY image_id, ty, tx)) / 64 * (bin + 1)) / total AS level FROM k),
+  yy AS (SELECT *, unnest([floor((y + 0.5) / 5 - 0.5), floor((y + 0.5) / 5 - 0.5) + 1]) AS ty FROM rw), xx AS (SELECT *, unnest([floor((x + 0.5) / 5 - 0.5), floor((x + 0.5) / 5 - 0.5) + 1]) AS tx FROM yy),
+  ww AS (SELECT *, (1 - abs((y + 0.5) / 5 - 0.5 - ty)) * (1 - abs((x + 0.5) / 5 - 0.5 - tx)) AS w FROM xx)"""
+
+
+@query("a32_tile_equalise", f"WITH {_A32} SELECT {VKS}, round(sum(w * level) / sum(w) + 1e-9, 6) AS equalised FROM ww JOIN lv USING (image_id, ty, tx, bin) WHERE w > 0 GROUP BY ALL")
 def _(spark, d):
-    return rounded(A.tile_equalise(voxels(spark, d), "v1", 5, 0.03).select(*VK, "equalised"))
+    return rounded(A.tile_equalise(voxels(spark, d), "v1", 5, 0.03).select(*VK, (F.col("equalised") + 1e-9).alias("equalised")))
 
 
 def _ssim_ctes(name: str, source: str, win: int, size: int, span: float = 1.0) -> str:

@@ -42,6 +42,15 @@ def _(spark, d):
     return rounded(L.resample(_plane(spark, d), "v", {"y": (8, 12), "x": (8, 5)}, PK))
 
 
+def _table(name, rows):
+    return f"{name}(o, i, w) AS (VALUES {', '.join(f'({o}, {i}, {w!r}::DOUBLE)' for o, i, w in rows)})"
+
+
+@query("l2_resample_cubic", f"WITH {P_SQL}, {_table('a', L.axis_weights(8, 12, 3, True))}, {_table('b', L.axis_weights(8, 3, 3, True))}, r AS (SELECT image_id, o AS y, x, sum(w * v) AS v FROM p JOIN a ON p.y = i GROUP BY 1, 2, 3) SELECT image_id, y, o AS x, round(sum(w * v), 6) AS v FROM r JOIN b ON r.x = i GROUP BY 1, 2, 3")
+def _(spark, d):
+    return rounded(L.resample(_plane(spark, d), "v", {"y": (8, 12), "x": (8, 3)}, PK, 3, True))
+
+
 @query("l2_resample_nearest", f"WITH {V_SQL} SELECT image_id, t, z, y, x2::INT AS x, cls::DOUBLE AS cls FROM v, (SELECT unnest(range(40)) AS x2) WHERE x = x2 // 2")
 def _(spark, d):
     return L.resample(voxels(spark, d).select(*VK, F.col("cls").cast("double").alias("cls")), "cls", {"x": (20, 40)}, VK, 0)
@@ -52,10 +61,11 @@ def _(spark, d):
     return rounded(L.unsharp(_plane(spark, d), "v", {"y": 0.8, "x": 0.8}, 1.5, PK, ["image_id"]), 5)
 
 
-_OPEN = "lo AS (SELECT a.image_id, a.y, a.x, min(b.v) AS v FROM p a JOIN p b ON a.image_id = b.image_id AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 GROUP BY ALL), op AS (SELECT a.image_id, a.y, a.x, max(b.v) AS f FROM lo a JOIN lo b ON a.image_id = b.image_id AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 GROUP BY ALL)"
+_AROUND = "(SELECT unnest([-1, 0, 1])::INT AS k)"
+_OPEN = ", ".join(f"{name} AS (SELECT image_id, y + {'k' if axis == 'y' else '0'} AS y, x + {'k' if axis == 'x' else '0'} AS x, {f}(v) AS v FROM {source}, {_AROUND} WHERE {axis} + k BETWEEN 0 AND 7 GROUP BY 1, 2, 3)" for name, source, f, axis in (("lo1", "p", "min", "y"), ("lo2", "lo1", "min", "x"), ("hi1", "lo2", "max", "y"), ("hi2", "hi1", "max", "x")))
 
 
-@query("l4_subtract_background", f"WITH {P_SQL}, {_OPEN} SELECT image_id, y, x, round(v - f, 6) AS v FROM p JOIN op USING (image_id, y, x)")
+@query("l4_subtract_background", f"WITH {P_SQL}, {_OPEN} SELECT p.image_id, p.y, p.x, round(p.v - hi2.v, 6) AS v FROM p JOIN hi2 USING (image_id, y, x)")
 def _(spark, d):
     return rounded(L.subtract_background(_plane(spark, d), "v", 1, PK))
 
@@ -83,14 +93,27 @@ def _(spark, d):
     return L.foreground_patches(voxels(spark, d), "v1", 5, 8)
 
 
-@query("l9_poisson_noise")
+_L9 = """r AS (SELECT *, greatest(v * 100, 0) AS rate, ('0x' || substr(md5('7/' || image_id || '/' || y || '/' || x || '/1'), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u FROM p),
+  s AS (SELECT *, unnest(range(0, CAST(floor(rate + 12 * sqrt(rate) + 20) AS BIGINT))) AS k FROM r),
+  c AS (SELECT image_id, y, x, u, k, sum(CASE WHEN k = 0 THEN exp(-rate) WHEN rate > 0 THEN exp(k * ln(rate) - rate - lgamma(k + 1)) ELSE 0 END) OVER (PARTITION BY image_id, y, x ORDER BY k) AS cdf FROM s)"""
+
+
+@query("l9_poisson_noise", f"WITH {P_SQL}, {_L9} SELECT image_id, y, x, count(*) FILTER (cdf < u)::DOUBLE / 100 AS v FROM c GROUP BY ALL")
 def _(spark, d):
     return L.poisson_noise(_plane(spark, d), "v", 100.0, 7)
 
 
-@query("l10_training_slices")
+def _axis(source: str, name: str, weights: str, axis: str) -> str:
+    rest = ", ".join(c for c in ("image_id", "t", "z", "y", "x") if c != axis)
+    return f"{name} AS (SELECT {rest}, o AS {axis}, sum(w * v1) AS v1 FROM {source} JOIN {weights} ON {axis} = i GROUP BY {rest}, o)"
+
+
+_KINDS = " UNION ALL ".join(f"SELECT image_id, t, '{kind}' AS kind, {a} AS slice, {b} AS row, {c} AS col, round(v1 + 1e-6, 3) AS v1 FROM {source}" for kind, source, a, b, c in (("xy", "v", "z", "y", "x"), ("xy_degraded", "du", "z", "y", "x"), ("xz", "tz", "y", "z", "x"), ("yz", "tz", "x", "z", "y")))
+
+
+@query("l10_training_slices", f"WITH {V_SQL}, {_weights('wt', 7, 14)}, {_weights('wd', 20, 10)}, {_weights('wu', 10, 20)}, {_axis('v', 'tz', 'wt', 'z')}, {_axis('v', 'dd', 'wd', 'x')}, {_axis('dd', 'du', 'wu', 'x')} {_KINDS}")
 def _(spark, d):
-    return rounded(L.training_slices(voxels(spark, d), "v1", (7, 10, 20), 2), 3)
+    return rounded(L.training_slices(voxels(spark, d), "v1", (7, 10, 20), 2).withColumn("v1", F.col("v1") + 1e-6), 3)
 
 
 @query("x1_x5_expressions", f"WITH {V_SQL} SELECT {VKS}, round(sqrt(z * z + y * y + x * x) * v2 / 3, 6) AS w FROM v")

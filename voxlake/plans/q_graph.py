@@ -8,8 +8,10 @@ from voxlake.operators import aggregates as A
 from voxlake.operators import iterative as G
 from voxlake.operators import joins as J
 from voxlake.operators import projections as P
+from voxlake.operators.filters import kernel
 from voxlake.operators.projections import VK
 from voxlake.plans.register import query, rounded
+from voxlake.plans.scratch import saved
 from voxlake.sources.fixtures import V_SQL, voxels
 
 VKS = "image_id, t, z, y, x"
@@ -84,7 +86,14 @@ def _(spark, d):
     return G.seeds_from_distance(voxels(spark, d).where("cls >= 2"), 0.7, 6)
 
 
-@query("g6_seeded_split")
+_G6 = f"""{V_SQL}, {_SHELL}, {_DEPTH}, v3 AS (SELECT *, -least(sqrt(d2), 4.0) AS pri, image_id * 1400 + z * 200 + y * 20 + x AS id FROM dp), {_cc_sql('x % 4 = 0 AND z % 2 = 0', 6, 's').replace('FROM v WHERE', 'FROM v3 WHERE')},
+  ed AS (SELECT a.id AS a, b.id AS b, b.pri FROM v3 a JOIN v3 b ON a.image_id = b.image_id AND abs(a.z - b.z) + abs(a.y - b.y) + abs(a.x - b.x) = 1),
+  mm(id, c) USING KEY (id) AS (SELECT id, -1e300::DOUBLE FROM s UNION SELECT ed.b, min(greatest(mm.c, ed.pri)) FROM mm JOIN ed ON mm.id = ed.a LEFT JOIN recurring.mm k ON k.id = ed.b WHERE k.id IS NULL OR greatest(mm.c, ed.pri) < k.c GROUP BY ed.b),
+  ti AS (SELECT ed.a, ed.b FROM ed JOIN mm p ON p.id = ed.a JOIN mm q ON q.id = ed.b WHERE greatest(p.c, ed.pri) = q.c),
+  fl(id, label) USING KEY (id) AS (SELECT id, label FROM s UNION SELECT ti.b, min(fl.label) FROM fl JOIN ti ON fl.id = ti.a LEFT JOIN recurring.fl k ON k.id = ti.b WHERE k.id IS NULL GROUP BY ti.b)"""
+
+
+@query("g6_seeded_split", f"WITH RECURSIVE {_G6} SELECT {VKS}, label FROM v3 JOIN fl USING (id)")
 def _(spark, d):
     mask = voxels(spark, d).where("cls >= 2")
     deep = G.inside_distance(mask, 4).withColumn("priority", -F.coalesce("distance", F.lit(4.0)))
@@ -92,13 +101,18 @@ def _(spark, d):
     return G.seeded_split(deep, seeds, "priority", 6)
 
 
-@query("g7_geodesic", f"""WITH RECURSIVE {V_SQL}, {_cc_sql('cls >= 2', 6, 's')}, f AS (SELECT id FROM s QUALIFY row_number() OVER (PARTITION BY image_id, label ORDER BY z + y + x, z, y, x) = 1),
-  g(id, hops) USING KEY (id) AS (SELECT id, 0 FROM f UNION SELECT e.b, min(g.hops + 1) FROM g JOIN s_e e ON g.id = e.a LEFT JOIN recurring.g k ON k.id = e.b WHERE k.id IS NULL GROUP BY e.b) SELECT {VKS}, hops FROM s JOIN g USING (id)""")
+_G7 = f"""{V_SQL}, {_cc_sql('cls >= 2', 6, 's')}, f AS (SELECT id FROM s QUALIFY row_number() OVER (PARTITION BY image_id, label ORDER BY z + y + x, z, y, x) = 1),
+  g(id, hops) USING KEY (id) AS (SELECT id, 0 FROM f UNION SELECT e.b, min(g.hops + 1) FROM g JOIN s_e e ON g.id = e.a LEFT JOIN recurring.g k ON k.id = e.b WHERE k.id IS NULL GROUP BY e.b)"""
+
+
+@query("g7_geodesic", f"WITH RECURSIVE {_G7} SELECT {VKS}, hops FROM s JOIN g USING (id)")
 def _(spark, d):
     return G.geodesic(G.label_components(voxels(spark, d).where("cls >= 2"), 6))
 
 
-@query("g8_geodesic_to_objects")
+@query("g8_geodesic_to_objects", f"""WITH RECURSIVE {_G7}, k AS (SELECT image_id, z, y, x, hops FROM s JOIN g USING (id)), c AS (SELECT image_id, (z * 200 + y * 20 + x)::INT AS label, z, y, x FROM v WHERE cls = 1)
+  SELECT c.label, c.image_id, round(sqrt((c.z - k.z) ** 2 + (c.y - k.y) ** 2 + (c.x - k.x) ** 2), 6) AS distance, hops, round(hops * 0.102::DOUBLE, 6) AS geodesic FROM c LEFT JOIN k USING (image_id)
+  QUALIFY row_number() OVER (PARTITION BY c.image_id, c.label ORDER BY (c.z - k.z) ** 2 + (c.y - k.y) ** 2 + (c.x - k.x) ** 2, k.z, k.y, k.x) = 1""")
 def _(spark, d):
     vox = voxels(spark, d)
     field = G.geodesic(G.label_components(vox.where("cls >= 2"), 6))
@@ -110,37 +124,99 @@ def _(spark, d):
     return G.thin(voxels(spark, d).where("cls >= 2"))
 
 
-@query("g10_path_cost_field")
+def _blur_sql(source: str, name: str, value: str, sigma: tuple[float, float, float]) -> str:
+    """CTEs up to name(VKS, value): the separable Gaussian at the voxels of source."""
+    out, before = [], source
+    for axis, s in zip("zyx", sigma, strict=True):
+        taps = ", ".join(f"({k}, {w!r}::DOUBLE)" for k, w in kernel(s))
+        rest = ", ".join(c if c != axis else f"{axis} + k AS {axis}" for c in ("image_id", "t", "z", "y", "x"))
+        lines = {"z": "image_id, z", "y": "image_id, z, y", "x": "image_id, z, y, x"}[axis]
+        out.append(f"{name}k{axis}(k, w) AS (VALUES {taps}), {name}{axis} AS (SELECT * FROM (SELECT {rest}, sum({value} * w) AS {value} FROM {before}, {name}k{axis} GROUP BY ALL) SEMI JOIN {source} USING ({lines}))")
+        before = f"{name}{axis}"
+    return ", ".join(out) + f", {name} AS (SELECT {VKS}, {value} FROM {before})"
+
+
+def _cost_sql(name: str, target: str, own: str) -> str:
+    """CTEs up to name(VKS, cost): G10 over v, towards the voxels of target, outside those of own."""
+    return f"""{name}d AS (SELECT a.image_id, a.t, a.z, a.y, a.x, a.v1, coalesce(sqrt(min((a.z - b.z) ** 2 + (a.y - b.y) ** 2 + (a.x - b.x) ** 2)), 8.0) AS distance FROM v a LEFT JOIN {target} b ON a.image_id = b.image_id GROUP BY ALL),
+  {name}g AS (SELECT {VKS}, CASE WHEN o.image_id IS NOT NULL THEN 0.0 ELSE pow(v1 / nullif(max(v1) OVER (PARTITION BY image_id), 0), 0.4) END AS g, coalesce(distance / nullif(max(distance) OVER (PARTITION BY image_id), 0), 0) AS share FROM {name}d LEFT JOIN (SELECT DISTINCT {VKS} FROM {own}) o USING ({VKS})),
+  {_blur_sql(f'{name}g', f'{name}b', 'g', (0.25, 10.0, 10.0))}, {name}r AS (SELECT {VKS}, share / (0.2 * a.g + 0.3 * b.g + 1e-6) AS cost FROM {name}g a JOIN {name}b b USING ({VKS})),
+  {_blur_sql(f'{name}r', name, 'cost', (0.5, 0.5, 0.5))}"""
+
+
+@query("g10_path_cost_field", f"WITH {V_SQL}, ow AS (SELECT {VKS} FROM v WHERE cls = 1), tg AS (SELECT {VKS} FROM v WHERE cls = 3), {_cost_sql('c', 'tg', 'ow')} SELECT {VKS}, round(cost, 4) AS cost FROM c")
 def _(spark, d):
-    vox = voxels(spark, d)
+    vox = saved(voxels(spark, d), "v")
     return rounded(G.path_cost_field(vox.where("cls = 1"), vox.where("cls = 3"), vox, "v1", 8), 4)
 
 
-def _paths(spark, d):
-    vox = voxels(spark, d)
-    spines = G.label_components(vox.where("cls = 1"), 26)
-    return spines, vox, G.path_cost_field(spines, vox.where("cls = 3"), vox, "v1", 8)
+_CUBE27 = "(SELECT dz, dy, dx FROM (SELECT unnest([-1, 0, 1]) AS dz), (SELECT unnest([-1, 0, 1]) AS dy), (SELECT unnest([-1, 0, 1]) AS dx))"
+
 
+def _paths_sql(name: str, cost: str, body: str, target: str) -> str:
+    """CTEs up to name(image_id, t, label, step, z, y, x, cost): G11 from the objects of body(VKS, label) to target."""
+    return f"""{name}c AS (SELECT {VKS}, round(cost, 9) AS cost, image_id * 1400 + z * 200 + y * 20 + x AS id FROM {cost}), {name}t AS (SELECT DISTINCT {VKS}, image_id * 1400 + z * 200 + y * 20 + x AS id FROM {target}), {name}w AS (SELECT DISTINCT image_id, z, y, x FROM {body}),
+  {name}e AS (SELECT DISTINCT c.id FROM {name}t a, {_CUBE27} JOIN {name}c c ON c.image_id = a.image_id AND c.z = a.z + dz AND c.y = a.y + dy AND c.x = a.x + dx WHERE c.id NOT IN (SELECT id FROM {name}t)),
+  {name}n AS (SELECT a.id, b.id AS onward FROM {name}c a, {_CUBE27} JOIN {name}c b ON b.image_id = a.image_id AND b.z = a.z + dz AND b.y = a.y + dy AND b.x = a.x + dx WHERE b.id NOT IN (SELECT id FROM {name}t)
+    QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY b.cost, CASE WHEN dy = 0 AND dx = 0 AND dz <> 0 THEN 0 ELSE 1 END, b.z, b.y, b.x) = 1),
+  {name}s AS (SELECT DISTINCT a.label, c.* FROM {body} a, {_CUBE27} JOIN {name}c c ON c.image_id = a.image_id AND c.z = a.z + dz AND c.y = a.y + dy AND c.x = a.x + dx ANTI JOIN {name}w w ON w.image_id = c.image_id AND w.z = c.z AND w.y = c.y AND w.x = c.x),
+  {name}f AS (SELECT image_id, label, id FROM {name}s QUALIFY row_number() OVER (PARTITION BY image_id, label ORDER BY cost, z, y, x) = 1),
+  {name}p(image_id, label, step, id) AS (SELECT image_id, label, 0, id FROM {name}f UNION ALL SELECT p.image_id, p.label, p.step + 1, n.onward FROM {name}p p JOIN {name}n n USING (id) WHERE p.step < 199 AND n.onward <> p.id AND p.id NOT IN (SELECT id FROM {name}e)),
+  {name}a AS (SELECT DISTINCT image_id, label FROM {name}p SEMI JOIN {name}e USING (id)),
+  {name} AS (SELECT p.image_id, c.t, p.label, p.step, c.z, c.y, c.x, c.cost FROM {name}p p JOIN {name}c c USING (id) SEMI JOIN {name}a a ON a.image_id = p.image_id AND a.label = p.label ANTI JOIN {name}w w ON w.image_id = c.image_id AND w.z = c.z AND w.y = c.y AND w.x = c.x WHERE c.cost <= 20)"""
 
-@query("g11_greedy_paths")
+
+@query("g11_greedy_paths", f"WITH RECURSIVE {V_SQL}, {_cc_sql('cls = 1', 26, 's')}, tg AS (SELECT {VKS} FROM v WHERE cls = 3), {_cost_sql('co', 'tg', 's')}, {_paths_sql('gp', 'co', 's', 'tg')} SELECT {VKS}, label, step, round(cost, 4) AS cost FROM gp")
 def _(spark, d):
-    spines, vox, cost = _paths(spark, d)
+    vox = saved(voxels(spark, d), "v")
+    spines = saved(G.label_components(vox.where("cls = 1"), 26), "spines")
+    cost = G.path_cost_field(spines, vox.where("cls = 3"), vox, "v1", 8)
     return rounded(G.greedy_paths(cost, spines, vox.where("cls = 3")).select(*VK, "label", "step", "cost"), 4)
 
 
-@query("g12_neck_generation")
+def _grow_sql(name: str, seeds: str, mask: str) -> str:
+    """CTEs up to name(VKS, label): G3 of seeds(VKS, label) through mask."""
+    number = "image_id * 1400 + z * 200 + y * 20 + x"
+    return f"""{name}s AS (SELECT {VKS}, label, {number} AS id FROM {seeds}), {name}m AS (SELECT {VKS}, {number} AS id FROM {mask}), {name}n AS (SELECT {VKS}, id FROM {name}s UNION SELECT {VKS}, id FROM {name}m),
+  {name}e AS (SELECT a.id AS a, b.id AS b FROM {name}n a JOIN {name}m b ON a.image_id = b.image_id AND abs(a.z - b.z) <= 1 AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1),
+  {name}g(id, label) USING KEY (id) AS (SELECT id, label FROM {name}s UNION SELECT e.b, max(g.label) FROM {name}g g JOIN {name}e e ON g.id = e.a LEFT JOIN recurring.{name}g k ON k.id = e.b WHERE k.id IS NULL GROUP BY e.b),
+  {name} AS (SELECT {VKS}, label FROM {name}n JOIN {name}g USING (id))"""
+
+
+_G12 = f"""{V_SQL}, {_cc_sql('cls = 1', 26, 's')}, nk AS (SELECT {VKS} FROM v WHERE cls = 2 AND y % 3 = 0), de AS (SELECT {VKS} FROM v WHERE cls = 3), {_grow_sql('gr', 's', 'nk')},
+  rest AS (SELECT {VKS} FROM nk ANTI JOIN gr USING ({VKS})), tg AS (SELECT {VKS} FROM (FROM de UNION FROM rest) ANTI JOIN gr USING ({VKS})), {_cost_sql('co', 'tg', 'gr')}, {_paths_sql('gp', 'co', 'gr', 'tg')},
+  ex AS (SELECT {VKS}, max(label) AS label FROM (SELECT {VKS}, label FROM gr UNION ALL SELECT {VKS}, label FROM gp) GROUP BY ALL), {_grow_sql('ga', 'ex', 'rest')}"""
+
+
+@query("g12_neck_generation", f"WITH RECURSIVE {_G12} SELECT {VKS}, label FROM ga ANTI JOIN s USING ({VKS}) ANTI JOIN de USING ({VKS})")
 def _(spark, d):
-    vox = voxels(spark, d)
+    vox = saved(voxels(spark, d), "v")
     return G.neck_generation(G.label_components(vox.where("cls = 1"), 26), vox.where("cls = 2 and y % 3 = 0"), vox.where("cls = 3"), vox, "v1", 8)
 
 
-@query("g13_least_cost_path")
+_G13 = f"""{V_SQL}, l AS (SELECT {VKS}, ((y // 5) * 4 + x // 5 + 1)::BIGINT AS label, 1.0::DOUBLE + (z * 7 + y * 3 + x) % 5 AS cost, image_id * 1400 + z * 200 + y * 20 + x AS id, z * 200 + y * 20 + x AS place FROM v WHERE cls >= 2),
+  ed AS (SELECT a.id AS a, b.id AS b, b.cost, a.place FROM l a JOIN l b ON a.image_id = b.image_id AND a.label = b.label AND abs(a.z - b.z) <= 1 AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND a.id <> b.id),
+  st AS (SELECT image_id, label, min(id) AS a, max(id) AS b FROM l GROUP BY ALL),
+  bf(id, c, hops, par) USING KEY (id) AS (SELECT a, 0.0::DOUBLE, 0, -1 FROM st UNION SELECT id, first(c ORDER BY c, hops, par), first(hops ORDER BY c, hops, par), first(par ORDER BY c, hops, par) FROM (SELECT ed.b AS id, bf.c + ed.cost AS c, bf.hops + 1 AS hops, ed.a AS par, k.id AS known, k.c AS kc, k.hops AS kh, k.par AS kp FROM bf JOIN ed ON bf.id = ed.a LEFT JOIN recurring.bf k ON k.id = ed.b)
+    WHERE known IS NULL OR (c, hops, par) < (kc, kh, kp) GROUP BY id),
+  wk(label, step, id) AS (SELECT label, 0, b FROM st SEMI JOIN bf ON bf.id = st.b UNION ALL SELECT wk.label, step + 1, bf.par FROM wk JOIN bf USING (id) WHERE bf.hops > 0)"""
+
+
+@query("g13_least_cost_path", f"WITH RECURSIVE {_G13} SELECT l.image_id, l.t, l.label, step, l.z, l.y, l.x FROM wk JOIN l USING (id)")
 def _(spark, d):
-    vox = G.label_components(voxels(spark, d).where("cls >= 2"), 26).withColumn("cost", 1.0 + (F.col("z") * 7 + F.col("y") * 3 + F.col("x")) % 5)
+    label = (F.floor(F.col("y") / 5) * 4 + F.floor(F.col("x") / 5) + 1).cast("long")  # objects that touch
+    vox = saved(voxels(spark, d).where("cls >= 2").withColumn("label", label).withColumn("cost", 1.0 + (F.col("z") * 7 + F.col("y") * 3 + F.col("x")) % 5), "objects")
     by = ["image_id", "t", "label"]
-    first = vox.groupBy(*by).agg(F.min(F.struct("z", "y", "x")).alias("p")).select(*by, "p.*")
-    last = vox.groupBy(*by).agg(F.max(F.struct("z", "y", "x")).alias("p")).select(*by, "p.*")
-    return G.least_cost_path(vox, first, last)
+    ends = [vox.groupBy(*by).agg(f(F.struct("z", "y", "x")).alias("p")).select(*by, "p.*") for f in (F.min, F.max)]
+    return G.least_cost_path(vox, *ends)
+
+
+@query("g13_midline")
+def _(spark, d):
+    vox = saved(G.label_components(voxels(spark, d).where("cls >= 2"), 26), "objects")
+    cost, deepest = G.midline_cost(vox, 8)
+    first = vox.groupBy("image_id", "t", "label").agg(F.min(F.struct("z", "y", "x")).alias("p")).select("image_id", "t", "label", "p.*")
+    return G.least_cost_path(cost, first, deepest)
 
 
 @query("g14_deepest_point", f"WITH {V_SQL}, {_SHELL}, {_DEPTH}, l AS (SELECT *, (y // 5 + 1)::BIGINT AS label FROM dp) SELECT {VKS}, label, round(sqrt(d2), 6) AS distance FROM l QUALIFY row_number() OVER (PARTITION BY image_id, label ORDER BY d2 DESC, z, y, x) = 1")
@@ -160,11 +236,13 @@ _DENSITY = f"""WITH RECURSIVE {V_SQL}, {_cc_sql('cls >= 2', 6, 'e')}, {_cc_sql('
 @query("spine_density_per_dendrite", _DENSITY)
 def spine_density(spark, d):
     """The flagship: components, filters, measures, nearest dendrite, summary."""
-    vox = voxels(spark, d)
+    vox = saved(voxels(spark, d), "v")
     spines = G.label_components(vox.where("cls = 1"), 26)
-    dendrites = A.filter_components(G.label_components(vox.where("cls >= 2"), 6), 3).select(*VK, F.col("label").alias("dendrite_id"))
+    labelled = saved(G.label_components(vox.where("cls >= 2"), 6), "dendrites")
+    dendrites = A.filter_components(labelled, 3).select(*VK, F.col("label").alias("dendrite_id"))
+    dendrites = saved(dendrites, "kept-dendrites")
     props = A.region_props(spines.join(vox.select(*VK, "v1"), VK), "v1")
-    kept = P.filter_by_volume(props, 1, 60).select("image_id", "label", "area", *[F.round(f"centroid_{c}", 4).alias(c) for c in "zyx"], F.round("mean_int", 4).alias("mean_int"))
+    kept = saved(P.filter_by_volume(props, 1, 60).select("image_id", "label", "area", *[F.round(f"centroid_{c}", 4).alias(c) for c in "zyx"], F.round("mean_int", 4).alias("mean_int")), "kept-spines")
     near = J.nearest_point(kept, dendrites, ["label"], ["dendrite_id"], max_dist=4.0).where("distance is not null")
     stats = dendrites.groupBy("image_id", "dendrite_id").agg(F.count_if(F.col("x") % 2 == 0).alias("length"), F.count("*").alias("volume"))
     table = kept.join(near.select("image_id", "label", "dendrite_id"), ["image_id", "label"])

@@ -74,6 +74,23 @@ def _(spark, d):
     return rounded(W.chain_shift(c))
 
 
+_W6 = f"""{V_SQL}, f AS (SELECT image_id // 5 AS image_id, (image_id % 5)::INT AS t, z, y, x, v1 FROM v WHERE cls = 1), m AS (SELECT image_id, t, z, y, x, v1 - avg(v1) OVER (PARTITION BY image_id, t) AS v FROM f),
+  c AS (SELECT b.image_id, b.t, a.z - b.z AS sz, a.y - b.y AS sy, a.x - b.x AS sx, round(sum(a.v * b.v), 2) AS score FROM m a JOIN m b ON a.image_id = b.image_id AND b.t = a.t + 1 AND abs(a.z - b.z) <= 1 AND abs(a.y - b.y) <= 2 AND abs(a.x - b.x) <= 2 GROUP BY ALL),
+  s AS (SELECT image_id, t, sz, sy, sx FROM c QUALIFY row_number() OVER (PARTITION BY image_id, t ORDER BY score DESC, sz * sz + sy * sy + sx * sx, sz, sy, sx) = 1)"""
+
+
+@query("w6_chain_shift_by_content", f"WITH {_W6} SELECT image_id, t, {', '.join(f'(sum(coalesce(s{c}, 0)) OVER w)::BIGINT AS shift_{c}' for c in 'zyx')} FROM (SELECT DISTINCT image_id, t FROM f) LEFT JOIN s USING (image_id, t) WINDOW w AS (PARTITION BY image_id ORDER BY t)")
+def _(spark, d):
+    vox = voxels(spark, d).where("cls = 1")
+    frames = vox.select(F.floor(F.col("image_id") / 5).alias("image_id"), (F.col("image_id") % 5).cast("int").alias("t"), "z", "y", "x", "v1")
+    return W.chain_shift_by_content(frames, "v1", (1, 2, 2))
+
+
+@query("w8_resample_polyline")
+def _(spark, d):
+    return rounded(W.resample_polyline(object_voxels(spark, d), ["image_id", "t", "label"], ["z", "y", "x"]))
+
+
 @query("w7_raster_label_order", f"WITH {OV_SQL}, f AS (SELECT image_id, label, min(z * 10000 + y * 100 + x) AS k FROM ov GROUP BY ALL), n AS (SELECT image_id, label, row_number() OVER (PARTITION BY image_id ORDER BY k) AS new FROM f) SELECT {VKS}, new AS label FROM ov JOIN n USING (image_id, label)")
 def _(spark, d):
     return W.raster_label_order(object_voxels(spark, d)).select(*VK, "label")
@@ -109,7 +126,7 @@ def _(spark, d):
     return W.random_sample(voxels(spark, d).select(*VK), 0.25, ["image_id"], ["image_id", "z", "y", "x"])
 
 
-@query("k6_split")
+@query("k6_split", "SELECT vec_id::BIGINT AS image_id, CASE WHEN ('0x' || substr(md5(vec_id::VARCHAR), 1, 8))::BIGINT % 100 < 90 THEN 'train' ELSE 'validation' END AS part FROM embeddings")
 def _(spark, d):
     return W.split(table(spark, d, "embeddings").select(F.col("vec_id").cast("long").alias("image_id")), 0.9, ["image_id"])
 
@@ -134,9 +151,15 @@ def _(spark, d):
 
 
 @query("u4_stack_time", f"WITH {T_SQL} SELECT (timepoint - 1)::INT AS t, spine_id, z, y, x FROM tr")
+def _(spark, d):
+    t = tracks(spark, d).where("timepoint between 1 and 31")
+    return t.select((F.col("timepoint") - 1).cast("int").alias("t"), "spine_id", "z", "y", "x")
+
+
+@query("u4_stack_frames", f"WITH {T_SQL} SELECT (timepoint - 1)::INT AS t, spine_id, z, y, x FROM tr WHERE timepoint <= 3")
 def _(spark, d):
     t = tracks(spark, d)
-    return W.stack_time([t.where(F.col("timepoint") == i).select("spine_id", "z", "y", "x") for i in range(1, 32)])
+    return W.stack_time([t.where(F.col("timepoint") == i).select("spine_id", "z", "y", "x") for i in (1, 2, 3)])
 
 
 @query("j15_link_nearest", f"WITH {T_SQL}, p AS (SELECT a.timepoint, a.spine_id AS source, b.spine_id AS target, sqrt((a.z - b.z) ** 2 + (a.y - b.y) ** 2 + (a.x - b.x) ** 2) AS distance, b.z, b.y, b.x FROM tr a JOIN tr b ON b.timepoint = a.timepoint + 1) SELECT timepoint::BIGINT AS timepoint, source, target, round(distance, 6) AS distance FROM p QUALIFY row_number() OVER (PARTITION BY timepoint, source ORDER BY round(distance, 9), z, y, x, target) = 1")
