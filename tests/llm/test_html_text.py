@@ -40,6 +40,32 @@ def test_long_bodies_inside_an_article():
     assert html_text.extract_one(page).split("\n") == ["Title", *lines(30), "Another page", "One more page", "End."]
 
 
+P = [f"Paragraph {i}, with some commas, and enough words, to score as prose would, if it were read." for i in range(5)]
+BODY = "".join(f"<p>{p}</p>" for p in P)
+MENU = "<ul><li><a href='/a'>Another page</a></li><li><a href='/b'>One more page</a></li></ul>"
+
+
+def test_page_shapes():
+    """Ten shapes of pages: what is around the best container and belongs to the article stays, the rest goes."""
+    say = html_text.extract_one
+    assert say(f"<main><h1>Short title</h1><div class='body'>{BODY}</div></main>") == "\n".join(["Short title", *P])
+    assert say(f"<body><div id='page'><div class='lead'>A lead.</div><div class='body'>{BODY}</div><ul><li>One</li><li>Two</li></ul></div></body>") == "\n".join(["A lead.", *P, "One", "Two"])
+    assert say(f"<body><div><div>{BODY}</div><div><h2>More</h2><p>Short.</p></div></div></body>") == "\n".join([*P, "More", "Short."])
+    assert say(f"<article>{BODY}<div class='related-work'><h2>Related work</h2><p>Others did this before.</p></div><p class='social'>The social question is old.</p></article>") == "\n".join([*P, "Related work", "Others did this before.", "The social question is old."])
+    assert say(f"<article>{BODY}<div class='share'>Tweet Post</div><div class='related'>{MENU}</div><div class='comments'><p>A comment, this one.</p></div></article>") == "\n".join(P)
+    assert say(f"<body><h1>Title</h1>{BODY}<div class='footer'>&copy; us</div></body>") == "\n".join(["Title", *P])
+    assert say(f"<body>{MENU}<div><div>{MENU}</div><div><h1>Title</h1>{BODY}</div><div>© 2020 Someone. All rights reserved.</div></div></body>") == "\n".join(["Title", *P])
+    assert say(f"<body><div>We use cookies, many. <button>Fine</button></div><h1>Title</h1><div>{BODY}</div><div>{MENU}</div></body>") == "\n".join(["Title", *P])
+    assert say(f"<article><p><label>Term</label> means this.</p><object data='x'><p>Fallback text.</p></object>{BODY}</article>") == "\n".join(["Term means this.", "Fallback text.", *P])
+    table = "<table><tr><th>Year</th><th>Sum</th></tr><tr><td>1999</td><td>12</td></tr></table>"
+    assert say(f"<main><div class='entry'><h2>Q</h2>{BODY}{table}<blockquote>Said so.</blockquote><pre>x = 1</pre><dl><dt>A</dt><dd>B</dd></dl></div><div class='newsletter'><p>Get our letter, weekly.</p></div></main>") == "\n".join(["Q", *P, "Year", "Sum", "1999", "12", "Said so.", "x = 1", "A", "B"])
+
+
+def test_very_long_text():
+    text = "long words, " * 100_000
+    assert html_text.extract_one(f"<nav>x</nav><article><p>{text}</p></article>") == text.strip()
+
+
 def test_table(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     rows = {r.page_id: r for r in html_text.extract(pages).collect()}

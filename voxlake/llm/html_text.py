@@ -2,9 +2,11 @@
 
 A page becomes a tree of blocks.  Paragraph-like blocks score by length and commas, and pass their points to their ancestors (whole
 to the parent, half to the next, a third beyond); an ancestor's points are discounted by its link density.  The container with most
-points is kept with the siblings that score alike or read like prose; if it lies in an article (or else main), the outermost is kept so as a
-whole, but for blocks beside the best container that are mostly links.  Subtrees that are never content (scripts, styles, forms, navigation,
-headers and footers of the page, asides, and classes or ids that name menus, adverts, notices, comments and the like) are dropped first.
+points is kept; if it lies in an article (or else main), the outermost is kept as a whole, else the largest ancestor below the body whose other
+blocks are no link lists, with the siblings of that which score alike or read like text; but for blocks beside the best container that are mostly
+links, or copyright lines.  Subtrees that are never content (scripts, styles, forms, navigation, headers and footers of the page, asides, and
+classes or ids that name menus, adverts, notices, comments and the like) are dropped first; inside an article names that content may have as well
+(related, social, share, ...) count only for parts that are links or hold no sentence.
 
 Inside the kept part each block's white space becomes one space; blocks are joined by newlines.  Character references are decoded.  Null and
 empty pages, and pages without text, give an empty text.  Rows are independent: null or repeated page_ids and extra columns
@@ -23,8 +25,8 @@ from pyspark.sql import functions as F
 
 #: HTML's elements by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select object canvas audio video".split())
-DROPPED = frozenset("nav aside form button menu dialog fieldset label head footer".split())
+RAW = frozenset("script style noscript template textarea title iframe svg math select canvas audio video".split())
+DROPPED = frozenset("nav aside form button menu dialog fieldset head footer".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 SCORED = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -32,19 +34,23 @@ HOLDERS = frozenset("div dl ol section table ul".split())
 ENDS_P = BLOCKS - {"body", "html"}
 #: Words in classes and ids of parts that are not content, and of parts that are.
 UNLIKELY = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|comment-?list|consent|cookies?|disqus|footer|gdpr|header|login|masthead|menu|modal|nav\w*|newsletter|notice|paywall|pager|pagination|popup|promo\w*|recommend\w*|related|replies|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|subscription|tags|teaser|toolbar|widget)(?:$|[\s_-])", re.I)
+DOUBTFUL = re.compile(r"(?:^|[\s_-])(?:header|recommend\w*|related|replies|share|sharing|social|tags|teaser|widget)(?:$|[\s_-])", re.I)
 LIKELY = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|page|post|story|text)(?:$|[\s_-])", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*(?:>|$)|<\?[^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"\s+")
+_ENDS = re.compile(r"[.!?…:;。！？][\"'”’»)\]]*\s*$", re.M)
+_RIGHTS = re.compile(r"^\s*(?:©|\(c\)\s|copyright\b)|all rights reserved", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "dropped", "weight", "points", "text", "linked")
+    __slots__ = ("tag", "parent", "items", "dropped", "doubt", "inner", "weight", "points", "text", "linked")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, weight: float = 0.0):
-        self.tag, self.parent, self.dropped, self.weight = tag, parent, dropped, weight
+    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, weight: float = 0.0, doubt: bool = False):
+        self.tag, self.parent, self.dropped, self.weight, self.doubt = tag, parent, dropped, weight, doubt
+        self.inner = tag in ("article", "main") or parent is not None and parent.inner  # inside an article
         self.items: list = []
         self.points, self.text, self.linked = 0.0, 0, 0
 
@@ -53,27 +59,28 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)}
 
 
-def _judge(tag: str, source: str, inside: Node) -> tuple[bool, float]:
-    """Whether a subtree is dropped, and how far its class and id speak for content."""
+def _judge(tag: str, source: str, inside: Node) -> tuple[bool, float, bool]:
+    """Whether a subtree is dropped, how far its class and id speak for content, and whether they leave it in doubt."""
     if tag in DROPPED:
-        return True, 0
+        return True, 0, False
     if tag == "header":
         node: Node | None = inside
         while node is not None and node.tag not in ("article", "main", "section"):
             node = node.parent
         if node is None:
-            return True, 0
+            return True, 0, False
     weight = 25.0 if tag in ("article", "main") else 0.0
     if not source:
-        return False, weight
+        return False, weight, False
     a = _attributes(source)
     if "hidden" in a or a.get("aria-hidden") == "true" or a.get("role", "").lower() in ROLES or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", ""), re.I):
-        return True, 0
+        return True, 0, False
     names = f"{a.get('class', '')} {a.get('id', '')}"
     likely = bool(LIKELY.search(names))
     if UNLIKELY.search(names) and tag not in ("body", "html", "article", "main") and not (likely and tag in ("section", "div") and "comment" not in names.lower()):
-        return True, 0
-    return False, weight + 25.0 * likely
+        strong = UNLIKELY.search(DOUBTFUL.sub(" ", DOUBTFUL.sub(" ", names)))
+        return (True, 0, False) if strong or not inside.inner else (False, weight, True)
+    return False, weight + 25.0 * likely, False
 
 
 def parse(html: str) -> Node:
@@ -113,8 +120,8 @@ def parse(html: str) -> Node:
             continue
         if m[3].endswith("/") and tag not in BLOCKS:
             continue
-        dropped, weight = (False, 0.0) if tag not in BLOCKS and not m[3] and tag not in DROPPED else _judge(tag, m[3], node)
-        child = Node(tag, node, dropped, weight)
+        dropped, weight, doubt = (False, 0.0, False) if tag not in BLOCKS and not m[3] and tag not in DROPPED else _judge(tag, m[3], node)
+        child = Node(tag, node, dropped, weight, doubt)
         node.items.append(child)
         node = child
     return top
@@ -148,14 +155,34 @@ def _walk(top: Node) -> list[Node]:
     return out
 
 
-def _article(node: Node) -> Node:
-    """The outermost article around a node or that it is; else the outermost main, else the node."""
+def _text(node: Node) -> str:
+    return text_of([node])
+
+
+def _reads(node: Node) -> bool:
+    """Whether a block beside the kept part is text of its own: hardly linked, no control in it, and a heading, a plain list or sentences."""
+    if not node.text or node.linked >= 0.25 * node.text or any(x.dropped for n in _walk(node) for x in n.items if isinstance(x, Node)):
+        return False
+    text = _text(node)
+    return not _RIGHTS.search(text) and (node.tag in HEADINGS or node.tag in ("ul", "ol", "dl") and not node.linked or bool(_ENDS.search(text)))
+
+
+def _whole(node: Node) -> Node:
+    """The outermost article around a node or that it is; else the outermost main; else its largest ancestor below the body in which nothing
+    beside it is mostly links."""
     found = {}
     other: Node | None = node
     while other is not None:
         found[other.tag] = other
         other = other.parent
-    return found.get("article") or found.get("main") or node
+    if "article" in found or "main" in found:
+        return found.get("article") or found["main"]
+    while node.parent is not None and node.parent.tag not in ("body", "html", "#top"):
+        beside, links = node.parent.text - node.text, node.parent.linked - node.linked
+        if links > 0.3 * beside:
+            break
+        node = node.parent
+    return node
 
 
 def _drop_links(whole: Node, chosen: Node) -> None:
@@ -177,16 +204,18 @@ def _drop_links(whole: Node, chosen: Node) -> None:
         node = stack.pop()
         for x in node.items:
             if isinstance(x, Node) and not x.dropped and x is not chosen:
-                if x.tag in HOLDERS and id(x) not in around and linked[id(x)] > 0.5 * x.text:
+                beside = id(x) not in around
+                if x.tag in HOLDERS and beside and linked[id(x)] > 0.5 * x.text or beside and x.tag in BLOCKS and 0 < x.text < 200 and x.tag not in HEADINGS and _RIGHTS.search(_text(x)):
                     x.dropped = True
                 else:
                     stack.append(x)
 
 
-def best(top: Node) -> list[Node]:
-    """The best container and its kept siblings, in page order."""
-    nodes = _walk(top)
+def _measure(nodes: list[Node]) -> dict[int, int]:
+    """Text and linked text of nodes (parents first); the commas of each."""
     commas: dict[int, int] = {}
+    for node in nodes:
+        node.text = node.linked = 0
     for node in reversed(nodes):
         own = [x for x in node.items if isinstance(x, str)]
         node.text += sum(len(_SPACE.sub(" ", x).strip()) for x in own)
@@ -198,6 +227,19 @@ def best(top: Node) -> list[Node]:
             node.parent.linked += node.linked
             if node.tag not in BLOCKS:
                 commas[id(node.parent)] = commas.get(id(node.parent), 0) + commas[id(node)]
+    return commas
+
+
+def best(top: Node) -> list[Node]:
+    """The best container and its kept siblings, in page order."""
+    nodes = _walk(top)
+    commas = _measure(nodes)
+    doubts = [n for n in nodes if n.doubt and not (n.linked < 0.25 * n.text and _ENDS.search(_text(n)))]
+    if doubts:
+        for n in doubts:
+            n.dropped = True
+        nodes = _walk(top)
+        commas = _measure(nodes)
     for node in nodes:
         bare = node.tag in BLOCKS and node.tag not in SCORED and any(isinstance(x, str) and len(x.strip()) >= 25 for x in node.items)
         if (node.tag in SCORED or bare) and node.text:
@@ -212,7 +254,7 @@ def best(top: Node) -> list[Node]:
     if not chosen.points or chosen.parent is None:
         return [chosen]
     floor = max(10.0, chosen.points * 0.2)
-    whole = _article(chosen)
+    whole = _whole(chosen)
     if whole is not chosen:
         _drop_links(whole, chosen)
     out = []
@@ -220,9 +262,7 @@ def best(top: Node) -> list[Node]:
         if other is whole:
             out.append(other)
         elif isinstance(other, Node) and not other.dropped and other.text:
-            density = other.linked / other.text
-            prose = other.tag in ("p", "h1", "h2", "h3", "blockquote", "pre") and density < 0.25 and (other.text > 80 or whole.tag == "p")
-            if prose or other.points >= floor and density < 0.25:
+            if _reads(other) if not whole.inner else other.points >= floor and other.linked < 0.25 * other.text:
                 out.append(other)
     return out
 
