@@ -2,27 +2,48 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a local folder of our own only where that is unset (tests, laptops)."""
+    """The session's spark.checkpoint.dir; a local folder of our own only where that is unset and all runs on one machine (tests, laptops)."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         where = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
+#: Spark then deletes an execution's shuffle files when it ends, not when the driver happens to collect its plan.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Executions inside leave no shuffle files: for writes, whose plans nobody runs again."""
+    before = spark.conf.get(TIDY, None)
+    spark.conf.set(TIDY, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(TIDY)
+        else:
+            spark.conf.set(TIDY, before)
+
+
 def saved(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """df written as Parquet to the shared folder and read back: lineage is cut, and a lost executor costs nothing."""
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path, compression=compression)
+    with tidy(df.sparkSession):
+        df.write.parquet(path, compression=compression)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
@@ -36,8 +57,4 @@ def discard(df: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete shuffle files of finished steps now: its cleaner acts once the driver has collected the plans."""
-    for _ in range(3):  # plans, then what they held, then the files
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.4)
+    """Nothing is left to release: tidy writes leave no shuffle files."""
