@@ -79,3 +79,19 @@ def test_table_and_odd_rows(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
     assert sorted(r.ids for r in rows) == sorted(sp.encode(t) for t in ("abc def", "x", "", "", "tab\tand 東京"))
     assert S.encode_decode(df.limit(0), S.load(PATH)).count() == 0
+
+
+def test_long_words(pair):
+    """Text without a break, also over several blocks of ends: the ids of the library, in time that grows with its length."""
+    model, sp, kind = pair
+    rng = random.Random(9)
+    for text in ("a" * 5000, "".join(rng.choice("abcdeéñ東") for _ in range(3000)), "".join(rng.choice(("ing", "the", "tion", "er", "q")) for _ in range(30_000))):
+        encoder = S.Encoder(model)
+        encoder.learn([[text]])
+        mine, theirs = encoder.encode([text])[0].tolist(), sp.encode(text)
+        total = lambda x: sum(map(sp.get_score, x))
+        assert mine == theirs or kind == "unigram" and abs(total(mine) - total(theirs)) < 1e-3 * abs(total(theirs))
+
+
+def test_models_with_equal_pieces_are_apart():
+    assert S.load(PATH).name != S.load(as_unigram()).name

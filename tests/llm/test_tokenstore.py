@@ -66,3 +66,22 @@ def test_damage_is_found(spark):
     spark.createDataFrame(broken, chunks.schema).write.mode("overwrite").parquet(f"{path}/chunks")
     with pytest.raises(Exception, match="differs from its recipe"):
         tokenstore.read(spark, path).collect()
+
+
+def test_other_tokenizers(spark):
+    """Files with other settings: cased words, larger vocabularies; whole texts go through the library."""
+    import json
+    import tempfile
+
+    assert tokenstore.settings(PATH) == (49_408, True) and tokenstore.settings(public_tokenizers.path("byte_bpe_50k.json")) == (50_257, False)
+    vocab = {w: i for i, w in enumerate(["[UNK]", "Apple", "apple", "pie", "Pie,"])} | {"far": 70_000}
+    file = {"version": "1.0", "truncation": None, "padding": None, "added_tokens": [], "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "decoder": None, "model": {"type": "WordLevel", "vocab": vocab, "unk_token": "[UNK]"}}
+    with tempfile.NamedTemporaryFile("w", suffix=".json", delete=False) as f:
+        json.dump(file, f)
+    df = spark.createDataFrame([(1, "Apple apple Pie, pie"), (2, "far away"), (3, None)], "doc_id long, text string")
+    assert [r.ids for r in sorted(tokenstore.store_and_read(df, f.name, with_ids=True).collect(), key=lambda r: r.start)] == [[1, 2, 4, 3, 1], [70_000, 0, 1], [1]]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    texts = ["It's  Apples\n and apples", "É 12 x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.ids for r in sorted(tokenstore.store_and_read(df, path, with_ids=True).collect(), key=lambda r: r.start)] == [[*t.encode(x, add_special_tokens=False).ids, 1] for x in texts]

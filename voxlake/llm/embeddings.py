@@ -345,8 +345,8 @@ def _grid_links(rows: DataFrame, cosine: float, width: int, limit: int, cell: in
 
 
 def _cluster_links(rows: DataFrame, cosine: float, width: int, limit: int) -> DataFrame:
-    """Links inside clusters, and between them and everything else."""
-    angle = float(_angle(np.array(cosine)))
+    """Links inside clusters, and between them and everything else; chunks are small, since all their pairs of whole vectors are compared."""
+    limit, angle = max(1, limit // 32), float(_angle(np.array(cosine)))
     members = rows.where("cluster >= 0")
     about = saved(members.groupBy("cluster").agg(F.sum("n").alias("all"), F.count("*").alias("size"), F.min("rep").alias("first"), F.max("own").alias("radius")), "clusters")
     about = F.broadcast(about)  # one row a centre: at most SAMPLE / DENSE

@@ -14,8 +14,8 @@ not held out (they are not learned from either).  Extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -45,7 +45,7 @@ def grams(word: str, n: int) -> list[str]:
 #: Classes of bytes: letters (and all beyond ASCII, which words() sorts out), and the rest, which parts runs.
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
-_WORKERS: dict[int, tuple[Memo, np.ndarray]] = {}
+_WORKERS: dict[str, tuple[Memo, np.ndarray]] = {}
 
 
 class Model:
@@ -53,7 +53,10 @@ class Model:
 
     def __init__(self, langs: list[str], words: dict[str, int], table: np.ndarray, gram_ids: dict[str, int], gram_table: np.ndarray):
         self.langs, self.words, self.table, self.grams, self.gram_table = langs, words, table, gram_ids, gram_table
-        self.name = zlib.crc32(repr((langs, sorted(words)[:1000], len(gram_ids))).encode() + table.tobytes()[:100_000])
+        whole = hashlib.sha256(repr((langs, list(words.items()), list(gram_ids.items()))).encode())
+        whole.update(table.tobytes())
+        whole.update(gram_table.tobytes())
+        self.name = whole.hexdigest()
 
     def of(self, word: str) -> np.ndarray:
         if word in self.words:
@@ -77,6 +80,8 @@ class Model:
 
     def predict(self, data: np.ndarray, off: np.ndarray) -> tuple[list[str], list[float]]:
         """Languages and scores of a block of texts; what a run means is remembered by the worker."""
+        if self.name not in _WORKERS:
+            _WORKERS.clear()  # one model at a time
         memo, rows = _WORKERS.get(self.name) or (Memo(KNOWN), np.empty((0, len(self.langs) + 1)))
         if len(memo.keys) > KNOWN:
             memo, rows = Memo(KNOWN), rows[:0]

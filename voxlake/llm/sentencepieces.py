@@ -9,6 +9,9 @@ neighbouring pair of pieces is stable, that is, no merge across their seam comes
 transition score of an unstable pair is minus infinity, and exactly one path to each end survives.  Stability of all pairs met is decided at
 once, by undoing the two pieces' own merges, latest first.  Ids equal the sentencepiece library's (tested), for both kinds.
 
+A word of more than LONG characters (text without any break) goes alone: the substrings of all its ends are hashed and looked up together, pairs of
+pieces that meet are decided together, block by block, and only the choice of the best is left to each end.
+
 Runs of spaces follow the library: the last space goes with the word if its first piece takes it, the rest is merged from the left.
 Characters without a piece become byte pieces.  Null texts count as empty and have no ids.  Every row is kept, also rows
 with a null or repeated doc_id; extra columns are ignored; an empty table gives an empty result.
@@ -16,6 +19,7 @@ with a null or repeated doc_id; extra columns are ignored; an empty table gives
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -29,11 +33,14 @@ from voxlake.llm.common import spread
 
 SPACE = "▁"
 KNOWN = 400_000  # words that a worker remembers
+LONG = 1000  # characters; longer words are segmented alone
+ENDS = 1 << 15  # ends of a long word that are looked up at once
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+_BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _LETTER = "[^\\W\\d_]"
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|\n|{SPACE}+")
 _FINE = re.compile(f"{SPACE}*{_LETTER}+|{SPACE}*(?:[^{SPACE}\n\\w]|[\\d_])+|\n|{SPACE}+")  # cut between letters and others too
-_ENCODERS: dict[int, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
 
 def _powers(n: int) -> np.ndarray:
@@ -69,7 +76,7 @@ class Model:
         self.left = self.right = np.full(len(pieces), -1)
         seam = re.compile(f"{_LETTER}[^{SPACE}\\n](?<!{_LETTER})|(?!{_LETTER})[^{SPACE}]{_LETTER}")
         self.chunks = (_CHUNK if any(seam.search(pieces[i]) for i in own) else _FINE).findall
-        self.name = zlib.crc32("\n".join(pieces).encode())
+        self.name = hashlib.sha256(repr((pieces, scores, plain, byte_ids, unigram, unknown)).encode()).hexdigest()
         self.runs = {p: i for i, p in enumerate(pieces) if set(p) == {SPACE}}
         if not unigram:
             self._split()
@@ -164,6 +171,46 @@ class Model:
         used = paths != -2
         return paths[used], used.sum(axis=1)
 
+    def _alone(self, word: str) -> np.ndarray:
+        """All pieces of one long word, as _equal would find them."""
+        n, code = len(word), _codes([word])[0]
+        up, down = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, b)]), dtype=np.uint64) for b in (_BASE, _BACK))
+        total = np.concatenate([[np.uint64(0)], np.cumsum(code * down[:n], dtype=np.uint64)])
+        best, last, back = [0.0] + [-np.inf] * n, [-1] * (n + 1), [0] * (n + 1)
+        best[0] = np.float32(0)
+        low, fits = np.float32(float(self.scores[self.ids].min()) - 10), {}
+        scores = self.scores.astype(np.float32)
+        ending: dict[int, list[int]] = {}  # pieces that end at each place of the block before
+        for begin in range(0, n, ENDS):
+            ends = np.arange(begin + 1, min(n, begin + ENDS) + 1)
+            found: list[list[tuple[int, int]]] = [[] for _ in ends]
+            for size in range(self.longest, 0, -1):
+                e = ends[ends >= size]
+                piece = self.find((total[e] - total[e - size]) * up[e - 1])
+                for i in np.flatnonzero((piece >= 0) | (size == 1)).tolist():
+                    found[e[i] - begin - 1].append((size, int(piece[i])))
+            if not self.unigram:
+                for e, own in zip(ends.tolist(), found, strict=True):
+                    ending[e] = [p for _, p in own]
+                pairs = {(a, b) for e, own in zip(ends.tolist(), found, strict=True) for size, b in own if e > size for a in ending[e - size]} - fits.keys()
+                if pairs:
+                    a, b = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
+                    fits.update(zip(zip(a.tolist(), b.tolist(), strict=True), self.stable(a, b).tolist(), strict=True))
+                ending = {e: v for e, v in ending.items() if e > ends[-1] - self.longest}
+            for e, own in zip(ends.tolist(), found, strict=True):
+                for size, piece in own:  # ties: the longest last piece
+                    before = best[e - size]
+                    if before == -np.inf or not self.unigram and e > size and not fits[last[e - size], piece]:
+                        continue
+                    value = before + (scores[piece] if piece >= 0 else low) if self.unigram else np.float32(0)
+                    if value > best[e]:
+                        best[e], back[e], last[e] = value, size, piece
+        out, at = [], n
+        while at:
+            out.append(last[at])
+            at -= back[at]
+        return np.array(out[::-1], np.int64)
+
     def _run(self, n: int) -> list[int]:
         """Pieces of n space marks: equal ranks merge from the left."""
         parts = [SPACE] * n
@@ -191,7 +238,12 @@ class Model:
         while at < len(order):
             n = int(cut[order[at]])
             stop = min(int(np.searchsorted(cut[order], n, "right")), at + max(1, 400_000 // n))
-            flat, count = self._equal([core[i] for i in order[at:stop].tolist()])
+            if n > LONG:
+                stop = at + 1
+                flat = self._alone(core[order[at]])
+                count = len(flat)
+            else:
+                flat, count = self._equal([core[i] for i in order[at:stop].tolist()])
             parts.append(flat)
             sizes[order[at:stop]] = count
             at = stop

@@ -9,14 +9,17 @@ each document's id stream into chunks, so equal passages give equal chunks where
 
 `read` joins recipes to chunks, rebuilds every document, and raises if a digest, a leaf or a root differs.
 
-Only tokens that a worker has not met go through the library.  Its pre-tokenizer never joins across white space, nor letters
-with other characters but for apostrophes and special tokens: texts with those, or with characters beyond Latin-1, are cut at white space only.  Nulls count as empty: the end id alone.  Rows with null
-or repeated doc_ids are documents of their own.  Extra columns are ignored; an empty table gives an empty store.
+Where the tokenizer file says that white space parts tokens and is dropped, that letters are folded to lower case, and that its pattern never joins
+letters with other characters but for apostrophes (PROVED), only tokens that a worker has not met go through the library; texts with apostrophes,
+special tokens or characters beyond Latin-1 are cut at white space only.  With any other file every whole text goes through the library.
+Nulls count as empty: the end id alone.  Rows with null or repeated doc_ids are documents of their own.  Extra columns are ignored; an empty
+table gives an empty store.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import uuid
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 
 from voxlake.llm.common import blocks, spread, text_bytes
 from voxlake.llm.runs import Memo, hashes, runs, unknown
-from voxlake.plans.scratch import discard, release, saved, scratch_dir
+from voxlake.plans.scratch import discard, saved, scratch_dir, tidy
 
 END = 1
 CUT = 255  # a chunk ends where the rolling hash has these bits zero: 256 ids on average
@@ -49,6 +52,26 @@ _SLOW = np.zeros(256, bool)
 _SLOW[[39, 124, *range(0xC0, 0xC3), *range(0xC4, 256)]] = True
 
 
+#: Settings of a tokenizer file for which runs of a class can be encoded by themselves (normalizer, pattern of its pre-tokenizer).
+PROVED = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+)
+
+
+def settings(path: str) -> tuple[int, bool]:
+    """Of a tokenizer file: one more than its largest id, and whether its settings are the proved ones."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    added = file.get("added_tokens") or []
+    vocab = file["model"]["vocab"]
+    ids = vocab.values() if isinstance(vocab, dict) else range(len(vocab))
+    most = max([*ids, *(t["id"] for t in added)], default=-1) + 1
+    splits = [p for p in (file.get("pre_tokenizer") or {}).get("pretokenizers", []) if p.get("type") != "ByteLevel" or p.get("use_regex") or p.get("add_prefix_space")]
+    plain = all("|" in t["content"] and not t.get("lstrip") and not t.get("rstrip") for t in added)
+    return most, file.get("normalizer") == PROVED[0] and splits == [PROVED[1]] and plain and file["model"].get("type") == "BPE"
+
+
 class Encoder:
     """Ids of texts; one per worker and vocabulary."""
 
@@ -56,7 +79,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.proved = Tokenizer.from_file(path), settings(path)[1]
         self.memo, self.words = Memo(KNOWN), {}
 
     def _library(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -77,6 +100,9 @@ class Encoder:
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids with the end id after each text, and the number of each."""
+        if not self.proved:
+            ids, sizes = self._library([data[a:b].tobytes().decode() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)])
+            return np.insert(ids, np.cumsum(sizes), END), sizes + 1
         if len(self.memo.keys) > KNOWN:
             self.memo.clear()
         odd = np.append(0, np.cumsum(_SLOW[data] | (data == 0xC3) & np.isin(np.append(data[1:], 0), (0x97, 0xB7)))) if len(data) else np.zeros(1, np.int64)
@@ -182,28 +208,28 @@ def _manifest(recipes: DataFrame) -> DataFrame:
     return recipes.select("part", "leaf", "row").repartition("part").sortWithinPartitions("part", "row").select("part", "leaf").mapInArrow(_roots, "part int, documents long, root binary")
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, vocabulary: int = 49_408) -> None:
+def write(docs: DataFrame, path: str, tokenizer: str) -> None:
     """The store of all documents of (doc_id, text) under path."""
     spark = docs.sparkSession
-    width = "<u2" if vocabulary <= 1 << 16 else "<u4"
+    width = "<u2" if max(settings(tokenizer)[0], END + 1) <= 1 << 16 else "<u4"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_encode(tokenizer, width), "doc_id long, n_tokens long, leaf binary, chunks array<struct<digest: binary, ids: binary>>")
     rows = saved(rows.withColumn("uid", F.monotonically_increasing_id()), "token-ids", "zstd")
     chunks = rows.select("uid", F.posexplode("chunks").alias("k", "c")).groupBy("c.digest").agg(F.first("c.ids").alias("ids"), F.min(F.struct("uid", "k")).alias("home"), F.count("*").alias("copies"))
-    chunks.select("digest", "ids", "home.uid", "home.k", "copies").write.parquet(f"{path}/chunks", compression="zstd")
-    ordered = rows.select("uid", "doc_id", "n_tokens", "leaf", F.col("chunks.digest").alias("digests")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "leaf")
+    with tidy(spark):
+        chunks.select("digest", "ids", "home.uid", "home.k", "copies").write.parquet(f"{path}/chunks", compression="zstd")
+    ordered = rows.select("uid", "doc_id", "n_tokens", "leaf", F.col("chunks.digest").alias("digests")).repartitionByRange("doc_id", "leaf", "uid").sortWithinPartitions("doc_id", "leaf", "uid")
     ordered = saved(ordered.withColumn("part", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id()), "recipes")
     totals = ordered.groupBy("part").agg(F.sum("n_tokens").alias("ids")).withColumn("before", F.coalesce(F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     inside = F.coalesce(F.sum("n_tokens").over(Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     recipes = ordered.withColumn("inside", inside).join(F.broadcast(totals.select("part", "before")), "part")  # one row a partition
-    recipes.select("part", "row", "uid", "doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "leaf", "digests").sortWithinPartitions("part", "row").write.parquet(f"{path}/recipes")
+    with tidy(spark):
+        recipes.select("part", "row", "uid", "doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "leaf", "digests").sortWithinPartitions("part", "row").write.parquet(f"{path}/recipes")
     parts = _manifest(spark.read.parquet(f"{path}/recipes")).orderBy("part").collect()  # one row a partition
     top = [(r.part, r.documents, bytes(r.root)) for r in parts]
     top.append((-1, sum(r[1] for r in top), root([r[2] for r in top])))
     spark.createDataFrame([(*r, width) for r in top], "part int, documents long, root binary, width string").coalesce(1).write.parquet(f"{path}/manifest")
     discard(rows)
     discard(ordered)
-    del chunks
-    release(spark)
 
 
 def _rebuild(width: str, with_ids: bool):
