@@ -54,7 +54,3 @@ def discard(df: DataFrame) -> None:
     jvm = df.sparkSession.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(df.scratch_path)
     path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def release(spark: SparkSession) -> None:
-    """Nothing is left to release: tidy writes leave no shuffle files."""
