@@ -25,27 +25,28 @@ from voxlake.operators.projections import VK
 from voxlake.plans.scratch import saved
 
 
-def label_components(vox: DataFrame, connectivity: int = 26, brick: tuple[int, int, int] = BRICK) -> DataFrame:
+def label_components(vox: DataFrame, connectivity: int = 26, brick: tuple[int, int, int] = BRICK, grid: Grid | None = None) -> DataFrame:
     """Instance labels 1, 2, ... of each image in raster order (of each image and time, below 80-connectivity).
 
     A task joins what touches inside its bricks.  Where every image is one brick that is all; else pairs across brick faces are found
     by an equi-join of face voxels, and the components of that (much smaller) graph of local roots give the labels.
+    grid: sizes that are known to hold all voxels, of a table that lies in files; without it the voxels are written first.
     """
-    vox = saved(vox.select(*VK).distinct(), "voxels")
-    grid = Grid(vox, brick)
+    if grid is None:
+        vox = saved(vox.select(*VK), "voxels")
+        grid = Grid(vox, brick)
     half = [d for d in offsets(connectivity) if d > (0,) * len(d)]
     steps, by_time = grid.steps(half), connectivity != 80
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole(batches):
+            key, once = np.unique(keys([t["image_id"].to_numpy()], grid.number(t), grid.volume), return_index=True)
+            t = t.take(pa.array(once)).combine_chunks()
             place, image = grid.number(t), t["image_id"].to_numpy()
-            key = keys([image], place, grid.volume)
-            order = np.argsort(key, kind="stable")
-            src, dst = edges(key[order], steps)
+            src, dst = edges(key, steps)
             me = np.arange(len(key))
             first = roots(np.concatenate([me, src]), np.concatenate([me, dst]))[1]
-            root = np.empty(len(key), np.int64)
-            root[order] = place[order][first]
+            root = place[first]
             # labels for images of one brick: order of first voxels
             part = keys([image, t["t"].to_numpy()] if by_time else [image], np.zeros(len(key), np.int64), 1)
             names, which = np.unique(part * grid.volume + root, return_inverse=True)
@@ -53,7 +54,7 @@ def label_components(vox: DataFrame, connectivity: int = 26, brick: tuple[int, i
             rank = np.arange(len(names)) - np.searchsorted(group, group) + 1
             yield from t.select(VK).append_column("root", pa.array(root)).append_column("label", pa.array(rank[which])).to_batches()
 
-    keyed = dealt(vox.withColumn("brick", grid.own())).mapInArrow(local, "image_id long, t int, z int, y int, x int, root long, label long")
+    keyed = dealt(vox.select(*VK).withColumn("brick", grid.own())).mapInArrow(local, "image_id long, t int, z int, y int, x int, root long, label long")
     if grid.alone:
         return keyed.select(*VK, "label")
     keyed = saved(keyed.drop("label"), "components")

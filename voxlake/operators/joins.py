@@ -83,10 +83,11 @@ def nearest_point(points: DataFrame, targets: DataFrame, keys: list[str], payloa
             found = meets.join(there(*grid(small, "s")), [*by, "sz", "sy", "sx"])
         found = found.withColumn("distance", _distance("p", "t", sampling))
         best = found.groupBy(*keys, *by).agg(F.min_by(F.struct("distance", *payload), order).alias("b"))
-        sure = saved(best.where(F.col("b.distance") <= size), "nearest")
-        found_all.append(sure if max_dist is None else sure.where(F.col("b.distance") <= max_dist))
         if last:
+            found_all.append(best.where((F.col("b.distance") <= size) & (F.col("b.distance") <= max_dist)))
             break
+        sure = saved(best.where(F.col("b.distance") <= size), "nearest")
+        found_all.append(sure if max_dist is None else sure.where(F.col("b.distance") <= max_dist))
         todo = saved(todo.join(sure.select(*keys, *by), [*keys, *by], "left_anti"), "unmatched")
         if todo.isEmpty():
             break
@@ -254,7 +255,13 @@ def parent_at(points: DataFrame, parents: DataFrame, keys: list[str], parent: st
     return nearest_point(points, parents, keys, [parent])
 
 
+MOST_FRAMES = 100_000
+
+
 def roi_time_montage(tracks: DataFrame, frames: DataFrame, size: int, ident: str = "spine_id", time: str = "timepoint") -> DataFrame:
-    """Every object at every time point side by side (x offset time * size); value null where it is absent."""
-    grid = tracks.select(ident).distinct().crossJoin(F.broadcast(frames))
+    """Every object at every time point side by side (x offset time * size); value null where it is absent.
+
+    The result has a row for each object and frame; frames are sent to all tasks while there are at most MOST_FRAMES."""
+    few = frames.limit(MOST_FRAMES + 1).count() <= MOST_FRAMES
+    grid = tracks.select(ident).distinct().crossJoin(F.broadcast(frames) if few else frames)
     return grid.join(tracks, [ident, time], "left").withColumn("x_offset", (F.col(time) * size).cast("int"))

@@ -53,12 +53,12 @@ _MOMENTS = ", ".join(f"covar_pop({a} * {s[a]!r}, {b} * {s[b]!r}) AS {a}{b}" for
 
 
 @query("a4_inertia_axes", f"""WITH {OV_SQL}, mo AS (SELECT {OK}, count(*) AS area, {_MOMENTS} FROM ov GROUP BY ALL), {_eigen_sql('w', 'mo', (1 / 12, 0.102**2 / 12, 0.102**2 / 12))}, {_eigen_sql('n', 'mo', (0.0, 0.0, 0.0))}
-  SELECT {OK}, w.area, round(w.low, 5) AS e0, round(w.trace - w.top - w.low, 5) AS e1, round(w.top, 5) AS e2, round(2 * sqrt(5 * greatest(0, w.top)), 4) AS axis_major, round(2 * sqrt(5 * greatest(0, w.low)), 4) AS axis_minor,
-    round(sqrt(12 * greatest(0, n.low)), 3) AS axis_major_table, round(sqrt(20 * greatest(0, n.low)), 3) AS axis_minor_table FROM w JOIN n USING ({OK})""")
+  SELECT {OK}, w.area, round(w.low + 1e-9, 5) AS e0, round(w.trace - w.top - w.low + 1e-9, 5) AS e1, round(w.top + 1e-9, 5) AS e2, round(2 * sqrt(5 * greatest(0, w.top)) + 1e-9, 4) AS axis_major, round(2 * sqrt(5 * greatest(0, w.low)) + 1e-9, 4) AS axis_minor,
+    round(sqrt(12 * greatest(0, n.low)) + 1e-9, 3) AS axis_major_table, round(sqrt(20 * greatest(0, n.low)) + 1e-9, 3) AS axis_minor_table FROM w JOIN n USING ({OK})""")
 def _(spark, d):
     out = A.inertia_axes(object_voxels(spark, d), (1.0, 0.102, 0.102))
     places = {"e0": 5, "e1": 5, "e2": 5, "axis_major": 4, "axis_minor": 4, "axis_major_table": 3, "axis_minor_table": 3}
-    return out.withColumns({c: F.round(c, n) + 0.0 for c, n in places.items()})
+    return out.withColumns({c: F.round(F.col(c) + 1e-9, n) + 0.0 for c, n in places.items()})
 
 
 _SIDES = ", ".join(f"max({c}) - min({c}) + 1 AS s{c}" for c in "zyx")

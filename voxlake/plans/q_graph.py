@@ -127,13 +127,12 @@ def _(spark, d):
 def _blur_sql(source: str, name: str, value: str, sigma: tuple[float, float, float]) -> str:
     """CTEs up to name(VKS, value): the separable Gaussian at the voxels of source."""
     out, before = [], source
-    for axis, s in zip("zyx", sigma, strict=True):
+    for axis, n, s in zip("zyx", (7, 10, 20), sigma, strict=True):
         taps = ", ".join(f"({k}, {w!r}::DOUBLE)" for k, w in kernel(s))
         rest = ", ".join(c if c != axis else f"{axis} + k AS {axis}" for c in ("image_id", "t", "z", "y", "x"))
-        lines = {"z": "image_id, z", "y": "image_id, z, y", "x": "image_id, z, y, x"}[axis]
-        out.append(f"{name}k{axis}(k, w) AS (VALUES {taps}), {name}{axis} AS (SELECT * FROM (SELECT {rest}, sum({value} * w) AS {value} FROM {before}, {name}k{axis} GROUP BY ALL) SEMI JOIN {source} USING ({lines}))")
+        out.append(f"{name}k{axis}(k, w) AS (VALUES {taps}), {name}{axis} AS (SELECT {rest}, sum({value} * w) AS {value} FROM {before}, {name}k{axis} WHERE {axis} + k BETWEEN 0 AND {n - 1} GROUP BY ALL)")
         before = f"{name}{axis}"
-    return ", ".join(out) + f", {name} AS (SELECT {VKS}, {value} FROM {before})"
+    return ", ".join(out) + f", {name} AS (SELECT {VKS}, b.{value} FROM (SELECT {VKS} FROM {source}) JOIN {before} b USING ({VKS}))"
 
 
 def _cost_sql(name: str, target: str, own: str) -> str:
@@ -155,15 +154,16 @@ _CUBE27 = "(SELECT dz, dy, dx FROM (SELECT unnest([-1, 0, 1]) AS dz), (SELECT un
 
 def _paths_sql(name: str, cost: str, body: str, target: str) -> str:
     """CTEs up to name(image_id, t, label, step, z, y, x, cost): G11 from the objects of body(VKS, label) to target."""
-    return f"""{name}c AS (SELECT {VKS}, round(cost, 9) AS cost, image_id * 1400 + z * 200 + y * 20 + x AS id FROM {cost}), {name}t AS (SELECT DISTINCT {VKS}, image_id * 1400 + z * 200 + y * 20 + x AS id FROM {target}), {name}w AS (SELECT DISTINCT image_id, z, y, x FROM {body}),
-  {name}e AS (SELECT DISTINCT c.id FROM {name}t a, {_CUBE27} JOIN {name}c c ON c.image_id = a.image_id AND c.z = a.z + dz AND c.y = a.y + dy AND c.x = a.x + dx WHERE c.id NOT IN (SELECT id FROM {name}t)),
-  {name}n AS (SELECT a.id, b.id AS onward FROM {name}c a, {_CUBE27} JOIN {name}c b ON b.image_id = a.image_id AND b.z = a.z + dz AND b.y = a.y + dy AND b.x = a.x + dx WHERE b.id NOT IN (SELECT id FROM {name}t)
-    QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY b.cost, CASE WHEN dy = 0 AND dx = 0 AND dz <> 0 THEN 0 ELSE 1 END, b.z, b.y, b.x) = 1),
-  {name}s AS (SELECT DISTINCT a.label, c.* FROM {body} a, {_CUBE27} JOIN {name}c c ON c.image_id = a.image_id AND c.z = a.z + dz AND c.y = a.y + dy AND c.x = a.x + dx ANTI JOIN {name}w w ON w.image_id = c.image_id AND w.z = c.z AND w.y = c.y AND w.x = c.x),
-  {name}f AS (SELECT image_id, label, id FROM {name}s QUALIFY row_number() OVER (PARTITION BY image_id, label ORDER BY cost, z, y, x) = 1),
-  {name}p(image_id, label, step, id) AS (SELECT image_id, label, 0, id FROM {name}f UNION ALL SELECT p.image_id, p.label, p.step + 1, n.onward FROM {name}p p JOIN {name}n n USING (id) WHERE p.step < 199 AND n.onward <> p.id AND p.id NOT IN (SELECT id FROM {name}e)),
-  {name}a AS (SELECT DISTINCT image_id, label FROM {name}p SEMI JOIN {name}e USING (id)),
-  {name} AS (SELECT p.image_id, c.t, p.label, p.step, c.z, c.y, c.x, c.cost FROM {name}p p JOIN {name}c c USING (id) SEMI JOIN {name}a a ON a.image_id = p.image_id AND a.label = p.label ANTI JOIN {name}w w ON w.image_id = c.image_id AND w.z = c.z AND w.y = c.y AND w.x = c.x WHERE c.cost <= 20)"""
+    number = "image_id * 1400 + z * 200 + y * 20 + x"
+    around = f"{_CUBE27} JOIN {name}c c ON c.image_id = a.image_id AND c.z = a.z + dz AND c.y = a.y + dy AND c.x = a.x + dx"
+    return f"""{name}c AS MATERIALIZED (SELECT {VKS}, round(cost, 9) AS cost, {number} AS id FROM {cost}), {name}t AS MATERIALIZED (SELECT DISTINCT image_id, z, y, x, {number} AS id FROM {target}), {name}w AS MATERIALIZED (SELECT DISTINCT {number} AS id FROM {body}),
+  {name}e AS MATERIALIZED (SELECT DISTINCT c.id FROM {name}t a, {around} WHERE c.id NOT IN (SELECT id FROM {name}t)),
+  {name}n AS MATERIALIZED (SELECT a.id AS was, c.id AS onward FROM {name}c a, {around} WHERE c.id NOT IN (SELECT id FROM {name}t)
+    QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY c.cost, CASE WHEN dy = 0 AND dx = 0 AND dz <> 0 THEN 0 ELSE 1 END, c.z, c.y, c.x) = 1),
+  {name}f AS MATERIALIZED (SELECT a.image_id * 1000000 + a.label AS who, c.id FROM {body} a, {around} WHERE c.id NOT IN (SELECT id FROM {name}w) QUALIFY row_number() OVER (PARTITION BY a.image_id, a.label ORDER BY c.cost, c.z, c.y, c.x) = 1),
+  {name}o AS MATERIALIZED (SELECT was, onward FROM {name}n WHERE onward <> was AND was NOT IN (SELECT id FROM {name}e)),
+  {name}q(who, step, id) AS (SELECT who, 0, id FROM {name}f UNION ALL SELECT who, step + 1, onward FROM {name}q JOIN {name}o ON was = id WHERE step < 199),
+  {name} AS (SELECT c.image_id, c.t, who % 1000000 AS label, step, c.z, c.y, c.x, c.cost FROM {name}q JOIN {name}c c USING (id) WHERE c.cost <= 20 AND who IN (SELECT who FROM {name}q WHERE id IN (SELECT id FROM {name}e)) AND id NOT IN (SELECT id FROM {name}w))"""
 
 
 @query("g11_greedy_paths", f"WITH RECURSIVE {V_SQL}, {_cc_sql('cls = 1', 26, 's')}, tg AS (SELECT {VKS} FROM v WHERE cls = 3), {_cost_sql('co', 'tg', 's')}, {_paths_sql('gp', 'co', 's', 'tg')} SELECT {VKS}, label, step, round(cost, 4) AS cost FROM gp")
@@ -183,12 +183,13 @@ def _grow_sql(name: str, seeds: str, mask: str) -> str:
   {name} AS (SELECT {VKS}, label FROM {name}n JOIN {name}g USING (id))"""
 
 
-_G12 = f"""{V_SQL}, {_cc_sql('cls = 1', 26, 's')}, nk AS (SELECT {VKS} FROM v WHERE cls = 2 AND y % 3 = 0), de AS (SELECT {VKS} FROM v WHERE cls = 3), {_grow_sql('gr', 's', 'nk')},
-  rest AS (SELECT {VKS} FROM nk ANTI JOIN gr USING ({VKS})), tg AS (SELECT {VKS} FROM (FROM de UNION FROM rest) ANTI JOIN gr USING ({VKS})), {_cost_sql('co', 'tg', 'gr')}, {_paths_sql('gp', 'co', 'gr', 'tg')},
+_ID = "image_id * 1400 + z * 200 + y * 20 + x"
+_G12 = f"""{V_SQL}, {_cc_sql('cls = 1', 26, 's')}, nk AS (SELECT {VKS} FROM v WHERE cls = 2 AND y % 3 = 0), de AS (SELECT {VKS} FROM v WHERE cls = 3), {_grow_sql('gr', 's', 'nk')}, gi AS MATERIALIZED (SELECT {_ID} AS id FROM gr),
+  rest AS (SELECT {VKS} FROM nk WHERE {_ID} NOT IN (SELECT id FROM gi)), tg AS (SELECT {VKS} FROM (FROM de UNION FROM rest) WHERE {_ID} NOT IN (SELECT id FROM gi)), {_cost_sql('co', 'tg', 'gr')}, {_paths_sql('gp', 'co', 'gr', 'tg')},
   ex AS (SELECT {VKS}, max(label) AS label FROM (SELECT {VKS}, label FROM gr UNION ALL SELECT {VKS}, label FROM gp) GROUP BY ALL), {_grow_sql('ga', 'ex', 'rest')}"""
 
 
-@query("g12_neck_generation", f"WITH RECURSIVE {_G12} SELECT {VKS}, label FROM ga ANTI JOIN s USING ({VKS}) ANTI JOIN de USING ({VKS})")
+@query("g12_neck_generation", f"WITH RECURSIVE {_G12} SELECT {VKS}, label FROM ga WHERE {_ID} NOT IN (SELECT id FROM s) AND {_ID} NOT IN (SELECT {_ID} FROM de)")
 def _(spark, d):
     vox = saved(voxels(spark, d), "v")
     return G.neck_generation(G.label_components(vox.where("cls = 1"), 26), vox.where("cls = 2 and y % 3 = 0"), vox.where("cls = 3"), vox, "v1", 8)
@@ -237,8 +238,9 @@ _DENSITY = f"""WITH RECURSIVE {V_SQL}, {_cc_sql('cls >= 2', 6, 'e')}, {_cc_sql('
 def spine_density(spark, d):
     """The flagship: components, filters, measures, nearest dendrite, summary."""
     vox = saved(voxels(spark, d), "v")
-    spines = G.label_components(vox.where("cls = 1"), 26)
-    labelled = saved(G.label_components(vox.where("cls >= 2"), 6), "dendrites")
+    grid = G.Grid(vox)
+    spines = G.label_components(vox.where("cls = 1"), 26, grid=grid)
+    labelled = saved(G.label_components(vox.where("cls >= 2"), 6, grid=grid), "dendrites")
     dendrites = A.filter_components(labelled, 3).select(*VK, F.col("label").alias("dendrite_id"))
     dendrites = saved(dendrites, "kept-dendrites")
     props = A.region_props(spines.join(vox.select(*VK, "v1"), VK), "v1")
