@@ -1,7 +1,9 @@
 """A corpus-cleaning pipeline: each stage applies one operator to all that the stage before it kept.
 
-Stages take (spark, docs, sf_dir).  All but the last return the columns of documents; rows with a null doc_id take part where
-an operator can treat them and are otherwise kept.  Every decision takes effect on what the next stage reads.
+Stages take (spark, docs, sf_dir).  All but the last return the columns of documents, whatever other columns docs has; rows with a null doc_id
+take part where an operator can treat them and are otherwise kept.  Rows that repeat a doc_id are one document for decisions (all stay or
+all go); their texts are treated each by itself.  Null and empty texts stay, unless they are copies of each other.  An empty table gives an
+empty result.  Every decision takes effect on what the next stage reads.
 """
 
 from __future__ import annotations
