@@ -46,3 +46,22 @@ def test_full_texts_pass_on(spark):
     want = {p: (name, "file", p) for p, (name, _) in texts.items()} | {p.split("/")[0] + "/src/a.py": (name, "inherited", p) for p, (name, _) in texts.items()}
     want |= {"code/license.py": ("MIT", "header", "code/license.py")} | {p: (None, "none", None) for p in ("code/b.py", "none/LICENSE", "none/c.py")}
     assert got == want
+
+
+def test_wrapped_headers(spark):
+    """The usual headers, wrapped in comments, in source files of any length."""
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\n"
+    apache = '/*\n * Licensed under the Apache License, Version 2.0 (the "License");\n * you may not use this file except in compliance with the License.\n * You may obtain a copy of the License at\n */\n'
+    isc = "// Permission to use, copy, modify, and/or distribute this software for any\n// purpose with or without fee is hereby granted, provided that the above\n// copyright notice and this permission notice appear in all copies.\n"
+    code = "x = 1\ny = compute(x)\n\nprint(y)\n"
+    rows = [("a.py", "#!/bin/x\n# Copyright 2020 A. Holder\n#\n" + gpl + "\n" + code * 20), ("b.c", apache + code * 500), ("c.js", code + "\n" + isc + code), ("d/d.py", code), ("e/e.py", gpl.replace("version 3", "version 2").replace("software:", "software;"))]
+    got = {r.path: (r.license, r.found) for r in licenses.scan(spark.createDataFrame(rows, "path string, text string"), []).collect()}
+    assert got["a.py"] == ("GPL-3.0", "header") and got["b.c"] == ("Apache-2.0", "header") and got["c.js"] == ("ISC", "header") and got["d/d.py"] == (None, "none") and got["e/e.py"][0] == "GPL-2.0"
+
+
+def test_ties_and_very_long_text(spark):
+    """Equal scores: the first sentence, then the first template, then the smallest path; a text of two million letters."""
+    mit, cc = "Released under the MIT License.", "Licensed under CC BY 4.0."
+    rows = [("a/two.txt", f"some words.\n{cc}\n{mit}\n{cc}"), ("t/LICENSE-b", mit), ("t/LICENSE-a", mit), ("t/x", "nothing"), ("long.txt", "some words and more\n" * 100_000 + mit)]
+    got = {r.path: (r.license, r.unit, r.license_path) for r in licenses.scan(spark.createDataFrame(rows, "path string, text string"), []).collect()}
+    assert got["a/two.txt"][:2] == ("CC-BY-4.0", 2) and got["t/x"] == ("MIT", None, "t/LICENSE-a") and got["long.txt"][:2] == ("MIT", 100_001)

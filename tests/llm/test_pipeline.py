@@ -56,3 +56,20 @@ def test_run_and_odd_rows(spark, sf_dir, tmp_path):
     for name in ("labels", "benchmark"):
         spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{tmp_path}/e/{name}.parquet")
     assert P.run(spark, f"{tmp_path}/e").count() == 0
+
+
+def test_clashing_columns_repeats_and_long_texts(spark, sf_dir, tmp_path):
+    """Extra columns named like inner ones change nothing; rows that repeat a doc_id stay apart in texts; a text of a million letters goes through."""
+    long = " ".join(f"w{i * 7919 % 100_003}" for i in range(100_000))
+    rows = [(1, "one fine text", "en", "s", 13), (1, "another fine text here", "en", "s", 22), (2, long, "en", "s", len(long)), (3, long + " tail", "en", "s", len(long) + 5), (5, "one fine text", "en", "s", 13)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    extra = docs.selectExpr("*", "1 as place", "'k' as kept", "2 as score", "3 as predicted", "4 as component_id", "5 as n_removed", "6 as item_id", "7 as no_text", "array(1) as s", "array(2) as n")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    for i, (name, stage) in enumerate(P.STAGES):
+        a, b = (stage(spark, df, str(tmp_path)) for df in (docs, extra))
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+        assert i + 1 == len(P.STAGES) or a.columns == list(P.COLUMNS)
+    cut = sorted((r.doc_id, len(r.text)) for r in P.unrepeated_text(spark, docs, str(tmp_path)).collect())
+    assert (1, 13) in cut and (1, 22) in cut and (2, len(long)) in cut and all(n < 120 for i, n in cut if i == 3)
+    assert {r.doc_id for r in P.one_of_each_group(spark, docs, str(tmp_path)).collect()} >= {1, 2}

@@ -1,7 +1,8 @@
 """Operator 5: licence scan by sparse TF-IDF cosine to templates, with inheritance from the nearest ancestor directory.
 
-Units of a file are its sentences (line feeds and sentence ends cut them; unit 1, 2, ...), any of which may be a licence header,
-and its whole text (unit 0), which makes it a licence file of its directory.  Vectors are tf-idf over the templates' vocabulary, with document
+Units of a file are its sentences (line feeds and sentence ends cut them; unit 1, 2, ...), then the sentences of its paragraphs of several
+lines with the lines joined (wrapped headers; comment marks are no words), any of which may be a licence header, and its whole text (unit 0),
+which makes it a licence file of its directory.  Vectors are tf-idf over the templates' vocabulary, with document
 frequencies over all files; every other word of a unit counts once, at the largest idf, in its norm.  A unit's licence is the
 template with the highest cosine of at least `threshold` (ties: first in order).  A file's own licence is its best unit's (ties: whole text
 first, then the first sentence).  A file with a licence file's name (LICENSE, COPYING, ...) is a licence file of its directory by any of its
@@ -32,6 +33,9 @@ TEMPLATES = (
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
@@ -39,14 +43,20 @@ TEMPLATES = (
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the software without restriction."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
     ("MPL-2.0", "This source code form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 #: Names of licence files.
 NAMED = r"(?i)^(.*[-._])?(un)?(licen[cs]e|copying)([-._](txt|md|markdown|rst|html?|lesser|mit|apache|bsd|[al]?gpl|mpl|cc0|cc|by|nc|sa|v?[0-9]+|clause))*$"
+PARAGRAPH = r"\n[^a-zA-Z0-9\n]*\n"  # lines without a word part paragraphs
 #: Words by which full licence texts are told, and words that must be in the text too.
 TEXTS = (
     ("Apache-2.0", "apache license version 2 0 january 2004", ""),
@@ -143,8 +153,10 @@ def scan(files: DataFrame, keys: list[str], path_col: str = "path", text_col: st
     gate = rf"(?i)(^|[^a-z0-9])({'|'.join(signature(weights, threshold))})([^a-z0-9]|$)"
     named = files.select(*keys, F.col(path_col).alias("path"), F.col(text_col).alias("text"))
     marked = named.where(F.col("text").rlike(gate))
-    sentences = F.split(F.regexp_replace("text", r"([.!?])\s+", "$1\n"), "\n")
-    units = marked.select(*keys, "path", F.posexplode(F.concat(F.array("text"), sentences)).alias("unit", "part")).where(F.col("part").rlike(gate))
+    ends = lambda c: F.split(F.regexp_replace(c, r"([.!?])\s+", "$1\n"), "\n")
+    wrapped = F.filter(F.split("text", PARAGRAPH), lambda c: c.contains("\n"))
+    joined = F.flatten(F.transform(wrapped, lambda c: ends(F.translate(c, "\n", " "))))
+    units = marked.select(*keys, "path", F.posexplode(F.concat(F.array("text"), ends(F.col("text")), joined)).alias("unit", "part")).where(F.col("part").rlike(gate))
     counted = units.withColumn("words", tokens(F.col("part"))).select(*keys, "path", "unit", F.size("words").alias("size"), F.explode("words").alias("word"))
     vocab = spark.createDataFrame([(w, x) for w, x in idf.items()], "word string, idf double")
     tf = counted.join(F.broadcast(vocab), "word").groupBy(*keys, "path", "unit", "size", "word", "idf").agg(F.count("*").alias("tf"))  # the templates' words only
@@ -185,7 +197,8 @@ tokens AS (SELECT DISTINCT {key}, path, unnest(regexp_extract_all(lower(text), '
 df AS (SELECT word, count(*) AS df FROM tokens JOIN vocab USING (word) GROUP BY word),
 idf AS (SELECT word, ln((n + 1) / (coalesce(df, 0) + 1)) + 1 AS idf FROM vocab LEFT JOIN df USING (word), total),
 w AS (SELECT template, license, word, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY template)) AS weight FROM tpl JOIN idf USING (word)),
-cut AS (SELECT {key}, path, text, string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(10), 'g'), chr(10)) AS s FROM files WHERE text IS NOT NULL),
+cut AS (SELECT {key}, path, text, list_concat(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(10), 'g'), chr(10)),
+  flatten([string_split(regexp_replace(replace(p, chr(10), ' '), '([.!?])\\s+', '\\1' || chr(10), 'g'), chr(10)) FOR p IN string_split_regex(text, '{PARAGRAPH}') IF contains(p, chr(10))])) AS s FROM files WHERE text IS NOT NULL),
 units AS (SELECT {key}, path, 0 AS unit, text AS part FROM cut UNION ALL SELECT {key}, path, unnest(range(1, len(s) + 1)) AS unit, unnest(s) AS part FROM cut),
 words AS (SELECT {key}, path, unit, regexp_extract_all(lower(part), '[a-z0-9]+') AS l FROM units),
 tf AS (SELECT {key}, path, unit, size, word, idf, count(*) AS tf FROM (SELECT {key}, path, unit, len(l) AS size, unnest(l) AS word FROM words) JOIN idf USING (word) GROUP BY ALL),

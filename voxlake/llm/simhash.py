@@ -10,7 +10,7 @@ Buckets above `dense` members (groups of near copies) would emit pairs in the sq
 without pairs is used: fingerprints are within two bits if and only if their radius-1 balls meet, so every member is listed
 under the 65 values of its ball and each value links its (at most 65) members to the smallest.
 
-Null or word-less texts have fingerprint zero.  Rows with a null doc_id are fingerprinted and stay without component.
+The result has no ties: a component's name is its smallest doc_id.  Null or word-less texts have fingerprint zero.  Rows with a null doc_id are fingerprinted and stay without component.
 Rows that repeat a doc_id are one node.  Extra columns are ignored; an empty table gives an empty result.
 """
 
