@@ -54,9 +54,9 @@ def test_wrapped_headers(spark):
     apache = '/*\n * Licensed under the Apache License, Version 2.0 (the "License");\n * you may not use this file except in compliance with the License.\n * You may obtain a copy of the License at\n */\n'
     isc = "// Permission to use, copy, modify, and/or distribute this software for any\n// purpose with or without fee is hereby granted, provided that the above\n// copyright notice and this permission notice appear in all copies.\n"
     code = "x = 1\ny = compute(x)\n\nprint(y)\n"
-    rows = [("a.py", "#!/bin/x\n# Copyright 2020 A. Holder\n#\n" + gpl + "\n" + code * 20), ("b.c", apache + code * 500), ("c.js", code + "\n" + isc + code), ("d/d.py", code), ("e/e.py", gpl.replace("version 3", "version 2").replace("software:", "software;"))]
+    rows = [("a.py", "#!/bin/x\n# Copyright 2020 A. Holder\n#\n" + gpl + "\n" + code * 20), ("b.c", apache + code * 500), ("c/c.js", code + "\n" + isc + code), ("d/d.py", code), ("e/e.py", gpl.replace("version 3", "version 2").replace("software:", "software;"))]
     got = {r.path: (r.license, r.found) for r in licenses.scan(spark.createDataFrame(rows, "path string, text string"), []).collect()}
-    assert got["a.py"] == ("GPL-3.0", "header") and got["b.c"] == ("Apache-2.0", "header") and got["c.js"] == ("ISC", "header") and got["d/d.py"] == (None, "none") and got["e/e.py"][0] == "GPL-2.0"
+    assert got["a.py"] == ("GPL-3.0", "header") and got["b.c"] == ("Apache-2.0", "header") and got["c/c.js"] == ("ISC", "header") and got["d/d.py"] == (None, "none") and got["e/e.py"][0] == "GPL-2.0"
 
 
 def test_ties_and_very_long_text(spark):
