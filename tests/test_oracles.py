@@ -7,7 +7,7 @@ import __spark_entry__
 from voxlake import registry
 
 
-@pytest.fixture(scope="module")
+@pytest.fixture()
 def con(sf_dir):
     return connect(sf_dir)
 

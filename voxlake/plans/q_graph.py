@@ -195,12 +195,19 @@ def _(spark, d):
     return G.neck_generation(G.label_components(vox.where("cls = 1"), 26), vox.where("cls = 2 and y % 3 = 0"), vox.where("cls = 3"), vox, "v1", 8)
 
 
-_G13 = f"""{V_SQL}, l AS (SELECT {VKS}, ((y // 5) * 4 + x // 5 + 1)::BIGINT AS label, 1.0::DOUBLE + (z * 7 + y * 3 + x) % 5 AS cost, image_id * 1400 + z * 200 + y * 20 + x AS id, z * 200 + y * 20 + x AS place FROM v WHERE cls >= 2),
-  ed AS (SELECT a.id AS a, b.id AS b, b.cost, a.place FROM l a JOIN l b ON a.image_id = b.image_id AND a.label = b.label AND abs(a.z - b.z) <= 1 AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND a.id <> b.id),
-  st AS (SELECT image_id, label, min(id) AS a, max(id) AS b FROM l GROUP BY ALL),
-  bf(id, c, hops, par) USING KEY (id) AS (SELECT a, 0.0::DOUBLE, 0, -1 FROM st UNION SELECT id, first(c ORDER BY c, hops, par), first(hops ORDER BY c, hops, par), first(par ORDER BY c, hops, par) FROM (SELECT ed.b AS id, bf.c + ed.cost AS c, bf.hops + 1 AS hops, ed.a AS par, k.id AS known, k.c AS kc, k.hops AS kh, k.par AS kp FROM bf JOIN ed ON bf.id = ed.a LEFT JOIN recurring.bf k ON k.id = ed.b)
+_ADJACENT = "a.image_id = b.image_id AND a.label = b.label AND abs(a.z - b.z) <= 1 AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND a.id <> b.id"
+#: CTEs up to wk(label, step, id): the walks from st.b back to st.a over l(VKS, label, cost, id, place).
+_WALK = f"""ed AS MATERIALIZED (SELECT a.id AS a, b.id AS b, b.cost, a.place FROM l a JOIN l b ON {_ADJACENT}),
+  bf(id, c, hops, par) USING KEY (id) AS (SELECT a, 0.0::DOUBLE, 0, -1 FROM st UNION SELECT id, first(c ORDER BY c, hops, par), first(hops ORDER BY c, hops, par), first(par ORDER BY c, hops, par) FROM (SELECT ed.b AS id, round(bf.c + ed.cost, 9) AS c, bf.hops + 1 AS hops, ed.a AS par, k.id AS known, k.c AS kc, k.hops AS kh, k.par AS kp FROM bf JOIN ed ON bf.id = ed.a LEFT JOIN recurring.bf k ON k.id = ed.b)
     WHERE known IS NULL OR (c, hops, par) < (kc, kh, kp) GROUP BY id),
-  wk(label, step, id) AS (SELECT label, 0, b FROM st SEMI JOIN bf ON bf.id = st.b UNION ALL SELECT wk.label, step + 1, bf.par FROM wk JOIN bf USING (id) WHERE bf.hops > 0)"""
+  wk(label, step, id) AS (SELECT label, 0, b FROM st WHERE b IN (SELECT id FROM bf) UNION ALL SELECT wk.label, step + 1, bf.par FROM wk JOIN bf USING (id) WHERE bf.hops > 0)"""
+_G13 = f"""{V_SQL}, l AS MATERIALIZED (SELECT {VKS}, ((y // 5) * 4 + x // 5 + 1)::BIGINT AS label, 1.0::DOUBLE + (z * 7 + y * 3 + x) % 5 AS cost, image_id * 1400 + z * 200 + y * 20 + x AS id, z * 200 + y * 20 + x AS place FROM v WHERE cls >= 2),
+  st AS MATERIALIZED (SELECT image_id, label, min(id) AS a, max(id) AS b FROM l GROUP BY ALL), {_WALK}"""
+_PULL = " * ".join(f"coalesce((SELECT w FROM gk WHERE k = {c} - e{c}), 0)" for c in "zyx")
+_MIDLINE = f"""{V_SQL}, {_SHELL}, {_DEPTH}, {_cc_sql('cls >= 2', 6, 's')}, gk(k, w) AS (VALUES {', '.join(f'({k}, {w!r}::DOUBLE)' for k, w in kernel(3.0))}),
+  de AS MATERIALIZED (SELECT {VKS}, s.id, label, sqrt(d2) AS d FROM s JOIN dp USING ({VKS})), tp AS MATERIALIZED (SELECT image_id, label, first(z ORDER BY d DESC, id) AS ez, first(y ORDER BY d DESC, id) AS ey, first(x ORDER BY d DESC, id) AS ex, max(d) AS top, min(id) AS a, first(id ORDER BY d DESC, id) AS b FROM de GROUP BY ALL),
+  pu AS (SELECT {VKS}, label, id, top - d AS rest, {_PULL} AS g FROM de JOIN tp USING (image_id, label)),
+  l AS MATERIALIZED (SELECT {VKS}, label, rest * (1 - 2 * g) + 0.1 * g AS cost, id, z * 200 + y * 20 + x AS place FROM pu), st AS MATERIALIZED (SELECT image_id, label, a, b FROM tp), {_WALK}"""
 
 
 @query("g13_least_cost_path", f"WITH RECURSIVE {_G13} SELECT l.image_id, l.t, l.label, step, l.z, l.y, l.x FROM wk JOIN l USING (id)")
@@ -212,9 +219,9 @@ def _(spark, d):
     return G.least_cost_path(vox, *ends)
 
 
-@query("g13_midline")
+@query("g13_midline", f"WITH RECURSIVE {_MIDLINE} SELECT l.image_id, l.t, l.label, step, l.z, l.y, l.x FROM wk JOIN l USING (id)")
 def _(spark, d):
-    vox = saved(G.label_components(voxels(spark, d).where("cls >= 2"), 26), "objects")
+    vox = saved(G.label_components(voxels(spark, d).where("cls >= 2"), 6), "objects")
     cost, deepest = G.midline_cost(vox, 8)
     first = vox.groupBy("image_id", "t", "label").agg(F.min(F.struct("z", "y", "x")).alias("p")).select("image_id", "t", "label", "p.*")
     return G.least_cost_path(cost, first, deepest)
