@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm import decontaminate, embeddings, html_text, language, licenses, repeats, sentencepieces, simhash, tokenstore, toxicity
+from voxlake.llm import decontaminate, embeddings, html_text, language, licenses, packing, repeats, sentencepieces, simhash, tokenstore, toxicity
 from voxlake.llm.common import table
 
 
@@ -57,5 +57,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_suffix_array_dedup, op4_html_extraction, op5_license_scan, op6_token_id_output, op7_simhash_near_dedup, op8_toxicity, op9_benchmark_decontamination, op10_language_id)}
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False).drop("ids")
+
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_suffix_array_dedup, op4_html_extraction, op5_license_scan, op6_token_id_output, op7_simhash_near_dedup, op8_toxicity, op9_benchmark_decontamination, op10_language_id, op13_packing)}
 ORACLES = {"op5_license_scan": licenses.oracle("documents", "doc_id", "source || '/' || (doc_id // 50) || '/' || doc_id")}

@@ -41,7 +41,7 @@ LONGEST = 2048
 KNOWN = 1_500_000  # tokens that a worker remembers
 BYTES = 2 << 20  # of text encoded at once
 _TOKENS = re.compile(r"[^ \t\r\n]+").findall
-_WORKERS: dict[str, Encoder] = {}
+_WORKERS: dict[tuple[str, int], Encoder] = {}
 
 #: Classes of bytes: 0 white space that only parts tokens, 1 letters (ASCII, and the Latin-1 letters in two bytes), 2 others.
 _CLASS = np.full(256, 2, np.uint8)
@@ -75,7 +75,8 @@ def settings(path: str) -> tuple[int, bool]:
 class Encoder:
     """Ids of texts; one per worker and vocabulary."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end: int = END):
+        self.end = end
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -102,7 +103,7 @@ class Encoder:
         """All ids with the end id after each text, and the number of each."""
         if not self.proved:
             ids, sizes = self._library([data[a:b].tobytes().decode() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)])
-            return np.insert(ids, np.cumsum(sizes), END), sizes + 1
+            return np.insert(ids, np.cumsum(sizes), self.end), sizes + 1
         if len(self.memo.keys) > KNOWN:
             self.memo.clear()
         odd = np.append(0, np.cumsum(_SLOW[data] | (data == 0xC3) & np.isin(np.append(data[1:], 0), (0x97, 0xB7)))) if len(data) else np.zeros(1, np.int64)
@@ -125,13 +126,13 @@ class Encoder:
                 parts[i], counts[i] = own, len(own)
             ids = np.concatenate(parts)
         ends = np.cumsum(counts)
-        return np.insert(ids, ends, END), counts + 1
+        return np.insert(ids, ends, self.end), counts + 1
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _WORKERS:
-        _WORKERS[path] = Encoder(path)
-    return _WORKERS[path]
+def encoder(path: str, end: int = END) -> Encoder:
+    if (path, end) not in _WORKERS:
+        _WORKERS[path, end] = Encoder(path, end)
+    return _WORKERS[path, end]
 
 
 def cuts(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
