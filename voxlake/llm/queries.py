@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm import collocations, decontaminate, embeddings, html_text, language, licenses, packing, repeats, sentencepieces, simhash, tokenstore, toxicity
+from voxlake.llm import collocations, decontaminate, embeddings, html_text, language, licenses, packing, repeats, sentencepieces, simhash, spellings, tokenstore, toxicity
 from voxlake.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.variants(table(spark, sf_dir, "documents"))
+
+
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -67,5 +71,5 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_suffix_array_dedup, op4_html_extraction, op5_license_scan, op6_token_id_output, op7_simhash_near_dedup, op8_toxicity, op9_benchmark_decontamination, op10_language_id, op12_phrase_collocations, op13_packing)}
-ORACLES = {"op12_phrase_collocations": collocations.ORACLE, "op5_license_scan": licenses.oracle("documents", "doc_id", "source || '/' || (doc_id // 50) || '/' || doc_id")}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_suffix_array_dedup, op4_html_extraction, op5_license_scan, op6_token_id_output, op7_simhash_near_dedup, op8_toxicity, op9_benchmark_decontamination, op10_language_id, op11_spelling_variants, op12_phrase_collocations, op13_packing)}
+ORACLES = {"op11_spelling_variants": spellings.ORACLE, "op12_phrase_collocations": collocations.ORACLE, "op5_license_scan": licenses.oracle("documents", "doc_id", "source || '/' || (doc_id // 50) || '/' || doc_id")}
