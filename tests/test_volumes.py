@@ -130,13 +130,13 @@ def test_noise_is_repeatable(spark):
     assert a == b and len(set(a)) > 1 and abs(np.mean(a) - 5) < 2
 
 
-def test_depth_beyond_the_first_cap(spark):
+def test_depth_at_any_distance(spark):
     thick = volume(spark, cube(0, 0, 0, 9)).withColumn("label", F.lit(1).cast("long"))
-    deep = G.deepest_point(thick, 2).first()
+    deep = G.deepest_point(thick).first()
     assert (deep.z, deep.y, deep.x, deep.distance) == (4, 4, 4, 5.0)
-    assert (4, 4, 4) in cells(G.seeds_from_distance(thick, 0.7, 2))
+    assert (4, 4, 4) in cells(G.seeds_from_distance(thick, 0.7))
     line = volume(spark, [(0, 0, x) for x in range(12)])
-    far = {r.x: r.distance for r in G.full_distance(line, line.where("x = 0"), 2).collect()}
+    far = {r.x: r.distance for r in J.distance_to(line, line.where("x = 0")).collect()}
     assert far == {x: float(x) for x in range(12)}
 
 

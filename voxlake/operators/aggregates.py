@@ -11,7 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxlake.operators.bricks import dealt, whole
+from voxlake.operators.bricks import BRICK, dealt, whole
+from voxlake.operators.dense import convolve, dense_map
+from voxlake.operators.hulls import hulls
 from voxlake.operators.projections import VK
 from voxlake.operators.ranks import ranked
 from voxlake.plans.scratch import saved
@@ -87,59 +89,9 @@ def hull_candidates(vox: DataFrame) -> DataFrame:
     return ends.select(*OK, "z", "y", F.explode(F.array_distinct(F.array("a", "b"))).alias("x"))
 
 
-def _hull(points: np.ndarray) -> float:
-    """Volume of the convex hull: faces grow from a tetrahedron, each point replacing the faces that it sees."""
-    p = np.unique(points, axis=0).astype(float)
-    first = p[0]
-    far = p[np.argmax(((p - first) ** 2).sum(1))]
-    line = far - first
-    if not line.any():
-        return 0.0
-    off = np.linalg.norm(np.cross(p - first, line), axis=1)
-    third = p[off.argmax()]
-    normal = np.cross(line, third - first)
-    height = (p - first) @ normal
-    fourth = p[np.abs(height).argmax()]
-    if off.max() < 1e-9 or np.abs(height).max() < 1e-9:
-        return 0.0
-    middle = (first + far + third + fourth) / 4
-    faces = []
-    for tri in ((first, far, third), (first, far, fourth), (first, third, fourth), (far, third, fourth)):
-        faces.append(_outward(*tri, middle))
-    for q in p:
-        seen = [f for f in faces if (q - f[0]) @ f[3] > 1e-9]
-        if not seen:
-            continue
-        edges: dict = {}
-        for f in seen:
-            for a, b in ((f[0], f[1]), (f[1], f[2]), (f[2], f[0])):
-                key = tuple(sorted((tuple(a), tuple(b))))
-                edges[key] = None if key in edges else (a, b)
-        gone = {id(f) for f in seen}
-        faces = [f for f in faces if id(f) not in gone] + [_outward(e[0], e[1], q, middle) for e in edges.values() if e]
-    return float(sum(abs((f[0] - middle) @ np.cross(f[1] - middle, f[2] - middle)) for f in faces) / 6)
-
-
-def _outward(a: np.ndarray, b: np.ndarray, c: np.ndarray, middle: np.ndarray) -> tuple:
-    n = np.cross(b - a, c - a)
-    return (a, b, c, n) if (a - middle) @ n > 0 else (a, c, b, -n)
-
-
-def hull_volume(vox: DataFrame) -> DataFrame:
-    """Convex hull of each object's voxel corners, and solidity.  Spark reduces objects to row ends first."""
-    ends = hull_candidates(vox).select(*OK, *[F.explode(F.array(F.col(c) - 0.5, F.col(c) + 0.5)).alias(c) if c == "z" else F.col(c).cast("double").alias(c) for c in "zyx"])
-    ends = ends.select(*OK, "z", F.explode(F.array(F.col("y") - 0.5, F.col("y") + 0.5)).alias("y"), "x").select(*OK, "z", "y", F.explode(F.array(F.col("x") - 0.5, F.col("x") + 0.5)).alias("x")).distinct()
-    ends = ends.groupBy(*OK, "z", "y").agg(F.min("x").alias("a"), F.max("x").alias("b")).groupBy(*OK).agg(F.collect_list(F.struct("z", "y", "a", "b")).alias("rows"))
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            volumes = []
-            for rows in part["rows"]:
-                p = np.array([[r["z"], r["y"], x] for r in rows for x in (r["a"], r["b"])])
-                volumes.append(_hull(p[corners((2 * p).astype(np.int64), np.zeros(len(p), np.int64))]))
-            yield part[OK].assign(convex_vol=volumes)
-
-    volumes = ends.mapInPandas(run, "image_id long, t int, label long, convex_vol double")
+def hull_volume(vox: DataFrame, brick: tuple[int, int, int] = BRICK) -> DataFrame:
+    """Convex hull of each object's voxel corners, exactly (six_vol: six times its volume, an integer), and solidity."""
+    volumes = hulls(vox, brick).withColumn("convex_vol", F.col("six_vol") / 6)
     return vox.groupBy(*OK).agg(F.count("*").alias("area")).join(volumes, OK).withColumn("solidity", F.try_divide(F.col("area").cast("double"), F.col("convex_vol")))
 
 
@@ -554,15 +506,17 @@ def tile_equalise(vox: DataFrame, value: str, tile: int, clip: float, bins: int
 
 
 def ssim(pairs: DataFrame, a: str, b: str, win: int, size: int, span: float = 1.0, by: str = "image_id") -> DataFrame:
-    """Mean structural similarity over a Gaussian window (sigma 1.5, K 0.01 and 0.03), valid region only."""
+    """Mean structural similarity over a Gaussian window (sigma 1.5, K 0.01 and 0.03), valid region only: windows whose first voxel exists."""
     weights = np.exp(-((np.arange(win) - win // 2) ** 2) / (2 * 1.5**2))
-    weights = (weights / weights.sum()).tolist()
-    moments = pairs.select(by, "y", "x", F.col(a).alias("m_a"), F.col(b).alias("m_b"), (F.col(a) ** 2).alias("m_aa"), (F.col(b) ** 2).alias("m_bb"), (F.col(a) * F.col(b)).alias("m_ab"))
-    taps = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(w).alias("w")) for k, w in enumerate(weights)])).alias("tap")
-    for axis in ("y", "x"):
-        rest = "x" if axis == "y" else "y"
-        moved = moments.select("*", taps).select(by, rest, (F.col(axis) - F.col("tap.k")).alias(axis), F.col("tap.w").alias("w"), *[c for c in moments.columns if c.startswith("m_")])
-        moments = moved.where(F.col(axis).between(0, size - win)).groupBy(by, "y", "x").agg(*[F.sum(F.col("w") * F.col(c)).alias(c) for c in ("m_a", "m_b", "m_aa", "m_bb", "m_ab")])
+    taps = list(zip(range(0, -win, -1), (weights / weights.sum()).tolist(), strict=True))  # windows by their first voxel
+
+    def moments_of(arrays: list[np.ndarray]) -> list[np.ndarray]:
+        x, y = arrays
+        return [convolve(convolve(m, taps, 1), taps, 2) for m in (x, y, x * x, y * y, x * y)]
+
+    names = ["m_a", "m_b", "m_aa", "m_bb", "m_ab"]
+    moments = dense_map(pairs.select(by, "y", "x", F.col(a).alias("a"), F.col(b).alias("b")), ["a", "b"], [by, "y", "x"], {"y": win - 1, "x": win - 1}, moments_of, names)
+    moments = moments.where(F.col("y").between(0, size - win) & F.col("x").between(0, size - win))
     c1, c2 = (0.01 * span) ** 2, (0.03 * span) ** 2
     va, vb, cov = (F.col(p) - F.col(q) * F.col(r) for p, q, r in (("m_aa", "m_a", "m_a"), ("m_bb", "m_b", "m_b"), ("m_ab", "m_a", "m_b")))
     contrast = (2 * cov + c2) / (va + vb + c2)

@@ -10,13 +10,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxlake.operators.dense import convolve, dense_map, running_least
 from voxlake.operators.projections import VK
 
 
-def _taps(pairs: list[tuple[int, float]]):
-    return F.explode(F.array(*[F.struct(F.lit(int(k)).alias("k"), F.lit(float(w)).alias("w")) for k, w in pairs])).alias("tap")
-
-
 def kernel(sigma: float, truncate: float = 4.0) -> list[tuple[int, float]]:
     """(offset, weight) of a normalised Gaussian."""
     r = max(1, int(truncate * sigma + 0.5))
@@ -28,18 +25,16 @@ def kernel(sigma: float, truncate: float = 4.0) -> list[tuple[int, float]]:
 def gaussian(vox: DataFrame, value: str, sigma: dict[str, float], keys: list[str]) -> DataFrame:
     """L1: separable Gaussian of a sparse field (missing voxels are 0), at the voxels that exist; keys: the coordinates and image.
 
-    After a wide axis only lines that hold a voxel of the result go on.
+    Bricks with a halo as wide as the kernel become arrays; one line pass an axis.
     """
-    out, rest = vox.select(*keys, F.col(value).alias("v")), list(sigma)
-    for axis, s in sigma.items():
-        taps = kernel(s)
-        rest.remove(axis)
-        moved = out.select(*keys, "v", _taps(taps)).select(*[(F.col(c) + F.col("tap.k")).alias(c) if c == axis else F.col(c) for c in keys], (F.col("v") * F.col("tap.w")).alias("v"))
-        if len(taps) > 9 and rest:
-            lines = [c for c in keys if c not in rest]
-            moved = moved.join(vox.select(*lines).distinct(), lines, "left_semi")
-        out = moved.groupBy(*keys).agg(F.sum("v").alias("v"))
-    return vox.select(*keys).join(out, keys).withColumnRenamed("v", value)
+    taps = {axis: kernel(s) for axis, s in sigma.items()}
+
+    def blur(arrays: list[np.ndarray]) -> list[np.ndarray]:
+        for i, t in enumerate(taps.values(), 1):
+            arrays = [convolve(a, t, i) for a in arrays]
+        return arrays
+
+    return dense_map(vox, [value], keys, {axis: t[-1][0] for axis, t in taps.items()}, blur, [value])
 
 
 def _spline_weights(n: int) -> np.ndarray:
@@ -109,20 +104,69 @@ def unsharp(vox: DataFrame, value: str, sigma: dict[str, float], amount: float,
     return minmax_normalise(sharp, value, by)
 
 
-def _extreme(vox: DataFrame, value: str, radius: int, keys: list[str], f) -> DataFrame:
-    out = vox.select(*keys, value)
-    for axis in ("y", "x"):
-        moved = out.select(*keys, value, _taps([(k, 1.0) for k in range(-radius, radius + 1)])).select(*[(F.col(c) + F.col("tap.k")).alias(c) if c == axis else F.col(c) for c in keys], value)
-        out = moved.groupBy(*keys).agg(f(value).alias(value)).join(vox.select(*keys), keys, "left_semi")
+def ball(radius: float, trim: float = 0.24) -> tuple[np.ndarray, int]:
+    """Heights of the cap of a ball over a square of pixels, its rim (a share `trim` of the radius) left out, and the square's half width; -inf outside the ball."""
+    half = max(1, round(radius - int(trim * radius)))
+    d = np.arange(-half, half + 1)
+    rest = radius**2 - d[:, None] ** 2 - d[None, :] ** 2
+    return np.where(rest > 0, np.sqrt(np.maximum(rest, 0)), -np.inf), half
+
+
+def _rolled(a: np.ndarray, cap: np.ndarray, half: int) -> np.ndarray:
+    """Grey opening of planes (brick, y, x) by a ball's cap: how high the ball gets from below; empty cells (infinity) neither hold nor carry it."""
+    ny, nx = a.shape[1:]
+    top = np.full((len(a), ny + 2 * half, nx + 2 * half), np.inf)
+    steps = [(i, j, h) for (i, j), h in np.ndenumerate(cap) if np.isfinite(h)]
+    for i, j, h in steps:  # the ball's middle, also beyond the edges
+        into = top[:, 2 * half - i : 2 * half - i + ny, 2 * half - j : 2 * half - j + nx]
+        np.minimum(into, a - h, out=into)
+    out = np.full_like(a, -np.inf)
+    for i, j, h in steps:
+        np.maximum(out, top[:, 2 * half - i : 2 * half - i + ny, 2 * half - j : 2 * half - j + nx] + h, out=out)
     return out
 
 
-def subtract_background(vox: DataFrame, value: str, radius: int, keys: list[str]) -> DataFrame:
-    """L4: value minus its grey opening over a square window of existing voxels (radius 0: unchanged)."""
+def subtract_background(vox: DataFrame, value: str, radius: int, keys: list[str], shape: str = "flat") -> DataFrame:
+    """L4: value minus its background within planes of y and x (radius 0: unchanged).
+
+    flat: grey opening over a square window of existing voxels, by running minima (the same work for every radius).  ball: a ball of that radius rolls below
+    the surface.  Large balls roll over the least values of squares of `shrink` pixels, by a ball as much smaller, and the
+    background is linear between the squares' middles, so the ball is at most some 20 squares wide whatever its radius.
+    """
     if not radius:
         return vox.select(*keys, value)
-    opened = _extreme(_extreme(vox, value, radius, keys, F.min), value, radius, keys, F.max).withColumnRenamed(value, "floor")
-    return vox.select(*keys, value).join(opened, keys).withColumn(value, F.col(value) - F.col("floor")).drop("floor")
+    if shape == "flat":
+
+        def opened(arrays: list[np.ndarray]) -> list[np.ndarray]:
+            low = running_least(running_least(arrays[0], radius, 1), radius, 2)
+            low = np.where(np.isfinite(arrays[0]), -low, np.inf)
+            return [-running_least(running_least(low, radius, 1), radius, 2)]
+
+        floor = dense_map(vox, [value], keys, {"y": 2 * radius, "x": 2 * radius}, opened, ["floor"], np.inf)
+    else:
+        floor = _ball_floor(vox, value, radius, keys)
+    return vox.select(*keys, value).join(floor, keys).withColumn(value, F.col(value) - F.col("floor")).drop("floor")
+
+
+def ball_shrink(radius: int) -> int:
+    """Side of the squares over which a ball rolls: it keeps a radius of about 10 squares."""
+    return max(1, radius // 10)
+
+
+def _ball_floor(vox: DataFrame, value: str, radius: int, keys: list[str]) -> DataFrame:
+    rest, n = [c for c in keys if c not in ("y", "x")], ball_shrink(radius)
+    cap, half = ball(radius / n)
+    small = vox.groupBy(*rest, *[F.floor(F.col(c) / n).cast("int").alias(c) for c in "yx"]).agg(F.min(value).alias("floor"))
+    small = dense_map(small, ["floor"], keys, {"y": 2 * half, "x": 2 * half}, lambda a: [_rolled(a[0], cap, half)], ["floor"], np.inf)
+    if n == 1:
+        return small
+    rows = vox.select(*keys)
+    for c in "yx":
+        at = (F.col(c) + 0.5) / n - 0.5
+        rows = rows.withColumn(f"p{c}", F.explode(F.array(F.struct(F.floor(at).cast("int").alias("i"), (1 - (at - F.floor(at))).alias("w")), F.struct((F.floor(at) + 1).cast("int").alias("i"), (at - F.floor(at)).alias("w"))))).where(F.col(f"p{c}.w") > 0)
+    near = small.select(*rest, F.col("y").alias("sy"), F.col("x").alias("sx"), "floor")
+    rows = rows.select(*keys, F.col("py.i").alias("sy"), F.col("px.i").alias("sx"), (F.col("py.w") * F.col("px.w")).alias("w")).join(near, [*rest, "sy", "sx"])  # squares that do not exist have no weight
+    return rows.groupBy(*keys).agg((F.sum(F.col("w") * F.col("floor")) / F.sum("w")).alias("floor"))
 
 
 def degrade(vox: DataFrame, value: str, axis: str, size: int, scale: int, keys: list[str]) -> DataFrame:

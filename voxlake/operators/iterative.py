@@ -120,28 +120,16 @@ def inside_distance(vox: DataFrame, cap: int) -> DataFrame:
     return distance_to(own, shell, cap)
 
 
-def full_distance(vox: DataFrame, targets: DataFrame, cap: int) -> DataFrame:
-    """J7 without a limit: voxels beyond the cap look for their nearest target (J6); null only where an image has no target."""
-    found = saved(distance_to(vox, targets, cap), "distance")
-    far = found.where("distance is null").drop("distance")
-    if far.isEmpty():
-        return found
-    asked = far.select("image_id", "t", *[F.col(c).alias(f"v{c}") for c in "zyx"], "z", "y", "x").distinct()
-    near = nearest_point(asked, targets.select(*VK).distinct(), ["vz", "vy", "vx"], [], cell=float(cap), by=["image_id", "t"])
-    near = near.select("image_id", "t", *[F.col(f"v{c}").alias(c) for c in "zyx"], "distance")
-    return found.where("distance is not null").unionByName(far.join(near, VK, "left"))
-
-
-def full_depth(vox: DataFrame, cap: int) -> DataFrame:
-    """inside_distance at every depth; cap is where the search begins."""
+def full_depth(vox: DataFrame) -> DataFrame:
+    """inside_distance at every depth."""
     own = vox.select(*VK).distinct()
     shell = saved(dilate(own, offsets(26)).join(own, VK, "left_anti"), "shell")
-    return full_distance(own, shell, cap)
+    return distance_to(own, shell)
 
 
-def seeds_from_distance(vox: DataFrame, frac: float = 0.1, cap: int = 8) -> DataFrame:
+def seeds_from_distance(vox: DataFrame, frac: float = 0.1) -> DataFrame:
     """6-connected components of the voxels deeper than a share of their image's greatest depth."""
-    deep = saved(full_depth(vox, cap), "depth")
+    deep = saved(full_depth(vox), "depth")
     top = deep.groupBy("image_id").agg(F.max("distance").alias("top"))
     return label_components(deep.join(top, "image_id").where(F.col("distance") > frac * F.col("top")), 6)
 
@@ -265,12 +253,13 @@ def thin(vox: DataFrame, brick: tuple[int, int, int] = BRICK) -> DataFrame:
             return now
 
 
-def path_cost_field(objects: DataFrame, target: DataFrame, intensity: DataFrame, value: str, cap: int) -> DataFrame:
+def path_cost_field(objects: DataFrame, target: DataFrame, intensity: DataFrame, value: str) -> DataFrame:
     """Cost of every intensity voxel: distance to the target over its maximum, divided by 0.2 g + 0.3 blur(g) + 1e-6.
 
-    g = (intensity / maximum) ** 0.4 outside the objects; blurred with sigma (0.25, 10, 10); the cost with sigma 0.5.
+    g = (intensity / maximum) ** 0.4 outside the objects; blurred with sigma (0.25, 10, 10); the cost with sigma 0.5.  In an image
+    without a target every voxel is as far as any.
     """
-    away = full_distance(intensity.select(*VK, value), target, cap).withColumn("distance", F.coalesce("distance", F.lit(float(cap))))
+    away = saved(distance_to(intensity.select(*VK, value), target), "distance").withColumn("distance", F.coalesce("distance", F.lit(1.0)))
     top = away.groupBy("image_id").agg(F.max(value).alias("top"), F.max("distance").alias("far"))
     own = objects.select(*VK).distinct().withColumn("own", F.lit(True))
     g = away.join(top, "image_id").join(own, VK, "left").withColumn("g", F.when(F.col("own"), 0.0).otherwise(gamma(F.col(value), F.col("top"))))
@@ -331,7 +320,7 @@ def _earlier(offer: np.ndarray, turn: bool, place: np.ndarray, best: np.ndarray,
     return (offer < best) | (offer == best) & ((turn < was) | (turn == was) & (place < there))
 
 
-def neck_generation(spines: DataFrame, necks: DataFrame | None, dendrites: DataFrame, intensity: DataFrame, value: str, cap: int, steps: int = 200) -> DataFrame:
+def neck_generation(spines: DataFrame, necks: DataFrame | None, dendrites: DataFrame, intensity: DataFrame, value: str, steps: int = 200) -> DataFrame:
     """Necks of spines: (VK, label) without spine and dendrite voxels.
 
     With a neck class: spines grow through it; paths lead from what has grown to the dendrite or to neck voxels left over; both grow on
@@ -339,13 +328,13 @@ def neck_generation(spines: DataFrame, necks: DataFrame | None, dendrites: DataF
     """
     spines, dendrites = saved(spines.select(*VK, "label"), "spines"), saved(dendrites.select(*VK).distinct(), "dendrites")
     if necks is None:
-        cost = path_cost_field(spines, dendrites, intensity, value, cap)
+        cost = path_cost_field(spines, dendrites, intensity, value)
         return greedy_paths(cost, spines, dendrites, steps).select(*VK, "label")
     necks = saved(necks.select(*VK).distinct(), "necks")
     grown = saved(grow_labels(spines, necks), "grown")
     rest = saved(necks.join(grown.select(*VK), VK, "left_anti"), "left-necks")
     target = dendrites.unionByName(rest).distinct().join(grown.select(*VK), VK, "left_anti")
-    cost = path_cost_field(grown, target, intensity, value, cap)
+    cost = path_cost_field(grown, target, intensity, value)
     paths = greedy_paths(cost, grown, target, steps).select(*VK, "label")
     both = saved(grown.unionByName(paths.join(grown.select(*VK), VK, "left_anti")).groupBy(*VK).agg(F.max("label").alias("label")), "extended")
     return grow_labels(both, rest).join(spines.select(*VK), VK, "left_anti").join(dendrites, VK, "left_anti")
@@ -365,12 +354,12 @@ def least_cost_path(cost: DataFrame, starts: DataFrame, ends: DataFrame, brick:
     return found.select("image_id", "t", "label", F.col("step").cast("int").alias("step"), "z", "y", "x")
 
 
-def midline_cost(vox: DataFrame, cap: int, sigma: float = 3.0) -> tuple[DataFrame, DataFrame]:
+def midline_cost(vox: DataFrame, sigma: float = 3.0) -> tuple[DataFrame, DataFrame]:
     """G13's cost for midlines, and each object's deepest voxel, which attracts the path: (largest depth - depth) (1 - 2 g) + 0.1 g.
 
     g: a Gaussian of one at the deepest voxel.  vox: VK, label.
     """
-    deep = saved(full_depth(vox, cap).join(vox.select(*VK, "label"), VK), "depth")
+    deep = saved(full_depth(vox).join(vox.select(*VK, "label"), VK), "depth")
     order = F.struct(-F.col("distance"), F.col("z"), F.col("y"), F.col("x"))
     by = ["image_id", "t", "label"]
     top = deep.groupBy(*by).agg(F.min_by(F.struct("z", "y", "x"), order).alias("p"), F.max("distance").alias("top")).select(*by, "top", *[F.col(f"p.{c}").alias(f"e{c}") for c in "zyx"])
@@ -380,8 +369,8 @@ def midline_cost(vox: DataFrame, cap: int, sigma: float = 3.0) -> tuple[DataFram
     return cost, top.select("image_id", "t", "label", *[F.col(f"e{c}").alias(c) for c in "zyx"])
 
 
-def deepest_point(vox: DataFrame, cap: int) -> DataFrame:
+def deepest_point(vox: DataFrame) -> DataFrame:
     """The voxel of each object with the greatest depth; ties: smallest z, y, x."""
-    deep = full_depth(vox, cap).join(vox.select(*VK, "label"), VK)
+    deep = full_depth(vox).join(vox.select(*VK, "label"), VK)
     order = F.struct(-F.col("distance"), F.col("z"), F.col("y"), F.col("x"))
     return deep.groupBy("image_id", "t", "label").agg(F.min_by(F.struct("z", "y", "x", "distance"), order).alias("p")).select("image_id", "t", "label", "p.*")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 from itertools import product
@@ -12,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.operators.bricks import dealt, whole
+from voxlake.operators.dense import line_distance
+from voxlake.operators.filters import axis_weights
 from voxlake.operators.projections import VK
 from voxlake.plans.scratch import saved
 
@@ -100,12 +103,15 @@ CUBE = (32, 128, 128)
 CELLS = 1 << 24  # of a dense array that a task fills at once
 
 
-def distance_to(vox: DataFrame, targets: DataFrame, cap: int, sampling: tuple[float, float, float] = (1.0, 1.0, 1.0), brick: tuple[int, int, int] = CUBE) -> DataFrame:
-    """Exact Euclidean distance to the nearest target voxel of the image, up to a cap in units of the sampling; null beyond.
+def distance_to(vox: DataFrame, targets: DataFrame, cap: int | None = None, sampling: tuple[float, float, float] = (1.0, 1.0, 1.0), brick: tuple[int, int, int] = CUBE) -> DataFrame:
+    """Exact Euclidean distance to the nearest target voxel of the image, in units of the sampling.
 
-    Targets go to every brick that they reach; a task fills dense arrays of its bricks and takes the least squared distance along one axis
-    after the other.
+    Without a cap at any distance, by lower envelopes along whole lines (dense.line_distance); null only in images without a target.  With one,
+    null beyond it: targets go to every brick that they reach; a task fills dense arrays of its bricks and takes the least
+    squared distance along one axis after the other.
     """
+    if cap is None:
+        return line_distance(vox, targets, sampling)
     reach = [int(cap / s) for s in sampling]
     cells = targets.select(*VK).distinct()
     asked = vox.select(*VK).distinct()
@@ -162,15 +168,39 @@ def _spread(where: tuple[np.ndarray, ...], target: np.ndarray, shape: tuple[int,
     return d2
 
 
-def distance_coarse(vox: DataFrame, targets: DataFrame, scale: int, cap: int) -> DataFrame:
-    """J7 on a grid coarser by scale, times scale."""
-    small = lambda df: df.select("image_id", "t", *[F.floor(F.col(c) / scale).cast("int").alias(c) for c in "zyx"]).distinct()
-    coarse = distance_to(small(vox), small(targets), -(-cap // scale)).select("image_id", "t", *[F.col(c).alias(f"c{c}") for c in "zyx"], (F.col("distance") * scale).alias("distance"))
-    keyed = vox.withColumns({f"c{c}": F.floor(F.col(c) / scale).cast("int") for c in "zyx"})
-    return keyed.join(coarse, ["image_id", "t", "cz", "cy", "cx"], "left").drop("cz", "cy", "cx")
+def coarse_scale(shape: tuple[int, int, int], threshold: int) -> float:
+    """J8's factor for a volume of this shape: 1 up to the threshold, else twice the root of the excess in half steps."""
+    scale = max(1.0, math.ceil(math.sqrt(math.prod(shape) / threshold) * 2) / 2)
+    return scale if scale == 1 else scale * 2
 
 
-def contact_point(objects: DataFrame, targets: DataFrame, cap: int) -> DataFrame:
+def distance_coarse(vox: DataFrame, targets: DataFrame, shape: tuple[int, int, int], threshold: int = 20 * 2000 * 2000) -> DataFrame:
+    """J7 on a grid made coarser by the volume's size, resized back linearly, times the factor and rounded; J7 itself up to the threshold.
+
+    The coarse mask takes the nearest voxel.  Only the coarse voxels around voxels that are asked for are computed.  Targets that the coarse mask misses have no
+    distance: null where an image has none left.
+    """
+    scale = coarse_scale(shape, threshold)
+    if scale == 1:
+        return distance_to(vox, targets)
+    small = tuple(max(1, int(n / scale)) for n in shape)
+    coarse, corners = targets.select(*VK).distinct(), vox.select(*VK).distinct().withColumn("w", F.lit(1.0))
+    for c, n, m in zip("zyx", shape, small, strict=True):
+        taken = F.create_map(*[F.lit(v) for o, i, _ in axis_weights(n, m, 0) for v in (i, o)])  # each coarse cell looks at one voxel
+        coarse = coarse.withColumn(c, taken[F.col(c)]).where(F.col(c).isNotNull())
+        at = (F.col(c) + 0.5) * m / n - 0.5
+        low, part = F.floor(at).cast("int"), at - F.floor(at)
+        pair = F.array(F.struct(low.alias("i"), (1 - part).alias("w")), F.struct((low + 1).alias("i"), part.alias("w")))
+        corners = corners.withColumn(f"p{c}", F.explode(F.filter(pair, lambda p: p["w"] > 0)))
+        corners = corners.withColumn("w", F.col("w") * F.col(f"p{c}.w")).withColumn(f"s{c}", F.greatest(F.lit(0), F.least(F.lit(m - 1), F.col(f"p{c}.i")))).drop(f"p{c}")
+    corners = saved(corners, "corners")
+    asked = corners.select("image_id", "t", *[F.col(f"s{c}").alias(c) for c in "zyx"]).distinct()
+    known = distance_to(asked, coarse).select("image_id", "t", *[F.col(c).alias(f"s{c}") for c in "zyx"], "distance")
+    found = corners.join(known, ["image_id", "t", "sz", "sy", "sx"]).groupBy(*VK).agg(F.rint(F.sum(F.col("w") * F.col("distance")) * scale).alias("distance"))
+    return vox.join(found, VK, "left")
+
+
+def contact_point(objects: DataFrame, targets: DataFrame, cap: int | None = None) -> DataFrame:
     """Each object's voxel nearest to the parent."""
     near = distance_to(objects, targets, cap).where(F.col("distance").isNotNull())
     return near.groupBy("image_id", "t", "label").agg(F.min_by(F.struct("z", "y", "x", "distance"), F.struct("distance", "z", "y", "x")).alias("b")).select("image_id", "t", "label", "b.*")

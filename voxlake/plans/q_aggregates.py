@@ -74,6 +74,27 @@ def _(spark, d):
     return rounded(A.hull_volume(object_voxels(spark, d)))
 
 
+#: Hulls by definition: supporting planes through three corners, each plane's rim, and a fan over it, in integers.
+_SMALL = "ob AS (SELECT *, ((y // 2) * 10 + x // 2)::BIGINT * 3 + z // 3 AS label FROM v WHERE cls = 1)"
+_HULL = f"""{V_SQL}, {_SMALL}, pt AS MATERIALIZED (SELECT DISTINCT image_id, t, label, z + dz AS z, y + dy AS y, x + dx AS x, ((z + dz) * 11 + y + dy) * 21 + x + dx AS id FROM ob, (SELECT unnest([0, 1]) AS dz), (SELECT unnest([0, 1]) AS dy), (SELECT unnest([0, 1]) AS dx)),
+  tri AS (SELECT image_id, t, label, a.z AS z, a.y AS y, a.x AS x, (b.y - a.y) * (c.x - a.x) - (b.x - a.x) * (c.y - a.y) AS nz, (b.x - a.x) * (c.z - a.z) - (b.z - a.z) * (c.x - a.x) AS ny, (b.z - a.z) * (c.y - a.y) - (b.y - a.y) * (c.z - a.z) AS nx
+    FROM pt a JOIN pt b USING (image_id, t, label) JOIN pt c USING (image_id, t, label) WHERE a.id < b.id AND b.id <> c.id AND a.id < c.id),
+  pl AS (SELECT DISTINCT image_id, t, label, nz // g AS nz, ny // g AS ny, nx // g AS nx, (nz * z + ny * y + nx * x) // g AS d FROM (SELECT *, gcd(gcd(abs(nz), abs(ny)), abs(nx)) AS g FROM tri WHERE nz <> 0 OR ny <> 0 OR nx <> 0)),
+  fa AS MATERIALIZED (SELECT pl.* FROM pl JOIN pt p USING (image_id, t, label) GROUP BY ALL HAVING max(nz * p.z + ny * p.y + nx * p.x) <= any_value(d)),
+  fp AS MATERIALIZED (SELECT fa.*, p.z, p.y, p.x, p.id FROM fa JOIN pt p USING (image_id, t, label) WHERE nz * p.z + ny * p.y + nx * p.x = d),
+  ed AS (SELECT image_id, t, label, nz, ny, nx, d, p.z AS pz, p.y AS py, p.x AS px, q.z AS qz, q.y AS qy, q.x AS qx FROM fp p JOIN fp q USING (image_id, t, label, nz, ny, nx, d) JOIN fp r USING (image_id, t, label, nz, ny, nx, d) WHERE p.id <> q.id
+    GROUP BY ALL HAVING bool_and(nz * ((q.y - p.y) * (r.x - p.x) - (q.x - p.x) * (r.y - p.y)) + ny * ((q.x - p.x) * (r.z - p.z) - (q.z - p.z) * (r.x - p.x)) + nx * ((q.z - p.z) * (r.y - p.y) - (q.y - p.y) * (r.z - p.z)) > 0
+      OR nz * ((q.y - p.y) * (r.x - p.x) - (q.x - p.x) * (r.y - p.y)) + ny * ((q.x - p.x) * (r.z - p.z) - (q.z - p.z) * (r.x - p.x)) + nx * ((q.z - p.z) * (r.y - p.y) - (q.y - p.y) * (r.z - p.z)) = 0 AND (r.z - p.z) * (r.z - q.z) + (r.y - p.y) * (r.y - q.y) + (r.x - p.x) * (r.x - q.x) <= 0)),
+  ap AS (SELECT image_id, t, label, nz, ny, nx, d, first(z ORDER BY id) AS z, first(y ORDER BY id) AS y, first(x ORDER BY id) AS x FROM fp GROUP BY ALL),
+  hu AS (SELECT image_id, t, label, sum(z * (py * qx - px * qy) + y * (px * qz - pz * qx) + x * (pz * qy - py * qz))::BIGINT AS six_vol FROM ed JOIN ap USING (image_id, t, label, nz, ny, nx, d) GROUP BY ALL)"""
+
+
+@query("a6_hull_six_volumes", f"WITH {_HULL} SELECT image_id, t, label, n AS area, six_vol FROM hu JOIN (SELECT image_id, t, label, count(*) AS n FROM ob GROUP BY ALL) USING (image_id, t, label)")
+def _(spark, d):
+    label = ((F.floor(F.col("y") / 2) * 10 + F.floor(F.col("x") / 2)) * 3 + F.floor(F.col("z") / 3)).cast("long")
+    return A.hull_volume(voxels(spark, d).where("cls = 1").withColumn("label", label), (2, 2, 2)).select("image_id", "t", "label", "area", "six_vol")
+
+
 _FERET = f"SELECT a.image_id, a.t, a.label, round(sqrt(max((a.z - b.z) ** 2 + ((a.y - b.y) * 0.102) ** 2 + ((a.x - b.x) * 0.102) ** 2)), 6) AS feret_max FROM ov a JOIN ov b ON a.image_id = b.image_id AND a.t = b.t AND a.label = b.label GROUP BY ALL"
 
 

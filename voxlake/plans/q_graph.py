@@ -83,7 +83,7 @@ _SHELL = "w AS (SELECT {vk} FROM v WHERE cls >= 2), sh AS (SELECT DISTINCT image
 
 @query("g5_seeds_from_distance", f"WITH RECURSIVE {V_SQL}, {_SHELL}, {_DEPTH}, v2 AS (SELECT *, max(d2) OVER (PARTITION BY image_id) AS top FROM dp), {_cc_sql('sqrt(d2) > 0.7 * sqrt(top)', 6, 's').replace('FROM v WHERE', 'FROM v2 WHERE')} SELECT {VKS}, label FROM s")
 def _(spark, d):
-    return G.seeds_from_distance(voxels(spark, d).where("cls >= 2"), 0.7, 6)
+    return G.seeds_from_distance(voxels(spark, d).where("cls >= 2"), 0.7)
 
 
 _G6 = f"""{V_SQL}, {_SHELL}, {_DEPTH}, v3 AS (SELECT *, -least(sqrt(d2), 4.0) AS pri, image_id * 1400 + z * 200 + y * 20 + x AS id FROM dp), {_cc_sql('x % 4 = 0 AND z % 2 = 0', 6, 's').replace('FROM v WHERE', 'FROM v3 WHERE')},
@@ -146,7 +146,7 @@ def _cost_sql(name: str, target: str, own: str) -> str:
 @query("g10_path_cost_field", f"WITH {V_SQL}, ow AS (SELECT {VKS} FROM v WHERE cls = 1), tg AS (SELECT {VKS} FROM v WHERE cls = 3), {_cost_sql('c', 'tg', 'ow')} SELECT {VKS}, round(cost, 4) AS cost FROM c")
 def _(spark, d):
     vox = saved(voxels(spark, d), "v")
-    return rounded(G.path_cost_field(vox.where("cls = 1"), vox.where("cls = 3"), vox, "v1", 8), 4)
+    return rounded(G.path_cost_field(vox.where("cls = 1"), vox.where("cls = 3"), vox, "v1"), 4)
 
 
 _CUBE27 = "(SELECT dz, dy, dx FROM (SELECT unnest([-1, 0, 1]) AS dz), (SELECT unnest([-1, 0, 1]) AS dy), (SELECT unnest([-1, 0, 1]) AS dx))"
@@ -170,7 +170,7 @@ def _paths_sql(name: str, cost: str, body: str, target: str) -> str:
 def _(spark, d):
     vox = saved(voxels(spark, d), "v")
     spines = saved(G.label_components(vox.where("cls = 1"), 26), "spines")
-    cost = G.path_cost_field(spines, vox.where("cls = 3"), vox, "v1", 8)
+    cost = G.path_cost_field(spines, vox.where("cls = 3"), vox, "v1")
     return rounded(G.greedy_paths(cost, spines, vox.where("cls = 3")).select(*VK, "label", "step", "cost"), 4)
 
 
@@ -192,7 +192,7 @@ _G12 = f"""{V_SQL}, {_cc_sql('cls = 1', 26, 's')}, nk AS (SELECT {VKS} FROM v WH
 @query("g12_neck_generation", f"WITH RECURSIVE {_G12} SELECT {VKS}, label FROM ga WHERE {_ID} NOT IN (SELECT id FROM s) AND {_ID} NOT IN (SELECT {_ID} FROM de)")
 def _(spark, d):
     vox = saved(voxels(spark, d), "v")
-    return G.neck_generation(G.label_components(vox.where("cls = 1"), 26), vox.where("cls = 2 and y % 3 = 0"), vox.where("cls = 3"), vox, "v1", 8)
+    return G.neck_generation(G.label_components(vox.where("cls = 1"), 26), vox.where("cls = 2 and y % 3 = 0"), vox.where("cls = 3"), vox, "v1")
 
 
 _ADJACENT = "a.image_id = b.image_id AND a.label = b.label AND abs(a.z - b.z) <= 1 AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND a.id <> b.id"
@@ -222,14 +222,14 @@ def _(spark, d):
 @query("g13_midline", f"WITH RECURSIVE {_MIDLINE} SELECT l.image_id, l.t, l.label, step, l.z, l.y, l.x FROM wk JOIN l USING (id)")
 def _(spark, d):
     vox = saved(G.label_components(voxels(spark, d).where("cls >= 2"), 6), "objects")
-    cost, deepest = G.midline_cost(vox, 8)
+    cost, deepest = G.midline_cost(vox)
     first = vox.groupBy("image_id", "t", "label").agg(F.min(F.struct("z", "y", "x")).alias("p")).select("image_id", "t", "label", "p.*")
     return G.least_cost_path(cost, first, deepest)
 
 
 @query("g14_deepest_point", f"WITH {V_SQL}, {_SHELL}, {_DEPTH}, l AS (SELECT *, (y // 5 + 1)::BIGINT AS label FROM dp) SELECT {VKS}, label, round(sqrt(d2), 6) AS distance FROM l QUALIFY row_number() OVER (PARTITION BY image_id, label ORDER BY d2 DESC, z, y, x) = 1")
 def _(spark, d):
-    return rounded(G.deepest_point(voxels(spark, d).where("cls >= 2").withColumn("label", (F.floor(F.col("y") / 5) + 1).cast("long")), 6))
+    return rounded(G.deepest_point(voxels(spark, d).where("cls >= 2").withColumn("label", (F.floor(F.col("y") / 5) + 1).cast("long"))))
 
 
 _DENSITY = f"""WITH RECURSIVE {V_SQL}, {_cc_sql('cls >= 2', 6, 'e')}, {_cc_sql('cls = 1', 26, 's')},

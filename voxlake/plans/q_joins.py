@@ -52,10 +52,37 @@ def _(spark, d):
     return rounded(J.distance_to(vox.where("cls = 1").select(*VK), vox.where("cls >= 2"), 4))
 
 
-@query("j8_distance_coarse", f"WITH {V_SQL}, s AS (SELECT DISTINCT image_id, z // 2 AS z, y // 2 AS y, x // 2 AS x FROM v WHERE cls >= 2), q AS (SELECT {VKS}, (SELECT min((a.z // 2 - s.z) ** 2 + (a.y // 2 - s.y) ** 2 + (a.x // 2 - s.x) ** 2) FROM s WHERE s.image_id = a.image_id) AS d2 FROM v a WHERE cls = 1) SELECT {VKS}, CASE WHEN d2 <= 9 THEN round(sqrt(d2) * 2, 6) END AS distance FROM q")
+@query("j7_distance_to_any", f"WITH {V_SQL}, q AS (SELECT {VKS}, {_DIST} AS d2 FROM v a WHERE cls = 1) SELECT {VKS}, round(sqrt(d2), 6) AS distance FROM q")
 def _(spark, d):
     vox = voxels(spark, d)
-    return rounded(J.distance_coarse(vox.where("cls = 1").select(*VK), vox.where("cls >= 2"), 2, 6))
+    return rounded(J.distance_to(vox.where("cls = 1").select(*VK), vox.where("cls >= 2")))
+
+
+#: Volumes of the images of one supplier's thousand side by side: wider than a tile of lines.
+_WIDE = "w AS (SELECT image_id // 100 AS image_id, t, z, y, x + 20 * (image_id % 100) AS x, cls FROM v)"
+
+
+@query("j7_distance_wide", f"WITH {V_SQL}, {_WIDE}, s AS (SELECT * FROM w WHERE cls = 2 AND x % 200 = 7), q AS (SELECT a.image_id, a.t, a.z, a.y, a.x, min((a.z - s.z) ** 2 * 9 + (a.y - s.y) ** 2 + (a.x - s.x) ** 2) AS d2 FROM w a LEFT JOIN s ON s.image_id = a.image_id WHERE a.cls = 1 GROUP BY ALL) SELECT {VKS}, round(sqrt(d2), 6) AS distance FROM q")
+def _(spark, d):
+    vox = voxels(spark, d)
+    wide = vox.select(F.floor(F.col("image_id") / 100).alias("image_id"), "t", "z", "y", (F.col("x") + 20 * (F.col("image_id") % 100)).cast("int").alias("x"), "cls")
+    return rounded(J.distance_to(wide.where("cls = 1").select(*VK), wide.where("cls = 2 and x % 200 = 7"), sampling=(3.0, 1.0, 1.0)))
+
+
+def _coarse_sql(shape: tuple[int, int, int], small: tuple[int, int, int], scale: float) -> str:
+    """J8 by its formula: nearest voxel of each coarse cell, then eight weighted corners of each voxel."""
+    nearest = " AND ".join(f"v.{c} = least({n - 1}, greatest(0, floor((s.{c} + 0.5) * {n} / {m}::DOUBLE)::INT))" for c, n, m in zip("zyx", shape, small, strict=True))
+    cells = ", ".join(f"(SELECT unnest(range({m}))::INT AS {c})" for c, m in zip("zyx", small, strict=True))
+    axis = " ".join(f", c{c} AS (SELECT i AS {c}, least({m - 1}, greatest(0, floor(a)::INT + k)) AS s{c}, CASE k WHEN 0 THEN 1 - (a - floor(a)) ELSE a - floor(a) END AS w{c} FROM (SELECT i, (i + 0.5) * {m} / {n}::DOUBLE - 0.5 AS a FROM (SELECT unnest(range({n}))::INT AS i)), (SELECT unnest([0, 1]) AS k))" for c, n, m in zip("zyx", shape, small, strict=True))
+    return f"""g AS (SELECT * FROM {cells}), aim AS (SELECT DISTINCT v.image_id, s.z, s.y, s.x FROM g s JOIN v ON {nearest} WHERE cls >= 2),
+      dist AS (SELECT i.image_id, g.z, g.y, g.x, sqrt(min((g.z - aim.z) ** 2 + (g.y - aim.y) ** 2 + (g.x - aim.x) ** 2)) AS d FROM (SELECT DISTINCT image_id FROM v) i, g JOIN aim ON aim.image_id = i.image_id GROUP BY ALL){axis}
+      SELECT v.image_id, v.t, v.z, v.y, v.x, round_even(sum(wz * wy * wx * d) * {scale}, 0) AS distance FROM v JOIN cz USING (z) JOIN cy USING (y) JOIN cx USING (x) LEFT JOIN dist ON dist.image_id = v.image_id AND dist.z = sz AND dist.y = sy AND dist.x = sx WHERE cls = 1 GROUP BY ALL"""
+
+
+@query("j8_distance_coarse", f"WITH {V_SQL}, {_coarse_sql(SHAPE, (2, 3, 6), 3.0)}")
+def _(spark, d):
+    vox = voxels(spark, d)
+    return J.distance_coarse(vox.where("cls = 1").select(*VK), vox.where("cls >= 2"), SHAPE, 700)
 
 
 @query("j9_contact_point", f"WITH {OV_SQL}, q AS (SELECT {VKS}, label, {_DIST} AS d2 FROM ov a) SELECT {VKS}, label, round(sqrt(d2), 6) AS distance FROM q WHERE d2 <= 16 QUALIFY row_number() OVER (PARTITION BY image_id, label ORDER BY d2, z, y, x) = 1")
