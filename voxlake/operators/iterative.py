@@ -7,7 +7,7 @@ Voxels of a brick meet in one task, which settles them among themselves; only wh
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import reduce
 from itertools import product
 
 import numpy as np
@@ -20,9 +20,9 @@ from voxlake.operators.bricks import BRICK, Grid, dealt, edges, follow, keys, re
 from voxlake.operators.filters import gaussian, kernel
 from voxlake.operators.graph import connected_components as components
 from voxlake.operators.graph import roots
-from voxlake.operators.joins import assign_blocks, distance_to, nearest_point, neighbours, offsets
+from voxlake.operators.joins import distance_to, nearest_point, neighbours, offsets
 from voxlake.operators.projections import VK
-from voxlake.plans.scratch import saved
+from voxlake.plans.scratch import discard, saved
 
 
 def label_components(vox: DataFrame, connectivity: int = 26, brick: tuple[int, int, int] = BRICK, grid: Grid | None = None) -> DataFrame:
@@ -167,90 +167,158 @@ def geodesic_to_objects(points: DataFrame, field: DataFrame, keys: list[str], re
 _CUBE = [d for d in product((-1, 0, 1), repeat=3) if any(d)]
 
 
-def _touching(cells: set, steps: int) -> int:
-    """Components of cells; steps: how many coordinates may differ between neighbours."""
-    left, n = set(cells), 0
-    while left:
-        n += 1
-        stack = [left.pop()]
-        while stack:
-            a = stack.pop()
-            near = [b for b in left if max(abs(p - q) for p, q in zip(a, b, strict=True)) == 1 and sum(p != q for p, q in zip(a, b, strict=True)) <= steps]
-            left -= set(near)
-            stack += near
-    return n
-
-
-@lru_cache(maxsize=1 << 16)
-def removable(code: int) -> bool:
-    """Whether deleting a voxel with these neighbours (bit i: _CUBE[i]) keeps the topology; ends of lines stay."""
-    full = {d for i, d in enumerate(_CUBE) if code >> i & 1}
-    if len(full) <= 1:
-        return False
-    empty = {d for d in _CUBE if d not in full and sum(map(abs, d)) <= 2}
-    sides = [d for d in empty if sum(map(abs, d)) == 1]
-    if not sides or _touching(full, 3) != 1:
-        return False
-    outside, stack = {sides[0]}, [sides[0]]
-    while stack:
-        a = stack.pop()
-        for b in empty - outside:
-            if sum(abs(p - q) for p, q in zip(a, b, strict=True)) == 1:
-                outside.add(b)
-                stack.append(b)
-    return all(s in outside for s in sides)
-
-
-def _thin_round(key: np.ndarray, parity: np.ndarray, steps: np.ndarray, rounds: int | None) -> np.ndarray:
-    """Which of some voxels (sorted keys) are left after so many rounds over the eight subfields, or once a round removes none."""
-    left = np.ones(len(key), bool)
+#: Sides from which border voxels are taken, in this order.
+_SIDES = [(0, -1, 0), (0, 1, 0), (0, 0, 1), (0, 0, -1), (1, 0, 0), (-1, 0, 0)]
+_BEFORE = 13  # of _CUBE come before a voxel in raster order
+
+
+def _masks() -> tuple[list[int], list[int], list[int], list[int]]:
+    """Bits of _CUBE: of each step those that touch it; and those that share each face, edge and corner of the middle voxel."""
+    near = [sum(1 << j for j, b in enumerate(_CUBE) if a != b and max(abs(p - q) for p, q in zip(a, b, strict=True)) == 1) for a in _CUBE]
+    shared = lambda d: sum(1 << i for i, c in enumerate(_CUBE) if all(q in (0, p) for p, q in zip(d, c, strict=True)))
+    parts = [[shared(d) for d in _CUBE if sum(map(abs, d)) == n] for n in (1, 2, 3)]
+    return near, *parts
+
+
+_NEAR, _FACES, _EDGES, _CORNERS = _masks()
+
+
+def euler_kept(code: np.ndarray) -> np.ndarray:
+    """Whether deleting a voxel with these neighbours (bit i: _CUBE[i]) keeps the Euler number of the union of closed voxels: what it alone has of
+    corners - edges + faces must be 1."""
+    alone = lambda masks: sum(((code & m) == 0).astype(np.int64) for m in masks)
+    return alone(_CORNERS) - alone(_EDGES) + alone(_FACES) == 1
+
+
+def in_one_piece(code: np.ndarray) -> np.ndarray:
+    """Whether the neighbours touch each other in one piece (or there are none)."""
+    reach = code & -code
+    while True:
+        more = reach.copy()
+        for i, m in enumerate(_NEAR):
+            more |= np.where(more >> i & 1, m & code, 0)
+        if (more == reach).all():
+            return reach == code
+        reach = more
+
+
+def _codes(alive: np.ndarray, near: np.ndarray) -> np.ndarray:
+    return alive[near] @ (1 << np.arange(len(_CUBE)))
+
+
+def _candidates(alive: np.ndarray, near: np.ndarray, side: int, mine: np.ndarray) -> np.ndarray:
+    """Of some voxels those of a side's border that are no ends of lines and may go without a change of topology."""
+    mine = mine[alive[mine] & ~alive[near[mine, side]]]
+    code = _codes(alive, near[mine])
+    ok = (code & (code - 1) != 0) & euler_kept(code)
+    mine, code = mine[ok], code[ok]
+    return mine[in_one_piece(code)]
+
+
+def _recheck(alive: np.ndarray, near: np.ndarray, waiting: np.ndarray, open_: np.ndarray) -> None:
+    """Candidates in raster order, each removed if its neighbours are in one piece by then; all whose earlier neighbours are decided go at once.
+
+    waiting: which voxels are undecided, also those that others decide."""
+    while len(open_):
+        blocked = waiting[near[open_, :_BEFORE]].any(axis=1)
+        ready = open_[~blocked]
+        if not len(ready):
+            return
+        alive[ready[in_one_piece(_codes(alive, near[ready]))]] = False
+        waiting[ready] = False
+        open_ = open_[blocked]
+
+
+def _neighbour_rows(key: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """Rows of sorted keys a step on in each direction; len(key) where there is none."""
     near = np.empty((len(key), len(steps)), np.int32)
     for i, s in enumerate(steps.tolist()):
         at = np.minimum(np.searchsorted(key, key + s), len(key) - 1)
         near[:, i] = np.where(key[at] == key + s, at, len(key))
-    bits = 1 << np.arange(len(steps))
-    while rounds is None or rounds > 0:
-        before = left.sum()
-        for p in range(8):
-            mine = np.flatnonzero(left & (parity == p))
-            codes, which = np.unique(np.append(left, False)[near[mine]] @ bits, return_inverse=True)
-            gone = np.fromiter(map(removable, codes.tolist()), bool, len(codes))[which]
-            left[mine[gone]] = False
-        if left.sum() == before:
-            break
-        rounds = rounds - 1 if rounds else None
-    return left
+    return near
 
 
 def thin(vox: DataFrame, brick: tuple[int, int, int] = BRICK) -> DataFrame:
-    """One-voxel centrelines.  Voxels of one of eight subfields are never neighbours, so all of its removable border voxels go at once.
+    """One-voxel centrelines by six-sided thinning, as the usual 3-D skeleton: from one side after the other, border voxels that are no ends of lines and
+    whose removal keeps the Euler number and the pieces around them are candidates; then candidates are checked again in raster order, each
+    after those before it.  The end is a turn of all six sides without removal.
 
-    A job thins every brick by two rounds with a halo of 16 voxels (a removal is felt one voxel further in each subfield); images of one
-    brick are thinned to the end in one job.
+    Images of one brick are thinned in one job.  Else a side is a job that finds candidates and rounds that check them: a brick decides what
+    does not wait for voxels of the bricks before it, and only bricks with candidates left go on.
     """
     now = saved(vox.select(*VK).distinct(), "thin")
     grid = Grid(now, brick)
-    steps, rounds, halo = grid.steps(_CUBE), None if grid.alone else 2, 16
+    steps, sides = grid.steps(_CUBE), [_CUBE.index(d) for d in _SIDES]
+    kept = "image_id long, t int, z int, y int, x int"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def whole_images(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole(batches):
-            key = keys([t["image_id"].to_numpy(), t["brick"].to_numpy()], grid.number(t), grid.volume)
+            key = keys([t["image_id"].to_numpy()], grid.number(t), grid.volume)
             order = np.argsort(key)
-            parity = (t["z"].to_numpy() % 2 * 4 + t["y"].to_numpy() % 2 * 2 + t["x"].to_numpy() % 2)[order]
-            kept = order[_thin_round(key[order], parity, steps, rounds)]
-            kept = kept[t["core"].to_numpy()[kept]]
-            yield from t.select(VK).take(pa.array(kept)).combine_chunks().to_batches()
+            near, alive = _neighbour_rows(key[order], steps), np.append(np.ones(len(key), bool), False)
+            # voxels far from the last removals stay what they are: only those around changes are looked at again
+            look, quiet = {s: np.arange(len(key)) for s in sides}, 0
+            while quiet < 6:
+                for s in sides:
+                    found = _candidates(alive, near, s, look[s])
+                    look[s] = np.empty(0, np.int64)
+                    waiting = np.zeros(len(alive), bool)
+                    waiting[found] = True
+                    before = alive[found].copy()
+                    _recheck(alive, near, waiting, found)
+                    gone = found[before & ~alive[found]]
+                    quiet = 0 if len(gone) else quiet + 1
+                    if len(found) > len(gone):
+                        look[s] = found[alive[found]]
+                    if len(gone):
+                        again = np.unique(near[gone])
+                        again = again[again < len(key)]
+                        look = {k: np.union1d(v, again) for k, v in look.items()}
+            yield from t.select(VK).take(pa.array(order[alive[:-1]])).combine_chunks().to_batches(max_chunksize=100_000)
+
+    if grid.alone:
+        return dealt(now.withColumn("brick", grid.own())).mapInArrow(whole_images, kept)
 
-    count = None
+    def one_side(batches: Iterator[pa.RecordBatch], side: int | None) -> Iterator[pa.RecordBatch]:
+        """side: finds candidates (waiting); without one, decides them."""
+        for t in whole(batches):
+            key = keys([t["image_id"].to_numpy(), t["brick"].to_numpy()], grid.number(t), grid.volume)
+            order = np.argsort(key)
+            near, alive = _neighbour_rows(key[order], steps), np.append(np.ones(len(key), bool), False)
+            own = ~t["ghost"].to_numpy()[order]
+            waiting = np.append(t["waiting"].to_numpy()[order], False)
+            if side is not None:
+                waiting[:] = False
+                waiting[_candidates(alive, near, side, np.flatnonzero(own))] = True
+            else:
+                _recheck(alive, near, waiting, np.flatnonzero(own & waiting[:-1]))
+            mine = np.flatnonzero(own & alive[:-1])
+            yield from t.select(["brick", *VK]).take(pa.array(order[mine])).append_column("waiting", pa.array(waiting[mine])).combine_chunks().to_batches(max_chunksize=100_000)
+
+    def step(state: DataFrame, side: int | None) -> DataFrame:
+        ghosts = grid.to_neighbours(state.select(*VK, "waiting")).withColumn("ghost", F.lit(True))
+        rows = state.withColumn("ghost", F.lit(False))
+        if side is None:  # bricks without candidates stay as they are
+            open_ = state.where("waiting").select("brick").distinct()
+            rest = state.join(open_, "brick", "left_anti")
+            rows, ghosts = rows.join(open_, "brick", "left_semi"), ghosts.join(open_, "brick", "left_semi")
+        found = dealt(rows.unionByName(ghosts)).mapInArrow(lambda b: one_side(b, side), "brick long, " + kept + ", waiting boolean")
+        out = saved(found if side is not None else found.unionByName(rest), "thin")
+        discard(state)
+        return out
+
+    state, quiet = saved(now.withColumn("brick", grid.own()).withColumn("waiting", F.lit(False)), "thin"), 0
+    count = state.count()
+    discard(now)
     while True:
-        if grid.alone:
-            placed = now.withColumn("brick", grid.own()).withColumn("core", F.lit(True))
-            return dealt(placed).mapInArrow(run, "image_id long, t int, z int, y int, x int")
-        placed = assign_blocks(now, brick, halo).withColumn("brick", F.xxhash64("image_id", "bz", "by", "bx")).drop("bz", "by", "bx")
-        now = saved(dealt(placed).mapInArrow(run, "image_id long, t int, z int, y int, x int"), "thin")
-        before, count = count, now.count()
-        if count == before:
-            return now
+        for s in sides:
+            state = step(state, s)
+            while not state.where("waiting").isEmpty():
+                state = step(state, None)
+            before, count = count, state.count()
+            quiet = quiet + 1 if count == before else 0
+            if quiet == 6:
+                return state.select(*VK)
 
 
 def path_cost_field(objects: DataFrame, target: DataFrame, intensity: DataFrame, value: str) -> DataFrame:
