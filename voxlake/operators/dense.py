@@ -49,9 +49,14 @@ def dense_map(vox: DataFrame, values: list[str], keys: list[str], halo: dict[str
         for t in whole(batches):
             t, group = grouped(t, names)
             at = [t[c].to_numpy() - t[f"b{c}"].to_numpy() * sizes[c] for c in axes]
+            core = np.logical_and.reduce([(a >= 0) & (a < sizes[c]) for a, c in zip(at, axes, strict=True)])
+            use = np.flatnonzero(np.bincount(group, weights=core)[group] > 0)  # bricks with voxels of their own
+            if not len(use):
+                continue
+            t, core, group = t.take(pa.array(use)).combine_chunks(), core[use], np.unique(group[use], return_inverse=True)[1]
+            at = [a[use] for a in at]
             low = [int(a.min()) for a in at]
             shape = [int(a.max()) - o + 1 for a, o in zip(at, low, strict=True)]
-            core = np.logical_and.reduce([(a >= 0) & (a < sizes[c]) for a, c in zip(at, axes, strict=True)])
             step = max(1, CELLS // int(np.prod(shape)))
             bounds = np.searchsorted(group, np.arange(0, group[-1] + 1 + step, step))
             for k, (i, j) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):

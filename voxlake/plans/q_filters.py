@@ -70,6 +70,14 @@ def _(spark, d):
     return rounded(L.subtract_background(_plane(spark, d), "v", 1, PK))
 
 
+_BALL = ", ".join(f"({i - half}, {j - half}, {float(h)!r}::DOUBLE)" for cap, half in (L.ball(3),) for (i, j), h in np.ndenumerate(cap) if np.isfinite(h))
+
+
+@query("l4_rolling_ball", f"WITH {P_SQL}, b(dy, dx, h) AS (VALUES {_BALL}), e AS (SELECT image_id, y - dy AS y, x - dx AS x, min(v - h) AS top FROM p, b GROUP BY ALL), o AS (SELECT image_id, y + dy AS y, x + dx AS x, max(top + h) AS top FROM e, b GROUP BY ALL) SELECT p.image_id, p.y, p.x, round(p.v - o.top, 6) AS v FROM p JOIN o USING (image_id, y, x)")
+def _(spark, d):
+    return rounded(L.subtract_background(_plane(spark, d), "v", 3, PK, "ball"))
+
+
 @query("l5_degrade", f"WITH {P_SQL}, {_weights('a', 8, 4)}, {_weights('b', 4, 8)}, r AS (SELECT image_id, y, o AS x, sum(w * v) AS v FROM p JOIN a ON p.x = i GROUP BY 1, 2, 3) SELECT image_id, y, o AS x, round(sum(w * v), 6) AS v FROM r JOIN b ON r.x = i GROUP BY 1, 2, 3")
 def _(spark, d):
     return rounded(L.degrade(_plane(spark, d), "v", "x", 8, 2, PK))

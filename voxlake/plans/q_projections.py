@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from voxlake.functions import scalar as S
 from voxlake.operators import projections as P
+from voxlake.operators.warps import warp_inverse
 from voxlake.plans.register import query, rounded
 from voxlake.sources.fixtures import O_SQL, OV_SQL, P_SQL, T_SQL, V_SQL, object_voxels, objects, patches, table, tracks, voxels
 
@@ -183,6 +186,25 @@ def _(spark, d):
     return P.warp(voxels(spark, d).select(*P.VK, "cls", "v1"), [[1, 0, 0], [0, 0.5, 0.25], [0, -0.25, 0.5]], [0, 1, 3])
 
 
+#: A turn of 30 degrees in y and x, and its inverse, as plain numbers.
+_TURN = [[1.0, 0.0, 0.0], [0.0, math.cos(math.pi / 6), -math.sin(math.pi / 6)], [0.0, math.sin(math.pi / 6), math.cos(math.pi / 6)]]
+_COS, _SIN = math.cos(math.pi / 6), math.sin(math.pi / 6)
+_BACK = f"""im AS (SELECT DISTINCT image_id, t FROM v), q AS (SELECT image_id, t, z, y, x, round(z - 0.5, 9) AS pz, round({_COS!r}::DOUBLE * (y - 4.25) + {_SIN!r}::DOUBLE * (x + 2.0), 9) AS py, round({_COS!r}::DOUBLE * (x + 2.0) - {_SIN!r}::DOUBLE * (y - 4.25), 9) AS px
+  FROM im, (SELECT unnest(range(9))::INT AS z), (SELECT unnest(range(24))::INT AS y), (SELECT unnest(range(26))::INT AS x))"""
+_EIGHT = "(SELECT unnest([0, 1]) AS dz), (SELECT unnest([0, 1]) AS dy), (SELECT unnest([0, 1]) AS dx)"
+_WEIGHT = " * ".join(f"(CASE d{c} WHEN 1 THEN p{c} - floor(p{c}) ELSE 1 - (p{c} - floor(p{c})) END)" for c in "zyx")
+
+
+@query("p30_warp_linear", f"WITH {V_SQL}, {_BACK}, e AS (SELECT q.*, {_WEIGHT} AS w, (floor(pz) + dz)::INT AS sz, (floor(py) + dy)::INT AS sy, (floor(px) + dx)::INT AS sx FROM q, {_EIGHT}) SELECT e.image_id, e.t, e.z, e.y, e.x, round(sum(w * v.v1), 4) AS v1 FROM e JOIN v ON v.image_id = e.image_id AND v.t = e.t AND v.z = sz AND v.y = sy AND v.x = sx WHERE w > 0 GROUP BY ALL")
+def _(spark, d):
+    return rounded(warp_inverse(voxels(spark, d), "v1", _TURN, [0.5, 4.25, -2.0], (9, 24, 26), block=(4, 8, 8)), 4)
+
+
+@query("p30_warp_labels", f"WITH {V_SQL}, {_BACK} SELECT q.image_id, q.t, q.z, q.y, q.x, v.cls::DOUBLE AS cls FROM q JOIN v ON v.image_id = q.image_id AND v.t = q.t AND v.z = floor(pz + 0.5) AND v.y = floor(py + 0.5) AND v.x = floor(px + 0.5)")
+def _(spark, d):
+    return warp_inverse(voxels(spark, d), "cls", _TURN, [0.5, 4.25, -2.0], (9, 24, 26), linear=False)
+
+
 @query("f1_file_names", "SELECT c_custkey::BIGINT AS k, regexp_replace(c_name || '.tif', '\\.tif$', '') AS stem, ends_with(c_name || CASE c_custkey % 3 WHEN 0 THEN '.tif' WHEN 1 THEN '.czi' ELSE '.txt' END, '.tif') OR ends_with(c_name || CASE c_custkey % 3 WHEN 0 THEN '.tif' WHEN 1 THEN '.czi' ELSE '.txt' END, '.czi') AS is_image FROM customer")
 def _(spark, d):
     c = table(spark, d, "customer")
