@@ -167,3 +167,19 @@ def test_hull_of_parts(spark):
         got = {r.label: r for r in A.hull_volume(df, brick).collect()}
         assert got[5].six_vol == convex_hull(corners)[1] and got[1].six_vol == 6 and got[5].area == len(cells)
     assert A.hull_volume(df.limit(0)).collect() == []
+
+
+def test_poisson_at_every_rate(spark):
+    """Mean and variance of small and very large rates; the plan has no sequence that grows with the rate."""
+    rates = [0.5, 127.0, 130.0, 400.0, 6e4, 1e9]
+    df = spark.range(4000 * len(rates)).selectExpr("id as image_id", "0 as t", "0 as z", "0 as y", "0 as x", f"array({', '.join(f'{r}D' for r in rates)})[id % {len(rates)}] as v", f"id % {len(rates)} as k")
+    got = {r.k: r for r in L.poisson_noise(df, "v", 1.0, 11).groupBy("k").agg(F.avg("v").alias("m"), F.variance("v").alias("s")).collect()}
+    for k, mu in enumerate(rates):
+        assert abs(got[k].m - mu) < 5 * math.sqrt(mu / 4000) and abs(got[k].s / mu - 1) < 0.12
+    odd = spark.createDataFrame([(1, 0, 0, 0, 0, None), (1, 0, 0, 0, 1, -3.0)], "image_id long, t int, z int, y int, x int, v double")
+    assert [r.v for r in L.poisson_noise(odd, "v", 1.0, 11).collect()] == [0.0, 0.0]
+
+
+def test_log_factorial(spark):
+    got = spark.range(200).select("id", L.log_factorial(F.col("id").cast("double")).alias("f")).collect()
+    assert all(abs(r.f - math.lgamma(r.id + 1)) < 1e-11 * max(1, r.f) for r in got)
