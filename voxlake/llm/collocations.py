@@ -33,7 +33,7 @@ from voxlake.llm.runs import RANDOM, hashes
 from voxlake.plans.scratch import discard, saved
 
 BITS = 28  # log2 of the bitmap's largest size: 32 MB
-SHARD = 4 << 20  # bytes of text
+SHARD = 2 << 20  # bytes of text
 EMIT = 100_000
 _CLASS = np.full(256, 1, np.uint8)  # 1 word, 0 blank, 2 separator
 _CLASS[[0x20, 0x09]] = 0
