@@ -183,3 +183,20 @@ def test_poisson_at_every_rate(spark):
 def test_log_factorial(spark):
     got = spark.range(200).select("id", L.log_factorial(F.col("id").cast("double")).alias("f")).collect()
     assert all(abs(r.f - math.lgamma(r.id + 1)) < 1e-11 * max(1, r.f) for r in got)
+
+
+def test_running_sums_over_partitions(spark):
+    """Groups over many range partitions: sums and the row before, also across their borders."""
+    from voxlake.operators.ranks import running
+
+    rng = np.random.default_rng(9)
+    rows = [(g, float(v), int(rng.integers(1, 5))) for g, n in ((1, 600), (2, 1), (None, 40)) for v in rng.choice(5000, n, replace=False)]
+    df = spark.createDataFrame(rows, "g long, v double, n long").repartition(3)
+    got = {(r.g, r.v): (r.upto_, r.total_, r.before_value_, r.before_upto_) for r in running(df, ["g"], "v", "n").collect()}
+    for g in (1, 2, None):
+        own = sorted((v, n) for k, v, n in rows if k == g)
+        total, run, last = sum(n for _, n in own), 0, (None, None)
+        for v, n in own:
+            run += n
+            assert got[g, v] == (run, total, *last)
+            last = (v, run)

@@ -15,7 +15,7 @@ from voxlake.operators.bricks import BRICK, dealt, whole
 from voxlake.operators.dense import convolve, dense_map
 from voxlake.operators.hulls import hulls
 from voxlake.operators.projections import VK
-from voxlake.operators.ranks import ranked
+from voxlake.operators.ranks import ranked, running
 from voxlake.plans.scratch import saved
 
 OK = ["image_id", "t", "label"]
@@ -465,13 +465,11 @@ def otsu_mask(vox: DataFrame, value: str, shape: tuple[int, int, int], dilate: i
 
 
 def histogram_match(vox: DataFrame, value: str, by: str, reference: int) -> DataFrame:
-    """Each distinct value to the reference image's value at its quantile, linearly between neighbours."""
-    counts = vox.groupBy(by, value).agg(F.count("*").alias("n"))
-    w = Window.partitionBy(by).orderBy(value)
-    ranks = counts.select(by, value, (F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) / F.sum("n").over(Window.partitionBy(by))).alias("q"))
-    ref = ranks.where(F.col(by) == reference)
-    step = Window.orderBy("q")  # distinct values of one image
-    ref = ref.select(F.col("q").alias("q1"), F.col(value).alias("v1_"), F.lag("q").over(step).alias("q0"), F.lag(value).over(step).alias("v0_"))
+    """Each distinct value to the reference image's value at its quantile, linearly between neighbours.  Distinct values are summed up over range partitions."""
+    counts = vox.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("n"))
+    ranks = saved(running(counts, [by], value, "n").withColumn("q", F.col("upto_") / F.col("total_")), "quantiles")
+    ref = ranks.where(F.col(by) == reference).select(F.col("q").alias("q1"), F.col(value).alias("v1_"), (F.col("before_upto_") / F.col("total_")).alias("q0"), F.col("before_value_").alias("v0_"))
+    ranks = ranks.select(by, value, "q")
     cell = 256
     keyed = ref.withColumn("cell", F.explode(F.sequence(F.floor(F.coalesce("q0", F.lit(0.0)) * cell), F.floor(F.col("q1") * cell))))
     found = ranks.withColumn("cell", F.floor(F.col("q") * cell)).join(keyed, "cell").where((F.col("q") <= F.col("q1")) & (F.col("q0").isNull() | (F.col("q") > F.col("q0"))))

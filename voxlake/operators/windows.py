@@ -197,6 +197,9 @@ def id_difference(a: DataFrame, b: DataFrame, ident: str) -> DataFrame:
     return a.select(ident).subtract(b.select(ident))
 
 
-def stack_time(frames: list[DataFrame]) -> DataFrame:
-    """U4: frames as one table with their position as time.  Frames that lie in one table need only its time column."""
-    return reduce(DataFrame.unionByName, (f.withColumn("t", F.lit(i)) for i, f in enumerate(frames)))
+def stack_time(frames: list[DataFrame] | DataFrame, time: str | None = None) -> DataFrame:
+    """U4: frames as one table with their position as time t.  Frames that lie in one table are told apart by its column `time`: t is its rank."""
+    if time is None:
+        return reduce(DataFrame.unionByName, (f.withColumn("t", F.lit(i)) for i, f in enumerate(frames)))
+    order = frames.select(time).distinct().withColumn("t", (F.row_number().over(Window.orderBy(time)) - 1).cast("int"))  # one row a frame
+    return frames.join(order, time).drop(time)

@@ -150,10 +150,9 @@ def _(spark, d):
     return W.id_difference(t.where("timepoint = 1"), t.where("timepoint = 2"), "spine_id")
 
 
-@query("u4_stack_time", f"WITH {T_SQL} SELECT (timepoint - 1)::INT AS t, spine_id, z, y, x FROM tr")
+@query("u4_stack_time", f"WITH {T_SQL} SELECT (dense_rank() OVER (ORDER BY timepoint) - 1)::INT AS t, spine_id, z, y, x FROM tr")
 def _(spark, d):
-    t = tracks(spark, d).where("timepoint between 1 and 31")
-    return t.select((F.col("timepoint") - 1).cast("int").alias("t"), "spine_id", "z", "y", "x")
+    return W.stack_time(tracks(spark, d).select("timepoint", "spine_id", "z", "y", "x"), "timepoint")
 
 
 @query("u4_stack_frames", f"WITH {T_SQL} SELECT (timepoint - 1)::INT AS t, spine_id, z, y, x FROM tr WHERE timepoint <= 3")
