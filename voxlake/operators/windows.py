@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxlake.operators.projections import VK
+from voxlake.operators.registration import best_shifts, chain
 from voxlake.operators.ranks import ranked
 
 
@@ -62,22 +63,10 @@ def chain_shift(centroids: DataFrame, time: str = "t") -> DataFrame:
     return centroids.withColumns(step).withColumns({f"shift_{c}": F.sum(f"s{c}").over(run) for c in "zyx"}).drop("sz", "sy", "sx")
 
 
-def chain_shift_by_content(vox: DataFrame, value: str, reach: tuple[int, int, int]) -> DataFrame:
-    """The same from what the frames show (image_id, t, shift_z, shift_y, shift_x): whole-voxel translations within reach between
-    neighbouring times that bring the values (less their frame's mean) to the largest sum of products; ties: the shortest, then the smallest."""
-    frame = ["image_id", "t"]
-    mean = vox.groupBy(*frame).agg(F.avg(value).alias("mean"))
-    rows = vox.join(mean, frame).select(*VK, (F.col(value) - F.col("mean")).alias("v"))
-    out = rows.select("image_id", (F.col("t") + 1).alias("t"), "v", *[F.explode(F.sequence(F.col(c) - r, F.col(c) + r)).alias(c) if c == "z" else F.col(c) for c, r in zip("zyx", reach, strict=True)], F.col("z").alias("fz"))
-    for c, r in zip("yx", reach[1:], strict=True):
-        out = out.withColumn(f"f{c}", F.col(c)).withColumn(c, F.explode(F.sequence(F.col(f"f{c}") - r, F.col(f"f{c}") + r)))
-    pairs = out.withColumnRenamed("v", "w").join(rows, VK)
-    score = pairs.groupBy(*frame, *[(F.col(f"f{c}") - F.col(c)).alias(f"s{c}") for c in "zyx"]).agg(F.round(F.sum(F.col("v") * F.col("w")), 2).alias("score"))
-    length = F.col("sz") * F.col("sz") + F.col("sy") * F.col("sy") + F.col("sx") * F.col("sx")
-    best = score.groupBy(*frame).agg(F.min_by(F.struct("sz", "sy", "sx"), F.struct(-F.col("score"), length, "sz", "sy", "sx")).alias("s"))
-    steps = vox.select(*frame).distinct().join(best, frame, "left")
-    run = Window.partitionBy("image_id").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    return steps.select(*frame, *[F.sum(F.coalesce(F.col(f"s.s{c}"), F.lit(0))).over(run).alias(f"shift_{c}") for c in "zyx"])
+def chain_shift_by_content(vox: DataFrame, value: str, reach: tuple[int, int, int], between: bool = False) -> DataFrame:
+    """The same from what the frames show (image_id, t, shift_z, shift_y, shift_x): translations within reach between neighbouring times
+    that bring the values (less their frame's mean) to the largest sum of products, whole voxels or (between) parts of them; see registration.py."""
+    return chain(vox, best_shifts(vox, value, reach, between))
 
 
 def raster_label_order(vox: DataFrame) -> DataFrame:
