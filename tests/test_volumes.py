@@ -290,3 +290,58 @@ def test_registered_paths_have_no_short_limit(spark, sf_dir, monkeypatch):
     for name in ("g11_greedy_paths", "g12_neck_generation"):
         registry.QUERIES[name](spark, sf_dir)
     assert seen == [200, 200]
+
+
+def test_rounds_write_what_changed(spark, monkeypatch):
+    """A long line through many bricks: each round's version holds one brick or two, whatever the image holds besides."""
+    from voxlake.operators import bricks
+
+    line = volume(spark, [(0, 0, x) for x in range(60)]).unionByName(volume(spark, [(0, 9, x) for x in range(60)], image=2))
+    seed = volume(spark, [(0, 0, 0)]).withColumn("label", F.lit(4).cast("long"))
+    sizes, real = [], bricks.saved
+    monkeypatch.setattr(bricks, "saved", lambda df, name, *a: (out := real(df, name, *a), sizes.append((name, out.count())))[0])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")  # else bricks share tasks, which settle them together
+    try:
+        got = G.grow_labels(seed, line, 26, (4, 4, 5)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(got) == 60 and {r.label for r in got} == {4}
+    written = [n for name, n in sizes if name == "relax"]
+    assert len(written) > 4 and sum(written[1:]) < 30 * len(written[1:])
+
+
+def test_versions_of_bricks(spark):
+    from voxlake.operators.bricks import Versions
+
+    frame = lambda rows: spark.createDataFrame(rows, "brick long, v int")
+    state, want = Versions(frame([(b, 0) for b in range(6)] * 2), "test"), {b: 0 for b in range(6)}
+    for k in range(1, 20):
+        some = [k % 6, (k * 5) % 6]
+        state.add(frame([(b, k) for b in set(some) if b != 3]), frame([(b, 0) for b in set(some)]))
+        want.update(dict.fromkeys(some, k))
+        want.pop(3, None) if 3 in some else None
+    assert {r.brick: r.v for r in state.rows().collect()} == want and len(state.tables) <= Versions.MOST
+    assert {r.brick for r in state.rows(frame([(1, 0), (2, 0)])).collect()} == {1, 2}
+
+
+def test_objects_in_parts(spark):
+    """An object of most voxels is many parts; order of merging, errors in any step, and nothing at all."""
+    big = volume(spark, cube(0, 0, 0, 12)).withColumn("label", F.lit(1).cast("long"))
+    small = volume(spark, [(50, 0, 0), (50, 0, 20)]).withColumn("label", F.lit(2).cast("long"))
+    bad = volume(spark, [(60, 0, x) for x in range(30)]).withColumn("label", F.lit(3).cast("long"))
+
+    def part(rows):
+        if (rows.z == 60).any() and (rows.x == 29).any():
+            raise LookupError("bad")
+        return {"n": len(rows), "total": float(rows.x.sum())}
+
+    merge = lambda s: {"n": int(s.n.sum()), "total": float(s.total.sum())}
+    finish = lambda s: {"mean": s["total"] / s["n"]}
+    vox = big.unionByName(small).unionByName(bad)
+    for fan in (2, 16):
+        got = {r.label: (r.mean, r.error) for r in L.map_objects_in_parts(vox, part, merge, finish, "n long, total double", ["mean"], (3, 3, 4), fan).collect()}
+        assert got == {1: (5.5, None), 2: (10.0, None), 3: (None, "LookupError")}
+    assert L.map_objects_in_parts(vox.limit(0), part, merge, finish, "n long, total double", ["mean"]).collect() == []

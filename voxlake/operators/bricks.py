@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.operators.projections import VK
-from voxlake.plans.scratch import saved
+from voxlake.plans.scratch import discard, saved
 
 BRICK = (64, 256, 256)
 MOST = 1 << 20  # rows that a task gathers before it works on them, whole bricks at least
@@ -116,15 +116,12 @@ def keys(space: list[np.ndarray], place: np.ndarray, volume: int) -> np.ndarray:
     return number * volume + place
 
 
-def edges(key: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (row, row a step on) of sorted distinct keys."""
-    src, dst = [], []
-    for s in steps.tolist():
-        at = np.minimum(np.searchsorted(key, key + s), len(key) - 1)
-        hit = np.flatnonzero(key[at] == key + s)
-        src.append(hit)
-        dst.append(at[hit])
-    return np.concatenate(src), np.concatenate(dst)
+def a_step_on(key: np.ndarray, rows: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of some rows of sorted distinct keys those that have a row a step on, and that row."""
+    want = key[rows] + step
+    at = np.minimum(np.searchsorted(key, want), len(key) - 1)
+    hit = np.flatnonzero(key[at] == want)
+    return rows[hit], at[hit]
 
 
 Combine = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
@@ -139,19 +136,19 @@ def _less(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> np.ndarray:
     return out
 
 
-def settle(src: np.ndarray, dst: np.ndarray, state: list[np.ndarray], cost: np.ndarray, level: np.ndarray, place: np.ndarray, combine: Combine) -> None:
-    """Least state (c, hops, label, predecessor) of every row over all paths; rows whose cost is NaN are not entered."""
-    order = np.argsort(src, kind="stable")
-    src, dst = src[order], dst[order]
-    start = np.searchsorted(src, np.arange(len(cost) + 1))
+def settle(key: np.ndarray, steps: np.ndarray, state: list[np.ndarray], cost: np.ndarray, level: np.ndarray, place: np.ndarray, combine: Combine) -> None:
+    """Least state (c, hops, label, predecessor) of every row (sorted distinct keys) over all paths; rows whose cost is NaN are not entered.
+
+    Each wave looks at the voxels that got better, direction by direction: no table of neighbours is held."""
     front = np.flatnonzero(np.isfinite(state[0]))
     while len(front):
-        count = start[front + 1] - start[front]
-        k = np.repeat(start[front], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        s, d = src[k], dst[k]
-        offer = (combine(state[0][s], cost, level, s, d), state[1][s] + 1, state[2][s], place[s])
-        better = _less(offer, tuple(x[d] for x in state)) & ~np.isnan(cost[d]) & np.isfinite(offer[0])
-        d, offer = d[better], [x[better] for x in offer]
+        found = [a_step_on(key, front, step) for step in steps.tolist()]
+        best = []
+        for s, d in found:
+            offer = (combine(state[0][s], cost, level, s, d), state[1][s] + 1, state[2][s], place[s])
+            better = _less(offer, tuple(x[d] for x in state)) & ~np.isnan(cost[d]) & np.isfinite(offer[0])
+            best.append((d[better], *(x[better] for x in offer)))
+        d, *offer = (np.concatenate(x) for x in zip(*best, strict=True))
         by = np.lexsort((*offer[::-1], d))
         d = d[by]
         head = np.flatnonzero(np.append(True, d[1:] != d[:-1])) if len(d) else np.empty(0, np.int64)
@@ -160,6 +157,44 @@ def settle(src: np.ndarray, dst: np.ndarray, state: list[np.ndarray], cost: np.n
             x[front] = y[by[head]]
 
 
+class Versions:
+    """Rows of bricks over rounds: a round writes only the bricks that changed, and a small manifest (a row a changed brick) says which version of a brick counts."""
+
+    MOST = 8  # versions, then they are written as one
+
+    def __init__(self, df: DataFrame, name: str):
+        self.name, self.tables, self.manifest = name, [saved(df, name)], None
+
+    def rows(self, bricks: DataFrame | None = None) -> DataFrame:
+        """The latest rows of all, or of some bricks."""
+        out = None
+        for v, t in enumerate(self.tables):
+            t = t.withColumn("version", F.lit(v))
+            out = t if out is None else out.unionByName(t)
+        if bricks is not None:
+            out = out.join(bricks, "brick", "left_semi")
+        if self.manifest is not None:
+            out = out.join(self.manifest, "brick", "left").where(F.col("version") == F.coalesce("latest", F.lit(0))).drop("latest")
+        return out.drop("version")
+
+    def add(self, df: DataFrame, bricks: DataFrame) -> None:
+        """New rows of some bricks."""
+        new = saved(df, self.name)
+        self.tables.append(new)
+        changed = bricks.select("brick", F.lit(len(self.tables) - 1).alias("latest"))
+        changed = changed if self.manifest is None else changed.unionByName(self.manifest).groupBy("brick").agg(F.max("latest").alias("latest"))
+        before, self.manifest = self.manifest, saved(changed, f"{self.name}-manifest")
+        old = [] if before is None else [before]
+        if len(self.tables) > self.MOST:
+            old += [*self.tables[:-1], self.manifest]
+            # the last version stays by itself: its rows are the ones that are new
+            rest = saved(self.rows().join(bricks, "brick", "left_anti"), self.name)
+            self.tables = [rest, new]
+            self.manifest = saved(bricks.select("brick", F.lit(1).alias("latest")), f"{self.name}-manifest")
+        for t in old:
+            discard(t)
+
+
 ROWS = "brick long, image_id long, t int, z int, y int, x int, object long, cost double, level double, c double, hops long, label long, par long, ghost boolean"
 
 
@@ -175,9 +210,9 @@ def relax(seeds: DataFrame, field: DataFrame, moves: list[tuple[int, ...]], comb
     thing = F.col("object").cast("long").alias("object")
     real = field.select(*VK, thing, F.col("cost").cast("double").alias("cost"), F.col("level").cast("double").alias("level"), none("double").alias("c"), none("long").alias("hops"), none("long").alias("label"), none("long").alias("par"))
     first = seeds.select(*VK, thing, none("double").alias("cost"), none("double").alias("level"), F.col("c").cast("double").alias("c"), F.col("hops").cast("long").alias("hops"), F.col("label").cast("long").alias("label"), F.lit(-1).cast("long").alias("par"))
-    rows = saved(real.unionByName(first), "relax-input")
-    grid = Grid(rows, brick)
-    rows = rows.withColumn("ghost", F.lit(False)).withColumn("brick", grid.own())
+    table = saved(real.unionByName(first), "relax-input")
+    grid = Grid(table, brick)
+    rows = table.withColumn("ghost", F.lit(False)).withColumn("brick", grid.own())
     steps = grid.steps(moves)
 
     def run(batches: Iterator[pa.RecordBatch], start: bool) -> Iterator[pa.RecordBatch]:
@@ -199,8 +234,7 @@ def relax(seeds: DataFrame, field: DataFrame, moves: list[tuple[int, ...]], comb
             own = np.full(n, -1)
             own[row[~t["ghost"].to_numpy()]] = np.flatnonzero(~t["ghost"].to_numpy())
             was = [x.copy() for x in state]
-            src, dst = edges(names, steps)
-            settle(src, dst, state, cost, level, place[at], combine)
+            settle(names, steps, state, cost, level, place[at], combine)
             fresh = np.isfinite(state[0]) if start else _less(tuple(state), tuple(was))
             kept = np.flatnonzero(real)
             out = t.take(pa.array(own[kept])).select(["brick", *VK, "object"])
@@ -210,17 +244,20 @@ def relax(seeds: DataFrame, field: DataFrame, moves: list[tuple[int, ...]], comb
                 out = out.append_column(name, col)
             yield from out.combine_chunks().to_batches(max_chunksize=100_000)
 
-    now = saved(dealt(rows).mapInArrow(lambda b: run(b, True), ROWS + ", fresh boolean"), "relax")
+    state = Versions(dealt(rows).mapInArrow(lambda b: run(b, True), ROWS + ", fresh boolean"), "relax")
+    discard(table)
     while not grid.alone:
-        ghosts = grid.to_neighbours(now.where("fresh").drop("brick", "fresh")).withColumn("ghost", F.lit(True)).withColumn("cost", none("double"))
+        ghosts = grid.to_neighbours(state.tables[-1].where("fresh").drop("brick", "fresh")).withColumn("ghost", F.lit(True)).withColumn("cost", none("double"))
         ghosts = saved(ghosts, "relax-faces")
         if ghosts.isEmpty():
+            discard(ghosts)
             break
-        touched = ghosts.select("brick").distinct()
-        again = now.drop("fresh").join(touched, "brick", "left_semi").unionByName(ghosts)
-        again = dealt(again).mapInArrow(lambda b: run(b, False), ROWS + ", fresh boolean")
-        now = saved(now.join(touched, "brick", "left_anti").withColumn("fresh", F.lit(False)).unionByName(again), "relax")
-    return now.where("c is not null").select(*VK, "object", "c", "hops", "label", "par"), grid
+        touched = saved(ghosts.select("brick").distinct(), "relax-bricks")
+        again = state.rows(touched).drop("fresh").unionByName(ghosts)
+        state.add(dealt(again).mapInArrow(lambda b: run(b, False), ROWS + ", fresh boolean"), touched)
+        discard(ghosts)
+        discard(touched)
+    return state.rows().where("c is not null").select(*VK, "object", "c", "hops", "label", "par"), grid
 
 
 def follow(grid: Grid, pointers: DataFrame, starts: DataFrame, steps: int | None = None) -> DataFrame:

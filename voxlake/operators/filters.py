@@ -7,11 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxlake.operators.dense import convolve, dense_map, running_least
 from voxlake.operators.projections import VK
+from voxlake.plans.scratch import discard, saved
 
 
 def kernel(sigma: float, truncate: float = 4.0) -> list[tuple[int, float]]:
@@ -199,8 +200,6 @@ def signal_patches(vox: DataFrame, value: str, size: int, threshold: float) -> D
 
 def foreground_patches(vox: DataFrame, value: str, size: int, n: int, share: float = 0.4, top: float = 0.999) -> DataFrame:
     """N patches per image, by hash, among those whose maximum exceeds a share of the image's high percentile."""
-    from pyspark.sql import Window
-
     from voxlake.operators.aggregates import percentiles
 
     level = percentiles(vox, value, top, top, ["image_id"]).select("image_id", F.col("p_high").alias("p"))
@@ -295,6 +294,59 @@ def map_objects(vox: DataFrame, f, columns: list[str]) -> DataFrame:
     return vox.groupBy("image_id", "t", "label").applyInPandas(run, schema)
 
 
+def map_objects_in_parts(vox: DataFrame, part, merge, finish, state: str, columns: list[str], brick: tuple[int, int, int] = (64, 256, 256), fan: int = 16) -> DataFrame:
+    """X4 for objects of any size: no task sees more of an object than a brick of it, or `fan` states.
+
+    part(pandas frame of an object's voxels in one brick) -> dict of state columns (a schema); merge(pandas frame of up to fan states) -> dict of
+    the same; finish(dict of the last state) -> dict of numbers.  merge must not depend on which parts meet first.  An object that fails
+    anywhere gets nulls and its first error (by name).
+    """
+    names = [c.strip().split()[0] for c in state.split(",")]
+    keys = ["image_id", "t", "label"]
+    schema = f"image_id long, t int, label long, part long, {state}, error string"
+
+    def step(f, number):
+        def run(rows: pd.DataFrame) -> pd.DataFrame:
+            head = {k: rows[k].iloc[0] for k in keys} | {"part": number(rows)}
+            try:
+                if "error" in rows and rows["error"].notna().any():
+                    return pd.DataFrame([head | dict.fromkeys(names) | {"error": rows["error"].dropna().min()}])
+                return pd.DataFrame([head | f(rows) | {"error": None}])
+            except (ValueError, ArithmeticError, LookupError, np.linalg.LinAlgError) as e:
+                return pd.DataFrame([head | dict.fromkeys(names) | {"error": type(e).__name__}])
+
+        return run
+
+    cells = vox.withColumns({f"b{c}": F.floor(F.col(c) / n) for c, n in zip("zyx", brick, strict=True)})
+    states = cells.groupBy(*keys, "bz", "by", "bx").applyInPandas(step(lambda rows: part(rows.drop(columns=["bz", "by", "bx"])), lambda rows: 0), schema)
+    states = saved(states.drop("part").withColumn("part", F.monotonically_increasing_id()), "object-parts")
+    while True:
+        many = states.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        if many <= 1:
+            break
+        spread = states.withColumn("lane", F.pmod(F.hash("part"), F.lit(1 << 10))) if many > fan << 10 else states.withColumn("lane", F.lit(0))
+        order = Window.partitionBy(*keys, "lane").orderBy("part")
+        numbered = spread.withColumn("meets", F.floor((F.row_number().over(order) - 1) / fan))
+        merged = numbered.groupBy(*keys, "lane", "meets").applyInPandas(step(lambda rows: merge(rows[names]), lambda rows: int(rows["part"].iloc[0])), schema)
+        merged = saved(merged, "object-parts")
+        discard(states)
+        states = merged
+    out = f"image_id long, t int, label long, {', '.join(f'{c} double' for c in columns)}, error string"
+
+    def last(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in parts:
+            done = []
+            for r in rows.to_dict("records"):
+                head = {k: r[k] for k in keys}
+                try:
+                    done.append(head | (dict.fromkeys(columns) | {"error": r["error"]} if r["error"] is not None else finish({n: r[n] for n in names}) | {"error": None}))
+                except (ValueError, ArithmeticError, LookupError, np.linalg.LinAlgError) as e:
+                    done.append(head | dict.fromkeys(columns) | {"error": type(e).__name__})
+            yield pd.DataFrame(done, columns=[*keys, *columns, "error"])
+
+    return states.mapInPandas(last, out)
+
+
 def blocks_to_rows(bricks: DataFrame) -> DataFrame:
     """Bricks (image_id, t, z0, y0, x0, ny, nx, data) to voxels, without background."""
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxlake.functions.scalar import gamma
-from voxlake.operators.bricks import BRICK, Grid, dealt, edges, follow, keys, relax, whole
+from voxlake.operators.bricks import BRICK, Grid, a_step_on, dealt, follow, keys, relax, whole
 from voxlake.operators.filters import gaussian, kernel
 from voxlake.operators.graph import connected_components as components
 from voxlake.operators.graph import roots
@@ -43,9 +43,15 @@ def label_components(vox: DataFrame, connectivity: int = 26, brick: tuple[int, i
             key, once = np.unique(keys([t["image_id"].to_numpy()], grid.number(t), grid.volume), return_index=True)
             t = t.take(pa.array(once)).combine_chunks()
             place, image = grid.number(t), t["image_id"].to_numpy()
-            src, dst = edges(key, steps)
-            me = np.arange(len(key))
-            first = roots(np.concatenate([me, src]), np.concatenate([me, dst]))[1]
+            first = me = np.arange(len(key))
+            for step in steps.tolist():  # direction by direction: a table of all neighbours would be many times the brick
+                src, dst = a_step_on(key, me, step)
+                differ = first[src] != first[dst]
+                nodes, low = roots(first[src[differ]], first[dst[differ]])
+                if len(nodes):
+                    now = me.copy()
+                    now[nodes] = low
+                    first = now[first]
             root = place[first]
             # labels for images of one brick: order of first voxels
             part = keys([image, t["t"].to_numpy()] if by_time else [image], np.zeros(len(key), np.int64), 1)

@@ -162,7 +162,10 @@ def _(spark, d):
     return L.map_overlap(voxels(spark, d).select(*VK), (4, 5, 10), 1, f, "image_id long, z int, y int, x int, around long")
 
 
-@query("x4_map_objects", f"WITH {OV_SQL} SELECT image_id, t, label, CASE WHEN count(*) >= 4 THEN count(*)::DOUBLE END AS size, CASE WHEN count(*) >= 4 THEN round(max(v1) - min(v1), 6) END AS span, CASE WHEN count(*) < 4 THEN 'ValueError' END AS error FROM ov GROUP BY ALL")
+_X4 = f"WITH {OV_SQL} SELECT image_id, t, label, CASE WHEN count(*) >= 4 THEN count(*)::DOUBLE END AS size, CASE WHEN count(*) >= 4 THEN round(max(v1) - min(v1), 6) END AS span, CASE WHEN count(*) < 4 THEN 'ValueError' END AS error FROM ov GROUP BY ALL"
+
+
+@query("x4_map_objects", _X4)
 def _(spark, d):
     def f(part):
         if len(part) < 4:
@@ -172,6 +175,23 @@ def _(spark, d):
     return rounded(L.map_objects(object_voxels(spark, d).select(*VK, "label", "v1"), f, ["size", "span"]))
 
 
+@query("x4_map_objects_in_parts", _X4)
+def _(spark, d):
+    def part(rows):
+        return {"n": len(rows), "low": float(rows.v1.min()), "high": float(rows.v1.max())}
+
+    def merge(states):
+        return {"n": int(states.n.sum()), "low": float(states.low.min()), "high": float(states.high.max())}
+
+    def finish(state):
+        if state["n"] < 4:
+            raise ValueError("too few voxels")
+        return {"size": float(state["n"]), "span": state["high"] - state["low"]}
+
+    vox = object_voxels(spark, d).select(*VK, "label", "v1")
+    return rounded(L.map_objects_in_parts(vox, part, merge, finish, "n long, low double, high double", ["size", "span"], (2, 2, 2), fan=2))
+
+
 @query("x6_blocks_to_rows", f"WITH {P_SQL} SELECT image_id, 0 AS t, 0 AS z, y, x, round(v, 6) AS v FROM p WHERE v <> 0")
 def _(spark, d):
     from voxlake.sources.fixtures import table

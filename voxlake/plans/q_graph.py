@@ -15,6 +15,7 @@ from voxlake.plans.scratch import saved
 from voxlake.sources.fixtures import V_SQL, voxels
 
 VKS = "image_id, t, z, y, x"
+SMALL = (4, 5, 7)  # bricks: eighteen an image, so that rounds cross their faces
 
 
 def _cc_sql(mask: str, connectivity: int, name: str) -> str:
@@ -58,15 +59,24 @@ def _(spark, d):
     return A.filter_components(G.label_components(voxels(spark, d).where("cls >= 2"), 6), 3).select(*VK, "label")
 
 
-@query("g3_grow_labels", f"""WITH RECURSIVE {V_SQL}, {_cc_sql('cls = 1', 26, 's')}, m AS (SELECT {VKS}, image_id * 1400 + z * 200 + y * 20 + x AS id FROM v WHERE cls = 2 AND y % 3 = 0),
+_G3_SQL = f"""WITH RECURSIVE {V_SQL}, {_cc_sql('cls = 1', 26, 's')}, m AS (SELECT {VKS}, image_id * 1400 + z * 200 + y * 20 + x AS id FROM v WHERE cls = 2 AND y % 3 = 0),
   n AS (SELECT {VKS}, id FROM s UNION ALL SELECT {VKS}, id FROM m), e AS (SELECT a.id AS a, b.id AS b FROM n a JOIN m b ON a.image_id = b.image_id AND abs(a.z - b.z) <= 1 AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1),
   g(id, label) USING KEY (id) AS (SELECT id, label FROM s UNION SELECT e.b, max(g.label) FROM g JOIN e ON g.id = e.a LEFT JOIN recurring.g k ON k.id = e.b WHERE k.id IS NULL GROUP BY e.b)
-  SELECT {VKS}, label FROM n JOIN g USING (id)""")
+  SELECT {VKS}, label FROM n JOIN g USING (id)"""
+
+
+@query("g3_grow_labels", _G3_SQL)
 def _(spark, d):
     vox = voxels(spark, d)
     return G.grow_labels(G.label_components(vox.where("cls = 1"), 26), vox.where("cls = 2 and y % 3 = 0")).select(*VK, "label")
 
 
+@query("g3_grow_labels_bricks", _G3_SQL)
+def _(spark, d):
+    vox = voxels(spark, d)
+    return G.grow_labels(G.label_components(vox.where("cls = 1"), 26), vox.where("cls = 2 and y % 3 = 0"), brick=SMALL).select(*VK, "label")
+
+
 _CROSS = [(0, 0, 0), (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)]
 _STEPS = ", ".join(str(d) for d in _CROSS)
 
@@ -93,7 +103,10 @@ _G6 = f"""{V_SQL}, {_SHELL}, {_DEPTH}, v3 AS (SELECT *, -least(sqrt(d2), 4.0) AS
   fl(id, label) USING KEY (id) AS (SELECT id, label FROM s UNION SELECT ti.b, min(fl.label) FROM fl JOIN ti ON fl.id = ti.a LEFT JOIN recurring.fl k ON k.id = ti.b WHERE k.id IS NULL GROUP BY ti.b)"""
 
 
-@query("g6_seeded_split", f"WITH RECURSIVE {_G6} SELECT {VKS}, label FROM v3 JOIN fl USING (id)")
+_G6_SQL = f"WITH RECURSIVE {_G6} SELECT {VKS}, label FROM v3 JOIN fl USING (id)"
+
+
+@query("g6_seeded_split", _G6_SQL)
 def _(spark, d):
     mask = voxels(spark, d).where("cls >= 2")
     deep = G.inside_distance(mask, 4).withColumn("priority", -F.coalesce("distance", F.lit(4.0)))
@@ -101,15 +114,31 @@ def _(spark, d):
     return G.seeded_split(deep, seeds, "priority", 6)
 
 
+@query("g6_seeded_split_bricks", _G6_SQL)
+def _(spark, d):
+    mask = voxels(spark, d).where("cls >= 2")
+    deep = G.inside_distance(mask, 4).withColumn("priority", -F.coalesce("distance", F.lit(4.0)))
+    seeds = G.label_components(deep.where("x % 4 = 0 and z % 2 = 0"), 6)
+    return G.seeded_split(deep, seeds, "priority", 6, SMALL)
+
+
 _G7 = f"""{V_SQL}, {_cc_sql('cls >= 2', 6, 's')}, f AS (SELECT id FROM s QUALIFY row_number() OVER (PARTITION BY image_id, label ORDER BY z + y + x, z, y, x) = 1),
   g(id, hops) USING KEY (id) AS (SELECT id, 0 FROM f UNION SELECT e.b, min(g.hops + 1) FROM g JOIN s_e e ON g.id = e.a LEFT JOIN recurring.g k ON k.id = e.b WHERE k.id IS NULL GROUP BY e.b)"""
 
 
-@query("g7_geodesic", f"WITH RECURSIVE {_G7} SELECT {VKS}, hops FROM s JOIN g USING (id)")
+_G7_SQL = f"WITH RECURSIVE {_G7} SELECT {VKS}, hops FROM s JOIN g USING (id)"
+
+
+@query("g7_geodesic", _G7_SQL)
 def _(spark, d):
     return G.geodesic(G.label_components(voxels(spark, d).where("cls >= 2"), 6))
 
 
+@query("g7_geodesic_bricks", _G7_SQL)
+def _(spark, d):
+    return G.geodesic(G.label_components(voxels(spark, d).where("cls >= 2"), 6), brick=SMALL)
+
+
 @query("g8_geodesic_to_objects", f"""WITH RECURSIVE {_G7}, k AS (SELECT image_id, z, y, x, hops FROM s JOIN g USING (id)), c AS (SELECT image_id, (z * 200 + y * 20 + x)::INT AS label, z, y, x FROM v WHERE cls = 1)
   SELECT c.label, c.image_id, round(sqrt((c.z - k.z) ** 2 + (c.y - k.y) ** 2 + (c.x - k.x) ** 2), 6) AS distance, hops, round(hops * 0.102::DOUBLE, 6) AS geodesic FROM c LEFT JOIN k USING (image_id)
   QUALIFY row_number() OVER (PARTITION BY c.image_id, c.label ORDER BY (c.z - k.z) ** 2 + (c.y - k.y) ** 2 + (c.x - k.x) ** 2, k.z, k.y, k.x) = 1""")
@@ -166,7 +195,10 @@ def _paths_sql(name: str, cost: str, body: str, target: str) -> str:
   {name} AS (SELECT c.image_id, c.t, who % 1000000 AS label, step, c.z, c.y, c.x, c.cost FROM {name}q JOIN {name}c c USING (id) WHERE c.cost <= 20 AND who IN (SELECT who FROM {name}q WHERE id IN (SELECT id FROM {name}e)) AND id NOT IN (SELECT id FROM {name}w))"""
 
 
-@query("g11_greedy_paths", f"WITH RECURSIVE {V_SQL}, {_cc_sql('cls = 1', 26, 's')}, tg AS (SELECT {VKS} FROM v WHERE cls = 3), {_cost_sql('co', 'tg', 's')}, {_paths_sql('gp', 'co', 's', 'tg')} SELECT {VKS}, label, step, round(cost, 4) AS cost FROM gp")
+_G11_SQL = f"WITH RECURSIVE {V_SQL}, {_cc_sql('cls = 1', 26, 's')}, tg AS (SELECT {VKS} FROM v WHERE cls = 3), {_cost_sql('co', 'tg', 's')}, {_paths_sql('gp', 'co', 's', 'tg')} SELECT {VKS}, label, step, round(cost, 4) AS cost FROM gp"
+
+
+@query("g11_greedy_paths", _G11_SQL)
 def _(spark, d):
     vox = saved(voxels(spark, d), "v")
     spines = saved(G.label_components(vox.where("cls = 1"), 26), "spines")
@@ -174,6 +206,14 @@ def _(spark, d):
     return rounded(G.greedy_paths(cost, spines, vox.where("cls = 3")).select(*VK, "label", "step", "cost"), 4)
 
 
+@query("g11_greedy_paths_bricks", _G11_SQL)
+def _(spark, d):
+    vox = saved(voxels(spark, d), "v")
+    spines = saved(G.label_components(vox.where("cls = 1"), 26), "spines")
+    cost = G.path_cost_field(spines, vox.where("cls = 3"), vox, "v1")
+    return rounded(G.greedy_paths(cost, spines, vox.where("cls = 3"), brick=SMALL).select(*VK, "label", "step", "cost"), 4)
+
+
 def _grow_sql(name: str, seeds: str, mask: str) -> str:
     """CTEs up to name(VKS, label): G3 of seeds(VKS, label) through mask."""
     number = "image_id * 1400 + z * 200 + y * 20 + x"
@@ -210,7 +250,10 @@ _MIDLINE = f"""{V_SQL}, {_SHELL}, {_DEPTH}, {_cc_sql('cls >= 2', 6, 's')}, gk(k,
   l AS MATERIALIZED (SELECT {VKS}, label, rest * (1 - 2 * g) + 0.1 * g AS cost, id, z * 200 + y * 20 + x AS place FROM pu), st AS MATERIALIZED (SELECT image_id, label, a, b FROM tp), {_WALK}"""
 
 
-@query("g13_least_cost_path", f"WITH RECURSIVE {_G13} SELECT l.image_id, l.t, l.label, step, l.z, l.y, l.x FROM wk JOIN l USING (id)")
+_G13_SQL = f"WITH RECURSIVE {_G13} SELECT l.image_id, l.t, l.label, step, l.z, l.y, l.x FROM wk JOIN l USING (id)"
+
+
+@query("g13_least_cost_path", _G13_SQL)
 def _(spark, d):
     label = (F.floor(F.col("y") / 5) * 4 + F.floor(F.col("x") / 5) + 1).cast("long")  # objects that touch
     vox = saved(voxels(spark, d).where("cls >= 2").withColumn("label", label).withColumn("cost", 1.0 + (F.col("z") * 7 + F.col("y") * 3 + F.col("x")) % 5), "objects")
@@ -219,6 +262,15 @@ def _(spark, d):
     return G.least_cost_path(vox, *ends)
 
 
+@query("g13_least_cost_path_bricks", _G13_SQL)
+def _(spark, d):
+    label = (F.floor(F.col("y") / 5) * 4 + F.floor(F.col("x") / 5) + 1).cast("long")  # objects that touch
+    vox = saved(voxels(spark, d).where("cls >= 2").withColumn("label", label).withColumn("cost", 1.0 + (F.col("z") * 7 + F.col("y") * 3 + F.col("x")) % 5), "objects")
+    by = ["image_id", "t", "label"]
+    ends = [vox.groupBy(*by).agg(f(F.struct("z", "y", "x")).alias("p")).select(*by, "p.*") for f in (F.min, F.max)]
+    return G.least_cost_path(vox, *ends, SMALL)
+
+
 @query("g13_midline", f"WITH RECURSIVE {_MIDLINE} SELECT l.image_id, l.t, l.label, step, l.z, l.y, l.x FROM wk JOIN l USING (id)")
 def _(spark, d):
     vox = saved(G.label_components(voxels(spark, d).where("cls >= 2"), 6), "objects")
