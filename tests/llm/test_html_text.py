@@ -61,6 +61,27 @@ def test_page_shapes():
     assert say(f"<main><div class='entry'><h2>Q</h2>{BODY}{table}<blockquote>Said so.</blockquote><pre>x = 1</pre><dl><dt>A</dt><dd>B</dd></dl></div><div class='newsletter'><p>Get our letter, weekly.</p></div></main>") == "\n".join(["Q", *P, "Year", "Sum", "1999", "12", "Said so.", "x = 1", "A", "B"])
 
 
+def test_names_are_no_verdict_on_a_whole_page():
+    say, lines = html_text.extract_one, "\n".join(P)
+    for name in ("tags-and-links", "comment-article", "widget", "related", "banner", "rail", "discussion", "alert"):
+        assert say(f"<body><div class='{name}'>{BODY}</div></body>") == lines, name
+        assert say(f"<body><nav>{MENU}</nav><div class='{name}'><div class='promo'>{BODY}</div></div><footer>x</footer></body>") == lines, name
+    assert say(f"<body><div class='sidebar'><p>Side, bar.</p></div><div class='widget'>{BODY}</div></body>") == lines
+    assert say(f"<body><article>{BODY}</article><div class='comments'>{BODY}{BODY}{BODY}</div></body>") == lines  # many comments are still comments
+
+
+def test_readers_notices_and_rails():
+    say, lines = html_text.extract_one, "\n".join(P)
+    talk = "<p>I disagree, reader one said so.</p>"
+    for name in ("discussion", "user-reviews", "responses", "feedback"):
+        assert say(f"<article>{BODY}<section class='{name}'>{talk}</section></article>") == lines, name
+        assert say(f"<main>{BODY}<div class='{name}'>{talk}</div></main>") == lines, name
+    assert say(f"<article>{BODY}<section class='discussion'><h2>Discussion</h2><p>We find that, so far, all is well.</p></section></article>") == lines + "\nDiscussion\nWe find that, so far, all is well."
+    assert say(f"<main><div class='alert'>This page will be offline on Sunday.</div>{BODY}</main>") == lines
+    assert say(f"<body><div><div class='rail'><p>Beside, the content.</p></div><div class='story'>{BODY}</div></div></body>") == lines
+    assert say(f"<article><p>Let <math><mi>x</mi><mo>+</mo><mn>1</mn><annotation encoding='tex'>x+1</annotation></math> be odd.</p>{BODY}</article>") == "Let x+1 be odd.\n" + lines
+
+
 def test_very_long_text():
     text = "long words, " * 100_000
     assert html_text.extract_one(f"<nav>x</nav><article><p>{text}</p></article>") == text.strip()

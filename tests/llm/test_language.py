@@ -16,13 +16,54 @@ def test_held_out_accuracy(spark):
 
 def test_backoff_and_odd_rows(spark):
     rows = [(i, "the cat sat on the mat with a hat", "en") for i in range(1, 40)] + [(i, "der hund und die katze", "de") for i in range(40, 80)]
-    rows += [(100, None, "en"), (101, "123 !!", "de"), (102, "", None), (None, "der", "de"), (103, "hundekatze", None), (103, "thecat", None), (104, "katze " * 50_000, None)]
+    rows += [(100, None, "en"), (101, "123 !!", "de"), (102, "", None), (None, "der", "de"), (103, "hundekatze", None), (103, "thecat", None), (104, "katze " * 50_000, None), (105, "½ ² Ⅷ ٣ _", None), (106, "²der½hund²", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "1 as score", "2 as held_out")
     got = language.identify(df).collect()
     assert len(got) == len(rows)
     by = {r.doc_id: r for r in got}
-    assert [by[i].lang_pred for i in (100, 101, 102)] == ["und"] * 3 and by[104].lang_pred == "de"
+    assert [by[i].lang_pred for i in (100, 101, 102, 105)] == ["und"] * 4 and by[106].lang_pred == "de" and by[104].lang_pred == "de"
     assert sorted(r.lang_pred for r in got if r.doc_id == 103) == ["de", "en"]
     assert {r.lang_pred for r in language.identify(df.withColumn("lang", df.lang.substr(9, 1)).where("doc_id < 0")).collect()} == set()
     from pyspark.sql import functions as F
     assert {r.lang_pred for r in language.identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+
+
+def test_letters_by_category():
+    import sys
+    import unicodedata
+
+    for c in map(chr, range(sys.maxunicode + 1)):
+        if not 0xD800 <= ord(c) <= 0xDFFF:
+            assert bool(language.words_of(c)) == unicodedata.category(c).startswith("L"), hex(ord(c))
+
+
+def test_scores_by_definition(spark):
+    """Predictions equal a plain version: words by their row of the table, else the longest known n-gram at every position; ties go to the first language."""
+    rows = [(i, t, g) for i, (t, g) in enumerate([("the cat sat on the mat", "en"), ("der hund und die katze", "de"), ("le chat et le chien", "fr")] * 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df)
+    texts = ["the cats", "der hunde katze", "le chiens et", "qqq", "the der le", "catkatze chien"]
+
+    def score(text):
+        total = np.zeros(len(model.langs))
+        words = text.lower().split()
+        for w in words:
+            if w in model.words:
+                total += model.table[model.words[w]]
+                continue
+            found, edged = [], f"<{w}>"
+            for i in range(len(edged)):
+                g = next((edged[i : i + n] for n in (5, 4, 3, 2, 1) if i + n <= len(edged) and edged[i : i + n] in model.grams), None)
+                if g is not None:
+                    found.append(model.gram_table[model.grams[g]])
+            if found:
+                total += np.mean(found, axis=0)
+        odds = np.exp((total - total.max()) / len(words) ** language.DAMP)
+        return model.langs[int(total.argmax())], 1 / odds.sum()
+
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, t in enumerate(texts):
+        lang, s = score(t)
+        assert got[i][0] == lang and abs(got[i][1] - s) < 1e-9
+    blind = language.Model(["de", "en"], {}, np.empty((0, 2)), {}, np.empty((0, 2)))
+    assert blind.predict(np.frombuffer(b"qqq", np.uint8), np.array([0, 3])) == (["de"], [0.5])  # a tie

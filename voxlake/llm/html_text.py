@@ -6,7 +6,8 @@ points is kept; if it lies in an article (or else main), the outermost is kept a
 blocks are no link lists, with the siblings of that which score alike or read like text; but for blocks beside the best container that are mostly
 links, or copyright lines.  Subtrees that are never content (scripts, styles, forms, navigation, headers and footers of the page, asides, and
 classes or ids that name menus, adverts, notices, comments and the like) are dropped first; inside an article names that content may have as well
-(related, social, share, ...) count only for parts that are links or hold no sentence.
+(related, social, share, ...) count only for parts that are links or hold no sentence, and parts named discussion, reviews and the like go unless
+they have a heading.  A part that its name alone drops comes back where hardly any text (a fifth) would be left without it.
 
 Inside the kept part each block's white space becomes one space; blocks are joined by newlines.  Character references are decoded.  Null and
 empty pages, and pages without text, give an empty text.  Rows are independent: null or repeated page_ids and extra columns
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 #: HTML's elements by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select canvas audio video".split())
+RAW = frozenset("script style noscript template textarea title iframe svg annotation annotation-xml select canvas audio video".split())
 DROPPED = frozenset("nav aside form button menu dialog fieldset head footer".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 SCORED = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6".split())
@@ -33,9 +34,11 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HOLDERS = frozenset("div dl ol section table ul".split())
 ENDS_P = BLOCKS - {"body", "html"}
 #: Words in classes and ids of parts that are not content, and of parts that are.
-UNLIKELY = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|comment-?list|consent|cookies?|disqus|footer|gdpr|header|login|masthead|menu|modal|nav\w*|newsletter|notice|paywall|pager|pagination|popup|promo\w*|recommend\w*|related|replies|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|subscription|tags|teaser|toolbar|widget)(?:$|[\s_-])", re.I)
+UNLIKELY = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|alert|banner|breadcrumbs?|comments?|comment-?list|consent|cookies?|disqus|footer|gdpr|header|login|masthead|menu|modal|nav\w*|newsletter|notice|paywall|pager|pagination|popup|promo\w*|rail|recommend\w*|related|replies|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|subscription|tags|teaser|toolbar|widget)(?:$|[\s_-])", re.I)
 DOUBTFUL = re.compile(r"(?:^|[\s_-])(?:header|recommend\w*|related|replies|share|sharing|social|tags|teaser|widget)(?:$|[\s_-])", re.I)
 LIKELY = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|page|post|story|text)(?:$|[\s_-])", re.I)
+#: Names of reader comments that chapters have as well: a part with a heading is a chapter.
+VOICES = re.compile(r"(?:^|[\s_-])(?:discussions?|feedback|responses|reviews?)(?:$|[\s_-])", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*(?:>|$)|<\?[^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
@@ -46,10 +49,10 @@ _RIGHTS = re.compile(r"^\s*(?:©|\(c\)\s|copyright\b)|all rights reserved", re.I
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "dropped", "doubt", "inner", "weight", "points", "text", "linked")
+    __slots__ = ("tag", "parent", "items", "dropped", "doubt", "named", "inner", "weight", "points", "text", "linked")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, weight: float = 0.0, doubt: bool = False):
-        self.tag, self.parent, self.dropped, self.weight, self.doubt = tag, parent, dropped, weight, doubt
+    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, weight: float = 0.0, doubt: bool = False, named: bool = False):
+        self.tag, self.parent, self.dropped, self.weight, self.doubt, self.named = tag, parent, dropped, weight, doubt, named
         self.inner = tag in ("article", "main") or parent is not None and parent.inner  # inside an article
         self.items: list = []
         self.points, self.text, self.linked = 0.0, 0, 0
@@ -59,28 +62,28 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)}
 
 
-def _judge(tag: str, source: str, inside: Node) -> tuple[bool, float, bool]:
-    """Whether a subtree is dropped, how far its class and id speak for content, and whether they leave it in doubt."""
+def _judge(tag: str, source: str, inside: Node) -> tuple[bool, float, bool, bool]:
+    """Whether a subtree is dropped, how far its class and id speak for content, whether they leave it in doubt, and whether they alone drop it."""
     if tag in DROPPED:
-        return True, 0, False
+        return True, 0, False, False
     if tag == "header":
         node: Node | None = inside
         while node is not None and node.tag not in ("article", "main", "section"):
             node = node.parent
         if node is None:
-            return True, 0, False
+            return True, 0, False, False
     weight = 25.0 if tag in ("article", "main") else 0.0
     if not source:
-        return False, weight, False
+        return False, weight, False, False
     a = _attributes(source)
     if "hidden" in a or a.get("aria-hidden") == "true" or a.get("role", "").lower() in ROLES or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", ""), re.I):
-        return True, 0, False
+        return True, 0, False, False
     names = f"{a.get('class', '')} {a.get('id', '')}"
     likely = bool(LIKELY.search(names))
     if UNLIKELY.search(names) and tag not in ("body", "html", "article", "main") and not (likely and tag in ("section", "div") and "comment" not in names.lower()):
         strong = UNLIKELY.search(DOUBTFUL.sub(" ", DOUBTFUL.sub(" ", names)))
-        return (True, 0, False) if strong or not inside.inner else (False, weight, True)
-    return False, weight + 25.0 * likely, False
+        return (True, 0, False, True) if strong or not inside.inner else (False, weight, True, False)
+    return False, weight + 25.0 * likely, False, tag in ("section", "div", "ul", "ol") and bool(VOICES.search(names))
 
 
 def parse(html: str) -> Node:
@@ -120,8 +123,8 @@ def parse(html: str) -> Node:
             continue
         if m[3].endswith("/") and tag not in BLOCKS:
             continue
-        dropped, weight, doubt = (False, 0.0, False) if tag not in BLOCKS and not m[3] and tag not in DROPPED else _judge(tag, m[3], node)
-        child = Node(tag, node, dropped, weight, doubt)
+        dropped, weight, doubt, named = (False, 0.0, False, False) if tag not in BLOCKS and not m[3] and tag not in DROPPED else _judge(tag, m[3], node)
+        child = Node(tag, node, dropped, weight, doubt, named)
         node.items.append(child)
         node = child
     return top
@@ -230,8 +233,46 @@ def _measure(nodes: list[Node]) -> dict[int, int]:
     return commas
 
 
+def _weigh_names(top: Node) -> None:
+    """Names are no verdict on most of a page: the largest part that its name alone drops comes back where hardly any text is left without it.
+
+    Parts named like reader comments that chapters have as well go unless they have a heading or are most of the page."""
+    order, stack = [], [(top, False)]
+    while stack:
+        node, gone = stack.pop()
+        gone = gone or node.dropped
+        order.append((node, gone))
+        stack += [(x, gone) for x in node.items if isinstance(x, Node) and (not x.dropped or x.named)]
+    size: dict[int, int] = {}
+    heads: set[int] = set()
+    for node, _ in reversed(order):
+        size[id(node)] = size.get(id(node), 0) + sum(len(x.strip()) for x in node.items if isinstance(x, str))
+        if node.parent is not None:
+            size[id(node.parent)] = size.get(id(node.parent), 0) + size[id(node)]
+            if node.tag in HEADINGS or id(node) in heads:
+                heads.add(id(node.parent))
+    total = size[id(top)]
+    for node, gone in order:
+        if node.named and not node.dropped and not gone and id(node) not in heads and 2 * size[id(node)] < total:
+            node.dropped = True
+    while True:
+        lost = [n for n, _ in order if n.named and n.dropped and not _inside_dropped(n)]
+        most = max(lost, key=lambda n: size[id(n)], default=None)
+        if most is None or size[id(most)] <= 4 * (total - sum(size[id(n)] for n in lost)):
+            return
+        most.dropped = False
+
+
+def _inside_dropped(node: Node) -> bool:
+    other = node.parent
+    while other is not None and not other.dropped:
+        other = other.parent
+    return other is not None
+
+
 def best(top: Node) -> list[Node]:
     """The best container and its kept siblings, in page order."""
+    _weigh_names(top)
     nodes = _walk(top)
     commas = _measure(nodes)
     doubts = [n for n in nodes if n.doubt and not (n.linked < 0.25 * n.text and _ENDS.search(_text(n)))]

@@ -37,6 +37,14 @@ DAMP = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def words_of(text: str) -> list[str]:
+    """Runs of letters; number signs that Python counts among word characters (general category N) part them."""
+    out = _WORD.findall(text)
+    if all(map(str.isalpha, out)):
+        return out
+    return [w for x in out for w in "".join(c if c.isalpha() else " " for c in x).split()]
+
+
 def grams(word: str, n: int) -> list[str]:
     w = f"<{word}>"
     return [w[i : i + n] for i in range(len(w) - n + 1)]
@@ -73,7 +81,7 @@ class Model:
 
     def _run(self, run: str) -> np.ndarray:
         """Of a run of letters: the sum over its words, and their number."""
-        found = _WORD.findall(run.lower())
+        found = words_of(run.lower())
         if len(found) == 1:
             return np.append(self.of(found[0]), 1.0)
         return np.append(sum((self.of(w) for w in found), np.zeros(len(self.langs))), float(len(found)))
@@ -121,7 +129,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for w, n in Counter(_WORD.findall(text.lower())).items():
+            for w, n in Counter(words_of(text.lower())).items():
                 own = words.setdefault((lang, w), [0, 0])
                 own[0] += n
                 own[1] += 1
