@@ -200,3 +200,28 @@ def test_running_sums_over_partitions(spark):
             run += n
             assert got[g, v] == (run, total, *last)
             last = (v, run)
+
+
+@pytest.mark.parametrize("n_in, n_out", [(8, 12), (8, 3), (50, 50), (1, 4), (2, 5), (60, 7), (33, 90)])
+def test_resampling_weights(n_in, n_out):
+    """Spline weights equal those of the dense inverse of the collocation matrix; lines add up to one; long axes have few weights a line."""
+    fold = lambda i: np.where(np.mod(i, 2 * n_in) < n_in, np.mod(i, 2 * n_in), 2 * n_in - 1 - np.mod(i, 2 * n_in))
+    dense, at = np.zeros((n_in, n_in)), np.arange(n_in)
+    for k, v in ((-1, 1 / 6), (0, 4 / 6), (1, 1 / 6)):
+        np.add.at(dense, (at, fold(at + k)), v)
+    for smooth in (False, True):
+        w, x = np.zeros((n_out, n_in)), (np.arange(n_out) + 0.5) * n_in / n_out - 0.5
+        for k in (-1, 0, 1, 2):
+            d = np.abs(x - (np.floor(x).astype(int) + k))
+            np.add.at(w, (np.arange(n_out), fold(np.floor(x).astype(int) + k)), np.where(d < 1, 2 / 3 - d**2 + d**3 / 2, np.maximum(2 - d, 0) ** 3 / 6))
+        w = w @ np.linalg.inv(dense)
+        if smooth and n_out < n_in:
+            blur = np.zeros((n_in, n_in))
+            for k, v in L.kernel((n_in / n_out - 1) / 2):
+                np.add.at(blur, (at, fold(at + k)), v)
+            w = w @ blur
+        got = np.zeros((n_out, n_in))
+        for o, i, v in L.axis_weights(n_in, n_out, 3, smooth):
+            got[o, i] = v
+        assert np.abs(got - w).max() < 1e-11 and np.allclose(got.sum(1), 1, atol=1e-9)
+    assert len(L.axis_weights(4000, 4000, 3)) < 60 * 4000

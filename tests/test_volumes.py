@@ -345,3 +345,14 @@ def test_objects_in_parts(spark):
         got = {r.label: (r.mean, r.error) for r in L.map_objects_in_parts(vox, part, merge, finish, "n long, total double", ["mean"], (3, 3, 4), fan).collect()}
         assert got == {1: (5.5, None), 2: (10.0, None), 3: (None, "LookupError")}
     assert L.map_objects_in_parts(vox.limit(0), part, merge, finish, "n long, total double", ["mean"]).collect() == []
+
+
+def test_components_with_columns_and_least_size(spark):
+    """carry and least equal a join and a filter afterwards, with images of one and of many bricks."""
+    rng = np.random.default_rng(12)
+    vox = volume(spark, np.argwhere(rng.random((6, 9, 11)) < 0.3).tolist()).unionByName(volume(spark, np.argwhere(rng.random((5, 9, 9)) < 0.2).tolist(), image=7))
+    vox = vox.withColumn("v", F.col("x") * 0.5 + F.col("z")).withColumn("root", F.lit("r"))
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    want = key(A.filter_components(G.label_components(vox, 6), 3).select(*VK, "label").join(vox.select(*VK, "v"), VK).select(*VK, "v", "label"))
+    for brick in ((64, 256, 256), (3, 4, 5)):
+        assert key(G.label_components(vox, 6, brick, carry=("v",), least=3)) == want

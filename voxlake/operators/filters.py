@@ -38,20 +38,24 @@ def gaussian(vox: DataFrame, value: str, sigma: dict[str, float], keys: list[str
     return dense_map(vox, [value], keys, {axis: t[-1][0] for axis, t in taps.items()}, blur, [value])
 
 
-def _spline_weights(n: int) -> np.ndarray:
-    """Coefficients of the cubic B-spline that goes through n values, mirrored about the edges of the first and last."""
-    at = np.arange(n)
-    collocation = np.zeros((n, n))
-    for k, w in ((-1, 1 / 6), (0, 4 / 6), (1, 1 / 6)):
-        np.add.at(collocation, (at, _mirror(at + k, n)), w)
-    return np.linalg.inv(collocation)
-
-
 def _mirror(i: np.ndarray, n: int) -> np.ndarray:
     i = np.mod(i, 2 * n)
     return np.where(i < n, i, 2 * n - 1 - i)
 
 
+#: Coefficients of the cubic B-spline through values: the inverse of the taps 1/6, 4/6, 1/6 decays by its pole at every step, so 28 on each side are exact to 1e-15.
+_POLE = math.sqrt(3) - 2
+_SPLINE = [(k, -6 * _POLE / (1 - _POLE**2) * _POLE ** abs(k)) for k in range(-28, 29)]
+
+
+def _spread_taps(out: np.ndarray, source: np.ndarray, w: np.ndarray, taps: list[tuple[int, float]], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights (out, source, w) after a symmetric filter of the source, mirrored about its edges; as many per line as the taps reach."""
+    k, v = (np.array(x) for x in zip(*taps, strict=True))
+    place = (out[:, None] * n + _mirror(source[:, None] + k, n)).ravel()
+    names, which = np.unique(place, return_inverse=True)
+    return names // n, names % n, np.bincount(which, weights=(w[:, None] * v).ravel())
+
+
 def axis_weights(n_in: int, n_out: int, order: int, anti_alias: bool = False) -> list[tuple[int, int, float]]:
     """(out, in, weight) of nearest (0), linear (1) or cubic B-spline (3) resampling with centres aligned and mirrored edges.
 
@@ -59,21 +63,19 @@ def axis_weights(n_in: int, n_out: int, order: int, anti_alias: bool = False) ->
     """
     rows = []
     if order == 3 or anti_alias and n_out < n_in:
-        w, at = np.zeros((n_out, n_in)), (np.arange(n_out) + 0.5) * n_in / n_out - 0.5
-        low = np.floor(at).astype(int)
-        for k in (-1, 0, 1, 2):
-            d = np.abs(at - (low + k))
-            cubic = np.where(d < 1, 2 / 3 - d**2 + d**3 / 2, np.maximum(2 - d, 0) ** 3 / 6)
-            part = cubic if order == 3 else np.maximum(0.0, 1 - d) if order == 1 else (np.floor(at + 0.5) == low + k).astype(float)
-            np.add.at(w, (np.arange(n_out), _mirror(low + k, n_in)), part)
+        at = (np.arange(n_out) + 0.5) * n_in / n_out - 0.5
+        low, k = np.floor(at).astype(int)[:, None], np.array([-1, 0, 1, 2])
+        d = np.abs(at[:, None] - (low + k))
+        cubic = np.where(d < 1, 2 / 3 - d**2 + d**3 / 2, np.maximum(2 - d, 0) ** 3 / 6)
+        w = cubic if order == 3 else np.maximum(0.0, 1 - d) if order == 1 else (np.floor(at[:, None] + 0.5) == low + k).astype(float)
+        out, source = np.repeat(np.arange(n_out), 4), _mirror(low + k, n_in).ravel()
+        out, source, w = out[w.ravel() != 0], source[w.ravel() != 0], w.ravel()[w.ravel() != 0]
         if order == 3:
-            w = w @ _spline_weights(n_in)
+            out, source, w = _spread_taps(out, source, w, _SPLINE, n_in)
         if anti_alias and n_out < n_in:
-            blur = np.zeros((n_in, n_in))
-            for k, v in kernel((n_in / n_out - 1) / 2):
-                np.add.at(blur, (np.arange(n_in), _mirror(np.arange(n_in) + k, n_in)), v)
-            w = w @ blur
-        return [(int(o), int(i), float(w[o, i])) for o, i in zip(*np.nonzero(np.abs(w) > 1e-12), strict=True)]
+            out, source, w = _spread_taps(out, source, w, kernel((n_in / n_out - 1) / 2), n_in)
+        keep = np.abs(w) > 1e-12
+        return list(zip(out[keep].tolist(), source[keep].tolist(), w[keep].tolist(), strict=True))
     for o in range(n_out):
         at = (o + 0.5) * n_in / n_out - 0.5
         if order == 0:

@@ -25,16 +25,19 @@ from voxlake.operators.projections import VK
 from voxlake.plans.scratch import discard, saved
 
 
-def label_components(vox: DataFrame, connectivity: int = 26, brick: tuple[int, int, int] = BRICK, grid: Grid | None = None) -> DataFrame:
+def label_components(vox: DataFrame, connectivity: int = 26, brick: tuple[int, int, int] = BRICK, grid: Grid | None = None, carry: tuple[str, ...] = (), least: int = 1) -> DataFrame:
     """Instance labels 1, 2, ... of each image in raster order (of each image and time, below 80-connectivity).
 
     A task joins what touches inside its bricks.  Where every image is one brick that is all; else pairs across brick faces are found
     by an equi-join of face voxels, and the components of that (much smaller) graph of local roots give the labels.
-    grid: sizes that are known to hold all voxels, of a table that lies in files; without it the voxels are written first.
+    grid: sizes that are known to hold all voxels, of a table that lies in files; without it the voxels are written first.  carry: columns that
+    stay with their voxels (of voxels that repeat, one row's).  least: smaller components get no label and no rows.
     """
+    vox = vox.select(*VK, *carry)
     if grid is None:
-        vox = saved(vox.select(*VK), "voxels")
+        vox = saved(vox, "voxels")
         grid = Grid(vox, brick)
+    extra = "".join(f", {c} {k}" for c, k in vox.dtypes if c in carry)
     half = [d for d in offsets(connectivity) if d > (0,) * len(d)]
     steps, by_time = grid.steps(half), connectivity != 80
 
@@ -55,14 +58,17 @@ def label_components(vox: DataFrame, connectivity: int = 26, brick: tuple[int, i
             root = place[first]
             # labels for images of one brick: order of first voxels
             part = keys([image, t["t"].to_numpy()] if by_time else [image], np.zeros(len(key), np.int64), 1)
-            names, which = np.unique(part * grid.volume + root, return_inverse=True)
-            group = names // grid.volume
-            rank = np.arange(len(names)) - np.searchsorted(group, group) + 1
-            yield from t.select(VK).append_column("root", pa.array(root)).append_column("label", pa.array(rank[which])).to_batches()
-
-    keyed = dealt(vox.select(*VK).withColumn("brick", grid.own())).mapInArrow(local, "image_id long, t int, z int, y int, x int, root long, label long")
+            names, which, size = np.unique(part * grid.volume + root, return_inverse=True, return_counts=True)
+            large = size >= least if grid.alone else np.ones(len(size), bool)
+            group, number = names // grid.volume, np.cumsum(large)
+            first = np.searchsorted(group, group)
+            rank = number - number[first] + large[first]
+            t = t.select([*VK, *carry]).append_column("root", pa.array(root)).append_column("label", pa.array(rank[which]))
+            yield from (t if large.all() else t.filter(pa.array(large[which])).combine_chunks()).to_batches()
+
+    keyed = dealt(vox.withColumn("brick", grid.own())).mapInArrow(local, f"image_id long, t int, z int, y int, x int{extra}, root long, label long")
     if grid.alone:
-        return keyed.select(*VK, "label")
+        return keyed.select(*VK, *carry, "label")
     keyed = saved(keyed.drop("label"), "components")
     images = keyed.agg(F.min("image_id").alias("a"), F.max("image_id").alias("b")).first()
     if max(abs(images["a"] or 0), abs(images["b"] or 0)) * grid.volume < 1 << 62:
@@ -76,10 +82,10 @@ def label_components(vox: DataFrame, connectivity: int = 26, brick: tuple[int, i
         face |= (F.col(c) % n == 0) | (F.col(c) % n == n - 1)
     across = neighbours(keyed.where(face), connectivity, half=True, carry=("root",)).where("root <> n_root")
     parts = components(across, "root", "n_root").withColumnRenamed("node", "root")
-    named = keyed.join(parts, "root", "left").select(*VK, F.coalesce("component", "root").alias("first"))
+    named = keyed.join(parts, "root", "left").select(*VK, *carry, F.coalesce("component", "root").alias("first"))
     by = ["image_id", "t"] if by_time else ["image_id"]
-    ranks = named.select(*by, "first").distinct().withColumn("label", F.row_number().over(Window.partitionBy(*by).orderBy("first")).cast("long"))
-    return named.join(ranks, [*by, "first"]).select(*VK, "label")
+    ranks = named.groupBy(*by, "first").agg(F.count("*").alias("n")).where(F.col("n") >= least).drop("n").withColumn("label", F.row_number().over(Window.partitionBy(*by).orderBy("first")).cast("long"))
+    return named.join(ranks, [*by, "first"]).select(*VK, *carry, "label")
 
 
 def _flood(seeds: DataFrame, mask: DataFrame, connectivity: int, label: Column, brick: tuple[int, int, int]) -> DataFrame:

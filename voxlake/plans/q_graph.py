@@ -298,11 +298,10 @@ def spine_density(spark, d):
     """The flagship: components, filters, measures, nearest dendrite, summary."""
     vox = saved(voxels(spark, d), "v")
     grid = G.Grid(vox)
-    spines = G.label_components(vox.where("cls = 1"), 26, grid=grid)
-    labelled = saved(G.label_components(vox.where("cls >= 2"), 6, grid=grid), "dendrites")
-    dendrites = A.filter_components(labelled, 3).select(*VK, F.col("label").alias("dendrite_id"))
-    dendrites = saved(dendrites, "kept-dendrites")
-    props = A.region_props(spines.join(vox.select(*VK, "v1"), VK), "v1")
+    spines = G.label_components(vox.where("cls = 1"), 26, grid=grid, carry=("v1",))
+    dendrites = G.label_components(vox.where("cls >= 2"), 6, grid=grid, least=3)
+    dendrites = saved(dendrites.withColumnRenamed("label", "dendrite_id"), "dendrites")
+    props = A.region_props(spines, "v1")
     kept = saved(P.filter_by_volume(props, 1, 60).select("image_id", "label", "area", *[F.round(f"centroid_{c}", 4).alias(c) for c in "zyx"], F.round("mean_int", 4).alias("mean_int")), "kept-spines")
     near = J.nearest_point(kept, dendrites, ["label"], ["dendrite_id"], max_dist=4.0).where("distance is not null")
     stats = dendrites.groupBy("image_id", "dendrite_id").agg(F.count_if(F.col("x") % 2 == 0).alias("length"), F.count("*").alias("volume"))
