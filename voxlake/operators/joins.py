@@ -196,7 +196,7 @@ def distance_coarse(vox: DataFrame, targets: DataFrame, shape: tuple[int, int, i
     corners = saved(corners, "corners")
     asked = corners.select("image_id", "t", *[F.col(f"s{c}").alias(c) for c in "zyx"]).distinct()
     known = distance_to(asked, coarse).select("image_id", "t", *[F.col(c).alias(f"s{c}") for c in "zyx"], "distance")
-    found = corners.join(known, ["image_id", "t", "sz", "sy", "sx"]).groupBy(*VK).agg(F.rint(F.sum(F.col("w") * F.col("distance")) * scale).alias("distance"))
+    found = corners.join(known, ["image_id", "t", "sz", "sy", "sx"]).groupBy(*VK).agg(F.rint(F.round(F.sum(F.col("w") * F.col("distance")) * scale, 9)).alias("distance"))
     return vox.join(found, VK, "left")
 
 

@@ -189,7 +189,7 @@ def _(spark, d):
         return {"size": float(state["n"]), "span": state["high"] - state["low"]}
 
     vox = object_voxels(spark, d).select(*VK, "label", "v1")
-    return rounded(L.map_objects_in_parts(vox, part, merge, finish, "n long, low double, high double", ["size", "span"], (2, 2, 2), fan=2))
+    return rounded(L.map_objects_in_parts(vox, part, merge, finish, "n long, low double, high double", ["size", "span"], (4, 3, 4), fan=2))
 
 
 @query("x6_blocks_to_rows", f"WITH {P_SQL} SELECT image_id, 0 AS t, 0 AS z, y, x, round(v, 6) AS v FROM p WHERE v <> 0")

@@ -76,7 +76,7 @@ def _coarse_sql(shape: tuple[int, int, int], small: tuple[int, int, int], scale:
     axis = " ".join(f", c{c} AS (SELECT i AS {c}, least({m - 1}, greatest(0, floor(a)::INT + k)) AS s{c}, CASE k WHEN 0 THEN 1 - (a - floor(a)) ELSE a - floor(a) END AS w{c} FROM (SELECT i, (i + 0.5) * {m} / {n}::DOUBLE - 0.5 AS a FROM (SELECT unnest(range({n}))::INT AS i)), (SELECT unnest([0, 1]) AS k))" for c, n, m in zip("zyx", shape, small, strict=True))
     return f"""g AS (SELECT * FROM {cells}), aim AS (SELECT DISTINCT v.image_id, s.z, s.y, s.x FROM g s JOIN v ON {nearest} WHERE cls >= 2),
       dist AS (SELECT i.image_id, g.z, g.y, g.x, sqrt(min((g.z - aim.z) ** 2 + (g.y - aim.y) ** 2 + (g.x - aim.x) ** 2)) AS d FROM (SELECT DISTINCT image_id FROM v) i, g JOIN aim ON aim.image_id = i.image_id GROUP BY ALL){axis}
-      SELECT v.image_id, v.t, v.z, v.y, v.x, round_even(sum(wz * wy * wx * d) * {scale}, 0) AS distance FROM v JOIN cz USING (z) JOIN cy USING (y) JOIN cx USING (x) LEFT JOIN dist ON dist.image_id = v.image_id AND dist.z = sz AND dist.y = sy AND dist.x = sx WHERE cls = 1 GROUP BY ALL"""
+      SELECT v.image_id, v.t, v.z, v.y, v.x, round_even(round(sum(wz * wy * wx * d) * {scale}, 9), 0) AS distance FROM v JOIN cz USING (z) JOIN cy USING (y) JOIN cx USING (x) LEFT JOIN dist ON dist.image_id = v.image_id AND dist.z = sz AND dist.y = sy AND dist.x = sx WHERE cls = 1 GROUP BY ALL"""
 
 
 @query("j8_distance_coarse", f"WITH {V_SQL}, {_coarse_sql(SHAPE, (2, 3, 6), 3.0)}")
