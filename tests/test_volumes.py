@@ -271,7 +271,7 @@ def test_cubic_weights():
 def test_necks_without_a_neck_class(spark):
     vox = volume(spark, [(z, y, x) for z in range(3) for y in range(3) for x in range(9)]).withColumn("v", F.col("x") * 3.0 + 1)
     spine, dendrite = vox.where("x <= 1").withColumn("label", F.lit(5).cast("long")), vox.where("x >= 7")
-    necks = G.neck_generation(spine, None, dendrite, vox, "v", 4).collect()
+    necks = G.neck_generation(spine, None, dendrite, vox, "v").collect()
     assert necks and {r.label for r in necks} == {5} and all(1 < r.x < 7 for r in necks) and max(r.x for r in necks) == 6
     cost, deep = G.midline_cost(spine.select(*VK, "label"), 3)
     assert deep.count() == 1 and cost.where("cost < 0").count() == 0
