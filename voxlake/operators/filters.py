@@ -329,8 +329,10 @@ def map_objects_in_parts(vox: DataFrame, part, merge, finish, state: str, column
         spread = states.withColumn("lane", F.pmod(F.hash("part"), F.lit(1 << 10))) if many > fan << 10 else states.withColumn("lane", F.lit(0))
         order = Window.partitionBy(*keys, "lane").orderBy("part")
         numbered = spread.withColumn("meets", F.floor((F.row_number().over(order) - 1) / fan))
-        merged = numbered.groupBy(*keys, "lane", "meets").applyInPandas(step(lambda rows: merge(rows[names]), lambda rows: int(rows["part"].iloc[0])), schema)
-        merged = saved(merged, "object-parts")
+        numbered = numbered.withColumn("met", F.count("*").over(Window.partitionBy(*keys, "lane", "meets")))
+        alone = numbered.where("met = 1").select(*states.columns)  # nothing to merge with
+        merged = numbered.where("met > 1").drop("met").groupBy(*keys, "lane", "meets").applyInPandas(step(lambda rows: merge(rows[names]), lambda rows: int(rows["part"].iloc[0])), schema)
+        merged = saved(merged.select(*states.columns).unionByName(alone), "object-parts")
         discard(states)
         states = merged
     out = f"image_id long, t int, label long, {', '.join(f'{c} double' for c in columns)}, error string"
