@@ -45,6 +45,7 @@ def test_clusters_and_odd_rows(spark):
     want = brute([(i, v if i != 238 else rows[3][1], lab) for i, v, lab in rows])
     assert run(df) == want
     assert run(df, limit=7, axes=3) == want
+    assert run(df, limit=1, axes=0) == want
     assert run(df, limit=5, cell=3, sample=0) == want
     assert run(df.union(df), axes=2) == want
     assert run(df.limit(0)) == {}
@@ -62,6 +63,26 @@ def test_dense_groups(spark):
     assert len(embeddings.centres([(r[2], r[1]) for r in rows], 0.98)) == 2
     assert run(df) == want
     assert run(df, limit=16, cell=20) == want
+    assert run(df, limit=16, cell=20, axes=2, sample=0) == want
     assert run(df, sample=0, limit=1000, cell=30) == want
     extra = df.selectExpr("*", "label as block", "vec_id as rep", "vec_id as n", "label as guest", "label as cluster")
     assert run(extra) == want
+
+
+def test_boxes_prune():
+    """Random unit vectors, which have no near pair, are the worst case of a cell: of 100,000 few pairs are compared in a block; none within the budget is missed."""
+    rng = np.random.default_rng(3)
+    share = {}
+    for n in (10_000, 100_000):
+        u = rng.normal(size=(n, 64))
+        x = (u / np.linalg.norm(u, axis=1, keepdims=True))[:, :8].astype(np.float32)
+        rows = np.arange(n)
+        reach = embeddings.Reach(x, rows, np.float32(embeddings._budget(0.98, 64, 8)[0]))
+        home = embeddings.boxes(x, rows, embeddings.LEAF)
+        assert sorted(np.concatenate(home).tolist()) == rows.tolist() and max(map(len, home)) <= embeddings.LEAF
+        some = home[:: 1 + n // 10_000]
+        share[n] = sum(len(a) * len(reach.of(a)) for a in some) / sum(map(len, some)) / n
+        for a in home[::50]:
+            near = ((x[a][:, None].astype(float) - x[None, :2000]) ** 2).sum(axis=2) <= embeddings._budget(0.98, 64, 8)[0]
+            assert set(np.flatnonzero(near.any(axis=0))) <= set(reach.of(a).tolist())
+    assert share[100_000] < 0.01 and share[100_000] < share[10_000] / 2, share

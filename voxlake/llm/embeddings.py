@@ -4,7 +4,8 @@ Unit vectors link when their cosine is at least `cosine`, so their squared dista
 rotation spreads the variance over all axes; the rotated vector is split into blocks of `width` axes, and at least one block
 holds no more than its proportional share of the squared distance.  Each block is range-joined on a grid over its leading
 axes (as many as the label's own size needs): a vector is at home in one cell and a guest in every other cell that its ball
-meets.  A pair counts in the first block whose budget it meets, so candidates need no removal of duplicates.  A first pass
+meets.  Inside a cell both sides are halved into boxes of a few dozen vectors (k-d trees over all of the block's axes), and boxes
+farther apart than the budget are never compared.  A pair counts in the first block whose budget it meets, so candidates need no removal of duplicates.  A first pass
 carries only the block's coordinates and keeps the members of a cell that have a partner there; only these are joined to
 their whole vectors, and the cosine of the given vectors is computed in double precision.
 
@@ -12,8 +13,8 @@ Dense groups leave the grid first.  Centres of groups that a bounded sample show
 angle, so all pairs of such a cluster link and are counted, not compared.  A vector outside is counted with a whole cluster, or
 left out, where the triangle inequality of angles decides; only the rest is compared.  The sample changes the work, never the result.
 
-Equal vectors of a label are one row with a multiplicity.  Cells and clusters above LIMIT members are dealt into chunks that
-are compared chunk by chunk, each in a task of its own.  A task sends one row per vector and a spanning forest, never pairs.
+Equal vectors of a label are one row with a multiplicity.  Cells above WHOLE * LIMIT rows, and clusters above a sixteenth of
+LIMIT, are dealt into chunks that are compared chunk by chunk, each in a task of its own.  A task sends one row per vector and a spanning forest, never pairs.
 
 Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null label, link with nothing
 and are returned.  Vectors of different lengths do not link.  Rows without vec_id are dropped; rows that repeat a vec_id are
@@ -35,8 +36,10 @@ from voxlake.plans.scratch import saved
 
 COSINE = 0.98
 WIDTH = 8
-CELL = 4096  # members of a cell that the grid aims at
-LIMIT = 8192  # members of a chunk
+CELL = 1 << 15  # homes of a cell that the grid aims at
+LIMIT = 4096  # homes of a group whose whole vectors are compared
+WHOLE = 32  # times as many rows, of coordinates only, make a chunk of a cell
+LEAF = 32
 TILE = 512
 SAMPLE = 4096  # vectors that are searched for centres of dense groups
 DENSE = 8  # of these, at least so many make a cluster
@@ -224,29 +227,73 @@ def _sides(parts: list[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray,
             yield t, np.flatnonzero(~guest), np.flatnonzero(guest)
 
 
-def _near(cosine: float, width: int):
-    """Task over cells: the rows that have a partner within the block's budget, without their coordinates."""
+def boxes(x: np.ndarray, rows: np.ndarray, size: int) -> list[np.ndarray]:
+    """The rows in groups of at most size, by halving at the median of the widest axis (a k-d tree's leaves, neighbours in a row)."""
+    todo, out = [rows], []
+    while todo:
+        r = todo.pop()
+        if len(r) <= size:
+            out.append(r)
+            continue
+        part = x[r]
+        order = np.argpartition(part[:, np.ptp(part, axis=0).argmax()], len(r) // 2)
+        todo += [r[order[len(r) // 2 :]], r[order[: len(r) // 2]]]
+    return out
+
+
+def _apart(low: np.ndarray, high: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
+    """Squared distances of a box to some boxes."""
+    gap = np.maximum(np.maximum(lows - high, low - highs), 0)
+    return np.einsum("ij,ij->i", gap, gap)
+
+
+class Reach:
+    """What lies near a box: some rows of x in boxes of their own, the far ones of which are passed over whole."""
+
+    def __init__(self, x: np.ndarray, rows: np.ndarray, budget: float) -> None:
+        parts = boxes(x, rows, LEAF)
+        self.x, self.budget, self.rows, self.sizes = x, budget, np.concatenate(parts), np.array([len(p) for p in parts])
+        starts = np.cumsum(self.sizes) - self.sizes
+        self.low, self.high = (f.reduceat(x[self.rows], starts, axis=0) for f in (np.minimum, np.maximum))
+
+    def of(self, box: np.ndarray) -> np.ndarray:
+        """Rows whose distance to the box of these rows is within the budget."""
+        low, high = self.x[box].min(axis=0), self.x[box].max(axis=0)
+        q = self.rows[np.repeat(_apart(low, high, self.low, self.high) <= self.budget, self.sizes)]
+        return q[_apart(low, high, self.x[q], self.x[q]) <= self.budget]
+
+
+def _near(cosine: float, width: int, limit: int):
+    """Task over cells: the rows that have a partner within the block's budget, without their coordinates.
+
+    The cell's homes are halved into nodes of at most `limit`, each with those of the cell that have a partner in it, dealt again above
+    2 * limit: these are the groups whose whole vectors are compared.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, homes, guests in _groups(batches):
-            block = t["block"][0].as_py()
+            key, block = t["key"].to_numpy()[:1], t["block"][0].as_py()
             budget = np.float32(_budget(cosine, t["dim"][0].as_py(), width)[block % DEALT] + 4 * SLACK)
             rep, x = t["rep"].to_numpy(), _matrix(t["x"], np.arange(t.num_rows))
-            half = (x * x).sum(axis=1) / 2
-            some = np.zeros(t.num_rows, bool)
-            others = guests if block >= DEALT else np.concatenate([homes, guests])
-            for i in range(0, len(homes), TILE):
-                a = homes[i : i + TILE]
-                for j in range(0, len(others), TILE):
-                    b = others[j : j + TILE]
+            half = np.einsum("ij,ij->i", x, x) / 2
+            reach = Reach(x, guests if block >= DEALT else np.concatenate([homes, guests]), budget)
+            for i, node in enumerate(boxes(x, homes, limit)):
+                home, other = np.zeros(t.num_rows, bool), np.zeros(t.num_rows, bool)
+                for a in boxes(x, node, LEAF):
+                    b = reach.of(a)
                     # |a - b|^2 <= budget, halved
-                    near = x[a] @ x[b].T >= (half[a] - budget / 2)[:, None] + half[b]
-                    p, q = np.nonzero(near)
+                    p, q = np.nonzero(x[a] @ x[b].T >= (half[a] - budget / 2)[:, None] + half[b])
                     ok = rep[a[p]] != rep[b[q]]
-                    some[a[p[ok]]] = some[b[q[ok]]] = True
-            rows = np.flatnonzero(some)
-            if len(rows):
-                yield from t.select(["key", "label", "dim", "block", "guest", "rep"]).take(pa.array(rows)).combine_chunks().to_batches()
+                    home[a[p[ok]]] = other[b[q[ok]]] = True
+                mine, theirs = np.flatnonzero(home), np.flatnonzero(other)
+                alone = block < DEALT and len(theirs) <= 2 * limit
+                theirs = np.flatnonzero(other & ~home) if alone else theirs
+                for j in range(0, max(1, len(theirs)) if len(mine) else 0, 2 * limit):
+                    rows = np.concatenate([mine, theirs[j : j + 2 * limit]])
+                    fixed = [np.full(len(rows), block % DEALT + (0 if alone else DEALT), np.int32), np.arange(len(rows)) >= len(mine)]
+                    name = np.repeat(_mixed(key, np.array([i]), np.array([j])), len(rows))
+                    same = [t[c].combine_chunks().take(pa.array(rows)) for c in ("label", "dim")]
+                    yield pa.RecordBatch.from_arrays([pa.array(name), *same, *map(pa.array, fixed), pa.array(rep[rows])], ["key", "label", "dim", "block", "guest", "rep"])
 
     return run
 
@@ -274,7 +321,7 @@ def _linked(x: np.ndarray, y: np.ndarray, w: np.ndarray, z: np.ndarray, block: i
 
 
 def _join(cosine: float, width: int):
-    """Task over chunks with whole vectors: (rep, number of linked vectors, root) for every linked vector at home.
+    """Task over chunks with whole vectors: (rep, number of linked vectors, root) for every linked vector at home, and (rep, 0, root) for its guests.
 
     Rows of block -1 are a cluster's members and the vectors that contest it: no two of a side are compared, and both sides are counted.
     """
@@ -299,8 +346,9 @@ def _join(cosine: float, width: int):
                         np.add.at(degree, j, n[i])
                     a, b = roots(np.concatenate([a, rep[i]]), np.concatenate([b, rep[j]]))
             hit = np.flatnonzero(degree)
-            if len(hit):
-                yield pa.RecordBatch.from_arrays([pa.array(rep[hit]), pa.array(degree[hit]), pa.array(b[np.searchsorted(a, rep[hit])])], ["rep", "links", "root"])
+            yield pa.RecordBatch.from_arrays([pa.array(rep[hit]), pa.array(degree[hit]), pa.array(b[np.searchsorted(a, rep[hit])])], ["rep", "links", "root"])
+            rest = ~np.isin(a, rep[hit]) & (a != b)  # guests: their links are counted at home, where the root may be another
+            yield pa.RecordBatch.from_arrays([pa.array(a[rest]), pa.array(np.zeros(rest.sum(), np.int64)), pa.array(b[rest])], ["rep", "links", "root"])
 
     return run
 
@@ -323,30 +371,31 @@ def _sorted(rows: DataFrame) -> DataFrame:
 
 def _grid_links(rows: DataFrame, cosine: float, width: int, limit: int, cell: int, axes: int | None) -> DataFrame:
     """Links among the vectors of no cluster: the pigeonhole join."""
-    if axes is None:  # an axis leaves a vector about three quarters of its partners
+    chunk = WHOLE * limit
+    if axes is None:  # an axis leaves a cell at most about half its homes
         most = rows.groupBy("label").agg(F.count("*").alias("size"))
-        need = F.least(F.greatest(F.ceil(F.log(F.col("size") / cell) / float(np.log(4 / 3))), F.lit(0)), F.lit(width)).cast("int")
+        need = F.least(F.greatest(F.ceil(F.log2(F.col("size") / cell)), F.lit(0)), F.lit(width)).cast("int")
         rows = rows.join(most.select("label", need.alias("axes")), "label")
     else:
         rows = rows.withColumn("axes", F.lit(axes))
     asked = rows.select("rep", "label", "axes", "w")
     cells = asked.mapInArrow(_cells(cosine, width, False), "cell long, label long, dim int, block int, guest boolean, rep long, x array<float>")
     counts = asked.mapInArrow(_cells(cosine, width, True), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    parts = counts.where(F.col("n") > limit).select("cell", F.ceil(F.col("n") / limit).cast("int").alias("parts"))
+    parts = counts.where(F.col("n") > chunk).select("cell", F.ceil(F.col("n") / chunk).cast("int").alias("parts"))
     cells = cells.join(parts, "cell", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     alone = cells.where("parts = 1").withColumn("key", F.col("cell")).select(*KEYS, "guest", "rep", "x")
     # of a large cell, every chunk of homes meets every chunk of all its rows
     many = cells.where("parts > 1").withColumns({"again": F.col("parts"), "block": F.col("block") + DEALT})
     many = many.where("not guest").unionByName(many.withColumn("guest", F.lit(True)))
     dealt = _chunks(many, "parts", "again", "cell").select(*KEYS, "guest", "rep", "x")
-    near = saved(_sorted(alone.unionByName(dealt)).mapInArrow(_near(cosine, width), "key long, label long, dim int, block int, guest boolean, rep long"), "vector-partners")
+    near = saved(_sorted(alone.unionByName(dealt)).mapInArrow(_near(cosine, width, limit), "key long, label long, dim int, block int, guest boolean, rep long"), "vector-partners")
     whole = near.join(rows.select("rep", "n", "v", "w"), "rep").select(*KEYS, "guest", "rep", "n", "v", "w")
     return _sorted(whole).mapInArrow(_join(cosine, width), LINKS)
 
 
 def _cluster_links(rows: DataFrame, cosine: float, width: int, limit: int) -> DataFrame:
     """Links inside clusters, and between them and everything else; chunks are small, since all their pairs of whole vectors are compared."""
-    limit, angle = max(1, limit // 32), float(_angle(np.array(cosine)))
+    limit, angle = max(1, limit // 16), float(_angle(np.array(cosine)))
     members = rows.where("cluster >= 0")
     about = saved(members.groupBy("cluster").agg(F.sum("n").alias("all"), F.count("*").alias("size"), F.min("rep").alias("first"), F.max("own").alias("radius")), "clusters")
     about = F.broadcast(about)  # one row a centre: at most SAMPLE / DENSE
