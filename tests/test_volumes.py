@@ -203,6 +203,35 @@ def test_nearest_beyond_many_rings(spark):
     assert all(got[i][1] == want[i][1] and abs(got[i][0] - want[i][0]) < 1e-9 for i in want if i != 99)
 
 
+def test_nearest_at_any_distance(spark):
+    """Near and far points at once, unequal sampling, negative places and ties equal brute force; as many jobs however far the targets are."""
+    rng = np.random.default_rng(8)
+    sampling = (2.0, 0.5, 1.0)
+    places = lambda n, spread: [tuple(map(float, rng.integers(-spread, spread + 1, 3))) for _ in range(n)]
+    asked = [(f"{spread}-{i}", 1 + i % 2, *p) for spread in (3, 50, 2_000, 300_000) for i, p in enumerate(places(8, spread))]
+    there = [(1 + i % 2, *p, i // 2) for spread in (2, 60, 3_000) for i, p in enumerate(places(12, spread))]
+    there += [(1, 250_000.0, 8.0, 8.0, -k) for k in range(3)]
+    pts = spark.createDataFrame(asked, "id string, image_id long, z double, y double, x double")
+    targets = lambda by: spark.createDataFrame([(t[0], t[1] + by, *t[2:]) for t in there], "image_id long, z double, y double, x double, name long")
+
+    def brute(by):
+        away = lambda a, t: math.sqrt(sum(((p - q) * s) ** 2 for p, q, s in zip(a[2:], (t[1] + by, *t[2:4]), sampling, strict=True)))
+        found = {a[0]: min((round(away(a, t), 9), t[1] + by, *t[2:]) for t in there if t[0] == a[1]) for a in asked}
+        return {k: (v[0], v[-1]) for k, v in found.items()}
+
+    jobs = []
+    for by in (0.0, 1_000.0, 5_000_000.0):
+        spark.sparkContext.setJobGroup(f"nearest-{by}", "nearest")
+        found = {r.id: (round(r.distance, 9), r.name) for r in J.nearest_point(pts, targets(by), ["id"], ["name"], sampling).collect()}
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"nearest-{by}")))
+        assert found == brute(by)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert abs(jobs[2] - jobs[1]) <= 4, jobs
+    within = {k: v if v[0] <= 700.0 else (None, None) for k, v in brute(0.0).items()}
+    got = {r.id: (r.distance and round(r.distance, 9), r.name) for r in J.nearest_point(pts, targets(0.0), ["id"], ["name"], sampling, max_dist=700.0).collect()}
+    assert {k: v[1] for k, v in got.items()} == {k: v[1] for k, v in within.items()}
+
+
 def test_usual_axis_lengths(spark):
     """A slice at unequal sampling is flat: twice its least moment is 0."""
     plane = volume(spark, [(0, y, x) for y in range(20) for x in range(20)]).withColumn("label", F.lit(1).cast("long"))

@@ -51,42 +51,36 @@ def _distance(a: str, b: str, sampling: tuple[float, float, float]) -> Column:
     return F.sqrt(sum(((F.col(f"{a}{c}") - F.col(f"{b}{c}")) * s) ** 2 for c, s in zip("zyx", sampling, strict=True)))
 
 
+def _ring(points: DataFrame, *columns: str) -> DataFrame:
+    """The 27 cells around the cell gz, gy, gx of each row."""
+    around = F.explode(F.array(*[F.struct(*[F.lit(d).alias(n) for d, n in zip(ds, ("dz", "dy", "dx"), strict=True)]) for ds in product((-1, 0, 1), repeat=3)])).alias("d")
+    return points.select(*columns, "gz", "gy", "gx", around).select(*columns, *[(F.col(f"g{c}") + F.col(f"d.d{c}")).alias(f"g{c}") for c in "zyx"])
+
+
+def _nearest_of(found: DataFrame, keys: list[str], by: list[str], payload: list[str], sampling: tuple[float, float, float]) -> DataFrame:
+    """b: the nearest of the targets tz, ty, tx that each point pz, py, px met."""
+    order = F.struct(F.round("distance", 9).alias("d"), F.col("tz"), F.col("ty"), F.col("tx"), *payload)
+    found = found.withColumn("distance", _distance("p", "t", sampling))
+    return found.groupBy(*keys, *by).agg(F.min_by(F.struct("distance", *payload), order).alias("b"))
+
+
 def nearest_point(points: DataFrame, targets: DataFrame, keys: list[str], payload: list[str], sampling: tuple[float, float, float] = (1.0, 1.0, 1.0), cell: float = 4.0, max_dist: float | None = None, by: list[str] | None = None) -> DataFrame:
-    """The nearest target of every point (ties, up to 1e-9: smallest z, y, x, then payload), by a grid whose cells double until all are matched.
+    """The nearest target of every point (ties, up to 1e-9: smallest z, y, x, then payload).
 
-    points: keys, image_id, z, y, x; targets: image_id, z, y, x, payload.  A match counts once it is nearer than the searched ring is wide;
-    points beyond max_dist, or in an image without any target, get nulls.  From the third ring on, points first meet the occupied
-    cells of an eighth of the ring's width, and only targets of cells that can hold the nearest one.  by: what image_id stands for.
+    points: keys, image_id, z, y, x; targets: image_id, z, y, x, payload.  Two rings of a grid (cells of `cell`, then of twice that) settle points whose
+    match is nearer than the ring is wide; all others, at whatever distance, are settled in one pass over cells of their own size (_far_nearest).
+    Points beyond max_dist, without place, or in an image without any target, get nulls.  by: what image_id stands for.
     """
     by = by or ["image_id"]
-    grid = lambda size, name: [F.floor(F.col(c) * s / size).cast("long").alias(f"{name}{c}") for c, s in zip("zyx", sampling, strict=True)]
-    asked, found_all, size = points.select(*keys, *by, "z", "y", "x"), [], cell
+    asked, found_all = points.select(*keys, *by, "z", "y", "x"), []
     placed = " and ".join(f"abs({c}) < 1e15" for c in "zyx")  # neither null nor NaN
-    targets = targets.where(placed)
-    todo = asked.where(placed).join(targets.select(*by).distinct(), by, "left_semi")
-    order = F.struct(F.round("distance", 9).alias("d"), F.col("tz"), F.col("ty"), F.col("tx"), *payload)
-    around = F.explode(F.array(*[F.struct(*[F.lit(d).alias(n) for d, n in zip(ds, ("dz", "dy", "dx"), strict=True)]) for ds in product((-1, 0, 1), repeat=3)])).alias("d")
-    there = lambda *cells: targets.select(*by, *[F.col(c).alias(f"t{c}") for c in "zyx"], *payload, *cells)
-    while True:
-        last = max_dist is not None and size >= max_dist
-        near = todo.select(*keys, *by, *[F.col(c).alias(f"p{c}") for c in "zyx"], *grid(size, "g")).select("*", around)
-        near = near.select(*keys, *by, "pz", "py", "px", *[(F.col(f"g{c}") + F.col(f"d.d{c}")).alias(f"g{c}") for c in "zyx"])
-        if size <= 2 * cell:
-            found = near.join(there(*grid(size, "g")), [*by, "gz", "gy", "gx"])
-        else:
-            small = size / 8
-            occupied = targets.select(*by, *grid(small, "s")).distinct().select("*", *[F.floor(F.col(f"s{c}") / 8).alias(f"g{c}") for c in "zyx"])
-            inside = [F.greatest(F.col(f"s{c}") * small - F.col(f"p{c}") * s, F.col(f"p{c}") * s - (F.col(f"s{c}") + 1) * small, F.lit(0.0)) for c, s in zip("zyx", sampling, strict=True)]
-            beyond = [F.greatest(F.abs(F.col(f"s{c}") * small - F.col(f"p{c}") * s), F.abs((F.col(f"s{c}") + 1) * small - F.col(f"p{c}") * s)) for c, s in zip("zyx", sampling, strict=True)]
-            norm = lambda v: F.sqrt(v[0] ** 2 + v[1] ** 2 + v[2] ** 2)
-            meets = near.join(occupied, [*by, "gz", "gy", "gx"]).select(*keys, *by, "pz", "py", "px", "sz", "sy", "sx", norm(inside).alias("least"), norm(beyond).alias("most"))
-            meets = saved(meets, "cells-met")
-            bound = meets.groupBy(*keys, *by).agg(F.min("most").alias("bound"))
-            meets = meets.join(bound, [*keys, *by]).where(F.col("least") <= F.col("bound") * (1 + 1e-9)).drop("least", "most", "bound")
-            found = meets.join(there(*grid(small, "s")), [*by, "sz", "sy", "sx"])
-        found = found.withColumn("distance", _distance("p", "t", sampling))
-        best = found.groupBy(*keys, *by).agg(F.min_by(F.struct("distance", *payload), order).alias("b"))
-        if last:
+    targets = targets.where(placed).select(*by, *[F.col(c).alias(f"t{c}") for c in "zyx"], *payload)
+    todo = asked.where(placed).join(targets.select(*by).distinct(), by, "left_semi").select(*keys, *by, *[F.col(c).alias(f"p{c}") for c in "zyx"])
+    grid = lambda size, name: [F.floor(F.col(f"{name}{c}") * s / size).cast("long").alias(f"g{c}") for c, s in zip("zyx", sampling, strict=True)]
+    for size in (cell, 2 * cell):
+        near = _ring(todo.select("*", *grid(size, "p")), *keys, *by, "pz", "py", "px")
+        best = _nearest_of(near.join(targets.select("*", *grid(size, "t")), [*by, "gz", "gy", "gx"]), keys, by, payload, sampling)
+        if max_dist is not None and size >= max_dist:
             found_all.append(best.where((F.col("b.distance") <= size) & (F.col("b.distance") <= max_dist)))
             break
         sure = saved(best.where(F.col("b.distance") <= size), "nearest")
@@ -94,11 +88,55 @@ def nearest_point(points: DataFrame, targets: DataFrame, keys: list[str], payloa
         todo = saved(todo.join(sure.select(*keys, *by), [*keys, *by], "left_anti"), "unmatched")
         if todo.isEmpty():
             break
-        size *= 2
+    else:
+        best = _far_nearest(todo, targets, keys, by, payload, sampling, cell)
+        found_all.append(best if max_dist is None else best.where(F.col("b.distance") <= max_dist))
     found = reduce(DataFrame.unionByName, found_all).select(*keys, *by, "b.*")
     return asked.select(*keys, *by).distinct().join(found, [*keys, *by], "left")
 
 
+def _far_nearest(todo: DataFrame, targets: DataFrame, keys: list[str], by: list[str], payload: list[str], sampling: tuple[float, float, float], cell: float) -> DataFrame:
+    """The nearest target of points at any distance, by cells of cell * 2^l of every level l: as many jobs for any distance.
+
+    A point's level is the first whose 27 cells around hold a target, which is then less than four cells away.  So the ring two levels up
+    holds the nearest; its occupied cells of the point's level are met first, then the quarter-size cells of those that can hold
+    the nearest, then the targets of those that still can.
+    """
+    base = lambda name: [F.floor(F.col(f"{name}{c}") * s / (cell / 4)).cast("long").alias(f"o{c}") for c, s in zip("zyx", sampling, strict=True)]
+    at = lambda level, name: [F.floor(F.col(f"o{c}") / F.pow(F.lit(2.0), level + 2)).cast("long").alias(f"{name}{c}") for c in "zyx"]
+    todo, targets = todo.select("*", *base("p")), targets.select("*", *base("t"))
+    cells = ["oz", "oy", "ox"]
+    occupied = saved(targets.select(*by, *cells).distinct(), "cells-occupied")
+    asking = saved(todo.select(*by, *cells).distinct(), "cells-asking")
+    ends = asking.select(*cells).unionByName(occupied.select(*cells)).agg(*[f(c).alias(f"{n}{c}") for n, f in (("a", F.min), ("b", F.max)) for c in cells]).first()
+    top = max(0, math.ceil(math.log2(max(1, *[ends[f"b{c}"] - ends[f"a{c}"] for c in cells]))) - 2)
+    levels = lambda df, low, high: df.select("*", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("l"))
+    held = levels(occupied, -2, top).select(*by, "l", *at(F.col("l"), "s")).distinct()
+    held = saved(held.select("*", *[F.floor(F.col(f"s{c}") / 4).cast("long").alias(f"g{c}") for c in "zyx"]), "cells-held")  # g: two levels up
+    ladder = levels(asking, 0, top).select("*", *at(F.col("l"), "h"))
+    ring = _ring(ladder.select(*by, "l", "hz", "hy", "hx").distinct().withColumns({f"g{c}": F.col(f"h{c}") for c in "zyx"}), *by, "l", "hz", "hy", "hx")
+    hit = ring.join(held.select(*by, "l", *[F.col(f"s{c}").alias(f"g{c}") for c in "zyx"]), [*by, "l", "gz", "gy", "gx"], "left_semi").select(*by, "l", "hz", "hy", "hx").distinct()
+    level = saved(ladder.join(hit, [*by, "l", "hz", "hy", "hx"], "left_semi").groupBy(*by, *cells).agg(F.min("l").alias("l")), "cells-level")
+    used = [r.l for r in level.select("l").distinct().collect()]  # at most one a doubling of the extent
+
+    def possible(met: DataFrame, size: Column, name: str) -> DataFrame:
+        """Of the cells sz, sy, sx that points met, those that can hold the nearest target."""
+        spans = [(F.col(f"s{c}") * size, (F.col(f"s{c}") + 1) * size, F.col(f"p{c}") * s) for c, s in zip("zyx", sampling, strict=True)]
+        least = F.sqrt(sum(F.greatest(a - p, p - b, F.lit(0.0)) ** 2 for a, b, p in spans))
+        most = F.sqrt(sum(F.greatest(F.abs(a - p), F.abs(b - p)) ** 2 for a, b, p in spans))
+        met = saved(met.select(*keys, *by, "pz", "py", "px", "l", "sz", "sy", "sx", least.alias("least"), most.alias("most")), name)
+        bound = met.groupBy(*keys, *by).agg(F.min("most").alias("bound"))
+        return met.join(bound, [*keys, *by]).where(F.col("least") <= F.col("bound") * (1 + 1e-9)).drop("least", "most", "bound")
+
+    size = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("l"))
+    points = todo.join(level, [*by, *cells]).select(*keys, *by, "pz", "py", "px", "l", *at(F.col("l") + 2, "g"))
+    met = _ring(points, *keys, *by, "pz", "py", "px", "l").join(held, [*by, "l", "gz", "gy", "gx"])
+    met = possible(met, size, "cells-met").withColumnsRenamed({f"s{c}": f"g{c}" for c in "zyx"})
+    met = possible(met.join(held.withColumn("l", F.col("l") + 2), [*by, "l", "gz", "gy", "gx"]), size / 4, "cells-left")
+    there = targets.select("*", F.explode(F.array(*map(F.lit, used or [0]))).alias("l")).select(*by, "l", *at(F.col("l") - 2, "s"), "tz", "ty", "tx", *payload)
+    return _nearest_of(met.join(there, [*by, "l", "sz", "sy", "sx"]), keys, by, payload, sampling)
+
+
 CUBE = (32, 128, 128)
 CELLS = 1 << 24  # of a dense array that a task fills at once
 
