@@ -86,7 +86,26 @@ def _(spark, d):
     return W.chain_shift_by_content(frames, "v1", (1, 2, 2))
 
 
-@query("w8_resample_polyline")
+# the spline's own definition: one unknown second derivative a point, eliminated downwards and put in upwards, an axis at a time
+_W8 = f"""{OV_SQL}, p AS (SELECT image_id, t, label, z::DOUBLE AS z, y::DOUBLE AS y, x::DOUBLE AS x, row_number() OVER g - 1 AS i, count(*) OVER (PARTITION BY image_id, t, label) AS m,
+    sqrt((lead(z) OVER g - z) ** 2 + (lead(y) OVER g - y) ** 2 + (lead(x) OVER g - x) ** 2) AS h FROM ov WINDOW g AS (PARTITION BY image_id, t, label ORDER BY z, y, x)),
+  q AS (SELECT *, coalesce(sum(h) OVER (PARTITION BY image_id, t, label ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS u FROM p),
+  a AS (SELECT dense_rank() OVER (ORDER BY image_id, t, label) * 3 + axis AS o, image_id, t, label, axis, i, m, h, u, CASE axis WHEN 0 THEN z WHEN 1 THEN y ELSE x END AS v FROM q, (VALUES (0), (1), (2)) k(axis)),
+  b AS (SELECT *, (lead(v) OVER w - v) / h AS d, lag(h) OVER w AS g FROM a WHERE m >= 4 WINDOW w AS (PARTITION BY o ORDER BY i)),
+  c AS (SELECT o, i, m, g - CASE WHEN i = m - 2 THEN h * h / g ELSE 0 END AS low, 2 * (g + h) + CASE WHEN i = 1 THEN g * (g + h) / h ELSE 0 END + CASE WHEN i = m - 2 THEN h * (h + g) / g ELSE 0 END AS mid,
+    h - CASE WHEN i = 1 THEN g * g / h ELSE 0 END AS high, 6 * (d - lag(d) OVER (PARTITION BY o ORDER BY i)) AS r FROM b QUALIFY i BETWEEN 1 AND m - 2),
+  down AS (SELECT o, i, m, mid, high, r FROM c WHERE i = 1 UNION ALL
+    SELECT c.o, c.i, c.m, c.mid - c.low / down.mid * down.high, c.high, c.r - c.low / down.mid * down.r FROM down JOIN c ON c.o = down.o AND c.i = down.i + 1),
+  up AS (SELECT o, i, r / mid AS s FROM down WHERE i = m - 2 UNION ALL SELECT d.o, d.i, (d.r - d.high * up.s) / d.mid FROM up JOIN down d ON d.o = up.o AND d.i = up.i - 1),
+  e AS (SELECT b.*, up.s FROM b LEFT JOIN up USING (o, i)),
+  f AS (SELECT * REPLACE (CASE WHEN i = 0 THEN lead(s) OVER w - h * (lead(s, 2) OVER w - lead(s) OVER w) / lead(h) OVER w
+      WHEN i = m - 1 THEN lag(s) OVER w + g * (lag(s) OVER w - lag(s, 2) OVER w) / lag(g) OVER w ELSE s END AS s) FROM e WINDOW w AS (PARTITION BY o ORDER BY i)),
+  j AS (SELECT *, lead(v) OVER w AS v1, lead(s) OVER w AS s1, lead(u) OVER w AS u1, max(u) OVER (PARTITION BY o) / 49 AS part FROM f WINDOW w AS (PARTITION BY o ORDER BY i)),
+  k AS (SELECT *, (u1 - step * part) / h AS a, (step * part - u) / h AS b FROM j, range(50) n(step) WHERE i < m - 1 AND (step * part >= u OR i = 0) AND (step * part < u1 OR i = m - 2)),
+  l AS (SELECT image_id, t, label, step, axis, a * v + b * v1 + ((a ** 3 - a) * s + (b ** 3 - b) * s1) * h * h / 6 AS v FROM k UNION ALL SELECT image_id, t, label, i, axis, v FROM a WHERE m < 4)"""
+
+
+@query("w8_resample_polyline", f"WITH RECURSIVE {_W8} SELECT image_id, t, label, step::INT AS step, {', '.join(f'round(max(v) FILTER (axis = {k}), 6) + 0.0 AS {c}' for k, c in enumerate('zyx'))} FROM l GROUP BY ALL")
 def _(spark, d):
     return rounded(W.resample_polyline(object_voxels(spark, d), ["image_id", "t", "label"], ["z", "y", "x"]))
 
