@@ -6,7 +6,7 @@ import random
 import xxhash
 from pyspark.sql import functions as F
 
-from voxlake.llm import repeats, simhash
+from voxlake.llm import repeats, shingles, simhash
 
 
 def brute_repeats(docs, width=100):
@@ -33,7 +33,14 @@ def brute_fp(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
 
 
-def brute_parts(ids, fps, bits=2):
+def brute_shingles(text, words=5):
+    found = "".join(c.lower() if c.isascii() else c for c in text or "").translate(str.maketrans("\t\n\v\f\r", "     ")).split(" ")
+    found = [w for w in found if w]
+    return {tuple(found[i : i + words]) for i in range(max(1, len(found) - words + 1))} if found else set()
+
+
+def brute_parts(ids, fps, bits=2, sets=None):
+    """Components of fingerprints, and with sets those of pairs of a Jaccard similarity of at least 0.8 too."""
     part = {i: i for i in ids}
 
     def root(i):
@@ -43,7 +50,8 @@ def brute_parts(ids, fps, bits=2):
 
     for a, x in enumerate(fps):
         for b in range(a):
-            if (x ^ fps[b]).bit_count() <= bits:
+            near = sets and sets[a] and sets[b] and min(len(sets[a]), len(sets[b])) * 5 >= max(len(sets[a]), len(sets[b])) * 4 and len(sets[a] & sets[b]) * 5 >= len(sets[a] | sets[b]) * 4
+            if near or (x ^ fps[b]).bit_count() <= bits:
                 i, j = sorted((root(ids[a]), root(ids[b])))
                 part[j] = i
     return {i: root(i) for i in ids}
@@ -151,3 +159,51 @@ def test_simhash_dense_links(spark):
         got = {r.node: r.component for r in connected_components(e).collect()}
         want = brute_parts(list(range(len(fps))), fps)
         assert {i: got.get(i, i) for i in want} == want
+
+
+def edited(rng, text, times, vocabulary):
+    words = text.split()
+    for _ in range(times):
+        words[rng.randrange(len(words))] = rng.choice(vocabulary)
+    return " ".join(words)
+
+
+def test_similar_texts(spark):
+    """Components of both kinds of links equal brute force, with chains of edits, groups of near copies, shared passages, short and odd texts."""
+    rng = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    draw = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    passages = [draw(30) for _ in range(4)]
+    texts = [draw(rng.randint(20, 120)) for _ in range(60)]
+    for base in texts[:20]:  # chains: each link is near the threshold
+        for _ in range(4):
+            base = edited(rng, base, rng.randint(1, 3), vocabulary)
+            texts.append(base)
+    hub = draw(100)
+    texts += [edited(rng, hub, rng.randint(0, 3), vocabulary) for _ in range(120)]
+    texts += [" ".join(rng.sample(passages, 3)) + " " + draw(rng.randint(0, 12)) for _ in range(60)]
+    texts += [draw(n) for n in (1, 2, 3, 4, 5, 6) for _ in range(2)] + ["one two", "ONE\ttwo", None, "", texts[3], texts[3].upper()]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts)) + [(None, hub)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as fp", "2 as rep", "3 as key", "4 as n").repartition(6)
+    ids = [i for i, _ in rows[:-1]]
+    fps, sets = [brute_fp(t) for t in texts], [brute_shingles(t) for t in texts]
+    want = brute_parts(ids, fps, sets=sets)
+    assert len(set(want.values())) < len(set(brute_parts(ids, fps).values())) - 20  # many links lie beyond two bits
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(df, similarity=0.8).collect()}
+    assert got.pop(None) is None and got == want
+    assert simhash.near_duplicates(df.limit(0), similarity=0.8).count() == 0
+
+
+def test_prefixes():
+    assert [shingles.prefix_length(n) for n in (1, 4, 5, 6, 10, 100)] == [1, 1, 2, 2, 3, 21]
+    assert shingles.shingle_set(b" \t\n").size == 0 and shingles.shingle_set(b"A b").size == 1
+    assert (shingles.shingle_set(b"A b c\x0bd e F") == shingles.shingle_set(b"a B c d e f")).all()
+
+
+def test_similar_texts_of_one_id(spark):
+    """Rows that repeat a doc_id are one node: 1 and 3 meet over the two texts of 2."""
+    a, b = (" ".join(f"{p}{i}" for i in range(40)) for p in "ab")
+    df = spark.createDataFrame([(1, a), (2, a + " end"), (2, b + " end"), (3, b), (4, "else")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id) for r in simhash.near_duplicates(df, similarity=0.8).collect())
+    assert got == [(1, 1), (2, 1), (2, 1), (3, 1), (4, 4)]

@@ -3,7 +3,7 @@
 import public_tokenizers
 import sentencepiece
 from test_decontaminate import brute_score, words
-from test_dedup import brute_fp, brute_parts, brute_repeats
+from test_dedup import brute_fp, brute_parts, brute_repeats, brute_shingles
 
 import corpus_pipeline as P
 from voxlake.llm import toxicity
@@ -23,7 +23,7 @@ def test_stages(spark, sf_dir):
 
     one = P.one_of_each_group(spark, docs, sf_dir)
     texts = {r.doc_id: r.text for r in docs.collect()}
-    parts = brute_parts(list(texts), [brute_fp(t) for t in texts.values()])
+    parts = brute_parts(list(texts), [brute_fp(t) for t in texts.values()], sets=[brute_shingles(t) for t in texts.values()])
     assert rows_of(one).keys() == {i for i, p in parts.items() if i == p}
 
     cut = rows_of(P.unrepeated_text(spark, docs, sf_dir))

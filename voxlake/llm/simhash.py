@@ -10,6 +10,9 @@ Buckets above `dense` members (groups of near copies) would emit pairs in the sq
 without pairs is used: fingerprints are within two bits if and only if their radius-1 balls meet, so every member is listed
 under the 65 values of its ball and each value links its (at most 65) members to the smallest.
 
+With `similarity` given, texts whose sets of `words`-word shingles have that Jaccard similarity link as well (see shingles.py): two such texts
+differ in about 10 bits at 0.8, beyond what shared bytes guarantee (up to 7), so their candidates come from rare shingles, with verification on whole sets.
+
 The result has no ties: a component's name is its smallest doc_id.  Null or word-less texts have fingerprint zero.  Rows with a null doc_id are fingerprinted and stay without component.
 Rows that repeat a doc_id are one node.  Extra columns are ignored; an empty table gives an empty result.
 """
@@ -25,7 +28,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import blocks, text_bytes
+from voxlake.llm import shingles
+from voxlake.llm.common import text_bytes
 from voxlake.operators.graph import connected_components
 from voxlake.plans.scratch import saved
 
@@ -84,12 +88,19 @@ def links(fps: DataFrame, dense: int = DENSE) -> DataFrame:
     return found.select(F.col("rep").alias("src"), F.col("rep2").alias("dst")).unionAll(stars)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, dense: int = DENSE) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, dense: int = DENSE, similarity: float | None = None, words: int = shingles.WORDS) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row; component_id is the smallest doc_id reachable over links."""
+    docs = docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias(text_col))
     fps = saved(fingerprints(docs, id_col, text_col, shingle), "simhash")
     distinct = saved(fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
     parts = connected_components(links(distinct, dense)).withColumnRenamed("node", "rep")
     named = distinct.join(parts, "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     out = fps.join(named, "fp", "left")
+    if similarity is not None:
+        out = saved(out, "simhash-parts")
+        known = out.where("doc_id <> component_id").select(F.col("doc_id").alias("src"), F.col("component_id").alias("dst"))
+        more = shingles.links(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), known, words, similarity)
+        parts = connected_components(more).toDF("doc_id", "part")
+        out = out.join(parts, "doc_id", "left").withColumn("component_id", F.coalesce("part", "component_id"))
     part = F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), part)
