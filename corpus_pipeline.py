@@ -32,8 +32,8 @@ def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: of each group the document with the smallest doc_id stays."""
-    found = simhash.near_duplicates(docs.select("doc_id", "text"))
+    """Operator 7: of each group the document with the smallest doc_id stays.  Fingerprints link, and five-word shingles at a similarity of 0.8."""
+    found = simhash.near_duplicates(docs.select("doc_id", "text"), similarity=0.8)
     return _without(docs, found.where("doc_id <> component_id"))
 
 
