@@ -4,8 +4,8 @@ Words are those of operator 7.  A set of n shingles that is similar enough to an
 shingles with the rarest ones of the other, for any order of shingles that all texts share.  The order here is by hash, with shingles
 that a bounded sample of texts shows to be common last; the sample changes work only, never a link.  Texts with equal sets are one.
 
-Lists of texts under a shingle are worked through in rounds.  In each, a few pivots of a list (of its smaller components first; four times
-as many as in the round before) are compared with all of the list that is in another component, and leave the list; lists whose rest is one
+Lists of texts under a shingle are worked through in rounds.  In each, a few pivots of a list (of its smaller components first; sixteen
+times as many as in the round before, up to 512) are compared with all of the list that is in another component, and leave the list; lists whose rest is one
 component are done.  So a list of near copies costs a comparison each, all pairs under a list are never emitted at once, and no link between components is
 lost.  Pairs are verified on whole sets (64-bit hashes); pairs of sets of `judged` shingles or more are passed over first when their SimHashes differ in more than
 `far` of 64 bits, where similar ones differ in about 10 (five standard deviations below).
@@ -145,16 +145,17 @@ def links(docs: DataFrame, known: DataFrame, words: int = WORDS, similarity: flo
     share = Fraction(str(similarity))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     rows = saved(_prefixes(docs, words, similarity, _common(docs, words, sample, common)), "shingle-prefixes")
-    first = rows.groupBy("sig").agg(F.min("doc_id").alias("rep"))
+    first = saved(rows.groupBy("sig").agg(F.min("doc_id").alias("rep")), "shingle-first")
     edges = known.select("src", "dst").unionAll(rows.select("doc_id", "sig").join(first, "sig").where("doc_id <> rep").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst")))
     edges = saved(edges.distinct(), "shingle-edges")
-    posted = rows.groupBy("sig").agg(F.min(F.struct("doc_id", "n", "fp", "prefix")).alias("r")).select(F.explode("r.prefix").alias("key"), F.col("r.doc_id").alias("rep"), "r.n", "r.fp")
-    shared = posted.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high").select("key")
-    lists = saved(posted.join(shared, "key"), "shingle-lists")
+    heads = saved(rows.join(first, "sig").where("doc_id = rep").dropDuplicates(["sig"]).select("rep", "n", "fp", "prefix"), "shingle-heads")
     discard(rows)
-    pivots = 1
+    posted = heads.select(F.explode("prefix").alias("key"), "rep", "n", "fp")
+    shared = posted.select("key", "rep").groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high").select("key")
+    lists = saved(posted.join(shared, "key"), "shingle-lists")
+    discard(heads)
+    pivots, parts = 1, connected_components(edges).withColumnRenamed("node", "rep")
     while True:
-        parts = connected_components(edges).withColumnRenamed("node", "rep")
         members = lists.join(parts, "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
         members = saved(members, "shingle-members")
         major = members.groupBy("key", "c").agg(F.count("*").alias("m")).groupBy("key").agg(F.max(F.struct("m", "c")).getField("c").alias("major"), F.count("*").alias("parts"))
@@ -169,9 +170,10 @@ def links(docs: DataFrame, known: DataFrame, words: int = WORDS, similarity: flo
         met = rest.join(p, "key").where((F.col("c") != F.col("c1")) & (F.least("n", "n1") * share.denominator >= F.greatest("n", "n1") * share.numerator))
         met = met.where((F.least("n", "n1") < judged) | (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp1"))) <= far))
         pairs = saved(met.select(F.greatest("rep", "rep1").alias("src"), F.least("rep", "rep1").alias("dst")).distinct(), "shingle-pairs")
-        if not pairs.isEmpty():
-            edges = saved(edges.unionAll(_verified(pairs, docs, words, similarity)), "shingle-edges")
+        if not pairs.isEmpty() and not (new := _verified(pairs, docs, words, similarity)).isEmpty():
+            edges = saved(edges.unionAll(new), "shingle-edges")
+            parts = connected_components(edges).withColumnRenamed("node", "rep")
         lists = saved(rest.join(chosen.select("key", "rep", "n", "fp"), ["key", "rep", "n", "fp"], "left_anti").select("key", "rep", "n", "fp"), "shingle-lists")
         for df in (rest, chosen, pairs):
             discard(df)
-        pivots = min(512, pivots * 4)
+        pivots = min(512, pivots * 16)
