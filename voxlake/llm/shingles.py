@@ -18,12 +18,13 @@ extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxlake.llm.common import text_bytes
@@ -36,6 +37,18 @@ SAMPLE = 4_000  # texts that tell which shingles are common
 COMMON = 100_000  # of these at most are put last
 JUDGED, FAR = 20, 24
 SEED = 42
+ROWS = 256  # texts that travel to a Python worker at once; sets of long texts are large
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, str(ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
 
 
 def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -142,6 +155,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, similarity: float)
 
 def links(docs: DataFrame, known: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, sample: int = SAMPLE, common: int = COMMON, judged: int = JUDGED, far: int = FAR) -> DataFrame:
     """(src, dst): with the links `known` (src, dst), enough links for the components of known links and of similar texts of (doc_id, text)."""
+    with _small_batches(docs.sparkSession):
+        return _links(docs, known, words, similarity, sample, common, judged, far)
+
+
+def _links(docs: DataFrame, known: DataFrame, words: int, similarity: float, sample: int, common: int, judged: int, far: int) -> DataFrame:
     share = Fraction(str(similarity))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     rows = saved(_prefixes(docs, words, similarity, _common(docs, words, sample, common)), "shingle-prefixes")
