@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from voxlake.operators.projections import VK, to_uint16
 
@@ -94,6 +96,12 @@ def slab_export(vox: DataFrame, path: str, slab: int, records: int = 1_000_000)
     slabbed.repartitionByRange("image_id", "slab").sortWithinPartitions("image_id", "z", "y", "x").write.option("maxRecordsPerFile", records).mode("overwrite").parquet(path)
 
 
+@F.pandas_udf(StringType())
+def four_decimals(values: pd.Series) -> pd.Series:
+    """As C's printf: the exact binary value, halves to even (the JVM's format rounds the shortest decimal, halves up); null stays null."""
+    return values.map(lambda v: None if pd.isna(v) else f"{v:.4f}")
+
+
 def format_report(df: DataFrame, values: list[str]) -> DataFrame:
     """Numbers with four decimals."""
-    return df.withColumns({c: F.format_string("%.4f", c) for c in values})
+    return df.withColumns({c: four_decimals(F.col(c).cast("double")) for c in values})
