@@ -72,7 +72,31 @@ def nearest_point(points: DataFrame, targets: DataFrame, keys: list[str], payloa
     Points beyond max_dist, without place, or in an image without any target, get nulls.  by: what image_id stands for.
     """
     by = by or ["image_id"]
-    asked, found_all = points.select(*keys, *by, "z", "y", "x"), []
+    asked = points.select(*keys, *by, "z", "y", "x")
+    if all(dict(df.dtypes)[c] in ("tinyint", "smallint", "int", "bigint") for df in (points, targets) for c in "zyx"):
+        return _nearest_of_places(asked, targets, keys, payload, sampling, cell, max_dist, by)
+    return _nearest_rows(asked, targets, keys, payload, sampling, cell, max_dist, by)
+
+
+def _nearest_of_places(asked: DataFrame, targets: DataFrame, keys: list[str], payload: list[str], sampling: tuple[float, float, float], cell: float, max_dist: float | None, by: list[str]) -> DataFrame:
+    """J6 on whole coordinates: many points and targets may share a place, so places are matched, each with its least payload; places that hold a target need no search."""
+    place, there = [*by, "z", "y", "x"], [f"there_{c}" for c in "zyx"]
+    placed = " and ".join(f"abs({c}) < 1e15" for c in "zyx")
+    asked = saved(asked, "asked")
+    least = targets.where(placed).select(*place, F.struct(*payload, F.lit(0).alias("none_")).alias("p")).groupBy(*place).agg(F.min("p").alias("p"))
+    least = saved(least.select(*place, *[F.col(f"p.{c}").alias(c) for c in payload], *[F.col(c).alias(f"there_{c}") for c in "zyx"]), "places")
+    wanted = saved(asked.where(placed).select(*place).distinct(), "places-asked")
+    here = wanted.join(least, place).select(*place, F.lit(0.0).alias("distance"), *payload, *there)
+    away = wanted.join(least.select(*place), place, "left_anti").select(*by, *[F.col(c).alias(f"a{c}") for c in "zyx"], "z", "y", "x")
+    found = _nearest_rows(away, least, ["az", "ay", "ax"], [*payload, *there], sampling, cell, max_dist, by)
+    found = here.unionByName(found.select(*by, *[F.col(f"a{c}").alias(c) for c in "zyx"], "distance", *payload, *there))
+    order = F.struct(F.col("distance").isNull(), F.round("distance", 9), *there, *payload)  # of a key's rows at several places the nearest
+    best = asked.join(found, place, "left").groupBy(*keys, *by).agg(F.min_by(F.struct("distance", *payload), order).alias("b"))
+    return best.select(*keys, *by, "b.*")
+
+
+def _nearest_rows(asked: DataFrame, targets: DataFrame, keys: list[str], payload: list[str], sampling: tuple[float, float, float], cell: float, max_dist: float | None, by: list[str]) -> DataFrame:
+    found_all = []
     placed = " and ".join(f"abs({c}) < 1e15" for c in "zyx")  # neither null nor NaN
     targets = targets.where(placed).select(*by, *[F.col(c).alias(f"t{c}") for c in "zyx"], *payload)
     todo = asked.where(placed).join(targets.select(*by).distinct(), by, "left_semi").select(*keys, *by, *[F.col(c).alias(f"p{c}") for c in "zyx"])
