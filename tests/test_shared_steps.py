@@ -55,7 +55,7 @@ def test_many_groups_in_a_batch(spark, monkeypatch):
     rows = [(i % 37, None if i % 41 == 0 else i % 5, float(i)) for i in range(2000)]
     df = spark.createDataFrame(rows, "a long, b long, v double").repartition(3)
     want = pd.DataFrame(rows, columns=["a", "b", "v"]).groupby(["a", "b"], dropna=False).v.agg(["size", "sum"])
-    found = L.map_groups(df, ["a", "b"], lambda p: [{"s": float(p.v.sum()), "a": p.a.iloc[0], "n": len(p), "first": int(p.index[0])}], "a long, n long, s double, first int").collect()
+    found = L.map_groups(df, ["a", "b"], lambda who, p: [{"s": float(p.v.sum()), "a": who[0], "n": len(p), "first": int(p.index[0])}], "a long, n long, s double, first int", ["v"]).collect()
     assert sorted((r.n, r.s) for r in found) == sorted(zip(want["size"].tolist(), want["sum"].tolist(), strict=True)) and {r.first for r in found} == {0}
 
 

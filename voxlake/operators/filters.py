@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxlake.operators.bricks import dealt
 from voxlake.operators.dense import convolve, dense_map, running_least
 from voxlake.operators.projections import VK
 from voxlake.plans.scratch import discard, saved
@@ -270,6 +271,46 @@ def training_slices(vox: DataFrame, value: str, sizes: tuple[int, int, int], sca
     return named(base, "xy", "zyx").unionByName(named(degrade(base, value, "x", nx, scale, VK), "xy_degraded", "zyx")).unionByName(named(tall, "xz", "yzx")).unionByName(named(tall, "yz", "xzy"))
 
 
+GROUPED = 1 << 15  # rows that a task gathers before it works on their groups, whole groups at least
+
+
+def map_groups(df: DataFrame, keys: list[str], f, schema: str, given: list[str] | None = None) -> DataFrame:
+    """f(keys of a group, pandas frame of its columns `given`) -> list of row dicts, or a frame, for every group: a task takes many groups at once, so small ones cost no hand-over each."""
+
+    given = given or df.columns
+
+    def gathered(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
+        for part in parts:
+            if part.empty:
+                continue
+            held, n = [*held, part], n + len(part)
+            if n >= GROUPED and held[0]["brick"].iloc[0] != (last := part["brick"].iloc[-1]):
+                every = pd.concat(held, ignore_index=True)
+                cut = int((every["brick"] == last).to_numpy().argmax())
+                yield every.iloc[:cut]
+                held, n = [every.iloc[cut:]], len(every) - cut
+        if held:
+            yield pd.concat(held, ignore_index=True)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for some in gathered(parts):
+            rows, frames = [], []
+            for who, part in some.groupby(keys, sort=False, dropna=False)[given]:
+                part.index = pd.RangeIndex(len(part))
+                found = f(who, part)
+                if isinstance(found, pd.DataFrame):
+                    frames.append(found)
+                else:
+                    rows += found
+            if frames:
+                yield pd.concat(frames, ignore_index=True)
+            if rows:
+                yield pd.DataFrame(rows, dtype=object)
+
+    return dealt(df.select(F.xxhash64(*keys).alias("brick"), "*")).mapInPandas(run, schema)
+
+
 def map_blocks(vox: DataFrame, keys: list[str], f, schema: str) -> DataFrame:
     """f(pandas frame of one block) -> rows, for every block."""
     return vox.groupBy(*keys).applyInPandas(f, schema)
@@ -279,21 +320,21 @@ def map_overlap(vox: DataFrame, block: tuple[int, int, int], halo: int, f, schem
     """f(pandas frame of one block with its halo; column core tells whose rows to return) -> rows."""
     from voxlake.operators.joins import assign_blocks
 
-    return assign_blocks(vox, block, halo).groupBy("image_id", "t", "bz", "by", "bx").applyInPandas(f, schema)
+    return map_groups(assign_blocks(vox, block, halo), ["image_id", "t", "bz", "by", "bx"], lambda _, part: f(part), schema)
 
 
 def map_objects(vox: DataFrame, f, columns: list[str]) -> DataFrame:
     """f(pandas frame of one object) -> dict of numbers; an object that fails gets nulls and its error."""
     schema = "image_id long, t int, label long, " + ", ".join(f"{c} double" for c in columns) + ", error string"
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        head = {k: part[k].iloc[0] for k in ("image_id", "t", "label")}
+    def run(who: tuple, part: pd.DataFrame) -> list[dict]:
+        head = dict(zip(("image_id", "t", "label"), who, strict=True))
         try:
-            return pd.DataFrame([head | f(part) | {"error": None}])
+            return [head | f(part) | {"error": None}]
         except (ValueError, ArithmeticError, LookupError, np.linalg.LinAlgError) as e:
-            return pd.DataFrame([head | dict.fromkeys(columns) | {"error": type(e).__name__}])
+            return [head | dict.fromkeys(columns) | {"error": type(e).__name__}]
 
-    return vox.groupBy("image_id", "t", "label").applyInPandas(run, schema)
+    return map_groups(vox, ["image_id", "t", "label"], run, schema)
 
 
 def map_objects_in_parts(vox: DataFrame, part, merge, finish, state: str, columns: list[str], brick: tuple[int, int, int] = (64, 256, 256), fan: int = 16) -> DataFrame:
@@ -308,19 +349,19 @@ def map_objects_in_parts(vox: DataFrame, part, merge, finish, state: str, column
     schema = f"image_id long, t int, label long, part long, {state}, error string"
 
     def step(f, number):
-        def run(rows: pd.DataFrame) -> pd.DataFrame:
-            head = {k: rows[k].iloc[0] for k in keys} | {"part": number(rows)}
+        def run(who: tuple, rows: pd.DataFrame) -> list[dict]:
+            head = dict(zip(keys, who)) | {"part": number(rows)}  # noqa: B905  more may follow
             try:
                 if "error" in rows and rows["error"].notna().any():
-                    return pd.DataFrame([head | dict.fromkeys(names) | {"error": rows["error"].dropna().min()}])
-                return pd.DataFrame([head | f(rows) | {"error": None}])
+                    return [head | dict.fromkeys(names) | {"error": rows["error"].dropna().min()}]
+                return [head | f(rows) | {"error": None}]
             except (ValueError, ArithmeticError, LookupError, np.linalg.LinAlgError) as e:
-                return pd.DataFrame([head | dict.fromkeys(names) | {"error": type(e).__name__}])
+                return [head | dict.fromkeys(names) | {"error": type(e).__name__}]
 
         return run
 
     cells = vox.withColumns({f"b{c}": F.floor(F.col(c) / n) for c, n in zip("zyx", brick, strict=True)})
-    states = cells.groupBy(*keys, "bz", "by", "bx").applyInPandas(step(lambda rows: part(rows.drop(columns=["bz", "by", "bx"])), lambda rows: 0), schema)
+    states = map_groups(cells, [*keys, "bz", "by", "bx"], step(part, lambda rows: 0), schema, vox.columns)
     states = saved(states.drop("part").withColumn("part", F.monotonically_increasing_id()), "object-parts")
     while True:
         many = states.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
@@ -331,7 +372,7 @@ def map_objects_in_parts(vox: DataFrame, part, merge, finish, state: str, column
         numbered = spread.withColumn("meets", F.floor((F.row_number().over(order) - 1) / fan))
         numbered = numbered.withColumn("met", F.count("*").over(Window.partitionBy(*keys, "lane", "meets")))
         alone = numbered.where("met = 1").select(*states.columns)  # nothing to merge with
-        merged = numbered.where("met > 1").drop("met").groupBy(*keys, "lane", "meets").applyInPandas(step(lambda rows: merge(rows[names]), lambda rows: int(rows["part"].iloc[0])), schema)
+        merged = map_groups(numbered.where("met > 1").drop("met"), [*keys, "lane", "meets"], step(lambda rows: merge(rows[names]), lambda rows: int(rows["part"].iloc[0])), schema)
         merged = saved(merged.select(*states.columns).unionByName(alone), "object-parts")
         discard(states)
         states = merged

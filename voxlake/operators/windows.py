@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxlake.operators.filters import map_groups
 from voxlake.operators.projections import VK
 from voxlake.operators.registration import best_shifts, chain
 from voxlake.operators.ranks import ranked
@@ -119,12 +120,13 @@ def resample_polyline(points: DataFrame, by: list[str], order: list[str], n: int
     kinds = dict(points.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in by) + ", step int, z double, y double, x double"
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(order)
-        out = _spline(part[["z", "y", "x"]].to_numpy(float), n)
-        return pd.DataFrame({c: part[c].iloc[0] for c in by} | {"step": np.arange(len(out))} | {c: out[:, i] for i, c in enumerate("zyx")})
+    def run(who: tuple, part: pd.DataFrame) -> list[dict]:
+        out = _spline(part.sort_values(order)[["z", "y", "x"]].to_numpy(float), n).tolist()
+        head = dict(zip(by, who, strict=True))
+        return [head | {"step": i, "z": z, "y": y, "x": x} for i, (z, y, x) in enumerate(out)]
 
-    return points.groupBy(*by).applyInPandas(run, schema)
+    used = dict.fromkeys([*by, *order, "z", "y", "x"])
+    return map_groups(points.select(*used), by, run, schema)
 
 
 def sort_labels(df: DataFrame, label: str) -> DataFrame:
