@@ -17,7 +17,7 @@ from voxlake.operators.projections import VK
 from voxlake.plans.scratch import discard, saved
 
 BRICK = (64, 256, 256)
-MOST = 1 << 20  # rows that a task gathers before it works on them, whole bricks at least
+MOST = 1 << 18  # rows that a task gathers before it works on them, whole bricks at least: some 100 MB in the widest of the works
 FAR = np.iinfo(np.int64).max
 
 
@@ -139,22 +139,23 @@ def _less(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> np.ndarray:
 def settle(key: np.ndarray, steps: np.ndarray, state: list[np.ndarray], cost: np.ndarray, level: np.ndarray, place: np.ndarray, combine: Combine) -> None:
     """Least state (c, hops, label, predecessor) of every row (sorted distinct keys) over all paths; rows whose cost is NaN are not entered.
 
-    Each wave looks at the voxels that got better, direction by direction: no table of neighbours is held."""
+    Each wave looks at the voxels that got better, direction by direction: neither a table of neighbours nor the offers of all directions are held."""
     front = np.flatnonzero(np.isfinite(state[0]))
     while len(front):
-        found = [a_step_on(key, front, step) for step in steps.tolist()]
-        best = []
-        for s, d in found:
-            offer = (combine(state[0][s], cost, level, s, d), state[1][s] + 1, state[2][s], place[s])
+        was = [x[front] for x in state[:3]]  # as the wave begins
+        changed = np.zeros(len(key), bool)
+        for step in steps.tolist():
+            want = key[front] + step
+            at = np.minimum(np.searchsorted(key, want), len(key) - 1)
+            hit = np.flatnonzero(key[at] == want)
+            s, d = front[hit], at[hit]
+            offer = (combine(was[0][hit], cost, level, s, d), was[1][hit] + 1, was[2][hit], place[s])
             better = _less(offer, tuple(x[d] for x in state)) & ~np.isnan(cost[d]) & np.isfinite(offer[0])
-            best.append((d[better], *(x[better] for x in offer)))
-        d, *offer = (np.concatenate(x) for x in zip(*best, strict=True))
-        by = np.lexsort((*offer[::-1], d))
-        d = d[by]
-        head = np.flatnonzero(np.append(True, d[1:] != d[:-1])) if len(d) else np.empty(0, np.int64)
-        front = d[head]
-        for x, y in zip(state, offer, strict=True):
-            x[front] = y[by[head]]
+            d = d[better]
+            for x, y in zip(state, offer, strict=True):
+                x[d] = y[better]
+            changed[d] = True
+        front = np.flatnonzero(changed)
 
 
 class Versions:

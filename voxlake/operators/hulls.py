@@ -14,6 +14,7 @@ from voxlake.operators.dense import grouped
 from voxlake.plans.scratch import discard, saved
 
 OBJECT = ["image_id", "t", "label"]
+SHAPE, SHAPES = 32, 1 << 15  # points of shapes, and shapes, whose hulls a task remembers
 
 
 def _faces(p: np.ndarray, tri: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,18 +91,30 @@ def hulls(vox: DataFrame, brick: tuple[int, int, int] = BRICK) -> DataFrame:
     cubes = True
 
     def run(batches: Iterator[pa.RecordBatch], cubes: bool, last: bool) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, tuple[np.ndarray, int]] = {}  # small parts are alike but for their place
         for t in whole(batches, 1):
-            t, group = grouped(t, [*OBJECT, "bz", "by", "bx"])
+            t, group = grouped(t, [*OBJECT, "bz", "by", "bx", "z", "y", "x"])
+            group = np.cumsum(np.append(True, (np.stack([t[c].to_numpy()[1:] != t[c].to_numpy()[:-1] for c in [*OBJECT, "bz", "by", "bx"]])).any(axis=0))) - 1
             points = np.stack([t[c].to_numpy() for c in "zyx"], 1).astype(np.int64)
             heads = np.flatnonzero(np.diff(group, prepend=-1))
             which, out, volumes = [], [], []
             for i, j in zip(heads.tolist(), np.append(heads[1:], len(group)).tolist(), strict=True):
-                part = points[i:j]
-                if cubes:
-                    part = np.unique((part[:, None] + np.array([[z, y, x] for z in (0, 1) for y in (0, 1) for x in (0, 1)])).reshape(-1, 3), axis=0)
-                at, volume = convex_hull(part)
-                which.append(np.full(len(at) if not last else 1, i))
-                out.append(part[at] if not last else part[:1])
+                base = points[i:j].min(axis=0)
+                part = points[i:j] - base
+                name = part.tobytes() if len(part) <= SHAPE else None
+                if name is None or name not in known:
+                    if cubes:
+                        part = np.unique((part[:, None] + np.array([[z, y, x] for z in (0, 1) for y in (0, 1) for x in (0, 1)])).reshape(-1, 3), axis=0)
+                    at, volume = convex_hull(part)
+                    hull = part[at], volume
+                    if name is not None and len(known) < SHAPES:
+                        known[name] = hull
+                else:
+                    hull = known[name]
+                corners, volume = hull
+                which.append(np.full(len(corners) if not last else 1, i))
+                if not last:
+                    out.append(corners + base)
                 volumes.append(volume)
             some = t.select(OBJECT if last else [*OBJECT, "bz", "by", "bx"]).take(pa.array(np.concatenate(which)))
             if last:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from voxlake.functions.scalar import gamma
 from voxlake.operators.bricks import BRICK, Grid, a_step_on, dealt, follow, keys, relax, whole
+from voxlake.operators.dense import mask_map, moved
 from voxlake.operators.filters import gaussian, kernel
 from voxlake.operators.graph import connected_components as components
 from voxlake.operators.graph import roots
@@ -106,12 +107,15 @@ def ellipsoid(radii: tuple[float, float, float]) -> list[tuple[int, int, int]]:
     return [d for d in product(*(range(-r, r + 1) for r in reach)) if sum((v / r) ** 2 for v, r in zip(d, radii, strict=True) if r > 0) <= 1]
 
 
+def _reach(element: list[tuple[int, int, int]]) -> tuple[int, int, int]:
+    return tuple(max(abs(v) for v in axis) for axis in zip(*element, strict=True))
+
+
 def dilate(vox: DataFrame, element: list[tuple[int, int, int]], shape: tuple[int, int, int] | None = None, times: int = 1) -> DataFrame:
     """Union of shifts, clipped to a shape."""
-    out = vox.select(*VK).distinct()
-    moves = F.explode(F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(d, "zyx", strict=True)]) for d in element])).alias("d")
+    out = vox.select(*VK) if times else vox.select(*VK).distinct()
     for _ in range(times):
-        out = out.select("*", moves).select("image_id", "t", *[(F.col(c) + F.col(f"d.{c}")).alias(c) for c in "zyx"]).distinct()
+        out = mask_map(out, _reach(element), lambda mask: reduce(np.logical_or, (moved(mask, d) for d in element)))
         if shape:
             out = out.where(F.col("z").between(0, shape[0] - 1) & F.col("y").between(0, shape[1] - 1) & F.col("x").between(0, shape[2] - 1))
     return out
@@ -119,24 +123,31 @@ def dilate(vox: DataFrame, element: list[tuple[int, int, int]], shape: tuple[int
 
 def erode(vox: DataFrame, element: list[tuple[int, int, int]]) -> DataFrame:
     """Voxels under which the whole element lies; outside a volume is empty."""
-    own = vox.select(*VK).distinct()
-    moves = F.explode(F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(d, "zyx", strict=True)]) for d in element])).alias("d")
-    moved = own.select("*", moves).select("image_id", "t", *[(F.col(c) - F.col(f"d.{c}")).alias(c) for c in "zyx"])
-    return moved.groupBy(*VK).agg(F.count("*").alias("n")).where(F.col("n") == len(element)).select(*VK)
+    return mask_map(vox, _reach(element), lambda mask: reduce(np.logical_and, (moved(mask, tuple(-v for v in d)) for d in element)))
+
+
+def shell_of(vox: DataFrame) -> DataFrame:
+    """The empty cells that touch a voxel (26 neighbours), also beyond the volume."""
+
+    def around(mask: np.ndarray) -> np.ndarray:
+        wide = mask
+        for axis in ((1, 0, 0), (0, 1, 0), (0, 0, 1)):
+            wide = wide | moved(wide, axis) | moved(wide, tuple(-v for v in axis))
+        return wide & ~mask
+
+    return mask_map(vox, (1, 1, 1), around)
 
 
 def inside_distance(vox: DataFrame, cap: int) -> DataFrame:
     """Distance of every voxel to the nearest empty one, up to a cap; cells around the object and beyond its volume are empty."""
-    own = vox.select(*VK).distinct()
-    shell = dilate(own, offsets(26)).join(own, VK, "left_anti")
-    return distance_to(own, shell, cap)
+    own = saved(vox.select(*VK).distinct(), "voxels")
+    return distance_to(own, shell_of(own), cap)
 
 
 def full_depth(vox: DataFrame) -> DataFrame:
     """inside_distance at every depth."""
-    own = vox.select(*VK).distinct()
-    shell = saved(dilate(own, offsets(26)).join(own, VK, "left_anti"), "shell")
-    return distance_to(own, shell)
+    own = saved(vox.select(*VK).distinct(), "voxels")
+    return distance_to(own, saved(shell_of(own), "shell"))
 
 
 def seeds_from_distance(vox: DataFrame, frac: float = 0.1) -> DataFrame:
@@ -150,6 +161,7 @@ def seeded_split(mask: DataFrame, seeds: DataFrame, priority: str, connectivity:
     """Every mask voxel to the seed that floods it first: least highest priority on the way; of such ways (best up to every voxel of
     theirs) the one with fewest steps, then the smallest seed."""
     zero = F.lit(0).alias("object")
+    mask, seeds = saved(mask.select(*VK, priority), "mask"), saved(seeds.select(*VK, "label"), "seeds")
     start = seeds.select(*VK, zero, F.lit(0).alias("label"), F.lit(float("-1.7e308")).alias("c"), F.lit(0).alias("hops"))
     field = mask.select(*VK, zero, F.col(priority).cast("double").alias("cost"), F.lit(0.0).alias("level"))
     levels = saved(relax(start, field, offsets(connectivity), lambda c, cost, level, s, d: np.maximum(c, cost[d]), brick)[0], "levels")

@@ -109,7 +109,7 @@ _G6_SQL = f"WITH RECURSIVE {_G6} SELECT {VKS}, label FROM v3 JOIN fl USING (id)"
 @query("g6_seeded_split", _G6_SQL)
 def _(spark, d):
     mask = voxels(spark, d).where("cls >= 2")
-    deep = G.inside_distance(mask, 4).withColumn("priority", -F.coalesce("distance", F.lit(4.0)))
+    deep = saved(G.inside_distance(mask, 4).withColumn("priority", -F.coalesce("distance", F.lit(4.0))), "depth")
     seeds = G.label_components(deep.where("x % 4 = 0 and z % 2 = 0"), 6)
     return G.seeded_split(deep, seeds, "priority", 6)
 
@@ -117,7 +117,7 @@ def _(spark, d):
 @query("g6_seeded_split_bricks", _G6_SQL)
 def _(spark, d):
     mask = voxels(spark, d).where("cls >= 2")
-    deep = G.inside_distance(mask, 4).withColumn("priority", -F.coalesce("distance", F.lit(4.0)))
+    deep = saved(G.inside_distance(mask, 4).withColumn("priority", -F.coalesce("distance", F.lit(4.0))), "depth")
     seeds = G.label_components(deep.where("x % 4 = 0 and z % 2 = 0"), 6)
     return G.seeded_split(deep, seeds, "priority", 6, SMALL)
 
