@@ -4,10 +4,13 @@ import itertools
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from voxlake.operators import filters as L
 from voxlake.operators import iterative as G
 from voxlake.operators import joins as J
+from voxlake.operators.bricks import Grid, latest
 from voxlake.operators.dense import dense_map, mask_map, moved
 from voxlake.sources import tables as S
 
@@ -78,3 +81,31 @@ def test_exact_halves_are_even(spark):
     values = [0.03125, 0.09375, 0.40625, 0.12345, 2 / 3, 0.0, 1.0, None]
     df = spark.createDataFrame([(v,) for v in values], "dice double")
     assert [r.dice for r in S.format_report(df, ["dice"]).collect()] == ["0.0312", "0.0938", "0.4062", "0.1235" if f"{0.12345:.4f}" == "0.1235" else "0.1234", "0.6667", "0.0000", "1.0000", None]
+
+
+def test_depth_without_a_shell(spark):
+    """Capped depths come from the voxels alone: no row of an empty cell is made or joined; volumes cross the bricks' borders."""
+    cells = {c for c in itertools.product(range(60, 72), range(250, 260), range(3)) if sum(c) % 11}
+    df = G.inside_distance(voxels(spark, [(1, c) for c in cells] + [(2, (0, 0, 0))]), 2)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Union" not in plan
+    got_ = {(r.image_id, r.z, r.y, r.x): r.distance for r in df.collect()}
+    want = {(2, 0, 0, 0): 1.0}
+    for c in cells:
+        d2 = [sum(v * v for v in d) for d in itertools.product(range(-2, 3), repeat=3) if sum(v * v for v in d) <= 4 and tuple(a + b for a, b in zip(c, d, strict=True)) not in cells]
+        want[(1, *c)] = min(d2) ** 0.5 if d2 else None
+    assert got_ == want
+
+
+def test_a_round_drops_old_versions_itself(spark):
+    """Bricks that copies reach keep their last version and the copies; others go.  Copies for the bricks around are written beside the rows."""
+    rows = [(5, 0, False, 1), (5, 1, False, 2), (5, -1, True, 3), (7, 0, False, 4), (9, 0, False, 5), (9, -1, True, 6)]
+    t = pa.table(dict(zip(("brick", "version", "ghost", "v"), map(list, zip(*rows, strict=True)), strict=True)))
+    assert latest(t)["v"].to_pylist() == [2, 3, 5, 6]
+    vox = voxels(spark, [(c[0], c[1:]) for c in scene(60)])
+    grid = Grid(vox, (3, 1, 4))
+    both = grid.with_neighbours(vox.withColumn("f", F.col("x") > 2), F.col("f"))
+    assert both.where("not ghost").count() == vox.count() and both.where("ghost and not f").isEmpty()
+    side = lambda v, n: {v // n, (v - 1) // n, (v + 1) // n}
+    want = sum(len(side(r.z, 3)) * len(side(r.y, 1)) * len(side(r.x, 4)) - 1 for r in vox.collect() if r.x > 2)
+    assert both.where("ghost").count() == want

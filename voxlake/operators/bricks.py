@@ -70,16 +70,21 @@ class Grid:
     def own(self) -> Column:
         return F.xxhash64("image_id", *[self._brick(c) for c in "zyx"])
 
+    def with_neighbours(self, df: DataFrame, copied: Column | None = None) -> DataFrame:
+        """Rows in their own brick (ghost false), and those to be copied that lie at faces in every other brick that they touch (ghost true)."""
+        copied = F.lit(True) if copied is None else copied
+        for c, n in self.brick.items():
+            b, low, high = self._brick(c), copied & (F.col(c) % n == 0), copied & (F.col(c) % n == n - 1)
+            side = F.when(low & high, F.array(b, b - 1, b + 1)).when(low, F.array(b, b - 1)).when(high, F.array(b, b + 1)).otherwise(F.array(b))
+            df = df.withColumn(f"b{c}", F.explode(side))
+        home = (F.col("bz") == self._brick("z")) & (F.col("by") == self._brick("y")) & (F.col("bx") == self._brick("x"))
+        return df.withColumn("ghost", ~home).withColumn("brick", F.xxhash64("image_id", "bz", "by", "bx")).drop("bz", "by", "bx")
+
     def to_neighbours(self, df: DataFrame) -> DataFrame:
         """Rows at brick faces, copied to every other brick that they touch (column brick)."""
         if self.alone:
             return df.where("false").withColumn("brick", F.lit(0).cast("long"))
-        out = df
-        for c, n in self.brick.items():
-            side = F.filter(F.array(self._brick(c), F.when(F.col(c) % n == 0, self._brick(c) - 1), F.when(F.col(c) % n == n - 1, self._brick(c) + 1)), lambda b: b.isNotNull())
-            out = out.withColumn(f"b{c}", F.explode(side))
-        other = out.where(~((F.col("bz") == self._brick("z")) & (F.col("by") == self._brick("y")) & (F.col("bx") == self._brick("x"))))
-        return other.withColumn("brick", F.xxhash64("image_id", "bz", "by", "bx")).drop("bz", "by", "bx")
+        return self.with_neighbours(df).where("ghost").drop("ghost")
 
 
 def dealt(df: DataFrame) -> DataFrame:
@@ -158,22 +163,30 @@ def settle(key: np.ndarray, steps: np.ndarray, state: list[np.ndarray], cost: np
         front = np.flatnonzero(changed)
 
 
+SENT = 100_000  # numbers of bricks that are sent to all tasks at most
+
+
 class Versions:
-    """Rows of bricks over rounds: a round writes only the bricks that changed, and a small manifest (a row a changed brick) says which version of a brick counts."""
+    """Rows of bricks over rounds: a round writes only the bricks that changed, and a small manifest (a row a changed brick) says which version of a brick counts.
+
+    own: which rows of a table are state; a round's table may hold others for the round after it."""
 
     MOST = 8  # versions, then they are written as one
 
-    def __init__(self, df: DataFrame, name: str):
-        self.name, self.tables, self.manifest = name, [saved(df, name)], None
+    def __init__(self, df: DataFrame, name: str, own: Column | None = None):
+        self.name, self.tables, self.manifest, self.own = name, [saved(df, name)], None, F.lit(True) if own is None else own
 
-    def rows(self, bricks: DataFrame | None = None) -> DataFrame:
-        """The latest rows of all, or of some bricks."""
+    def every(self, bricks: DataFrame | None = None) -> DataFrame:
+        """All versions of all or some bricks (column version)."""
         out = None
         for v, t in enumerate(self.tables):
-            t = t.withColumn("version", F.lit(v))
+            t = t.where(self.own).withColumn("version", F.lit(v))
             out = t if out is None else out.unionByName(t)
-        if bricks is not None:
-            out = out.join(bricks, "brick", "left_semi")
+        return out if bricks is None else out.join(bricks, "brick", "left_semi")
+
+    def rows(self) -> DataFrame:
+        """The latest rows of all bricks."""
+        out = self.every()
         if self.manifest is not None:
             out = out.join(self.manifest, "brick", "left").where(F.col("version") == F.coalesce("latest", F.lit(0))).drop("latest")
         return out.drop("version")
@@ -196,6 +209,15 @@ class Versions:
             discard(t)
 
 
+def latest(t: pa.Table) -> pa.Table:
+    """Of whole bricks, one after the other, the rows of the last version and the ghosts; bricks without ghosts go."""
+    brick, version, ghost = (t[c].to_numpy() for c in ("brick", "version", "ghost"))
+    head = np.flatnonzero(np.append(True, brick[1:] != brick[:-1]))
+    size = np.diff(np.append(head, len(brick)))
+    last, open_ = np.maximum.reduceat(version, head), np.logical_or.reduceat(ghost, head)
+    return t.filter(pa.array(np.repeat(open_, size) & (ghost | (version == np.repeat(last, size))))).combine_chunks()
+
+
 ROWS = "brick long, image_id long, t int, z int, y int, x int, object long, cost double, level double, c double, hops long, label long, par long, ghost boolean"
 
 
@@ -218,6 +240,9 @@ def relax(seeds: DataFrame, field: DataFrame, moves: list[tuple[int, ...]], comb
 
     def run(batches: Iterator[pa.RecordBatch], start: bool) -> Iterator[pa.RecordBatch]:
         for t in whole(batches):
+            t = t if start else latest(t)
+            if not t.num_rows:
+                continue
             place = grid.number(t)
             key = keys([t["image_id"].to_numpy(), t["object"].to_numpy()], place, grid.volume)
             names, at, row = np.unique(key, return_index=True, return_inverse=True)
@@ -245,20 +270,26 @@ def relax(seeds: DataFrame, field: DataFrame, moves: list[tuple[int, ...]], comb
                 out = out.append_column(name, col)
             yield from out.combine_chunks().to_batches(max_chunksize=100_000)
 
-    state = Versions(dealt(rows).mapInArrow(lambda b: run(b, True), ROWS + ", fresh boolean"), "relax")
+    def round_of(df: DataFrame, start: bool) -> DataFrame:
+        """Settled bricks, and beside them the copies of what got better for the bricks around (ghost)."""
+        out = dealt(df).mapInArrow(lambda b: run(b, start), ROWS + ", fresh boolean")
+        return out if grid.alone else grid.with_neighbours(out, F.col("fresh")).withColumn("cost", F.when(~F.col("ghost"), F.col("cost")))
+
+    own = ~F.col("ghost")
+    state = Versions(round_of(rows, True), "relax", own)
     discard(table)
     while not grid.alone:
-        ghosts = grid.to_neighbours(state.tables[-1].where("fresh").drop("brick", "fresh")).withColumn("ghost", F.lit(True)).withColumn("cost", none("double"))
-        ghosts = saved(ghosts, "relax-faces")
-        if ghosts.isEmpty():
-            discard(ghosts)
-            break
+        ghosts = state.tables[-1].where(~own)
         touched = saved(ghosts.select("brick").distinct(), "relax-bricks")
-        again = state.rows(touched).drop("fresh").unionByName(ghosts)
-        state.add(dealt(again).mapInArrow(lambda b: run(b, False), ROWS + ", fresh boolean"), touched)
-        discard(ghosts)
+        n = touched.count()
+        if not n:
+            discard(touched)
+            break
+        # all versions and the copies meet in one shuffle, where bricks drop what is old; only where few bricks go on the others stay behind
+        again = state.every(F.broadcast(touched) if n <= SENT else None).unionByName(ghosts.withColumn("version", F.lit(-1))).drop("fresh")
+        state.add(round_of(again, False), touched)
         discard(touched)
-    return state.rows().where("c is not null").select(*VK, "object", "c", "hops", "label", "par"), grid
+    return state.rows().where("c is not null").select(*VK, "object", "c", "hops", "label", "par", "cost"), grid
 
 
 def follow(grid: Grid, pointers: DataFrame, starts: DataFrame, steps: int | None = None) -> DataFrame:

@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 
 from voxlake.functions.scalar import gamma
 from voxlake.operators.bricks import BRICK, Grid, a_step_on, dealt, follow, keys, relax, whole
-from voxlake.operators.dense import mask_map, moved
+from voxlake.operators.dense import dense_map, mask_map, moved
 from voxlake.operators.filters import gaussian, kernel
 from voxlake.operators.graph import connected_components as components
 from voxlake.operators.graph import roots
-from voxlake.operators.joins import distance_to, nearest_point, neighbours, offsets
+from voxlake.operators.joins import distance_to, nearest_point, neighbours, offsets, spread
 from voxlake.operators.projections import VK
 from voxlake.plans.scratch import discard, saved
 
@@ -140,8 +140,15 @@ def shell_of(vox: DataFrame) -> DataFrame:
 
 def inside_distance(vox: DataFrame, cap: int) -> DataFrame:
     """Distance of every voxel to the nearest empty one, up to a cap; cells around the object and beyond its volume are empty."""
-    own = saved(vox.select(*VK).distinct(), "voxels")
-    return distance_to(own, shell_of(own), cap)
+
+    def depth(arrays: list[np.ndarray]) -> list[np.ndarray]:
+        # a cell beyond the array is empty, or farther than the cap
+        d2 = spread(np.where(np.pad(arrays[0], ((0, 0), (1, 1), (1, 1), (1, 1))) > 0, np.inf, 0.0), [cap] * 3, (1.0, 1.0, 1.0))
+        return [np.sqrt(d2[:, 1:-1, 1:-1, 1:-1])]
+
+    own = vox.select(*VK).distinct().withColumn("full", F.lit(1.0))
+    found = dense_map(own, ["full"], VK, {"z": cap, "y": cap, "x": cap}, depth, ["distance"])
+    return found.withColumn("distance", F.when(F.col("distance") <= cap, F.col("distance")))
 
 
 def full_depth(vox: DataFrame) -> DataFrame:
@@ -161,11 +168,11 @@ def seeded_split(mask: DataFrame, seeds: DataFrame, priority: str, connectivity:
     """Every mask voxel to the seed that floods it first: least highest priority on the way; of such ways (best up to every voxel of
     theirs) the one with fewest steps, then the smallest seed."""
     zero = F.lit(0).alias("object")
-    mask, seeds = saved(mask.select(*VK, priority), "mask"), saved(seeds.select(*VK, "label"), "seeds")
+    seeds = saved(seeds.select(*VK, "label"), "seeds")
     start = seeds.select(*VK, zero, F.lit(0).alias("label"), F.lit(float("-1.7e308")).alias("c"), F.lit(0).alias("hops"))
     field = mask.select(*VK, zero, F.col(priority).cast("double").alias("cost"), F.lit(0.0).alias("level"))
-    levels = saved(relax(start, field, offsets(connectivity), lambda c, cost, level, s, d: np.maximum(c, cost[d]), brick)[0], "levels")
-    field = levels.join(field.select(*VK, "cost"), VK, "left").select(*VK, zero, F.coalesce("cost", F.col("c")).alias("cost"), F.col("c").alias("level"))
+    levels = relax(start, field, offsets(connectivity), lambda c, cost, level, s, d: np.maximum(c, cost[d]), brick)[0]
+    field = levels.select(*VK, zero, F.coalesce("cost", F.col("c")).alias("cost"), F.col("c").alias("level"))
     start = seeds.select(*VK, zero, F.col("label"), F.lit(0.0).alias("c"), F.lit(0).alias("hops"))
     tight = lambda c, cost, level, s, d: np.where(np.maximum(level[s], cost[d]) == level[d], 0.0, np.inf)
     return relax(start, field, offsets(connectivity), tight, brick)[0].select(*VK, "label")
@@ -179,6 +186,8 @@ def geodesic_start(labelled: DataFrame) -> DataFrame:
 
 def geodesic(labelled: DataFrame, start: DataFrame | None = None, brick: tuple[int, int, int] = BRICK) -> DataFrame:
     """Steps (6 neighbours) inside each component from its start."""
+    if start is None:
+        labelled = saved(labelled, "labelled")
     seeds = geodesic_start(labelled) if start is None else start
     return _flood(seeds, labelled, 6, F.lit(0), brick).select(*VK, F.col("hops").cast("int").alias("hops"))
 

@@ -203,7 +203,9 @@ def distance_to(vox: DataFrame, targets: DataFrame, cap: int | None = None, samp
                 if i == j:
                     continue
                 where = (group[i:j] - k * step, *(a[i:j] - o for a, o in zip(at, low, strict=True)))
-                d2 = _spread(where, ~want[i:j], (int(where[0].max()) + 1, *shape), reach, sampling)
+                d2 = np.full((int(where[0].max()) + 1, *shape), np.inf)
+                d2[tuple(x[~want[i:j]] for x in where)] = 0.0
+                d2 = spread(d2, reach, sampling)
                 mine = np.flatnonzero(want[i:j])
                 got = d2[tuple(x[mine] for x in where)]
                 ok = got <= cap * cap
@@ -215,12 +217,10 @@ def distance_to(vox: DataFrame, targets: DataFrame, cap: int | None = None, samp
     return vox.join(found, VK, "left")
 
 
-def _spread(where: tuple[np.ndarray, ...], target: np.ndarray, shape: tuple[int, ...], reach: list[int], sampling: tuple[float, float, float]) -> np.ndarray:
-    """Least squared distances to the targets in dense arrays, one axis after the other."""
-    d2 = np.full(shape, np.inf)
-    d2[tuple(x[target] for x in where)] = 0.0
+def spread(d2: np.ndarray, reach: list[int], sampling: tuple[float, float, float]) -> np.ndarray:
+    """Least squared distances in dense arrays (group, z, y, x) that hold 0 at the targets, one axis after the other."""
     for axis, (r, s) in enumerate(zip(reach, sampling, strict=True), 1):
-        out, n = d2.copy(), shape[axis]
+        out, n = d2.copy(), d2.shape[axis]
         for o in range(1, min(r, n - 1) + 1):
             a, b = [slice(None)] * 4, [slice(None)] * 4
             a[axis], b[axis] = slice(o, None), slice(None, n - o)
