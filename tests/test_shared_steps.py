@@ -7,6 +7,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from voxlake.operators import aggregates as A
 from voxlake.operators import filters as L
 from voxlake.operators import iterative as G
 from voxlake.operators import joins as J
@@ -97,6 +98,17 @@ def test_depth_without_a_shell(spark):
     assert got_ == want
 
 
+def test_otsu_mask_grows_in_bricks(spark):
+    """A shuffle of the bright voxels for all steps together, not one of copies an axis."""
+    rng = np.random.default_rng(4)
+    rows = [(1, 0, z, y, x, float(rng.integers(0, 5)) + 100.0 * (z == 3 and y > 7)) for z in range(7) for y in range(10) for x in range(20)]
+    df = A.otsu_mask(spark.createDataFrame(rows, "image_id long, t int, z int, y int, x int, v double"), "v", (6, 10, 20), 2)
+    assert "left" not in df._jdf.queryExecution().optimizedPlan().toString().replace("left_", "")
+    bright = {r[2:5] for r in rows if r[5] >= 100.0}
+    want = {(1, z, y, x) for z in range(6) for y in range(10) for x in range(20) if any(abs(z - a) + abs(y - b) + abs(x - c) <= 2 for a, b, c in bright)}
+    assert got(df) == want
+
+
 def test_a_round_drops_old_versions_itself(spark):
     """Bricks that copies reach keep their last version and the copies; others go.  Copies for the bricks around are written beside the rows."""
     rows = [(5, 0, False, 1), (5, 1, False, 2), (5, -1, True, 3), (7, 0, False, 4), (9, 0, False, 5), (9, -1, True, 6)]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxlake.operators.bricks import BRICK, dealt, whole
-from voxlake.operators.dense import convolve, dense_map
+from voxlake.operators.dense import convolve, dense_map, mask_map
 from voxlake.operators.hulls import hulls
 from voxlake.operators.projections import VK
 from voxlake.operators.ranks import ranked, running
@@ -456,12 +457,20 @@ def otsu_threshold(vox: DataFrame, value: str, by: list[str], bins: int = 256) -
 def otsu_mask(vox: DataFrame, value: str, shape: tuple[int, int, int], dilate: int = 5, bins: int = 256) -> DataFrame:
     """Voxels above their image's threshold, and all within so many steps (6 neighbours) of them inside the volume's shape."""
     bright = vox.join(otsu_threshold(vox, value, ["image_id"], bins), "image_id").where(F.col(value) > F.col("threshold")).select(*VK)
-    # the steps along one axis after the other, with what is left of them
-    out = bright.distinct().withColumn("left", F.lit(dilate))
-    for c, n in zip("zyx", shape, strict=True):
-        moved = out.select(*[k for k in VK if k != c], "left", F.explode(F.sequence(F.greatest(F.col(c) - F.col("left"), F.lit(0)), F.least(F.col(c) + F.col("left"), F.lit(n - 1)))).alias("to"), F.col(c).alias("from"))
-        out = moved.groupBy(*[k if k != c else F.col("to").alias(c) for k in VK]).agg(F.max(F.col("left") - F.abs(F.col("to") - F.col("from"))).alias("left"))
-    return out.select(*VK)
+    inside = reduce(lambda a, b: a & b, (F.col(c).between(0, n - 1) for c, n in zip("zyx", shape, strict=True)))
+
+    def grown(mask: np.ndarray) -> np.ndarray:
+        for _ in range(dilate):
+            wide = mask.copy()
+            for axis in (1, 2, 3):
+                to, of = [slice(None)] * 4, [slice(None)] * 4
+                to[axis], of[axis] = slice(1, None), slice(None, -1)
+                wide[tuple(to)] |= mask[tuple(of)]
+                wide[tuple(of)] |= mask[tuple(to)]
+            mask = wide
+        return mask
+
+    return mask_map(bright, (dilate, dilate, dilate), grown).where(inside)
 
 
 def histogram_match(vox: DataFrame, value: str, by: str, reference: int) -> DataFrame:
