@@ -184,9 +184,9 @@ class Versions:
             out = t if out is None else out.unionByName(t)
         return out if bricks is None else out.join(bricks, "brick", "left_semi")
 
-    def rows(self) -> DataFrame:
-        """The latest rows of all bricks."""
-        out = self.every()
+    def rows(self, bricks: DataFrame | None = None) -> DataFrame:
+        """The latest rows of all, or of some bricks."""
+        out = self.every(bricks)
         if self.manifest is not None:
             out = out.join(self.manifest, "brick", "left").where(F.col("version") == F.coalesce("latest", F.lit(0))).drop("latest")
         return out.drop("version")
