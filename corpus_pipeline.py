@@ -15,32 +15,40 @@ from pyspark.sql import functions as F
 
 from voxlake.llm import decontaminate, repeats, sentencepieces, simhash, toxicity
 from voxlake.plans.scratch import saved
+from voxlake.plans.workers import small_batches
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+ROWS = 1_000  # texts that travel to a Python worker at once
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows whose doc_id is not among gone; rows without doc_id stay."""
-    return docs.select(*COLUMNS).join(gone.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    """Rows whose doc_id is not among gone; rows without doc_id stay.
+
+    What goes is found first, by itself: no executor holds whole rows for this join while its Python workers are at an operator's work."""
+    ids = saved(gone.select("doc_id").where("doc_id is not null").distinct(), "pipeline-gone")
+    return docs.select(*COLUMNS).join(ids, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: documents that it predicts to be toxic go.  All labels but those it holds out are learned."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity.toxicity(docs.select("doc_id", "text"), labels)
-    return _without(docs, scored.where("predicted = 1"))
+    with small_batches(docs.sparkSession, ROWS):
+        scored = toxicity.toxicity(docs.select("doc_id", "text"), labels)
+        return _without(docs, scored.where("predicted = 1"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: of each group the document with the smallest doc_id stays.  Fingerprints link, and five-word shingles at a similarity of 0.8."""
-    found = simhash.near_duplicates(docs.select("doc_id", "text"), similarity=0.8)
-    return _without(docs, found.where("doc_id <> component_id"))
+    with small_batches(docs.sparkSession, ROWS):
+        found = simhash.near_duplicates(docs.select("doc_id", "text"), similarity=0.8)
+        return _without(docs, found.where("doc_id <> component_id"))
 
 
 def unrepeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: repeated bytes go, and with them documents of which nothing is left."""
     rows = docs.select(*COLUMNS).withColumn("no_text", F.col("text").isNull())
-    cut = repeats.remove_repeats(rows, carry=("lang", "source", "n_chars", "no_text"))
+    with small_batches(docs.sparkSession, ROWS):
+        cut = repeats.remove_repeats(rows, carry=("lang", "source", "n_chars", "no_text"))
     changed = F.col("n_removed") > 0
     cut = cut.where(~changed | (F.length(F.trim("kept")) > 0))
     text = F.when(~F.col("no_text"), F.col("kept"))
@@ -50,7 +58,8 @@ def unrepeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: documents that hold a passage of a test item go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, decontaminate.leaks(docs.select("doc_id", "text"), benchmark))
+    with small_batches(docs.sparkSession, ROWS):
+        return _without(docs, decontaminate.leaks(docs.select("doc_id", "text"), benchmark))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,3 +73,12 @@ def test_clashing_columns_repeats_and_long_texts(spark, sf_dir, tmp_path):
     cut = sorted((r.doc_id, len(r.text)) for r in P.unrepeated_text(spark, docs, str(tmp_path)).collect())
     assert (1, 13) in cut and (1, 22) in cut and (2, len(long)) in cut and all(n < 120 for i, n in cut if i == 3)
     assert {r.doc_id for r in P.one_of_each_group(spark, docs, str(tmp_path)).collect()} >= {1, 2}
+
+
+def test_decisions_come_before_rows(spark, sf_dir):
+    """The join that leaves rows out has no Python beside it: what goes is a table by then.  Batches of the session are as before."""
+    docs, batch = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for stage in (P.clean_language, P.one_of_each_group, P.without_test_items):
+        plan = stage(spark, docs, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "LeftAnti" in plan and "MapInArrow" not in plan
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == batch

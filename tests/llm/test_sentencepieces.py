@@ -95,3 +95,51 @@ def test_long_words(pair):
 
 def test_models_with_equal_pieces_are_apart():
     assert S.load(PATH).name != S.load(as_unigram()).name
+
+
+_HELD = """
+import re, sys
+from unittest import mock
+import pyarrow as pa
+from voxlake.llm import sentencepieces
+
+sentencepieces.F = mock.MagicMock()  # columns need a Spark session
+
+class Docs:  # hands out what the operator runs in its tasks
+    sparkSession = sparkContext = property(lambda self: self)
+    def broadcast(self, model):
+        return type("Sent", (), {"value": model})
+    def select(self, *columns):
+        return self
+    def mapInArrow(self, run, schema):
+        return run
+
+def held():
+    return sum(map(int, re.findall(r"\\nPss_(?:Anon|Shmem):\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+def batches(n):
+    for i in range(2):
+        texts = [" ".join(f"w{(i * n + k) * 7919 % 999983:x}q{k}" for k in range(j, j + 50)) for j in range(0, n, 50)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+
+run = sentencepieces.encode_decode(Docs(), sentencepieces.load(sys.argv[1]))
+for _ in run(batches(50)):
+    pass
+before = held()
+assert all(all(out.column(3).to_pylist()) for out in run(batches(100_000)))
+print(held() - before)
+"""
+
+
+def test_a_task_gives_memory_back():
+    """A worker that has ended a task of 200,000 words keeps neither them nor free memory (some 100 MB)."""
+    import os
+    import subprocess
+    import sys
+
+    import public_tokenizers
+
+    path = os.pathsep.join(p for p in sys.path if p)
+    done = subprocess.run([sys.executable, "-c", _HELD, public_tokenizers.path("piece_bpe_32k.model")], capture_output=True, text=True, env=os.environ | {"PYTHONPATH": path}, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert float(done.stdout) < 40

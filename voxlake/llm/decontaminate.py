@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from voxlake.llm.common import blocks, spread, text_bytes
 from voxlake.llm.repeats import mix
 from voxlake.llm.runs import hashes, runs
+from voxlake.plans.workers import lean
 
 N = 3  # shorter items are matched as a whole
 THRESHOLD = 0.5
@@ -252,7 +253,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, b
     for k in range(parts):
         mine = known.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k).collect() if parts > 1 else known.collect()
         items = spark.sparkContext.broadcast(Items([r.item_id for r in mine], [r.text for r in mine], threshold, sample))  # about block items
-        part = texts.mapInArrow(lambda batches, items=items: scan(items.value, threshold)(batches), "doc_id long, item_id long, score double, start long, end long")
+        part = texts.mapInArrow(lean(lambda batches, items=items: scan(items.value, threshold)(batches)), "doc_id long, item_id long, score double, start long, end long")
         found = part if found is None else found.unionAll(part)
     best = F.max(F.struct(F.col("score"), (-F.col("start")).alias("s"), F.col("end").alias("e"))).alias("b")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", F.col("b.score").alias("score"), (-F.col("b.s")).alias("start"), F.col("b.e").alias("end"))

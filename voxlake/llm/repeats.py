@@ -31,11 +31,12 @@ from pyspark.sql import functions as F
 
 from voxlake.llm.common import blocks, spread, text_bytes
 from voxlake.plans.scratch import saved
+from voxlake.plans.workers import lean
 
 WIDTH = 100
 K = 48
 PIECE = 64  # most windows in one segment row
-BLOCK = 1 << 20  # bytes hashed at once
+BLOCK = 1 << 19  # bytes hashed at once: some 50 MB
 FLUSH = 1_000_000  # rows gathered before a task collapses them
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
@@ -150,6 +151,13 @@ def _settle(a: np.ndarray, g: np.ndarray, doc: np.ndarray, s: np.ndarray, n: np.
     yield _rows(MANY, a[head], g[head], doc[head], s[head], n[head])
 
 
+def _columns(kept: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+    """What a task has gathered, which is then not held twice."""
+    out = [np.concatenate(c) for c in zip(*kept, strict=True)]
+    kept.clear()
+    return out
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept, rows = [], 0
     for batch in batches:
@@ -165,10 +173,10 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append((low[first], digest, doc[i + row], first - starts[row], count, twice))
             rows += len(first)
             if rows >= FLUSH:
-                yield from _settle(*map(np.concatenate, zip(*kept, strict=True)))
+                yield from _settle(*_columns(kept))
                 kept, rows = [], 0
     if kept:
-        yield from _settle(*map(np.concatenate, zip(*kept, strict=True)))
+        yield from _settle(*_columns(kept))
 
 
 SPANS = pa.schema([("kind", pa.int8()), ("doc", pa.int64()), ("s", pa.int32()), ("n", pa.int32())])
@@ -248,7 +256,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept, rows = [], 0
 
     def settle() -> Iterator[pa.RecordBatch]:
-        w, a, doc, s = map(np.concatenate, zip(*kept, strict=True))
+        w, a, doc, s = _columns(kept)
         order, new, later = _first((w, a), doc, s)
         new, later = np.sort(order[new]), order[later]  # as they came: by document
         d, p, n = _runs(doc[later], s[later], np.ones(len(later), np.int64))
@@ -342,14 +350,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     texts = _placed(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *carry))
     known = texts.where("doc_id is not null and length(text) >= 100").select("place", "text")
-    routed = known.mapInArrow(_scan, "key long, kind byte, g long, doc long, s int, n int").repartition("key")
+    routed = known.mapInArrow(lean(_scan), "key long, kind byte, g long, doc long, s int, n int").repartition("key")
     flat, lists = "kind byte, doc long, s int, n int", "place long, s array<int>, n array<int>"
-    spans = saved(routed.mapInArrow(_decide, flat), "repeats")
-    todo = spans.where(F.col("kind") == OPEN).repartition("doc").mapInArrow(_by_document(False), lists)
-    windows = known.join(todo, "place").select("place", "text", "s", "n").mapInArrow(_windows, "w long, a int, doc long, s int, n int").repartition("w", "a")
-    fine = saved(windows.mapInArrow(_compare, flat), "repeats-fine")
-    gone = spans.where(F.col("kind") == REMOVED).unionAll(fine).repartition("doc").mapInArrow(_by_document(True), lists)
+    spans = saved(routed.mapInArrow(lean(_decide), flat), "repeats")
+    todo = spans.where(F.col("kind") == OPEN).repartition("doc").mapInArrow(lean(_by_document(False)), lists)
+    windows = known.join(todo, "place").select("place", "text", "s", "n").mapInArrow(lean(_windows), "w long, a int, doc long, s int, n int").repartition("w", "a")
+    fine = saved(windows.mapInArrow(lean(_compare), flat), "repeats-fine")
+    gone = spans.where(F.col("kind") == REMOVED).unionAll(fine).repartition("doc").mapInArrow(lean(_by_document(True)), lists)
     none = F.array().cast("array<int>")
     joined = texts.join(gone, "place", "left").select("doc_id", "text", F.coalesce("s", none).alias("s"), F.coalesce("n", none).alias("n"), *carry)
     types = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return joined.mapInArrow(lambda batches: _cut(batches, with_text), RESULT + types)
+    return joined.mapInArrow(lean(lambda batches: _cut(batches, with_text)), RESULT + types)

@@ -30,17 +30,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.llm.common import spread
+from voxlake.plans.workers import lean
 
 SPACE = "▁"
-KNOWN = 400_000  # words that a worker remembers
+KNOWN = 400_000  # words that a task remembers
 LONG = 1000  # characters; longer words are segmented alone
+LEARNED = 2_400  # texts whose words are learned at once
 ENDS = 1 << 15  # ends of a long word that are looked up at once
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _LETTER = "[^\\W\\d_]"
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|\n|{SPACE}+")
 _FINE = re.compile(f"{SPACE}*{_LETTER}+|{SPACE}*(?:[^{SPACE}\n\\w]|[\\d_])+|\n|{SPACE}+")  # cut between letters and others too
-_ENCODERS: dict[str, Encoder] = {}
 
 
 def _powers(n: int) -> np.ndarray:
@@ -380,11 +381,13 @@ def encode_decode(docs: DataFrame, model: Model, with_ids: bool = True, with_tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        encoder = _ENCODERS.setdefault(model.name, Encoder(model))
+        encoder = Encoder(model)
         table = model.table()
         for batch in batches:
-            encoder.learn([t or "" for t in batch.column(1).slice(i, 300).to_pylist()] for i in range(0, batch.num_rows, 300))
             for i in range(0, batch.num_rows, 300):
+                if i % LEARNED == 0:
+                    some = batch.column(1).slice(i, LEARNED)
+                    encoder.learn([t or "" for t in some.slice(k, 300).to_pylist()] for k in range(0, len(some), 300))
                 part = batch.slice(i, 300)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 ids, sizes = encoder.encode(texts)
@@ -400,4 +403,4 @@ def encode_decode(docs: DataFrame, model: Model, with_ids: bool = True, with_tex
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), pa.array(crc, pa.int64()), pa.array(same, pa.bool_()), listed, pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_crc32", "round_trip", "ids", "decoded"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean, ids array<int>, decoded string")
+    return rows.mapInArrow(lean(run), "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean, ids array<int>, decoded string")

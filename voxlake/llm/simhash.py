@@ -32,6 +32,7 @@ from voxlake.llm import shingles
 from voxlake.llm.common import text_bytes
 from voxlake.operators.graph import connected_components
 from voxlake.plans.scratch import saved
+from voxlake.plans.workers import lean
 
 SEED = 42
 DENSE = 64
@@ -63,7 +64,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = [fingerprint(data[off[i] : off[i + 1]].tobytes(), shingle) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lean(run), "doc_id long, fp long")
 
 
 def links(fps: DataFrame, dense: int = DENSE) -> DataFrame:

@@ -19,8 +19,11 @@ both classes every score is the share of toxic labels (0 without labels).  Extra
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from copy import copy
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.llm.common import spread
+from voxlake.plans.workers import lean
 
 K = 16
 BLOCK = 16
@@ -200,7 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, least: f
         sample.unpersist()
         return (totals[1] / sum(totals.values()),)
     one, zero = sizes[1], sizes[0]
-    df = sample.mapInArrow(_partial, "term string, toxic int, n long").groupBy("term").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b"))
+    df = sample.mapInArrow(lean(_partial), "term string, toxic int, n long").groupBy("term").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b"))
     xlogx = lambda c: F.when(c > 0, c * F.log(c.cast("double"))).otherwise(0.0)
     a, b, n = F.col("a"), F.col("b"), one + zero
     ratio = 2 * (xlogx(a) + xlogx(b) + xlogx(one - a) + xlogx(zero - b) - xlogx(a + b) - xlogx(n - a - b) - xlogx(F.lit(one)) - xlogx(F.lit(zero)) + xlogx(F.lit(n)))
@@ -215,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, least: f
             flat = pa.array([[v for pair in p for v in pair] for p in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([flat, batch.column(1), batch.column(2)], ["p", "toxic", "doc_id"])
 
-    told = sample.mapInArrow(patterns, "p array<int>, toxic int, doc_id long").groupBy("p").agg(F.sum(F.col("toxic").cast("long")).alias("one"), F.count("*").alias("n"), F.min("doc_id").alias("first")).collect()
+    told = sample.mapInArrow(lean(patterns), "p array<int>, toxic int, doc_id long").groupBy("p").agg(F.sum(F.col("toxic").cast("long")).alias("one"), F.count("*").alias("n"), F.min("doc_id").alias("first")).collect()
     sample.unpersist()
     told.sort(key=lambda r: r["first"])
     shapes = [tuple(zip(r.p[::2], r.p[1::2], strict=True)) for r in told]
@@ -234,7 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, least: f
 
     shown = spark.createDataFrame([(r.p, r.n - r.one, r.one) for r in told], "p array<int>, zero long, one long").repartition(16)
     hits, seen = np.full(BINS, 0.0), np.full(BINS, 0.0)
-    for r in shown.mapInArrow(leave_one_out, "bin int, toxic int, n double").groupBy("bin", "toxic").agg(F.sum("n").alias("n")).collect():
+    for r in shown.mapInArrow(lean(leave_one_out), "bin int, toxic int, n double").groupBy("bin", "toxic").agg(F.sum("n").alias("n")).collect():
         seen[r.bin] += r.n * share[r.toxic]
         hits[r.bin] += r.n * share[r.toxic] * r.toxic
     prior = (np.arange(BINS) + 0.5) / BINS  # an empty bin stands for itself
@@ -246,7 +250,10 @@ def score(docs: DataFrame, model: tuple) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     if len(model) == 1:
         return rows.select("doc_id", F.lit(float(model[0])).alias("score"), F.lit(None).cast("long").alias("nearest_doc_id"), F.lit(0.0).alias("nearest_cosine"))
-    cases = docs.sparkSession.sparkContext.broadcast(model)
+    vocabulary, index, share, shares = model
+    index = copy(index)
+    index.place = {}  # only leaving examples out asks for it
+    cases = docs.sparkSession.sparkContext.broadcast((vocabulary, index, share, shares))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, index, share, shares = cases.value
@@ -258,14 +265,15 @@ def score(docs: DataFrame, model: tuple) -> DataFrame:
                 patterns = [known.of(text) for text in batch.column(1).slice(i, 500).to_pylist()]
                 if len(told) > 50_000:
                     told.clear()
-                new = list(dict.fromkeys(p for p in patterns if p not in told))
-                for pattern, near in zip(new, index.nearest(new, K), strict=True):
+                packed = [array("q", chain.from_iterable(p)).tobytes() for p in patterns]  # pairs of objects take ten times as much
+                new = {k: p for k, p in zip(packed, patterns, strict=True) if k not in told}
+                for (key, pattern), near in zip(new.items(), index.nearest(list(new.values()), K), strict=True):
                     vote, doc, cos = index.tally(pattern, share, *near)
-                    told[pattern] = (float(np.interp(vote, middle, shares)), doc, cos)
-                out += map(told.__getitem__, patterns)
+                    told[key] = (float(np.interp(vote, middle, shares)), doc, cos)
+                out += map(told.__getitem__, packed)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([o[i] for o in out], t) for i, t in enumerate((pa.float64(), pa.int64(), pa.float64())))], ["doc_id", "score", "nearest_doc_id", "nearest_cosine"])
 
-    return rows.mapInArrow(run, "doc_id long, score double, nearest_doc_id long, nearest_cosine double")
+    return rows.mapInArrow(lean(run), "doc_id long, score double, nearest_doc_id long, nearest_cosine double")
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.plans.scratch import saved
+from voxlake.plans.workers import lean
 
 MAX_ROUNDS = 60
 
@@ -49,7 +50,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     Null ends and loops are ignored; an empty table gives no rows.
     """
     e = edges.select(F.col(src).cast("long").alias("src"), F.col(dst).cast("long").alias("dst"))
-    e = e.where("src is not null and dst is not null and src <> dst").mapInArrow(_contract, "src long, dst long")
+    e = e.where("src is not null and dst is not null and src <> dst").mapInArrow(lean(_contract), "src long, dst long")
     e = saved(e.distinct(), "edges")
     mark = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)")).alias("h")).first()
     for _ in range(MAX_ROUNDS):
