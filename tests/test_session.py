@@ -21,3 +21,12 @@ def test_no_broadcast_stays(spark):
     off = spark.newSession()
     off.conf.set(BROADCAST, "-1")
     assert own_session(off).conf.get(BROADCAST) == "-1"
+
+
+def test_numbered_operators_too(spark, sf_dir):
+    """Counts of words fit 10 MB of files long before they fit a driver."""
+    from __spark_entry__ import queries
+
+    before = spark.conf.get(BROADCAST)
+    df = queries()["op11_spelling_variants"](spark, sf_dir)
+    assert df.sparkSession.conf.get(BROADCAST) == str(MOST) and spark.conf.get(BROADCAST) == before

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voxlake.llm import collocations, decontaminate, embeddings, html_text, language, licenses, packing, repeats, sentencepieces, simhash, spellings, tokenstore, toxicity
 from voxlake.llm.common import table
+from voxlake.plans.register import in_own_session
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,5 +72,5 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_suffix_array_dedup, op4_html_extraction, op5_license_scan, op6_token_id_output, op7_simhash_near_dedup, op8_toxicity, op9_benchmark_decontamination, op10_language_id, op11_spelling_variants, op12_phrase_collocations, op13_packing)}
+QUERIES = {f.__name__: in_own_session(f) for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_suffix_array_dedup, op4_html_extraction, op5_license_scan, op6_token_id_output, op7_simhash_near_dedup, op8_toxicity, op9_benchmark_decontamination, op10_language_id, op11_spelling_variants, op12_phrase_collocations, op13_packing)}
 ORACLES = {"op11_spelling_variants": spellings.ORACLE, "op12_phrase_collocations": collocations.ORACLE, "op5_license_scan": licenses.oracle("documents", "doc_id", "source || '/' || (doc_id // 50) || '/' || doc_id")}

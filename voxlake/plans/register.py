@@ -26,18 +26,21 @@ def own_session(spark: SparkSession) -> SparkSession:
     return own
 
 
+def in_own_session(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return f(own_session(spark), sf_dir)
+
+    return run
+
+
 def query(name: str, oracle: str | None = None):
     """Registers f(spark, sf_dir) under a name, with DuckDB SQL for the same rows where SQL can express them."""
 
     def add(f: Callable[[SparkSession, str], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-
-        @wraps(f)
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(own_session(spark), sf_dir)
-
-        QUERIES[name] = run
+        QUERIES[name] = in_own_session(f)
         if oracle:
             ORACLES[name] = oracle
         return f
