@@ -121,3 +121,53 @@ def test_a_round_drops_old_versions_itself(spark):
     side = lambda v, n: {v // n, (v - 1) // n, (v + 1) // n}
     want = sum(len(side(r.z, 3)) * len(side(r.y, 1)) * len(side(r.x, 4)) - 1 for r in vox.collect() if r.x > 2)
     assert both.where("ghost").count() == want
+
+
+def test_path_costs_of_whole_images(spark, monkeypatch):
+    """Images that fit into an array are done in one shuffle, with the values that passes over lines and bricks give; other rows of targets and objects give none."""
+    cells = sorted(scene(500))
+    vox = voxels(spark, [(c[0], c[1:]) for c in cells]).withColumn("v", (F.col("z") * 7 + F.col("y") * 5 + F.col("x") * 3) % 11 + F.lit(0.0))
+    aim = vox.where("image_id < 2 and x > 6").select("image_id", "t", "z", "y", "x").unionByName(voxels(spark, [(1, (0, 12, 0)), (1, (0, 12, 0)), (9, (1, 1, 1))]))
+    own = vox.where("y = 2")
+    written, real = [], G.saved
+    monkeypatch.setattr(G, "saved", lambda df, name, *a: written.append(name) or real(df, name, *a))
+    found = lambda: {tuple(r)[:5]: r.cost for r in G.path_cost_field(own, aim, vox, "v").collect()}
+    at_once = found()
+    assert written == ["cost-input"] and set(at_once) == {(c[0], 0, *c[1:]) for c in cells}
+    monkeypatch.setattr(G, "WHOLE", 0)
+    by_passes = found()
+    assert set(by_passes) == set(at_once) and all(abs(by_passes[k] - at_once[k]) < 1e-9 for k in by_passes)
+
+
+def test_paths_without_copies_of_neighbours(spark):
+    """No row is made for each of the 27 voxels around; paths equal a plain walk, with targets and objects that lie beyond the costs."""
+    cells = sorted(scene(700, 2, 8))
+    value = lambda z, y, x: round(((z * 31 + y * 17 + x * 7) % 23) / 4 + 0.01 * x, 9)
+    price = {c: value(*c[1:]) for c in cells}
+    cost = spark.createDataFrame([(c[0], 0, *c[1:], v) for c, v in price.items()], "image_id long, t int, z int, y int, x int, cost double")
+    bodies = {(i, lab): [(i, z, y, x) for z, y, x in places] for i in (0, 1) for lab, places in ((1, [(2, 2, -1), (2, 3, -1)]), (2, [(4, 4, 4), (4, 4, 5), (2, 3, -1)]), (3, [(8, 9, 9), (60, 9, 9)]))}
+    aims = {(i, z, y, 9) for i in (0, 1) for z in range(9) for y in range(9)} | {(0, 0, -1, 0), (1, 5, 5, 5), (1, 700, 5, 5)}
+    rows = lambda some: voxels(spark, [(c[0], c[1:]) for c in some])
+    objects = spark.createDataFrame([(c[0], 0, *c[1:], lab) for (_, lab), places in bodies.items() for c in places], "image_id long, t int, z int, y int, x int, label long")
+    moves = [d for d in itertools.product((-1, 0, 1), repeat=3) if any(d)]
+    step = lambda c, d: (c[0], *(a + b for a, b in zip(c[1:], d, strict=True)))
+    taken = {c for places in bodies.values() for c in places}
+    want = set()
+    for (_, lab), places in bodies.items():
+        shell = [c for c in {step(p, d) for p in places for d in moves} if c in price and c not in taken]
+        at, walk, arrived = min(shell, key=lambda c: (price[c], c), default=None), [], False
+        while at and len(walk) < 200:
+            walk.append(at)
+            if at not in aims and any(step(at, d) in aims for d in moves):
+                arrived = True
+                break
+            ways = [(price[c], d[1:] != (0, 0), c) for d in moves if (c := step(at, d)) in price and c not in aims] + ([(price[at], True, at)] if at not in aims else [])
+            best = min(ways, default=(0, 0, at))[2]
+            at = None if best == at else best
+        if arrived:
+            want |= {(c[0], 0, *c[1:], lab, k) for k, c in enumerate(walk) if price[c] <= 20 and c not in taken}
+    assert want
+    for brick in ((64, 256, 256), (3, 4, 5)):
+        df = G.greedy_paths(cost, objects, rows(aims), brick=brick).select("image_id", "t", "z", "y", "x", "label", "step")
+        assert {tuple(r) for r in df.collect()} == want, brick
+    assert "Generate" not in G.greedy_paths(cost, objects, rows(aims))._jdf.queryExecution().optimizedPlan().toString()

@@ -74,7 +74,7 @@ class Grid:
         """Rows in their own brick (ghost false), and those to be copied that lie at faces in every other brick that they touch (ghost true)."""
         copied = F.lit(True) if copied is None else copied
         for c, n in self.brick.items():
-            b, low, high = self._brick(c), copied & (F.col(c) % n == 0), copied & (F.col(c) % n == n - 1)
+            b, low, high = self._brick(c), copied & (F.pmod(c, F.lit(n)) == 0), copied & (F.pmod(c, F.lit(n)) == n - 1)
             side = F.when(low & high, F.array(b, b - 1, b + 1)).when(low, F.array(b, b - 1)).when(high, F.array(b, b + 1)).otherwise(F.array(b))
             df = df.withColumn(f"b{c}", F.explode(side))
         home = (F.col("bz") == self._brick("z")) & (F.col("by") == self._brick("y")) & (F.col("bx") == self._brick("x"))
@@ -121,6 +121,32 @@ def keys(space: list[np.ndarray], place: np.ndarray, volume: int) -> np.ndarray:
     return number * volume + place
 
 
+class Places:
+    """Rows of sorted distinct keys: by a table of all numbers between them where that is not much longer than they are many, else by search."""
+
+    MOST = 32  # numbers a key in a table
+
+    def __init__(self, key: np.ndarray):
+        self.key, self.low, self.span = key, int(key[0]) if len(key) else 0, int(key[-1] - key[0]) + 1 if len(key) else 0
+        self.table = None
+        if 0 < self.span <= self.MOST * len(key):
+            self.table = np.full(self.span + 1, -1, np.int32)
+            self.table[key - self.low] = np.arange(len(key), dtype=np.int32)
+
+    def rows(self, want: np.ndarray) -> np.ndarray:
+        """The row of each number; -1 where there is none."""
+        if not self.span:
+            return np.full(len(want), -1)
+        if self.table is not None:
+            at = want - self.low
+            return self.table[np.where((at >= 0) & (at < self.span), at, self.span)]
+        at = np.minimum(np.searchsorted(self.key, want), len(self.key) - 1)
+        return np.where(self.key[at] == want, at, -1)
+
+    def hold(self, want: np.ndarray) -> np.ndarray:
+        return self.rows(want) >= 0
+
+
 def a_step_on(key: np.ndarray, rows: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
     """Of some rows of sorted distinct keys those that have a row a step on, and that row."""
     want = key[rows] + step
@@ -145,14 +171,14 @@ def settle(key: np.ndarray, steps: np.ndarray, state: list[np.ndarray], cost: np
     """Least state (c, hops, label, predecessor) of every row (sorted distinct keys) over all paths; rows whose cost is NaN are not entered.
 
     Each wave looks at the voxels that got better, direction by direction: neither a table of neighbours nor the offers of all directions are held."""
+    places = Places(key)
     front = np.flatnonzero(np.isfinite(state[0]))
     while len(front):
         was = [x[front] for x in state[:3]]  # as the wave begins
         changed = np.zeros(len(key), bool)
         for step in steps.tolist():
-            want = key[front] + step
-            at = np.minimum(np.searchsorted(key, want), len(key) - 1)
-            hit = np.flatnonzero(key[at] == want)
+            at = places.rows(key[front] + step)
+            hit = np.flatnonzero(at >= 0)
             s, d = front[hit], at[hit]
             offer = (combine(was[0][hit], cost, level, s, d), was[1][hit] + 1, was[2][hit], place[s])
             better = _less(offer, tuple(x[d] for x in state)) & ~np.isnan(cost[d]) & np.isfinite(offer[0])
@@ -292,15 +318,17 @@ def relax(seeds: DataFrame, field: DataFrame, moves: list[tuple[int, ...]], comb
     return state.rows().where("c is not null").select(*VK, "object", "c", "hops", "label", "par", "cost"), grid
 
 
-def follow(grid: Grid, pointers: DataFrame, starts: DataFrame, steps: int | None = None) -> DataFrame:
-    """The voxels that pointers lead through: (VK, object, label, step) from each start on, until a voxel without a pointer or `steps` voxels.
+def follow(grid: Grid, pointers: DataFrame, starts: DataFrame, steps: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The voxels that pointers lead through: (VK, object, label, step, carry) from each start on, until a voxel without a pointer or `steps` voxels.
 
-    pointers: VK, object, next (raster number by the grid, below 0: an end); starts: VK, object, label.  A task follows all
+    pointers: VK, object, next (raster number by the grid, below 0: an end) and columns to carry; starts: VK, object, label.  A task follows all
     paths through its bricks; a path that leaves them goes on in the next round.  A path ends at a voxel that has no row.
     """
     thing = F.col("object").cast("long").alias("object")
-    table = pointers.select(*VK, thing, "next", F.lit(None).cast("long").alias("label"), F.lit(None).cast("long").alias("step")).withColumn("brick", grid.own())
-    open_ = starts.select(*VK, thing, F.lit(None).cast("long").alias("next"), F.col("label").cast("long").alias("label"), F.lit(0).cast("long").alias("step"))
+    kinds = [(c, k) for c, k in pointers.dtypes if c in carry]
+    blank = [F.lit(None).cast(k).alias(c) for c, k in kinds]
+    table = pointers.select(*VK, thing, "next", F.lit(None).cast("long").alias("label"), F.lit(None).cast("long").alias("step"), *carry).withColumn("brick", grid.own())
+    open_ = starts.select(*VK, thing, F.lit(None).cast("long").alias("next"), F.col("label").cast("long").alias("label"), F.lit(0).cast("long").alias("step"), *blank)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole(batches):
@@ -312,19 +340,21 @@ def follow(grid: Grid, pointers: DataFrame, starts: DataFrame, steps: int | None
             if not len(entry) or not len(known):
                 continue
             by = known[np.argsort(key[known], kind="stable")]
-            names, onward = key[by], t["next"].fill_null(-1).to_numpy()[by]
+            names, onward = Places(key[by]), t["next"].fill_null(-1).to_numpy()[by]
             at, label, step = key[entry], t["label"].fill_null(0).to_numpy()[entry], t["step"].fill_null(0).to_numpy()[entry]
             image, thing = image[entry], thing[entry]
             base = at - place[entry]
             first = True
             while len(at):
-                k = np.minimum(np.searchsorted(names, at), len(names) - 1)
-                here = names[k] == at
+                k = names.rows(at)
+                here = k >= 0
                 for mine in (here, ~here):
                     # a path that steps on a voxel of another brick is handed on; one that starts there has none
                     if mine.any() and (mine is here or not first):
                         w = np.flatnonzero(mine)
-                        yield pa.RecordBatch.from_arrays([pa.array(x[w]) for x in (image, thing, label, step, at - base)] + [pa.array(np.full(len(w), mine is not here))], ["image_id", "object", "label", "step", "place", "left"])
+                        row = pa.array(by[k[w]], mask=~here[w])
+                        cols = [pa.array(x[w]) for x in (image, thing, label, step, at - base)] + [pa.array(np.full(len(w), mine is not here))]
+                        yield pa.RecordBatch.from_arrays(cols + [t[c].combine_chunks().take(row) for c, _ in kinds], ["image_id", "object", "label", "step", "place", "left", *(c for c, _ in kinds)])
                 go = here & (onward[k] >= 0) & ((step + 1 < steps) if steps else True)
                 image, thing, label, step, base, at = image[go], thing[go], label[go], step[go] + 1, base[go], (base + onward[k])[go]
                 first = False
@@ -333,9 +363,9 @@ def follow(grid: Grid, pointers: DataFrame, starts: DataFrame, steps: int | None
     while True:
         entries = open_.withColumn("brick", grid.own())
         rows = (table if grid.alone else table.join(entries.select("brick").distinct(), "brick", "left_semi")).unionByName(entries)
-        walked = saved(dealt(rows).mapInArrow(run, "image_id long, object long, label long, step long, place long, left boolean").withColumns(grid.back("place")), "walk")
-        mine = walked.where("not left").select(*VK, "object", "label", "step")
+        walked = saved(dealt(rows).mapInArrow(run, "image_id long, object long, label long, step long, place long, left boolean" + "".join(f", {c} {k}" for c, k in kinds)).withColumns(grid.back("place")), "walk")
+        mine = walked.where("not left").select(*VK, "object", "label", "step", *carry)
         out = mine if out is None else out.unionByName(mine)
-        open_ = walked.where("left").select(*VK, "object", F.lit(None).cast("long").alias("next"), "label", "step")
+        open_ = walked.where("left").select(*VK, "object", F.lit(None).cast("long").alias("next"), "label", "step", *blank)
         if grid.alone or open_.isEmpty():
             return out

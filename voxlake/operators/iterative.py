@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxlake.functions.scalar import gamma
-from voxlake.operators.bricks import BRICK, Grid, a_step_on, dealt, follow, keys, relax, whole
-from voxlake.operators.dense import dense_map, mask_map, moved
+from voxlake.operators.bricks import BRICK, Grid, Places, a_step_on, dealt, follow, keys, relax, whole
+from voxlake.operators.dense import convolve, dense_map, mask_map, moved
 from voxlake.operators.filters import gaussian, kernel
 from voxlake.operators.graph import connected_components as components
 from voxlake.operators.graph import roots
@@ -354,68 +354,179 @@ def thin(vox: DataFrame, brick: tuple[int, int, int] = BRICK) -> DataFrame:
                 return state.select(*VK)
 
 
+WHOLE = 1 << 19  # cells of images that are worked on whole; a task fills some fifteen arrays of so many at once
+_BLUR, _SMOOTH = {"z": 0.25, "y": 10.0, "x": 10.0}, {"z": 0.5, "y": 0.5, "x": 0.5}
+
+
+def _cost_arrays(arrays: list[np.ndarray]) -> list[np.ndarray]:
+    """G10 on arrays (image, t, z, y, x): intensities, and counts of rows of the intensity, of the target and of the objects."""
+    v, here, aim, own = arrays
+    here, shape = here > 0, v.shape
+    flat = (-1, *shape[2:])
+    away = np.sqrt(spread(np.where(aim > 0, 0.0, np.inf).reshape(flat), [n - 1 for n in flat[1:]], (1.0, 1.0, 1.0))).reshape(shape)
+    away[np.isinf(away)] = 1.0
+    over = lambda a: np.where(here, a, -np.inf).max(axis=(1, 2, 3, 4), keepdims=True)
+    top, far = over(v), over(away)
+    share = np.divide(away, far, out=np.zeros(shape), where=here & (far > 0))
+    g = np.divide(v, top, out=np.zeros(shape), where=here & (top != 0) & np.isfinite(top))
+    g = np.where(here & ~(own > 0), np.clip(g, 0.0, 1.0) ** 0.4, 0.0)
+    smooth = lambda a, sigma: reduce(lambda b, axis: convolve(b, kernel(sigma[axis]), "zyx".index(axis) + 1), "zyx", a.reshape(flat)).reshape(shape)
+    return [smooth(np.where(here, share / (0.2 * g + 0.3 * smooth(g, _BLUR) + 1e-6), 0.0), _SMOOTH)]
+
+
 def path_cost_field(objects: DataFrame, target: DataFrame, intensity: DataFrame, value: str) -> DataFrame:
     """Cost of every intensity voxel: distance to the target over its maximum, divided by 0.2 g + 0.3 blur(g) + 1e-6.
 
     g = (intensity / maximum) ** 0.4 outside the objects; blurred with sigma (0.25, 10, 10); the cost with sigma 0.5.  In an image
-    without a target every voxel is as far as any.
+    without a target every voxel is as far as any.  Where every image fits into an array, one shuffle brings its rows together and a task does the rest.
     """
+    flag = lambda on: F.lit(1.0 if on else None).cast("double")
+    part = lambda df, v, *on: df.select(*VK, v.cast("double").alias("v"), *[flag(o).alias(n) for o, n in zip(on, ("here", "aim", "own"), strict=True)])
+    rows = saved(part(intensity, F.col(value), True, False, False).unionByName(part(target, F.lit(None), False, True, False)).unionByName(part(objects, F.lit(None), False, False, True)), "cost-input")
+    ends = rows.agg(*[f(c).alias(f"{n}{c}") for n, f in (("a", F.min), ("b", F.max)) for c in "tzyx"]).first()
+    extent = {c: (ends[f"b{c}"] or 0) + 1 for c in "tzyx"}
+    if min(ends[f"a{c}"] or 0 for c in "tzyx") >= 0 and max(extent[c] for c in "zyx") <= 256 and np.prod([float(n) for n in extent.values()]) <= WHOLE:
+        rows = rows.withColumn("asked", F.col("here").isNotNull())
+        return dense_map(rows, ["v", "here", "aim", "own"], VK, dict.fromkeys("tzyx", 0), _cost_arrays, ["cost"], block=extent, asked="asked", cells=WHOLE)
+    discard(rows)
     away = saved(distance_to(intensity.select(*VK, value), target), "distance").withColumn("distance", F.coalesce("distance", F.lit(1.0)))
     top = away.groupBy("image_id").agg(F.max(value).alias("top"), F.max("distance").alias("far"))
     own = objects.select(*VK).distinct().withColumn("own", F.lit(True))
     g = away.join(top, "image_id").join(own, VK, "left").withColumn("g", F.when(F.col("own"), 0.0).otherwise(gamma(F.col(value), F.col("top"))))
     g = saved(g.select(*VK, "g", F.coalesce(F.try_divide(F.col("distance"), F.col("far")), F.lit(0.0)).alias("share")), "gamma")
-    blur = gaussian(g, "g", {"z": 0.25, "y": 10.0, "x": 10.0}, VK).withColumnRenamed("g", "blur")
+    blur = gaussian(g, "g", _BLUR, VK).withColumnRenamed("g", "blur")
     raw = saved(g.join(blur, VK).select(*VK, (F.col("share") / (0.2 * F.col("g") + 0.3 * F.col("blur") + 1e-6)).alias("cost")), "cost")
-    return gaussian(raw, "cost", {"z": 0.5, "y": 0.5, "x": 0.5}, VK)
+    return gaussian(raw, "cost", _SMOOTH, VK)
 
 
 def greedy_paths(cost: DataFrame, objects: DataFrame, target: DataFrame, steps: int = 200, most: float = 20.0, brick: tuple[int, int, int] = BRICK) -> DataFrame:
     """From each object's cheapest shell voxel, always to the cheapest of the 27 voxels around (a pure z step wins when no worse), until a
     voxel of the target's shell; stalled and unfinished paths are dropped, as are steps dearer than most.  Ties: smallest z, y, x.
 
-    The next voxel depends on the place alone, so it is found once for every voxel, and all paths follow these pointers."""
-    cube = [d for d in product((-1, 0, 1), repeat=3)]
-    around = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(d, ("dz", "dy", "dx"), strict=True)]) for d in cube])).alias("d")
-    shift = lambda df: df.select("*", around).select(*[c for c in df.columns if c not in ("z", "y", "x")], *[(F.col(c) + F.col(f"d.d{c}")).alias(c) for c in "zyx"])
-    body, aim = objects.select(*VK, "label"), target.select(*VK).distinct()
-    ends = shift(aim).distinct().join(aim, VK, "left_anti")
-    cost = cost.select(*VK, F.round("cost", 9).alias("cost")).join(aim.withColumn("aim", F.lit(True)), VK, "left").join(ends.withColumn("end", F.lit(True)), VK, "left")
-    cost = saved(cost.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("aim", "end")}), "cost")
-    grid = Grid(cost, brick)
-    moves = [d for d in cube if any(d)]
-    delta, straight = grid.steps(moves), np.array([d[1] == 0 and d[2] == 0 for d in moves])
+    The next voxel depends on the place alone, so it is found once for every voxel, and all paths follow these pointers.  Costs, target and objects meet in one
+    shuffle; images of one brick are done with there, else paths go on from brick to brick.
+    """
+    blank = {"cost": "double", "label": "long"}
+    part = lambda df, kind, **given: df.select(*VK, F.lit(kind).alias("kind"), *[given.get(c, F.lit(None)).cast(k).alias(c) for c, k in blank.items()])
+    parts = [part(cost, _COST, cost=F.round("cost", 9)), part(target, _AIM), part(objects, _BODY, label=F.col("label"))]
+    table = saved(reduce(DataFrame.unionByName, parts), "paths-input")
+    grid = Grid(table.where(F.col("kind") == _COST), brick)
+    moves = [d for d in product((-1, 0, 1), repeat=3) if any(d)]
+    around = list(zip(grid.steps(moves).tolist(), [d[1:] != (0, 0) for d in moves], strict=True))
+    near = F.lit(True)  # target and objects farther than a step from all costs have no number, and touch none
+    for c in "tzyx":
+        near &= F.col(c).between(-1, grid.size[c] - 2)
+    rows = table.where(near)
+    rows = rows.withColumns({"brick": F.xxhash64("image_id"), "ghost": F.lit(False)}) if grid.alone else grid.with_neighbours(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole(batches):
-            place, value, aim = grid.number(t), t["cost"].to_numpy(), t["aim"].to_numpy()
-            key = keys([t["image_id"].to_numpy(), t["brick"].to_numpy()], place, grid.volume)
-            order = np.argsort(key)
-            names = key[order]
-            best, turn, onward = np.where(aim, np.inf, value), np.ones(len(key), bool), place.copy()  # to stay is a stall
-            for s, z in zip(delta.tolist(), straight.tolist(), strict=True):
-                at = np.minimum(np.searchsorted(names, key + s), len(names) - 1)
-                hit = names[at] == key + s
-                row = order[at]
-                offer = np.where(hit & ~aim[row], value[row], np.inf)
-                better = np.isfinite(offer) & _earlier(offer, not z, place + s, best, turn, onward)
-                best, turn, onward = np.where(better, offer, best), np.where(better, not z, turn), np.where(better, place + s, onward)
-            onward = np.where(t["end"].to_numpy() | (onward == place), -1, onward)
-            mine = np.flatnonzero(~t["ghost"].to_numpy())
-            yield from t.select(VK).append_column("next", pa.array(onward)).take(pa.array(mine)).combine_chunks().to_batches()
-
-    rows = cost.withColumn("brick", grid.own()).withColumn("ghost", F.lit(False))
-    rows = rows.unionByName(grid.to_neighbours(cost).withColumn("ghost", F.lit(True)))
+            t, places, state = _pointers(t, grid, around)
+            first, at = _path_starts(t, grid, around, places, state["body"])
+            if grid.alone:
+                yield from _walked(t, state, first, at, steps, most)
+                continue
+            mine = np.flatnonzero(~t["ghost"].to_numpy()[: len(state["next"])])
+            onward = state["next"][mine]
+            out = t.select([*VK, "cost"]).take(pa.array(np.append(mine, at)))
+            nulls = lambda kind: pa.nulls(len(at), kind)
+            for name, some, rest in (
+                ("next", pa.array(grid.number(t)[np.maximum(onward, 0)], mask=onward < 0), nulls(pa.int64())),
+                ("end", pa.array(state["end"][mine]), nulls(pa.bool_())),
+                ("body", pa.array(state["body"][mine]), nulls(pa.bool_())),
+                ("label", pa.nulls(len(mine), pa.int64()), first["label"].combine_chunks()),
+            ):
+                out = out.append_column(name, pa.concat_arrays([some, rest]))
+            yield from out.combine_chunks().to_batches(max_chunksize=100_000)
+
+    place = "image_id long, t int, z int, y int, x int, cost double"
+    if grid.alone:
+        return dealt(rows).mapInArrow(run, place + ", label long, step int").select(*VK, "label", "step", "cost")
+    found = saved(dealt(rows).mapInArrow(run, place + ", next long, end boolean, body boolean, label long"), "pointers")
+    discard(table)
+    by = ["image_id", "t", "label"]
+    first = found.where("label is not null").groupBy(*by).agg(F.min_by(F.struct("z", "y", "x"), F.struct("cost", "z", "y", "x")).alias("p")).select(*by, "p.*")
     none = F.lit(0).cast("long").alias("object")
-    pointers = saved(dealt(rows).mapInArrow(run, "image_id long, t int, z int, y int, x int, next long"), "pointers").select(*VK, none, "next")
-    shell = shift(body).select(*VK, "label").distinct().join(body.select(*VK), VK, "left_anti")
-    first = shell.join(cost, VK).groupBy("image_id", "t", "label").agg(F.min_by(F.struct("z", "y", "x"), F.struct("cost", "z", "y", "x")).alias("p")).select("image_id", "t", "label", "p.*")
-    every = saved(follow(grid, pointers, first.select(*VK, none, "label"), steps).drop("object").join(cost, VK), "paths")
-    arrived = every.where("end").select("image_id", "t", "label").distinct()
-    every = every.join(arrived, ["image_id", "t", "label"], "left_semi").where(F.col("cost") <= most).join(body.select(*VK), VK, "left_anti")
+    pointers = found.where("label is null").select(*VK, none, F.coalesce("next", F.lit(-1).cast("long")).alias("next"), "cost", "end", "body")
+    every = saved(follow(grid, pointers, first.select(*VK, none, "label"), steps, ("cost", "end", "body")), "paths")
+    every = every.join(every.where("end").select(*by).distinct(), by, "left_semi").where((F.col("cost") <= most) & ~F.col("body"))
     return every.select(*VK, "label", F.col("step").cast("int").alias("step"), "cost")
 
 
+_COST, _AIM, _BODY = 0, 1, 2
+
+
+def _pointers(t: pa.Table, grid: Grid, around: list[tuple[int, bool]]) -> tuple[pa.Table, Places, dict[str, np.ndarray]]:
+    """Whole bricks with the rows of costs first, in the order of their keys (column key), then the others; where costs are; and of each cost's row whether it lies
+    in an object (body), whether a path ends there (end), and the row of the next voxel (-1: none)."""
+    key = keys([t["image_id"].to_numpy(), t["brick"].to_numpy()], grid.number(t), grid.volume)
+    kind = t["kind"].to_numpy()
+    order = np.lexsort((key, kind))
+    t, key, kind = t.take(pa.array(order)).append_column("key", pa.array(key[order])).combine_chunks(), key[order], kind[order]
+    n = int(np.searchsorted(kind, _AIM))
+    names, value, place = key[:n], t["cost"].to_numpy()[:n], grid.number(t)[:n]
+    places, aims = Places(names), np.unique(key[kind == _AIM])
+    aim, end, body = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, bool)
+    for out, some in ((aim, aims), (body, np.unique(key[kind == _BODY])), *((end, aims + s) for s, _ in around)):
+        at = places.rows(some)
+        out[at[at >= 0]] = True
+    end &= ~aim
+    best, turn, onward, row = np.where(aim, np.inf, value), np.ones(n, bool), place.copy(), np.full(n, -1)  # to stay is a stall
+    for s, turns in around:
+        at = places.rows(names + s)
+        offer = np.where((at >= 0) & ~aim[at], value[at], np.inf) if n else value
+        better = np.isfinite(offer) & _earlier(offer, turns, place + s, best, turn, onward)
+        best, turn, onward, row = np.where(better, offer, best), np.where(better, turns, turn), np.where(better, place + s, onward), np.where(better, at, row)
+    return t, places, {"body": body, "end": end, "next": np.where(end, -1, row)}
+
+
+def _path_starts(t: pa.Table, grid: Grid, around: list[tuple[int, bool]], places: Places, body: np.ndarray) -> tuple[pa.Table, np.ndarray]:
+    """The objects whose shells have costs here (image_id, t, label), and the row of the cheapest voxel of each shell; ties in raster order."""
+    n = len(body)
+    bodies = t.filter(pa.array(t["kind"].to_numpy() == _BODY)).combine_chunks()
+    by = [bodies[c].to_numpy() for c in ("image_id", "t", "label")]
+    key, open_ = bodies["key"].to_numpy(), ~t["ghost"].to_numpy()[:n] & ~body
+    thing = keys([*by, bodies["brick"].to_numpy()], np.zeros(len(key), np.int64), 1)
+    cost = t["cost"].fill_null(-np.inf).to_numpy()[:n]  # a cost that is null comes first, NaN last
+    things, rows = [], []
+    for s, _ in around:
+        at = places.rows(key + s)
+        use = np.flatnonzero((at >= 0) & open_[at]) if n else np.empty(0, np.int64)
+        things.append(thing[use])
+        rows.append(at[use])
+        if sum(map(len, rows[1:])) > len(key):  # candidates are reduced before they are many
+            things, rows = ([x] for x in _cheapest(np.concatenate(things), np.concatenate(rows), cost))
+    which, at = _cheapest(np.concatenate(things), np.concatenate(rows), cost)
+    head = np.unique(thing, return_index=True)
+    return bodies.select(["image_id", "t", "label"]).take(pa.array(head[1][np.searchsorted(head[0], which)])), at
+
+
+def _cheapest(thing: np.ndarray, row: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((row, cost[row], thing))  # rows are in raster order
+    thing, row = thing[order], row[order]
+    first = np.append(True, thing[1:] != thing[:-1])[: len(thing)]
+    return thing[first], row[first]
+
+
+def _walked(t: pa.Table, state: dict[str, np.ndarray], first: pa.Table, at: np.ndarray, steps: int, most: float) -> Iterator[pa.RecordBatch]:
+    """The voxels of all paths that arrive, from their starts on: VK, cost, label, step."""
+    who, rows, walks = np.arange(len(at)), [], []
+    for step in range(steps):
+        rows.append(at)
+        walks.append((who, np.full(len(at), step, np.int32)))
+        go = state["next"][at] >= 0
+        who, at = who[go], state["next"][at[go]]
+        if not len(at):
+            break
+    at, who, step = np.concatenate(rows), np.concatenate([w for w, _ in walks]), np.concatenate([s for _, s in walks])
+    arrived = np.zeros(len(first), bool)
+    arrived[who[state["end"][at]]] = True
+    cost = t["cost"].to_numpy()[at]
+    kept = np.flatnonzero(arrived[who] & (cost <= most) & ~state["body"][at])
+    out = t.select([*VK, "cost"]).take(pa.array(at[kept])).append_column("label", first["label"].take(pa.array(who[kept]))).append_column("step", pa.array(step[kept]))
+    yield from out.combine_chunks().to_batches(max_chunksize=100_000)
+
+
 def _earlier(offer: np.ndarray, turn: bool, place: np.ndarray, best: np.ndarray, was: np.ndarray, there: np.ndarray) -> np.ndarray:
     """Cheaper; of equals a pure z step; of equals the smaller place."""
     return (offer < best) | (offer == best) & ((turn < was) | (turn == was) & (place < there))
