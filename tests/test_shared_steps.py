@@ -171,3 +171,24 @@ def test_paths_without_copies_of_neighbours(spark):
         df = G.greedy_paths(cost, objects, rows(aims), brick=brick).select("image_id", "t", "z", "y", "x", "label", "step")
         assert {tuple(r) for r in df.collect()} == want, brick
     assert "Generate" not in G.greedy_paths(cost, objects, rows(aims))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_nearest_places_in_bricks(spark, monkeypatch):
+    """Near places are looked up in bricks, without a row for each cell around a point; far ones, ties, limits, unequal sampling and bricks' borders equal brute force."""
+    rng = np.random.default_rng(6)
+    p = np.concatenate([rng.integers(-9, 12, (120, 3)), rng.integers(0, 300, (20, 3)), [[0, 0, 0], [255, 255, 255], [63, 255, -1]]])
+    t = np.concatenate([rng.integers(-9, 12, (90, 3)), [[64, 256, 0], [255, 255, 259], [290, 290, 290]]])
+    what = [f"t{i % 50}" for i in range(len(t))]
+    points = spark.createDataFrame([(i, i % 2, *map(int, c)) for i, c in enumerate(p)] + [(900, 0, None, 1, 1), (901, 5, 1, 1, 1), (902, None, 1, 1, 1)], "who long, image_id long, z int, y int, x int")
+    targets = spark.createDataFrame([(w, i, *map(int, c)) for i in (0, 1, None) for w, c in zip(what, t, strict=True)], "what string, image_id long, z long, y long, x long")
+    asked, real = [], J._nearest_rows
+    monkeypatch.setattr(J, "_nearest_rows", lambda todo, *a: asked.append(todo.count()) or real(todo, *a))
+    for sampling, limit in (((1.0, 1.0, 1.0), None), ((2.0, 0.5, 1.0), None), ((1.0, 1.0, 1.0), 3.0), ((0.3, 0.1, 0.2), 2.0)):
+        found = {r.who: (r.distance, r.what) for r in J.nearest_point(points, targets, ["who"], ["what"], sampling, max_dist=limit).collect()}
+        for i, c in enumerate(p):
+            d = np.sqrt((((t - c) * sampling) ** 2).sum(1))
+            best = min(range(len(t)), key=lambda k: (round(d[k], 9), *t[k], what[k]))
+            want = (d[best], what[best]) if limit is None or d[best] <= limit else (None, None)
+            assert found[i][1] == want[1] and (found[i][0] == want[0] or abs(found[i][0] - want[0]) < 1e-12), (sampling, limit, i)
+        assert found[900] == found[901] == found[902] == (None, None) and len(found) == len(p) + 3
+    assert len(asked) == 3 and asked[0] < 60  # with a limit within the looks nobody else is asked

@@ -12,11 +12,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxlake.operators import bricks
 from voxlake.operators.bricks import dealt, whole
-from voxlake.operators.dense import line_distance
+from voxlake.operators.dense import BLOCK, line_distance
 from voxlake.operators.filters import axis_weights
 from voxlake.operators.projections import VK
-from voxlake.plans.scratch import saved
+from voxlake.plans.scratch import discard, saved
 
 
 def merge_measurements(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
@@ -69,6 +70,7 @@ def nearest_point(points: DataFrame, targets: DataFrame, keys: list[str], payloa
 
     points: keys, image_id, z, y, x; targets: image_id, z, y, x, payload.  Two rings of a grid (cells of `cell`, then of twice that) settle points whose
     match is nearer than the ring is wide; all others, at whatever distance, are settled in one pass over cells of their own size (_far_nearest).
+    Whole coordinates are looked up in bricks before (_nearest_of_places).
     Points beyond max_dist, without place, or in an image without any target, get nulls.  by: what image_id stands for.
     """
     by = by or ["image_id"]
@@ -78,20 +80,83 @@ def nearest_point(points: DataFrame, targets: DataFrame, keys: list[str], payloa
     return _nearest_rows(asked, targets, keys, payload, sampling, cell, max_dist, by)
 
 
+WINDOW = 4  # steps an axis that points look around in their brick
+
+
+def _looks(sampling: tuple[float, float, float], far: float) -> list[tuple[float, tuple[int, int, int]]]:
+    """Steps to all places within a distance, nearest first; ties, up to 1e-9: smallest z, y, x."""
+    reach = [int(far / s + 1e-9) for s in sampling]
+    found = ((math.sqrt(sum((v * s) ** 2 for v, s in zip(d, sampling, strict=True))), d) for d in product(*(range(-r, r + 1) for r in reach)))
+    return sorted((f for f in found if round(f[0], 9) <= round(far, 9)), key=lambda f: (round(f[0], 9), f[1]))
+
+
 def _nearest_of_places(asked: DataFrame, targets: DataFrame, keys: list[str], payload: list[str], sampling: tuple[float, float, float], cell: float, max_dist: float | None, by: list[str]) -> DataFrame:
-    """J6 on whole coordinates: many points and targets may share a place, so places are matched, each with its least payload; places that hold a target need no search."""
-    place, there = [*by, "z", "y", "x"], [f"there_{c}" for c in "zyx"]
-    placed = " and ".join(f"abs({c}) < 1e15" for c in "zyx")
+    """J6 on whole coordinates: many points and targets may share a place, so places are matched, each with its least payload.
+
+    Places meet in bricks, where one that is asked for looks at one place around after the other, nearest first: no row is made for a pair.  Those with
+    nothing within `cell` (and WINDOW steps) are searched for as rows."""
+    names, there = [*by, "z", "y", "x"], [f"there_{c}" for c in "zyx"]
+    placed = " and ".join(f"abs({c}) < 1e15" for c in "zyx") + "".join(f" and {c} is not null" for c in by)
     asked = saved(asked, "asked")
-    least = targets.where(placed).select(*place, F.struct(*payload, F.lit(0).alias("none_")).alias("p")).groupBy(*place).agg(F.min("p").alias("p"))
-    least = saved(least.select(*place, *[F.col(f"p.{c}").alias(c) for c in payload], *[F.col(c).alias(f"there_{c}") for c in "zyx"]), "places")
-    wanted = saved(asked.where(placed).select(*place).distinct(), "places-asked")
-    here = wanted.join(least, place).select(*place, F.lit(0.0).alias("distance"), *payload, *there)
-    away = wanted.join(least.select(*place), place, "left_anti").select(*by, *[F.col(c).alias(f"a{c}") for c in "zyx"], "z", "y", "x")
-    found = _nearest_rows(away, least, ["az", "ay", "ax"], [*payload, *there], sampling, cell, max_dist, by)
-    found = here.unionByName(found.select(*by, *[F.col(f"a{c}").alias(c) for c in "zyx"], "distance", *payload, *there))
+    least = targets.where(placed).select(*names, F.struct(*payload, F.lit(0).alias("none_")).alias("p")).groupBy(*names).agg(F.min("p").alias("p"))
+    least = saved(least.select(*names, *[F.col(f"p.{c}").alias(c) for c in payload], *[F.col(c).alias(f"there_{c}") for c in "zyx"]), "places")
+    far = max(0.0, min(cell, WINDOW * min(sampling), math.inf if max_dist is None else max_dist))
+    looks = _looks(sampling, far)
+    reach = {c: max(abs(d[i]) for _, d in looks) for i, c in enumerate("zyx")}
+    worth = [f"v{i}" for i in range(len(payload) + 3)]
+    ask = asked.where(placed).select(*names).distinct().withColumn("asks", F.lit(True))
+    aim = least.select(*names, F.lit(False).alias("asks"), *[F.col(c).alias(v) for c, v in zip([*payload, *there], worth, strict=True)])
+    both = ask.unionByName(aim, allowMissingColumns=True)
+    for c, r in reach.items():  # a brick's own cells begin a reach before its multiple of the size
+        low, high = F.col(c) + F.when(F.col("asks"), r).otherwise(0), F.col(c) + F.when(F.col("asks"), r).otherwise(2 * r)
+        both = both.withColumn(f"brick_{c}", F.explode(F.sequence(F.floor(low / BLOCK[c]), F.floor(high / BLOCK[c]))))
+    which = [*by, *[f"brick_{c}" for c in "zyx"]]
+    kinds = dict(both.dtypes)
+    schema = ", ".join([f"{c} {kinds[c]}" for c in names] + ["distance double"] + [f"{c} {kinds[c]}" for c in worth] + ["settled boolean"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole(batches):
+            asks = t["asks"].to_numpy()
+            space = [t[c].combine_chunks().dictionary_encode().indices.to_numpy() for c in which]
+            # numbers of places have room for every look over the sides
+            number, step = np.zeros(t.num_rows, np.int64), np.zeros(len(looks), np.int64)
+            for i, c in enumerate("zyx"):
+                at = t[c].to_numpy() - t[f"brick_{c}"].to_numpy() * BLOCK[c]
+                n = int(at.max() - at.min()) + 1 + 2 * reach[c]
+                number = number * n + (at - at.min() + reach[c])
+                step = step * n + np.array([d[i] for _, d in looks])
+            key = bricks.keys(space, number, int(number.max()) + int(np.abs(step).max()) + 1)
+            rows = np.flatnonzero(~asks)
+            rows = rows[np.argsort(key[rows])]
+            places, want = bricks.Places(key[rows]), np.flatnonzero(asks)
+            row, distance = np.full(len(want), -1), np.full(len(want), np.nan)
+            todo = np.arange(len(want))
+            for (d, _), s in zip(looks, step.tolist(), strict=True):
+                at = places.rows(key[want[todo]] + s)
+                hit = at >= 0
+                row[todo[hit]], distance[todo[hit]] = rows[at[hit]], d
+                todo = todo[~hit]
+                if not len(todo):
+                    break
+            settled = row >= 0
+            if max_dist is not None:
+                row[distance > max_dist] = -1
+            out, take = t.select(names).take(pa.array(want)).append_column("distance", pa.array(distance, mask=row < 0)), pa.array(row, mask=row < 0)
+            for c in worth:
+                out = out.append_column(c, t[c].combine_chunks().take(take))
+            yield from out.append_column("settled", pa.array(settled)).combine_chunks().to_batches(max_chunksize=100_000)
+
+    found = saved(dealt(both.withColumn("brick", F.xxhash64(*which))).mapInArrow(run, schema), "nearest")
+    best = found.where("settled").select(*names, "distance", *[F.col(v).alias(c) for c, v in zip([*payload, *there], worth, strict=True)])
+    left = found.where("not settled").select(*names)
+    if (max_dist is None or max_dist > far) and not left.isEmpty():
+        away = left.select(*by, *[F.col(c).alias(f"a{c}") for c in "zyx"], "z", "y", "x")
+        rest = _nearest_rows(away, least, ["az", "ay", "ax"], [*payload, *there], sampling, cell, max_dist, by)
+        best = best.unionByName(rest.select(*by, *[F.col(f"a{c}").alias(c) for c in "zyx"], "distance", *payload, *there))
+    else:
+        discard(least)
     order = F.struct(F.col("distance").isNull(), F.round("distance", 9), *there, *payload)  # of a key's rows at several places the nearest
-    best = asked.join(found, place, "left").groupBy(*keys, *by).agg(F.min_by(F.struct("distance", *payload), order).alias("b"))
+    best = asked.join(best, names, "left").groupBy(*keys, *by).agg(F.min_by(F.struct("distance", *payload), order).alias("b"))
     return best.select(*keys, *by, "b.*")
 
 
