@@ -11,7 +11,7 @@ from voxlake.operators import aggregates as A
 from voxlake.operators import filters as L
 from voxlake.operators import iterative as G
 from voxlake.operators import joins as J
-from voxlake.operators.bricks import Grid, latest
+from voxlake.operators.bricks import Grid, latest, least
 from voxlake.operators.dense import dense_map, mask_map, moved
 from voxlake.sources import tables as S
 
@@ -192,3 +192,18 @@ def test_nearest_places_in_bricks(spark, monkeypatch):
             assert found[i][1] == want[1] and (found[i][0] == want[0] or abs(found[i][0] - want[0]) < 1e-12), (sampling, limit, i)
         assert found[900] == found[901] == found[902] == (None, None) and len(found) == len(p) + 3
     assert len(asked) == 3 and asked[0] < 60  # with a limit within the looks nobody else is asked
+
+
+def test_no_copies_beyond_the_volumes(spark):
+    """Copies go only to bricks that can hold voxels, rounds give the same; the least of repeated rows is found column by column."""
+    vox = voxels(spark, [(c[0], c[1:]) for c in scene(60)])
+    grid = Grid(vox, (3, 1, 4))
+    ghosts = grid.with_neighbours(vox, inside=True).where("ghost")
+    top = [max(r[c] for r in vox.collect()) for c in "zyx"]
+    side = lambda v, n, most: {u // n for u in (v - 1, v, v + 1) if 0 <= u <= most}
+    want = sum(len(side(r.z, 3, top[0])) * len(side(r.y, 1, top[1])) * len(side(r.x, 4, top[2])) - 1 for r in vox.collect())
+    assert ghosts.count() == want < grid.with_neighbours(vox).where("ghost").count()
+    rng = np.random.default_rng(1)
+    row, given = np.append(np.arange(20), rng.integers(0, 20, 200)), [np.append(np.full(20, 2), rng.integers(0, 3, 200)) for _ in range(3)]
+    want = [min(zip(*(x[row == k].tolist() for x in given), strict=True)) for k in range(20)]
+    assert list(zip(*(x.tolist() for x in least(row, 20, given, [9, 9, 9])), strict=True)) == want

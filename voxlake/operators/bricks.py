@@ -70,11 +70,15 @@ class Grid:
     def own(self) -> Column:
         return F.xxhash64("image_id", *[self._brick(c) for c in "zyx"])
 
-    def with_neighbours(self, df: DataFrame, copied: Column | None = None) -> DataFrame:
-        """Rows in their own brick (ghost false), and those to be copied that lie at faces in every other brick that they touch (ghost true)."""
+    def with_neighbours(self, df: DataFrame, copied: Column | None = None, inside: bool = False) -> DataFrame:
+        """Rows in their own brick (ghost false), and those to be copied that lie at faces in every other brick that they touch (ghost true).
+
+        inside: none beyond the sides of all volumes, where nobody is."""
         copied = F.lit(True) if copied is None else copied
         for c, n in self.brick.items():
             b, low, high = self._brick(c), copied & (F.pmod(c, F.lit(n)) == 0), copied & (F.pmod(c, F.lit(n)) == n - 1)
+            if inside:
+                low, high = low & (F.col(c) > 0), high & (F.col(c) < self.size[c] - 3)
             side = F.when(low & high, F.array(b, b - 1, b + 1)).when(low, F.array(b, b - 1)).when(high, F.array(b, b + 1)).otherwise(F.array(b))
             df = df.withColumn(f"b{c}", F.explode(side))
         home = (F.col("bz") == self._brick("z")) & (F.col("by") == self._brick("y")) & (F.col("bx") == self._brick("x"))
@@ -113,11 +117,17 @@ def whole(batches: Iterator[pa.RecordBatch], most: int = MOST) -> Iterator[pa.Ta
         yield pa.Table.from_batches([*done, *tail]).combine_chunks()
 
 
+def _ranks(s: np.ndarray) -> np.ndarray:
+    """The rank of each value among the distinct ones; rows of a brick lie together, so runs of equal values are sorted as one."""
+    head = np.flatnonzero(np.append(True, s[1:] != s[:-1])[: len(s)])
+    return np.repeat(np.unique(s[head], return_inverse=True)[1], np.diff(np.append(head, len(s))))
+
+
 def keys(space: list[np.ndarray], place: np.ndarray, volume: int) -> np.ndarray:
     """One number per voxel of a table: images (and objects) apart, raster numbers within."""
     number = np.zeros(len(place), np.int64)
     for s in space:
-        number = np.unique(number * (len(place) + 1) + np.unique(s, return_inverse=True)[1], return_inverse=True)[1]
+        number = _ranks(number * (len(place) + 1) + _ranks(s))
     return number * volume + place
 
 
@@ -167,6 +177,17 @@ def _less(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> np.ndarray:
     return out
 
 
+def least(row: np.ndarray, n: int, given: list[np.ndarray], blank: list[float]) -> list[np.ndarray]:
+    """Of the rows of each of n numbers the least in the order of the columns, without sorting them: column by column, rows that are not least drop out."""
+    out, left = [], np.arange(len(row))
+    for x, far in zip(given, blank, strict=True):
+        low = np.full(n, far, x.dtype)
+        np.minimum.at(low, row[left], x[left])
+        left = left[x[left] == low[row[left]]]
+        out.append(low)
+    return out
+
+
 def settle(key: np.ndarray, steps: np.ndarray, state: list[np.ndarray], cost: np.ndarray, level: np.ndarray, place: np.ndarray, combine: Combine) -> None:
     """Least state (c, hops, label, predecessor) of every row (sorted distinct keys) over all paths; rows whose cost is NaN are not entered.
 
@@ -278,9 +299,7 @@ def relax(seeds: DataFrame, field: DataFrame, moves: list[tuple[int, ...]], comb
                 np.fmax.at(out, row, t[name].to_numpy())
             blank = {"c": np.inf, "hops": FAR, "label": FAR, "par": FAR}
             given = [t[c].fill_null(v).to_numpy() for c, v in blank.items()]
-            by = np.lexsort((*given[::-1], row))
-            head = by[np.searchsorted(row[by], np.arange(n))]
-            state = [x[head].copy() for x in given]
+            state = least(row, n, given, list(blank.values()))
             real = np.zeros(n, bool)
             real[row[~t["ghost"].to_numpy()]] = True
             own = np.full(n, -1)
@@ -299,7 +318,7 @@ def relax(seeds: DataFrame, field: DataFrame, moves: list[tuple[int, ...]], comb
     def round_of(df: DataFrame, start: bool) -> DataFrame:
         """Settled bricks, and beside them the copies of what got better for the bricks around (ghost)."""
         out = dealt(df).mapInArrow(lambda b: run(b, start), ROWS + ", fresh boolean")
-        return out if grid.alone else grid.with_neighbours(out, F.col("fresh")).withColumn("cost", F.when(~F.col("ghost"), F.col("cost")))
+        return out if grid.alone else grid.with_neighbours(out, F.col("fresh"), inside=True).withColumn("cost", F.when(~F.col("ghost"), F.col("cost")))
 
     own = ~F.col("ghost")
     state = Versions(round_of(rows, True), "relax", own)

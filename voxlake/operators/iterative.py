@@ -417,7 +417,7 @@ def greedy_paths(cost: DataFrame, objects: DataFrame, target: DataFrame, steps:
     for c in "tzyx":
         near &= F.col(c).between(-1, grid.size[c] - 2)
     rows = table.where(near)
-    rows = rows.withColumns({"brick": F.xxhash64("image_id"), "ghost": F.lit(False)}) if grid.alone else grid.with_neighbours(rows)
+    rows = rows.withColumns({"brick": F.xxhash64("image_id"), "ghost": F.lit(False)}) if grid.alone else grid.with_neighbours(rows, inside=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole(batches):
